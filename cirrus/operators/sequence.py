@@ -47,21 +47,25 @@ def prior_agg(
     bucket: str = DEFAULT_BUCKET,
 ) -> DataFrame:
     """Add ``out`` = aggregate of ``value`` over the strictly earlier rows of
-    the same key in (time, *tiebreak) order; ``how`` is ``max`` or ``sum``."""
+    the same key in (time, *tiebreak) order; ``how`` is ``max`` or ``sum``.
+
+    Plan: the rows are shuffled once, on (key, bucket), for the in-bucket
+    running window.  The per-bucket summary is a partial aggregate taken
+    map-side over the (column-pruned) input, so only one row per (key, bucket,
+    map task) is shuffled for it; its running aggregate over a key's buckets
+    touches one row per bucket.  The carry is joined back on (key, bucket):
+    Spark broadcasts it when the estimate is small, otherwise the join reuses
+    the rows' (key, bucket) partitioning and only the carry is shuffled.
+    """
     keys = _keys(key)
     agg = {"max": F.max, "sum": F.sum}[how]
     order = [F.col(time), *[F.col(c) for c in tiebreak]]
-    part = (
-        df.withColumn(BUCKET_COL, floor_time(time, bucket))
-        .withColumn("_seq_v", value)
-        # one shuffle of the rows; both branches below reuse it
-        .repartition(*keys, BUCKET_COL)
-    )
+    base = df.withColumn(BUCKET_COL, floor_time(time, bucket)).withColumn("_seq_v", value)
     before = Window.partitionBy(*keys, BUCKET_COL).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = part.withColumn("_seq_in", agg("_seq_v").over(before))
+    rows = base.withColumn("_seq_in", agg("_seq_v").over(before))
     earlier_buckets = Window.partitionBy(*keys).orderBy(BUCKET_COL).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        part.groupBy(*keys, BUCKET_COL)
+        base.groupBy(*keys, BUCKET_COL)
         .agg(agg("_seq_v").alias("_seq_b"))
         .select(*keys, BUCKET_COL, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
     )
