@@ -1,0 +1,164 @@
+"""Keyed state machines (K1-K5) for ``transformWithState`` (row API).
+
+Each processor keeps one small value per key (the previous reading, the open
+period, the previous window average), as the reference's keyed process
+functions do.  Rows of one key inside a micro-batch are sorted by event time
+(and arrival position) first; across micro-batches, arrival order is kept.
+Times cross the Python boundary as epoch microseconds (``t_us``), so no time
+zone is involved.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import Row
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+MICROS_PER_HOUR = 3_600_000_000
+_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+
+def _sorted(rows, *extra):
+    return sorted(rows, key=lambda r: (r["t_us"], *[(r[c] is None, r[c]) for c in extra]))
+
+
+def _ts(us: int) -> datetime:
+    return _EPOCH + timedelta(microseconds=us)
+
+
+class RateOfChange(StatefulProcessor):
+    """K1: rows (t_us, v [, order...]) -> (t_us, rate per ``per_seconds``)."""
+
+    def __init__(self, per_seconds: float = 3600.0, order=()):
+        self.per_seconds, self.order = per_seconds, tuple(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "t_us BIGINT, v DOUBLE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        prev = self.prev.get() if self.prev.exists() else None
+        out = []
+        for r in _sorted(rows, *self.order):
+            if prev is not None:
+                sec = (r["t_us"] - prev[0]) / 1_000_000
+                if sec > 0:
+                    out.append(Row(key=key[0], t_us=r["t_us"], rate=(r["v"] - prev[1]) * self.per_seconds / sec))
+            prev = (r["t_us"], r["v"])
+        self.prev.update(prev)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class GapStatus(StatefulProcessor):
+    """K2: rows (t_us) -> (start_us, end_us, complete | incomplete)."""
+
+    def __init__(self, max_gap_us: int = MICROS_PER_HOUR, order=()):
+        self.max_gap_us, self.order = max_gap_us, tuple(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "t_us BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues):
+        prev = self.prev.get()[0] if self.prev.exists() else None
+        out = []
+        for r in _sorted(rows, *self.order):
+            t = r["t_us"]
+            if prev is not None:
+                status = "complete" if t - prev <= self.max_gap_us else "incomplete"
+                out.append(Row(key=key[0], start_us=prev, end_us=t, status=status))
+            prev = t
+        self.prev.update((prev,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class ThresholdPeriods(StatefulProcessor):
+    """K4: rows (t_us, v) -> closed periods of v < threshold (start_us, end_us, hours)."""
+
+    def __init__(self, threshold: float, order=()):
+        self.threshold, self.order = threshold, tuple(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open_start", "t_us BIGINT")
+
+    def handleInputRows(self, key, rows, timerValues):
+        start = self.open.get()[0] if self.open.exists() else None
+        out = []
+        for r in _sorted(rows, *self.order):
+            if r["v"] < self.threshold:
+                if start is None:
+                    start = r["t_us"]
+                continue
+            if start is None:
+                continue
+            out.append(Row(key=key[0], start_us=start, end_us=r["t_us"], hours=(r["t_us"] - start) // MICROS_PER_HOUR))
+            start = None
+        if start is None:
+            self.open.clear()
+        else:
+            self.open.update((start,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class TrendDirection(StatefulProcessor):
+    """K3: closed windows (start_us, end_us, avg) -> trend against the key's
+    previous window."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev_avg", "avg DOUBLE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        prev = self.prev.get()[0] if self.prev.exists() else None
+        out = []
+        for r in sorted(rows, key=lambda r: r["start_us"]):
+            a = r["avg"]
+            if prev is None:
+                t = "unknown"
+            elif a > prev:
+                t = "rising"
+            elif a < prev:
+                t = "falling"
+            else:
+                t = "stable"
+            out.append(Row(key=key[0], start_us=r["start_us"], end_us=r["end_us"], avg=a, trend=t))
+            prev = a
+        self.prev.update((prev,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+class PressureDrops(StatefulProcessor):
+    """K5: rows (t_us, p, level) -> (event_time, drop per hour, level) for
+    readings strictly after the previous one; emits an event-time column so a
+    window can follow."""
+
+    def __init__(self, order=()):
+        self.order = tuple(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.prev = handle.getValueState("prev", "t_us BIGINT, p DOUBLE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        prev = self.prev.get() if self.prev.exists() else None
+        out = []
+        for r in _sorted(rows, *self.order):
+            if prev is not None:
+                sec = (r["t_us"] - prev[0]) / 1_000_000
+                if sec > 0:
+                    out.append(Row(key=key[0], event_time=_ts(r["t_us"]), drop=(prev[1] - r["p"]) * 3600.0 / sec, level=r["level"]))
+            prev = (r["t_us"], r["p"])
+        self.prev.update(prev)
+        return iter(out)
+
+    def close(self) -> None:
+        pass
