@@ -27,19 +27,21 @@ BAD_DATE = "DATE is missing or not yyyy-MM-ddTHH:mm:ss"
 
 
 def parse_fields(df: DataFrame, line: str = "raw_line") -> DataFrame:
-    """Add ``_f`` (struct of the 16 raw fields, '' or null as described) and
-    ``_n`` (number of fields present on the line)."""
+    """Add one column ``_f_<NAME>`` per raw field ('' when present but empty,
+    null when the line ends before it) and ``_n`` (fields present).  The CSV
+    parse runs once per line, in a projection of its own."""
     text = F.coalesce(F.col(line), F.lit(""))
     bare = F.regexp_replace(text, _QUOTED, "")
     n = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + F.lit(1)
-    parsed = F.from_csv(text, _CSV_SCHEMA, _CSV_OPTIONS)
-    fields = F.struct(
-        *[
-            F.when(F.lit(i) < F.col("_n"), F.coalesce(parsed.getField(c), F.lit(""))).alias(c)
-            for i, c in enumerate(noaa.RAW_COLUMNS)
-        ]
-    )
-    return df.withColumn("_n", n).withColumn("_f", fields)
+    parsed = df.select("*", F.from_csv(text, _CSV_SCHEMA, _CSV_OPTIONS).alias("_csv"), n.alias("_n"))
+    fields = [
+        F.when(F.lit(i) < F.col("_n"), F.coalesce(F.col("_csv").getField(c), F.lit(""))).alias(f"_f_{c}")
+        for i, c in enumerate(noaa.RAW_COLUMNS)
+    ]
+    # event time straight from the parsed DATE (missing and empty both give
+    # null), so a filter on it pushed below this projection needs no comma count
+    et = to_event_time(F.col("_csv").getField("DATE")).alias("_et")
+    return parsed.select("*", *fields, et).drop("_csv")
 
 
 def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFrame]:
@@ -48,7 +50,11 @@ def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFr
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast(t))
     x = parse_fields(raw, line)
-    f = lambda c: F.col("_f").getField(c)
+    f = lambda c: F.col(f"_f_{c}")
+    compound = {"WND": "_p_wnd", "CIG": "_p_cig", "VIS": "_p_vis", "TMP": "_p_tmp", "DEW": "_p_dew", "SLP": "_p_slp"}
+    # split each compound field once; the struct builders below read the arrays
+    x = x.select("*", *[noaa.parts(f(c)).alias(a) for c, a in compound.items()])
+    n = F.least(F.col("_n"), F.lit(len(noaa.RAW_COLUMNS)))
     names = F.array(*[F.lit(c.lower()) for c in noaa.RAW_COLUMNS])
     values = F.array(*[f(c) for c in noaa.RAW_COLUMNS])
     reading = x.select(
@@ -63,20 +69,21 @@ def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFr
         f("REPORT_TYPE").alias("report_type"),
         f("CALL_SIGN").alias("call_sign"),
         f("QUALITY_CONTROL").alias("quality_control"),
-        noaa.wind(f("WND")).alias("wind"),
-        noaa.ceiling(f("CIG")).alias("ceiling"),
-        noaa.visibility(f("VIS")).alias("visibility"),
-        noaa.temperature(f("TMP")).alias("temperature"),
-        noaa.temperature(f("DEW")).alias("dew_point"),
-        noaa.pressure(f("SLP")).alias("sea_level_pressure"),
-        # The columns present on the line, lower-cased name -> raw text
-        F.map_filter(F.map_from_arrays(names, values), lambda k, v: v.isNotNull()).alias("columns"),
+        noaa.wind(F.col("_p_wnd")).alias("wind"),
+        noaa.ceiling(F.col("_p_cig")).alias("ceiling"),
+        noaa.visibility(F.col("_p_vis")).alias("visibility"),
+        noaa.temperature(F.col("_p_tmp")).alias("temperature"),
+        noaa.temperature(F.col("_p_dew")).alias("dew_point"),
+        noaa.pressure(F.col("_p_slp")).alias("sea_level_pressure"),
+        # The columns present on the line (the first n), lower-cased name -> raw text
+        F.map_from_arrays(F.slice(names, 1, n), F.slice(values, 1, n)).alias("columns"),
         "source_file",
         F.col("row_number").cast("bigint").alias("row_number"),
+        "_et",
     )
     empty = F.coalesce(F.col("_line"), F.lit("")) == ""
-    no_time = to_event_time(F.col("date")).isNull()
-    readings = reading.where(~empty & ~no_time).drop("_line")
+    no_time = F.col("_et").isNull()
+    readings = reading.where(~empty & ~no_time).drop("_line", "_et")
     dead = reading.where(empty | no_time).select(
         F.when(empty, F.lit(EMPTY_LINE)).otherwise(F.lit(BAD_DATE)).alias("error"),
         F.col("_line").alias("raw_message"),
