@@ -44,8 +44,11 @@ def parse_fields(df: DataFrame, line: str = "raw_line") -> DataFrame:
     return parsed.select("*", *fields, et).drop("_csv")
 
 
-def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFrame]:
-    """raw (raw_line [, source_file, row_number]) -> (readings, dead letters)."""
+def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
+    """raw (raw_line [, source_file, row_number]) -> one row per line with the
+    reading columns, ``kind`` ('reading' | 'dead_letter') and, for dead
+    letters, ``error`` and ``raw_message``.  A job writes this once,
+    partitioned by ``kind``, so each line is parsed once."""
     for c, t in (("source_file", "string"), ("row_number", "bigint")):
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast(t))
@@ -82,17 +85,45 @@ def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFr
         "_et",
     )
     empty = F.coalesce(F.col("_line"), F.lit("")) == ""
-    no_time = F.col("_et").isNull()
-    readings = reading.where(~empty & ~no_time).drop("_line", "_et")
-    dead = reading.where(empty | no_time).select(
-        F.when(empty, F.lit(EMPTY_LINE)).otherwise(F.lit(BAD_DATE)).alias("error"),
-        F.col("_line").alias("raw_message"),
-        "source_file",
-        "row_number",
+    bad = empty | F.col("_et").isNull()
+    return reading.select(
+        *[c for c in reading.columns if c not in ("_line", "_et")],
+        F.when(bad, F.lit(DEAD)).otherwise(F.lit(READING)).alias("kind"),
+        F.when(empty, F.lit(EMPTY_LINE)).when(bad, F.lit(BAD_DATE)).alias("error"),
+        F.when(bad, F.col("_line")).alias("raw_message"),
     )
+
+
+READING, DEAD = "reading", "dead_letter"
+DEAD_COLUMNS = ["error", "raw_message", "source_file", "row_number"]
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    readings = tagged.where(F.col("kind") == READING).drop("kind", "error", "raw_message")
+    dead = tagged.where(F.col("kind") == DEAD).select(*DEAD_COLUMNS)
     return readings, dead
 
 
+def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFrame]:
+    """raw (raw_line [, source_file, row_number]) -> (readings, dead letters)."""
+    return split_tagged(normalize_tagged(raw, line))
+
+
+def run_normalizer(spark, data_dir: str, out: str, year=None, station=None, max_records=None) -> None:
+    """Batch normalisation job: raw files -> readings and dead letters, one
+    pass, written as parquet partitioned by ``kind``."""
+    from cirrus.sources.raw import first_records, read_raw, supported_raw_line
+
+    raw = first_records(supported_raw_line(read_raw(spark, data_dir, year, station)), max_records)
+    normalize_tagged(raw).write.mode("overwrite").partitionBy("kind").parquet(out)
+
+
+def read_normalized(spark, out: str) -> tuple[DataFrame, DataFrame]:
+    """(readings, dead letters) of a normalisation output; the ``kind``
+    partition filter prunes the other half."""
+    return split_tagged(spark.read.parquet(out))
+
+
 def to_json_lines(readings: DataFrame) -> DataFrame:
     """A5: one JSON document per reading (value column for a message sink)."""
     return readings.select(F.to_json(F.struct(*[c for c in readings.columns])).alias("value"))

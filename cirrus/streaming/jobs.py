@@ -194,3 +194,23 @@ def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, na
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+# ----------------------------------------------------------------- normaliser
+def start_normalizer(spark: SparkSession, raw_events: DataFrame, out: str, name: str = "normalizer", trigger: dict | None = None):
+    """Stateless normalisation of a raw-event stream (source_file, row_number,
+    raw_line) into parquet partitioned by ``kind`` (readings / dead letters);
+    the file sink commits each micro-batch exactly once."""
+    from cirrus.plans.normalize import normalize_tagged
+
+    writer = (
+        normalize_tagged(raw_events)
+        .writeStream.format("parquet")
+        .partitionBy("kind")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint_path(spark, name))
+        .outputMode("append")
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
