@@ -38,9 +38,20 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     return micros_between(start, end) / F.lit(float(MICROS_PER_SECOND))
 
 
-def floor_time(time: Column | str, every: str) -> Column:
-    """Start of the epoch-aligned bucket of length ``every`` holding ``time``."""
-    return F.window(_c(time), every).start
+def epoch_micros(time: Column | str) -> Column:
+    """Microseconds since 1970-01-01 00:00 (UTC wall clock) of a timestamp or
+    timestamp_ntz value."""
+    return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), _c(time))
+
+
+def floor_time(time: Column | str, every: str | Column) -> Column:
+    """Start of the epoch-aligned bucket of length ``every`` holding ``time``
+    (same type as ``time``).  Plain arithmetic rather than ``window()``, so
+    several buckets (or a per-row bucket length, in seconds) can be computed
+    in one projection."""
+    step_us = F.lit(duration_seconds(every) * MICROS_PER_SECOND) if isinstance(every, str) else every.cast("bigint") * F.lit(MICROS_PER_SECOND)
+    rem = F.pmod(epoch_micros(time), step_us)
+    return _c(time) - F.make_dt_interval(secs=(rem.cast("decimal(20,0)") / F.lit(MICROS_PER_SECOND)).cast("decimal(18,6)"))
 
 
 def shift_seconds(time: Column | str, seconds: Column | int) -> Column:

@@ -31,11 +31,15 @@ def top_n_both_ends(
     window_cols: Sequence[str] = ("window_start", "window_end"),
 ) -> DataFrame:
     """Per window: the n keys with the highest ``high`` (ties by key ascending)
-    and the n keys with the lowest ``low``; tagged ``list_name``."""
-    hot = top_n(windows, window_cols, [F.col(high).desc(), F.col(key).asc()], n).select(
-        key, *window_cols, F.lit(names[0]).alias("list_name"), "rank_position", F.col(high).alias(out_value)
+    and the n keys with the lowest ``low``; tagged ``list_name``.
+
+    One pass for both lists: each window row is tagged once per list and
+    ranked by a single ascending sort key (the negated ``high`` for the top
+    list; the output carries the value itself, never the negation)."""
+    tagged = windows.select(key, *window_cols, high, low, F.explode(F.array(F.lit(names[0]), F.lit(names[1]))).alias("list_name"))
+    top = F.col("list_name") == F.lit(names[0])
+    tagged = tagged.withColumn("_ord", F.when(top, -F.col(high)).otherwise(F.col(low)))
+    ranked = top_n(tagged, [*window_cols, "list_name"], [F.col("_ord").asc(), F.col(key).asc()], n)
+    return ranked.select(
+        key, *window_cols, "list_name", "rank_position", F.when(top, F.col(high)).otherwise(F.col(low)).alias(out_value)
     )
-    cold = top_n(windows, window_cols, [F.col(low).asc(), F.col(key).asc()], n).select(
-        key, *window_cols, F.lit(names[1]).alias("list_name"), "rank_position", F.col(low).alias(out_value)
-    )
-    return hot.unionByName(cold)

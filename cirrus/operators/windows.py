@@ -128,42 +128,25 @@ def tumbling_stats(
     """G1 + U1: min / max / avg of the non-null ``value`` per key and tumbling
     window, for several window sizes, as one table tagged by ``window_size``.
 
-    The input is scanned and shuffled once: the finest size is aggregated from
-    rows; every coarser size that is a multiple of it is rolled up from those
-    finer windows (min of mins, max of maxes, sum/count)."""
+    One scan and one shuffle for all sizes: each row is expanded once per size
+    (as grouping sets are) and partially aggregated map-side, so only one
+    partial row per (key, size, window, map task) crosses the shuffle."""
     keys = _keys(key)
     mn, mx, av = names
-    base_label, base_size = min(sizes, key=lambda s: duration_seconds(s[1]))
-    base_s = duration_seconds(base_size)
-    rows = df.where(F.col(value).isNotNull())
-    base = rows.groupBy(*keys, floor_time(time, base_size).alias("window_start")).agg(
-        F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.sum(value).alias("_s"), F.count(value).alias("_n")
+    per_size = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(duration_seconds(size)).cast("bigint").alias("secs")) for label, size in sizes])
+    x = df.where(F.col(value).isNotNull()).select(*keys, time, value, F.explode(per_size).alias("_sz"))
+    agg = x.groupBy(
+        *keys,
+        F.col("_sz.label").alias("window_size"),
+        F.col("_sz.secs").alias("_secs"),
+        floor_time(time, F.col("_sz.secs")).alias("window_start"),
+    ).agg(F.min(value).alias(mn), F.max(value).alias(mx), F.avg(value).alias(av))
+    return agg.select(
+        *keys,
+        "window_size",
+        "window_start",
+        (F.col("window_start") + F.make_dt_interval(secs=F.col("_secs").cast("decimal(18,6)"))).alias("window_end"),
+        mn,
+        mx,
+        av,
     )
-    parts = []
-    for label, size in sizes:
-        s = duration_seconds(size)
-        if s == base_s:
-            agg = base
-        elif s % base_s == 0:
-            agg = base.groupBy(*keys, floor_time("window_start", size).alias("window_start")).agg(
-                F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"), F.sum("_s").alias("_s"), F.sum("_n").alias("_n")
-            )
-        else:
-            agg = rows.groupBy(*keys, floor_time(time, size).alias("window_start")).agg(
-                F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.sum(value).alias("_s"), F.count(value).alias("_n")
-            )
-        parts.append(
-            agg.select(
-                *keys,
-                F.lit(label).alias("window_size"),
-                "window_start",
-                (F.col("window_start") + F.make_dt_interval(secs=F.lit(s).cast("decimal(18,6)"))).alias("window_end"),
-                F.col("_mn").alias(mn),
-                F.col("_mx").alias(mx),
-                (F.col("_s") / F.col("_n")).alias(av),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

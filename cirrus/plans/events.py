@@ -216,11 +216,22 @@ def serve_deviation(spark, sf_dir):
 
 
 def serve_ranking(spark, sf_dir, list_name: str = "hottest"):
-    s = top_extremes(spark, sf_dir)
-    latest = s.agg(F.max("window_end").alias("_latest"))
+    """S06 (the ranking of the latest window).  The window with the latest
+    end starts at the pane (slide) of the last reading, and its ranking
+    depends only on readings inside it: that start is a scalar subquery
+    evaluated first and applied at the scan, so only the last pane's rows are
+    aggregated and ranked."""
+    from cirrus.functions.timeops import floor_time
+
+    ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
+    latest = ev.select(floor_time(F.max(TIME), "1 hour").alias("s"))
+    start = latest.scalar()
+    end = latest.select((F.col("s") + F.make_dt_interval(hours=F.lit(24))).alias("e")).scalar()
+    recent = ev.where(F.col(TIME) >= start)
+    w = sliding_agg(recent, KEY, TIME, "24 hours", "1 hour", [("_hi", "max", VALUE), ("_lo", "min", VALUE)])
+    s = top_n_both_ends(w.where(F.col("window_end") == end), KEY, "_hi", "_lo", 10, "value")
     return (
         s.where(F.col("list_name") == list_name)
-        .join(latest, F.col("window_end") == F.col("_latest"))
         .select(
             F.concat(F.col("rank_position").cast("string"), F.lit(". "), _label(KEY)).alias("label"),
             "value",
