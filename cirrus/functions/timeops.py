@@ -7,6 +7,8 @@ microseconds, which is exact and zone-independent for both types.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,20 +40,25 @@ def seconds_between(start: Column | str, end: Column | str) -> Column:
     return micros_between(start, end) / F.lit(float(MICROS_PER_SECOND))
 
 
-def epoch_micros(time: Column | str) -> Column:
-    """Microseconds since 1970-01-01 00:00 (UTC wall clock) of a timestamp or
-    timestamp_ntz value."""
-    return F.timestamp_diff("MICROSECOND", F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")), _c(time))
-
-
 def floor_time(time: Column | str, every: str | Column) -> Column:
     """Start of the epoch-aligned bucket of length ``every`` holding ``time``
-    (same type as ``time``).  Plain arithmetic rather than ``window()``, so
-    several buckets (or a per-row bucket length, in seconds) can be computed
-    in one projection."""
+    (same type as ``time``).
+
+    A fixed length uses Spark's tumbling ``window()`` (fastest; one per
+    projection, rows with a null time are dropped by it).  A per-row length
+    (Column of seconds) uses ``floor_time_expr``."""
+    if isinstance(every, str):
+        return F.window(_c(time), every).start
+    return floor_time_expr(time, every)
+
+
+def floor_time_expr(time: Column | str, every: str | Column) -> Column:
+    """``floor_time`` as plain arithmetic: usable several times in one
+    projection, on aggregate results, or with a per-row length in seconds.
+    A timestamp_ntz value is read as UTC wall-clock time."""
     step_us = F.lit(duration_seconds(every) * MICROS_PER_SECOND) if isinstance(every, str) else every.cast("bigint") * F.lit(MICROS_PER_SECOND)
-    rem = F.pmod(epoch_micros(time), step_us)
-    return _c(time) - F.make_dt_interval(secs=(rem.cast("decimal(20,0)") / F.lit(MICROS_PER_SECOND)).cast("decimal(18,6)"))
+    rem = F.pmod(F.unix_micros(_c(time).cast("timestamp")), step_us)
+    return _c(time) - F.lit(timedelta(microseconds=1)) * rem
 
 
 def shift_seconds(time: Column | str, seconds: Column | int) -> Column:

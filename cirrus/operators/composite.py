@@ -55,7 +55,7 @@ def composite_event(
     alert: str = "storm_event",
     tiebreak: Sequence[str] = (),
     names: tuple[str, str] = ("max_drop_per_hour", "max_level"),
-    strategy: str = "panes",
+    strategy: str = "auto",
     bucket: str = DEFAULT_BUCKET,
 ) -> DataFrame:
     drops = rate_drops(df, key, time, falling, level, tiebreak, bucket)

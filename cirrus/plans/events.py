@@ -60,7 +60,7 @@ def interval_stats(spark, sf_dir, strategy: str = "rollup"):
     return out.withColumn("avg_value", _r("avg_value"))
 
 
-def predicate_count(spark, sf_dir, strategy: str = "panes"):
+def predicate_count(spark, sf_dir, strategy: str = "auto"):
     ev = _events(spark, sf_dir)
     bad = F.when(F.coalesce(F.col("event_type") == BAD_EVENT_TYPE, F.lit(False)), 1).otherwise(0)
     return sliding_agg(ev.withColumn("_bad", bad), KEY, TIME, "1 hour", "10 minutes", [("bad_count", "sum", "_bad")], strategy).withColumn(
@@ -72,6 +72,19 @@ def predicate_count_expand(spark, sf_dir):
     return predicate_count(spark, sf_dir, strategy="expand")
 
 
+def predicate_count_panes(spark, sf_dir):
+    """The same query on the pane pre-aggregation path."""
+    return predicate_count(spark, sf_dir, strategy="panes")
+
+
+def baseline_deviation_panes(spark, sf_dir):
+    """UC05 (24 h / 1 h) on the pane pre-aggregation path."""
+    ev = _events(spark, sf_dir)
+    w = _rolling_avg(ev, "24 hours", "1 hour", strategy="panes")
+    base = formula_baseline(F.col(KEY).cast("string"))
+    return w.select(KEY, "window_start", "window_end", _r(F.col("avg_value") - base).alias("deviation"))
+
+
 def rate_change(spark, sf_dir):
     ev = _events(spark, sf_dir)
     out = rate_of_change(ev, KEY, TIME, VALUE, TIEBREAK)
@@ -82,7 +95,7 @@ def gaps(spark, sf_dir):
     return gap_status(_events(spark, sf_dir), KEY, TIME, TIEBREAK, "1 hour")
 
 
-def _rolling_avg(ev: DataFrame, size: str, slide: str, strategy: str = "panes") -> DataFrame:
+def _rolling_avg(ev: DataFrame, size: str, slide: str, strategy: str = "auto") -> DataFrame:
     return sliding_agg(ev.where(F.col(VALUE).isNotNull()), KEY, TIME, size, slide, [("avg_value", "avg", VALUE)], strategy)
 
 
@@ -147,7 +160,7 @@ def low_periods(spark, sf_dir):
     return threshold_periods(_events(spark, sf_dir), KEY, TIME, VALUE, PERIOD_THRESHOLD, TIEBREAK)
 
 
-def composite_alerts(spark, sf_dir, strategy: str = "panes"):
+def composite_alerts(spark, sf_dir, strategy: str = "auto"):
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
     out = composite_event(
         ev, KEY, TIME, F.col(VALUE), F.col(VALUE), DROP_THRESHOLD, LEVEL_THRESHOLD, "60 minutes", "10 minutes",
@@ -221,10 +234,10 @@ def serve_ranking(spark, sf_dir, list_name: str = "hottest"):
     depends only on readings inside it: that start is a scalar subquery
     evaluated first and applied at the scan, so only the last pane's rows are
     aggregated and ranked."""
-    from cirrus.functions.timeops import floor_time
+    from cirrus.functions.timeops import floor_time_expr
 
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
-    latest = ev.select(floor_time(F.max(TIME), "1 hour").alias("s"))
+    latest = ev.select(floor_time_expr(F.max(TIME), "1 hour").alias("s"))
     start = latest.scalar()
     end = latest.select((F.col("s") + F.make_dt_interval(hours=F.lit(24))).alias("e")).scalar()
     recent = ev.where(F.col(TIME) >= start)
@@ -285,10 +298,12 @@ QUERIES = {
     "interval_stats": interval_stats,
     "predicate_count": predicate_count,
     "predicate_count_expand": predicate_count_expand,
+    "predicate_count_panes": predicate_count_panes,
     "rate_change": rate_change,
     "gap_status": gaps,
     "baseline_deviation": baseline_deviation,
     "baseline_deviation_table": baseline_deviation_table,
+    "baseline_deviation_panes": baseline_deviation_panes,
     "top_extremes": top_extremes,
     "moving_trend": moving_trend,
     "booking_alerts": booking_alerts,

@@ -229,10 +229,12 @@ ORACLE = {
     "interval_stats": INTERVAL_STATS,
     "predicate_count": PREDICATE_COUNT,
     "predicate_count_expand": PREDICATE_COUNT,
+    "predicate_count_panes": PREDICATE_COUNT,
     "rate_change": RATE_CHANGE,
     "gap_status": GAP_STATUS,
     "baseline_deviation": BASELINE_DEVIATION,
     "baseline_deviation_table": BASELINE_DEVIATION_TABLE,
+    "baseline_deviation_panes": BASELINE_DEVIATION,
     "top_extremes": TOP_EXTREMES,
     "moving_trend": MOVING_TREND,
     "booking_alerts": BOOKING_ALERTS,

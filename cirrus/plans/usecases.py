@@ -43,7 +43,7 @@ def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24
     return tumbling_stats(_temps(readings), K, T, "temp_c", sizes, ("min_temp_c", "max_temp_c", "avg_temp_c"))
 
 
-def data_quality(readings: DataFrame, size: str = "1 hour", slide: str = "10 minutes", bad=None, strategy: str = "panes") -> DataFrame:
+def data_quality(readings: DataFrame, size: str = "1 hour", slide: str = "10 minutes", bad=None, strategy: str = "auto") -> DataFrame:
     """UC02: readings without a valid temperature per sliding window (zero
     counts kept)."""
     bad = bad if bad is not None else ~F.coalesce(F.col("temperature.is_valid"), F.lit(False))
@@ -64,7 +64,7 @@ def data_gaps(readings: DataFrame, max_gap: str = "1 hour") -> DataFrame:
     return gap_status(readings.select(K, T, *arrival_order(readings)), K, T, arrival_order(readings), max_gap)
 
 
-def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: str = "1 hour", baseline: DataFrame | None = None, strategy: str = "panes") -> DataFrame:
+def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: str = "1 hour", baseline: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """UC05: rolling average minus the station's historical baseline: the
     built-in formula, or a table (station, baseline) joined in."""
     w = sliding_agg(_temps(readings), K, T, size, slide, [("avg_temp_c", "avg", "temp_c")], strategy)
@@ -74,14 +74,14 @@ def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: st
     return w.join(b, K, "left").select(K, "window_start", "window_end", (F.col("avg_temp_c") - F.col("_base")).alias("deviation_c"))
 
 
-def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours", slide: str = "1 hour", strategy: str = "panes") -> DataFrame:
+def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours", slide: str = "1 hour", strategy: str = "auto") -> DataFrame:
     """UC06: per window, the n hottest stations (by max) and the n coldest
     (by min), ties by station."""
     w = sliding_agg(_temps(readings), K, T, size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")], strategy)
     return top_n_both_ends(w, K, "_hi", "_lo", n, "temp_c")
 
 
-def climate_trend(readings: DataFrame, size: str = "30 days", slide: str = "10 days", strategy: str = "panes") -> DataFrame:
+def climate_trend(readings: DataFrame, size: str = "30 days", slide: str = "10 days", strategy: str = "auto") -> DataFrame:
     """UC07: moving average and its direction against the previous window."""
     w = sliding_agg(_temps(readings), K, T, size, slide, [("avg_temp_c", "avg", "temp_c")], strategy)
     return trend(w, K, "window_start", "avg_temp_c").select(K, "window_start", "window_end", "avg_temp_c", "trend_direction")
@@ -121,7 +121,7 @@ def storm_readings(readings: DataFrame) -> DataFrame:
     )
 
 
-def storm_warning(readings: DataFrame, size: str = "60 minutes", slide: str = "10 minutes", strategy: str = "panes") -> DataFrame:
+def storm_warning(readings: DataFrame, size: str = "60 minutes", slide: str = "10 minutes", strategy: str = "auto") -> DataFrame:
     """UC10: falling pressure and strong wind within one sliding window."""
     x = storm_readings(readings)
     out = composite_event(
