@@ -14,10 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.functions import noaa
+from cirrus.functions import rawformat as fmt
 from cirrus.functions.timeops import to_event_time
 
-_CSV_SCHEMA = ", ".join(f"`{c}` STRING" for c in noaa.RAW_COLUMNS)
+_CSV_SCHEMA = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)
 _CSV_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
 # a quoted field, with doubled quotes inside
 _QUOTED = r'"([^"]|"")*"'
@@ -36,7 +36,7 @@ def parse_fields(df: DataFrame, line: str = "raw_line") -> DataFrame:
     parsed = df.select("*", F.from_csv(text, _CSV_SCHEMA, _CSV_OPTIONS).alias("_csv"), n.alias("_n"))
     fields = [
         F.when(F.lit(i) < F.col("_n"), F.coalesce(F.col("_csv").getField(c), F.lit(""))).alias(f"_f_{c}")
-        for i, c in enumerate(noaa.RAW_COLUMNS)
+        for i, c in enumerate(fmt.RAW_COLUMNS)
     ]
     # event time straight from the parsed DATE (missing and empty both give
     # null), so a filter on it pushed below this projection needs no comma count
@@ -56,28 +56,28 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     f = lambda c: F.col(f"_f_{c}")
     compound = {"WND": "_p_wnd", "CIG": "_p_cig", "VIS": "_p_vis", "TMP": "_p_tmp", "DEW": "_p_dew", "SLP": "_p_slp"}
     # split each compound field once; the struct builders below read the arrays
-    x = x.select("*", *[noaa.parts(f(c)).alias(a) for c, a in compound.items()])
-    n = F.least(F.col("_n"), F.lit(len(noaa.RAW_COLUMNS)))
-    names = F.array(*[F.lit(c.lower()) for c in noaa.RAW_COLUMNS])
-    values = F.array(*[f(c) for c in noaa.RAW_COLUMNS])
+    x = x.select("*", *[fmt.parts(f(c)).alias(a) for c, a in compound.items()])
+    n = F.least(F.col("_n"), F.lit(len(fmt.RAW_COLUMNS)))
+    names = F.array(*[F.lit(c.lower()) for c in fmt.RAW_COLUMNS])
+    values = F.array(*[f(c) for c in fmt.RAW_COLUMNS])
     reading = x.select(
         F.col(line).alias("_line"),
         f("STATION").alias("station"),
         f("DATE").alias("date"),
         f("SOURCE").alias("source"),
-        noaa.number(F.coalesce(f("LATITUDE"), F.lit(""))).alias("latitude"),
-        noaa.number(F.coalesce(f("LONGITUDE"), F.lit(""))).alias("longitude"),
-        noaa.number(F.coalesce(f("ELEVATION"), F.lit(""))).alias("elevation"),
+        fmt.number(F.coalesce(f("LATITUDE"), F.lit(""))).alias("latitude"),
+        fmt.number(F.coalesce(f("LONGITUDE"), F.lit(""))).alias("longitude"),
+        fmt.number(F.coalesce(f("ELEVATION"), F.lit(""))).alias("elevation"),
         f("NAME").alias("name"),
         f("REPORT_TYPE").alias("report_type"),
         f("CALL_SIGN").alias("call_sign"),
         f("QUALITY_CONTROL").alias("quality_control"),
-        noaa.wind(F.col("_p_wnd")).alias("wind"),
-        noaa.ceiling(F.col("_p_cig")).alias("ceiling"),
-        noaa.visibility(F.col("_p_vis")).alias("visibility"),
-        noaa.temperature(F.col("_p_tmp")).alias("temperature"),
-        noaa.temperature(F.col("_p_dew")).alias("dew_point"),
-        noaa.pressure(F.col("_p_slp")).alias("sea_level_pressure"),
+        fmt.wind(F.col("_p_wnd")).alias("wind"),
+        fmt.ceiling(F.col("_p_cig")).alias("ceiling"),
+        fmt.visibility(F.col("_p_vis")).alias("visibility"),
+        fmt.temperature(F.col("_p_tmp")).alias("temperature"),
+        fmt.temperature(F.col("_p_dew")).alias("dew_point"),
+        fmt.pressure(F.col("_p_slp")).alias("sea_level_pressure"),
         # The columns present on the line (the first n), lower-cased name -> raw text
         F.map_from_arrays(F.slice(names, 1, n), F.slice(values, 1, n)).alias("columns"),
         "source_file",

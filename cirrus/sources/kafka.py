@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Default topic names of the raw-line and readings streams.
 RAW_TOPIC = "noaa.raw"
 READINGS_TOPIC = "weather.readings"
 

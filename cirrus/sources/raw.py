@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cirrus.functions import noaa
+from cirrus.functions import rawformat as fmt
 
 
 def raw_glob(data_dir: str, year: str | None = None, station: str | None = None) -> str:
@@ -48,7 +48,7 @@ def read_raw(spark: SparkSession, data_dir: str, year: str | None = None, statio
 
 def supported_raw_line(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     """A2: keep the first 16 columns of each line, re-quoted minimally."""
-    schema = ", ".join(f"`{c}` STRING" for c in noaa.RAW_COLUMNS)
+    schema = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)
     parsed = F.from_csv(F.col(line), schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"'})
     return raw.withColumn(line, F.when(F.col(line) != "", F.to_csv(parsed, {"quote": '"', "escape": '"'})).otherwise(F.col(line)))
 
