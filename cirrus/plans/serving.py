@@ -10,6 +10,7 @@ under the result-table names of ``cirrus.schema.SINKS``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cirrus.schema import SINKS
 
@@ -49,8 +50,8 @@ SERVING_SQL = {
         FROM storm_warning WHERE {_range('window_end')} ORDER BY window_end DESC""",
 }
 
-# Display bands of the panels (value thresholds), kept with the queries.
-BANDS = {"s02": (0, 1, 5), "s03": (-2, 0, 2), "s10": (100,)}
+# Display bands of the panels (column, ascending thresholds).
+BANDS = {"s02": ("value", (0, 1, 5)), "s03": ("value", (-2, 0, 2)), "s10": ("max_wind_kmh", (100,))}
 
 
 def register_results(spark: SparkSession, results: dict[str, DataFrame]) -> None:
@@ -59,8 +60,17 @@ def register_results(spark: SparkSession, results: dict[str, DataFrame]) -> None
         df.createOrReplaceTempView(SINKS[uc].name)
 
 
-def serve(spark: SparkSession, query: str, t_from: str, t_to: str, window_size: str = "24h", list_name: str = "hottest") -> DataFrame:
+def serve(
+    spark: SparkSession, query: str, t_from: str, t_to: str, window_size: str = "24h", list_name: str = "hottest", bands: bool = False
+) -> DataFrame:
+    """Run serving query ``query``; with ``bands`` the panels that colour by
+    threshold get a ``band`` column: the number of thresholds the value reaches."""
     sql = SERVING_SQL[query]
     args = {"t_from": t_from, "t_to": t_to, "window_size": window_size, "list_name": list_name}
     used = {k: v for k, v in args.items() if f":{k}" in sql}
-    return spark.sql(sql, args=used)
+    df = spark.sql(sql, args=used)
+    if bands and query in BANDS:
+        col, steps = BANDS[query]
+        band = sum((F.when(F.col(col) >= F.lit(t), 1).otherwise(0) for t in steps), F.lit(0))
+        df = df.withColumn("band", band)
+    return df

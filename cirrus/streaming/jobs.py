@@ -77,9 +77,15 @@ def data_quality(readings: DataFrame, size="1 hour", slide="10 minutes"):
     return _unshift(out, "window_start", "window_end"), None
 
 
-def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour"):
+def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour", baseline: DataFrame | None = None):
+    """Rolling average minus the formula baseline, or minus a static baseline
+    table (station, baseline) joined to the closed windows (stream-static)."""
     w = _window_stats(U._temps(watermarked(readings)).select(K, T, "temp_c"), size, slide, [("avg_temp_c", "avg", "temp_c")])
-    out = w.select(K, "window_start", "window_end", (F.col("avg_temp_c") - formula_baseline(F.col(K))).alias("deviation_c"))
+    if baseline is None:
+        out = w.select(K, "window_start", "window_end", (F.col("avg_temp_c") - formula_baseline(F.col(K))).alias("deviation_c"))
+    else:
+        b = baseline.select(K, F.col(baseline.columns[1]).alias("_base"))
+        out = w.join(b, K, "left").select(K, "window_start", "window_end", (F.col("avg_temp_c") - F.col("_base")).alias("deviation_c"))
     return _unshift(out, "window_start", "window_end"), None
 
 

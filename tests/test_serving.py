@@ -29,3 +29,15 @@ def test_all_serving_queries(spark, readings_of):
     assert out["s10"][0].status == "storm_event"
     assert {x.alert_type for x in out["s08"]} == {"bad_conditions"}
     assert len(serve(spark, "s01", *RANGE, window_size="1h").collect()) > len(out["s01"])
+
+
+def test_bands(spark, readings_of):
+    r = readings_of([
+        reading("A", "1901-01-01T00:00:00", 5.0, wind=5.0, pressure=1015.0),
+        reading("A", "1901-01-01T00:30:00", 5.0, wind=30.0, pressure=1011.0),
+        reading("A", "1901-01-01T00:10:00", 5.0, temp_quality="3"),
+    ])
+    register_results(spark, {"uc02": U.data_quality(r), "uc10": U.storm_warning(r)})
+    q = serve(spark, "s02", *RANGE, bands=True).collect()
+    assert {(x.value, x.band) for x in q} >= {(1, 2), (0, 1)}
+    assert {x.band for x in serve(spark, "s10", *RANGE, bands=True).collect()} == {1}  # 108 km/h >= 100
