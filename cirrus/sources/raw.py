@@ -2,19 +2,33 @@
 line per file, one reading per physical line.
 
 ``read_raw`` yields (source_file, row_number, raw_line) with the header
-dropped and file line numbers (the first data line is 2).  Line numbers are
-computed without putting a file into one task: each file split counts its
-lines (a tiny aggregate), a running sum over a file's splits gives each
-split's first line number, and each line adds its position in its split.
+dropped and file line numbers (the first data line is 2), without shuffling
+the lines:
+
+* each line's position inside its file split is counted in scan order, per
+  scan partition (``mapInPandas`` over Arrow batches, right on the scan: the
+  lines of a split arrive contiguous and in file order);
+* a file read as one split (the usual case: station-year files are a few MB,
+  and files below ``min(maxPartitionBytes, openCostInBytes)`` are never split)
+  needs nothing more: line number = position + 1;
+* only lines of files spanning several splits need the number of lines in
+  the earlier splits: a count per split of those files (a second scan pruned
+  to large files by ``_metadata.file_size``, partially aggregated), a running
+  sum over a file's splits, joined back to those lines only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cirrus.functions import rawformat as fmt
 
+_SCAN_SCHEMA = "source_file string, _split bigint, _len bigint, _size bigint, raw_line string, _pos bigint"
+
 
 def raw_glob(data_dir: str, year: str | None = None, station: str | None = None) -> str:
     y = year or "*"
@@ -24,28 +38,72 @@ def raw_glob(data_dir: str, year: str | None = None, station: str | None = None)
     return f"{data_dir.rstrip('/')}/{y}/{s}"
 
 
-def read_raw(spark: SparkSession, data_dir: str, year: str | None = None, station: str | None = None) -> DataFrame:
-    lines = spark.read.text(raw_glob(data_dir, year, station)).select(
+def _positions_in_split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """0-based position of each line inside its (file, split), for one scan
+    partition; a split may continue across Arrow batches."""
+    last = None  # (file, split) of the previous batch's last line
+    carry = 0  # lines of that split already seen
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        f, sp = pdf["source_file"], pdf["_split"]
+        starts = (f != f.shift()) | (sp != sp.shift())
+        continues = last == (f.iloc[0], int(sp.iloc[0]))
+        starts.iloc[0] = not continues
+        run = starts.cumsum()
+        pos = pdf.groupby(run).cumcount().astype("int64")
+        if continues:
+            pos[run == 0] += carry
+        last, carry = (f.iloc[-1], int(sp.iloc[-1])), int(pos.iloc[-1]) + 1
+        yield pdf.assign(_pos=pos)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_split"),
-        F.monotonically_increasing_id().alias("_id"),
+        F.col("_metadata.file_block_length").alias("_len"),
+        F.col("_metadata.file_size").alias("_size"),
         F.col("value").alias("raw_line"),
     )
+
+
+def read_raw(spark: SparkSession, data_dir: str, year: str | None = None, station: str | None = None) -> DataFrame:
+    path = raw_glob(data_dir, year, station)
+    numbered = _lines(spark, path).mapInPandas(_positions_in_split, _SCAN_SCHEMA)
+    whole = numbered.where(F.col("_len") >= F.col("_size")).select(
+        "source_file", (F.col("_pos") + F.lit(1)).alias("row_number"), "raw_line"
+    )
+    # files never split: at most min(maxPartitionBytes, openCostInBytes) bytes
+    never_split = min(
+        _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")),
+        _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m")),
+    )
     earlier = Window.partitionBy("source_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy("source_file", "_split")
-        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
+    offsets = (
+        _lines(spark, path)
+        .where((F.col("_size") > F.lit(never_split)) & (F.col("_len") < F.col("_size")))
+        .groupBy("source_file", "_split")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("source_file", "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
-    numbered = lines.join(splits, ["source_file", "_split"]).withColumn(
-        "row_number", F.col("_before") + (F.col("_id") - F.col("_first")) + F.lit(1)
+    split = (
+        numbered.where(F.col("_len") < F.col("_size"))
+        .join(offsets, ["source_file", "_split"])
+        .select("source_file", (F.col("_before") + F.col("_pos") + F.lit(1)).alias("row_number"), "raw_line")
     )
-    return numbered.where(F.col("row_number") > 1).select(
+    out = whole.unionByName(split)
+    return out.where(F.col("row_number") > 1).select(
         "source_file", F.col("row_number").cast("bigint").alias("row_number"), F.regexp_replace("raw_line", "\r$", "").alias("raw_line")
     )
 
 
+def _bytes(text: str) -> int:
+    t = str(text).strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(t[:-1]) * mult[t[-1]]) if t and t[-1] in mult else int(t)
+
+
 def supported_raw_line(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     """A2: keep the first 16 columns of each line, re-quoted minimally."""
     schema = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)

@@ -50,3 +50,20 @@ def test_supported_line_drops_surplus_columns(spark, tmp_path):
     r = readings.orderBy("row_number").collect()
     assert [x.row_number for x in r] == [2, 3, 4]
     assert r[0].name == "N, X" and len(r[0].columns) == 16
+
+
+def test_line_numbers_with_small_arrow_batches(spark, tmp_path):
+    _write(tmp_path, "1901", "A", 50)
+    _write(tmp_path, "1901", "B", 3)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # splits continue across batches
+    try:
+        rows = read_raw(spark, str(tmp_path / "data")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    a = sorted(r.row_number for r in rows if r.source_file.endswith("A.csv"))
+    assert a == list(range(2, 52))
+    assert sorted(r.row_number for r in rows if r.source_file.endswith("B.csv")) == [2, 3, 4]
+    for r in rows:
+        if r.source_file.endswith("A.csv"):
+            assert f",{r.row_number - 2:04d},1" in r.raw_line
