@@ -188,9 +188,20 @@ STREAM_JOBS = {
 }
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+KEYED_STATE_JOBS = {"uc03", "uc04", "uc07", "uc09", "uc10"}
+
+
 def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, name: str | None = None, trigger: dict | None = None, **kwargs):
     """Start the streaming job ``uc`` appending to the keyed result table at
-    ``table_path``; its checkpoint lives under ``spark.checkpoint.dir``."""
+    ``table_path``; its checkpoint lives under ``spark.checkpoint.dir``.
+    Keyed-state jobs need a state store with column families (RocksDB); it is
+    set when the session names no provider."""
+    if uc in KEYED_STATE_JOBS and not spark.conf.get(STATE_PROVIDER, "").endswith("RocksDBStateStoreProvider"):
+        default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+        if spark.conf.get(STATE_PROVIDER, default) == default:
+            spark.conf.set(STATE_PROVIDER, ROCKSDB)
     stream, transform = STREAM_JOBS[uc](readings, **kwargs)
     writer = (
         stream.writeStream.outputMode("append")
