@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.functions.timeops import seconds_between
-from cirrus.operators.sequence import DEFAULT_BUCKET, previous_row
+from cirrus.operators.sequence import DEFAULT_BUCKET, DEFAULT_MAX_ROWS_PER_BUCKET, previous_row
 from cirrus.operators.windows import sliding_agg
 
 
@@ -30,9 +30,10 @@ def rate_drops(
     level: Column,
     tiebreak: Sequence[str] = (),
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     x = df.select(key, time, *tiebreak, falling.alias("_f"), level.alias("_lvl"))
-    x = previous_row(x, key, time, ["_f"], tiebreak, "_prev", bucket)
+    x = previous_row(x, key, time, ["_f"], tiebreak, "_prev", bucket, max_rows_per_bucket)
     sec = seconds_between(F.col("_prev").getField(time), F.col(time))
     return x.where(sec > 0).select(
         key,
@@ -57,8 +58,9 @@ def composite_event(
     names: tuple[str, str] = ("max_drop_per_hour", "max_level"),
     strategy: str = "auto",
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
-    drops = rate_drops(df, key, time, falling, level, tiebreak, bucket)
+    drops = rate_drops(df, key, time, falling, level, tiebreak, bucket, max_rows_per_bucket)
     d, lv = names
     w = sliding_agg(drops, key, time, size, slide, [(d, "max", "drop_per_hour"), (lv, "max", "level")], strategy)
     return w.where((F.col(d) > F.lit(drop_threshold)) & (F.col(lv) > F.lit(level_threshold))).withColumn(

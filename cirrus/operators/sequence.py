@@ -29,13 +29,45 @@ from pyspark.sql import functions as F
 from cirrus.functions.timeops import MICROS_PER_HOUR, floor_time, micros_between, seconds_between
 
 BUCKET_COL = "_seq_bucket"
+SUB_COL = "_seq_sub"
 DEFAULT_BUCKET = "1 day"
+# A (key, bucket) group above this many rows is split into ordered
+# sub-buckets of about this size.
+DEFAULT_MAX_ROWS_PER_BUCKET = 4_000_000
+# The table of oversized groups is broadcast only up to this many rows
+# (it holds at most total rows / max rows per bucket entries).
+HOT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _split_hot_buckets(base: DataFrame, keys: list[str], time: str, tiebreak: Sequence[str], max_rows: int) -> DataFrame:
+    """Add ``SUB_COL``: 0 for ordinary (key, bucket) groups; for groups above
+    ``max_rows`` rows, an ordered sub-bucket from a range partitioning of
+    those rows only on (key, time, tiebreak), so ties in time are split too.
+    The group sizes come from a partial aggregate run once, at plan time."""
+    counts = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"))
+    oversized = counts.where(F.col("_seq_cnt") > F.lit(max_rows))
+    stats = oversized.agg(F.count(F.lit(1)).alias("groups"), F.sum("_seq_cnt").alias("rows")).first()
+    if not stats or not stats["groups"]:
+        return base.withColumn(SUB_COL, F.lit(0))
+    hot = oversized.select(*keys, BUCKET_COL, F.lit(True).alias("_seq_hot"))
+    hot_rows = stats["rows"]
+    small = stats["groups"] <= HOT_BROADCAST_MAX_ROWS
+    flagged = base.join(F.broadcast(hot) if small else hot, [*keys, BUCKET_COL], "left")
+    cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0))
+    parts = max(2, -(-int(hot_rows) // max_rows))
+    split = (
+        flagged.where(F.col("_seq_hot"))
+        .drop("_seq_hot")
+        .repartitionByRange(parts, *keys, time, *tiebreak)
+        .withColumn(SUB_COL, F.spark_partition_id() + F.lit(1))
+    )
+    return cold.unionByName(split)
+
+
 def prior_agg(
     df: DataFrame,
     key: str | Sequence[str],
@@ -45,6 +77,7 @@ def prior_agg(
     out: str,
     how: str = "max",
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add ``out`` = aggregate of ``value`` over the strictly earlier rows of
     the same key in (time, *tiebreak) order; ``how`` is ``max`` or ``sum``.
@@ -56,25 +89,32 @@ def prior_agg(
     touches one row per bucket.  The carry is joined back on (key, bucket):
     Spark broadcasts it when the estimate is small, otherwise the join reuses
     the rows' (key, bucket) partitioning and only the carry is shuffled.
+    Oversized (key, bucket) groups are split first (``_split_hot_buckets``);
+    ``max_rows_per_bucket=None`` skips that check.
     """
     keys = _keys(key)
     agg = {"max": F.max, "sum": F.sum}[how]
     order = [F.col(time), *[F.col(c) for c in tiebreak]]
     base = df.withColumn(BUCKET_COL, floor_time(time, bucket)).withColumn("_seq_v", value)
-    before = Window.partitionBy(*keys, BUCKET_COL).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    if max_rows_per_bucket:
+        base = _split_hot_buckets(base, keys, time, tiebreak, max_rows_per_bucket)
+    else:
+        base = base.withColumn(SUB_COL, F.lit(0))
+    group = [*keys, BUCKET_COL, SUB_COL]
+    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = base.withColumn("_seq_in", agg("_seq_v").over(before))
-    earlier_buckets = Window.partitionBy(*keys).orderBy(BUCKET_COL).rowsBetween(Window.unboundedPreceding, -1)
+    earlier_buckets = Window.partitionBy(*keys).orderBy(BUCKET_COL, SUB_COL).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        base.groupBy(*keys, BUCKET_COL)
+        base.groupBy(*group)
         .agg(agg("_seq_v").alias("_seq_b"))
-        .select(*keys, BUCKET_COL, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
+        .select(*group, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
     )
-    joined = rows.join(carry, [*keys, BUCKET_COL], "left")
+    joined = rows.join(carry, group, "left")
     if how == "max":
         combined = F.coalesce(F.col("_seq_in"), F.col("_seq_carry"))
     else:
         combined = F.coalesce(F.col("_seq_in"), F.lit(0)) + F.coalesce(F.col("_seq_carry"), F.lit(0))
-    return joined.withColumn(out, combined).drop("_seq_v", "_seq_in", "_seq_carry", BUCKET_COL)
+    return joined.withColumn(out, combined).drop("_seq_v", "_seq_in", "_seq_carry", BUCKET_COL, SUB_COL)
 
 
 def previous_row(
@@ -85,11 +125,12 @@ def previous_row(
     tiebreak: Sequence[str] = (),
     out: str = "prev",
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Add ``out``: struct(time, *tiebreak, *fields) of the previous row of the key."""
     names = [time, *tiebreak, *[f for f in fields if f not in (time, *tiebreak)]]
     value = F.struct(*[F.col(n).alias(n) for n in names])
-    return prior_agg(df, key, time, tiebreak, value, out, "max", bucket)
+    return prior_agg(df, key, time, tiebreak, value, out, "max", bucket, max_rows_per_bucket)
 
 
 def rate_of_change(
@@ -101,12 +142,13 @@ def rate_of_change(
     out: str = "change_per_hour",
     per_seconds: float = 3600.0,
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """K1: (value - previous value) * per_seconds / elapsed seconds, for rows
     whose predecessor is strictly earlier; the first row of a key emits
     nothing.  Rows with a null value are ignored (not state-updating)."""
     x = df.where(F.col(value).isNotNull()).select(key, time, *tiebreak, value)
-    x = previous_row(x, key, time, [value], tiebreak, "_prev", bucket)
+    x = previous_row(x, key, time, [value], tiebreak, "_prev", bucket, max_rows_per_bucket)
     sec = seconds_between(F.col("_prev").getField(time), F.col(time))
     return x.where(sec > 0).select(
         key,
@@ -122,6 +164,7 @@ def gap_status(
     tiebreak: Sequence[str] = (),
     max_gap: str = "1 hour",
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """K2: one row per consecutive pair of readings of a key:
     (interval_start, interval_end, 'complete' if the gap <= max_gap else 'incomplete')."""
@@ -129,7 +172,7 @@ def gap_status(
 
     limit = duration_seconds(max_gap) * 1_000_000
     x = df.select(key, time, *tiebreak)
-    x = previous_row(x, key, time, [], tiebreak, "_prev", bucket)
+    x = previous_row(x, key, time, [], tiebreak, "_prev", bucket, max_rows_per_bucket)
     start = F.col("_prev").getField(time)
     return x.where(F.col("_prev").isNotNull()).select(
         key,
@@ -149,6 +192,7 @@ def threshold_periods(
     threshold: float,
     tiebreak: Sequence[str] = (),
     bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
 ) -> DataFrame:
     """K4: periods where ``value < threshold``.  A period opens at the first
     low reading and closes at the next reading >= threshold; its duration is
@@ -159,7 +203,7 @@ def threshold_periods(
     the non-low row that closes it; the group-by is partially aggregated."""
     low = F.col(value) < F.lit(threshold)
     x = df.where(F.col(value).isNotNull()).select(key, time, *tiebreak, low.alias("_low"))
-    x = prior_agg(x, key, time, tiebreak, F.when(F.col("_low"), 0).otherwise(1), "_g", "sum", bucket)
+    x = prior_agg(x, key, time, tiebreak, F.when(F.col("_low"), 0).otherwise(1), "_g", "sum", bucket, max_rows_per_bucket)
     periods = x.groupBy(key, "_g").agg(
         F.min(F.when(F.col("_low"), F.col(time))).alias("period_start"),
         F.min(F.when(~F.col("_low"), F.col(time))).alias("period_end"),

@@ -38,3 +38,21 @@ def test_periods_independent_of_bucket(spark):
     base = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "30 days").collect())
     small = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "1 hour").collect())
     assert base == small and len(base) > 0
+
+
+def test_oversized_buckets_are_split_and_exact(spark):
+    """A hot key whose day buckets exceed the limit: the oversized groups are
+    range-split (ties in time included) and results stay exact."""
+    ev = _events(spark)
+    # also put many rows of the hot key on one identical timestamp
+    same = ev.where(F.col("user_id") == 0).limit(40).withColumn("ts", F.to_timestamp_ntz(F.lit("2024-01-10 12:00:00")))
+    ev = ev.unionByName(same.withColumn("event_id", F.col("event_id") + F.lit(1_000_000)))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = {r.event_id: r.p for r in ev.select("event_id", F.lag("event_id").over(w).alias("p")).collect()}
+    got = previous_row(ev, "user_id", "ts", ["value"], ["event_id"], "prev", "1 day", max_rows_per_bucket=5)
+    assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
+    res = {r.event_id: (r.prev.event_id if r.prev else None) for r in got.select("event_id", "prev").collect()}
+    assert res == want
+    base = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "1 day", None).collect())
+    split = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "1 day", 5).collect())
+    assert base == split
