@@ -61,27 +61,10 @@ def floor_time_expr(time: Column | str, every: str | Column) -> Column:
     return _c(time) - F.lit(timedelta(microseconds=1)) * rem
 
 
-def shift_seconds(time: Column | str, seconds: Column | int) -> Column:
-    secs = seconds if isinstance(seconds, Column) else F.lit(int(seconds))
-    return _c(time) + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
-
-
 def to_event_time(date: Column | str) -> Column:
     """``TO_TIMESTAMP(REPLACE(date, 'T', ' '))``; strict, null when unparsable."""
     return F.try_to_timestamp(F.replace(_c(date), F.lit("T"), F.lit(" ")), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
-def to_ntz(time: Column | str) -> Column:
-    return _c(time).cast("timestamp_ntz")
-
-
-def to_ltz(time: Column | str) -> Column:
-    return _c(time).cast("timestamp")
-
-
-def shift_epoch(df: DataFrame, time: str, days: int = EPOCH_SHIFT_DAYS) -> DataFrame:
-    return df.withColumn(time, F.col(time) + F.make_dt_interval(days=F.lit(days)))
-
-
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

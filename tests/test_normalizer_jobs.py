@@ -40,3 +40,21 @@ def test_batch_job_and_stream_agree(spark, tmp_path):
     assert s_dead.count() == 2
     b_readings, _ = normalize(supported_raw_line(read_raw(spark, str(tmp_path / "data"))))
     assert _flat(b_readings) == _flat(readings)
+
+
+def test_message_values_round_trip(spark):
+    """Readings -> JSON message values (sink side) -> parsed readings (source side)."""
+    from cirrus.plans.normalize import to_json_lines
+    from cirrus.sources.readings import parse_readings
+    from tests.test_normalize import DEMO
+
+    raw = spark.createDataFrame([(DEMO,), ("",)], "raw_line string")
+    readings, _ = normalize(raw)
+    values = to_json_lines(readings)
+    back = parse_readings(values).collect()
+    assert len(back) == 1
+    r = back[0]
+    assert r.station == "02907099999" and r.temperature.value_celsius == -7.8 and r.wind.speed_rate == 15.9
+    assert str(r.event_time) == "1901-01-01 06:00:00"
+    bad = spark.createDataFrame([("{not json",), ('{"station": "X"}',)], "value string")
+    assert parse_readings(bad).count() == 0  # no parsable date: not a reading
