@@ -1,7 +1,7 @@
 """Time helpers.
 
 Operators accept ``timestamp`` or ``timestamp_ntz`` time columns and keep the
-type they are given; durations are taken with ``timestampdiff`` in
+type they are given; durations are taken with ``timestamp_diff`` in
 microseconds, which is exact and zone-independent for both types.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS_PER_SECOND = 1_000_000

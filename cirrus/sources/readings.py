@@ -41,6 +41,14 @@ def read_readings(spark: SparkSession, path: str, stream: bool = False, max_file
     return with_event_time(df)
 
 
+def read_normalized_stream(spark: SparkSession, out: str) -> DataFrame:
+    """Stream the readings half of a normalisation output (parquet written by
+    ``run_normalizer`` or ``start_normalizer``), with ``event_time``."""
+    from cirrus.schema import NORMALIZED
+
+    return with_event_time(spark.readStream.schema(NORMALIZED).parquet(f"{out.rstrip('/')}/kind=reading"))
+
+
 def parse_readings(messages: DataFrame, value: str = "value") -> DataFrame:
     """Readings from message values (JSON strings), e.g. a Kafka topic."""
     doc: Column = F.from_json(F.col(value).cast("string"), READING, {"mode": "PERMISSIVE"})

@@ -58,3 +58,26 @@ def test_message_values_round_trip(spark):
     assert str(r.event_time) == "1901-01-01 06:00:00"
     bad = spark.createDataFrame([("{not json",), ('{"station": "X"}',)], "value string")
     assert parse_readings(bad).count() == 0  # no parsable date: not a reading
+
+
+def test_streaming_chain_raw_to_results(spark, tmp_path):
+    """raw events -> streaming normaliser -> readings stream -> keyed job -> result table."""
+    from cirrus.schema import SINKS
+    from cirrus.sources.readings import read_normalized_stream
+    from cirrus.sources.sinks import read_table
+    from cirrus.streaming.jobs import start
+
+    _write(tmp_path, "1901", "02907099999", 6)
+    raw = supported_raw_line(read_raw(spark, str(tmp_path / "data"))).collect()
+    src = tmp_path / "raw_events"
+    src.mkdir()
+    (src / "part-0.json").write_text("\n".join(json.dumps(r.asDict()) for r in raw))
+    norm_out, table = str(tmp_path / "norm"), str(tmp_path / "gaps")
+    q1 = start_normalizer(spark, spark.readStream.schema(RAW_EVENT).json(str(src)), norm_out, name=f"chain-n-{time.time_ns()}")
+    q1.processAllAvailable()
+    q2 = start(spark, "uc04", read_normalized_stream(spark, norm_out), table, name=f"chain-g-{time.time_ns()}")
+    q2.processAllAvailable()
+    q1.stop()
+    q2.stop()
+    rows = read_table(spark, SINKS["uc04"], table).collect()
+    assert len(rows) == 5 and {r.status for r in rows} == {"complete"}
