@@ -2,7 +2,7 @@
 
   python -m cirrus normalize --data-dir DIR --out OUT [--year Y] [--station S] [--max-records N]
   python -m cirrus analytics --normalized OUT | --readings JSON  --results RES [--only uc01,uc03]
-  python -m cirrus stream    --uc uc01 --readings JSON_DIR | --kafka SERVERS [--topic T]  --results RES
+  python -m cirrus stream    --uc uc01 --readings JSON_DIR | --normalized OUT | --kafka SERVERS [--topic T]  --results RES
   python -m cirrus serve     --results RES --query s01 --from TS --to TS [--window-size 24h] [--list-name hottest]
 
 Result tables live under RES/<table name>; batch runs rewrite them, streaming
@@ -59,6 +59,7 @@ def main(argv=None) -> None:
     s.add_argument("--uc", required=True, choices=sorted(SINKS))
     g = s.add_mutually_exclusive_group(required=True)
     g.add_argument("--readings")
+    g.add_argument("--normalized")
     g.add_argument("--kafka")
     s.add_argument("--topic", default="weather.readings")
     s.add_argument("--results", required=True)
@@ -88,10 +89,12 @@ def main(argv=None) -> None:
             write_table(df, SINKS[uc], os.path.join(args.results, SINKS[uc].name))
     elif args.cmd == "stream":
         from cirrus.sources.bookings import bookings_frame
-        from cirrus.sources.readings import parse_readings, read_readings
+        from cirrus.sources.readings import parse_readings, read_normalized_stream, read_readings
         from cirrus.streaming.jobs import start
 
-        if args.kafka:
+        if args.normalized:
+            readings = read_normalized_stream(spark, args.normalized)
+        elif args.kafka:
             from cirrus.sources.kafka import read_topic
 
             readings = parse_readings(read_topic(spark, args.kafka, args.topic))
