@@ -216,6 +216,17 @@ def threshold_periods(
     )
 
 
+EXACT_MEAN_TYPE = "decimal(38,12)"
+
+
+def exact(value: Column) -> Column:
+    """A reading as a decimal: sums of decimals are exact and independent of
+    the order in which distributed partial sums are merged, so windows with
+    the same readings get the same average, bit for bit (what an
+    order-sensitive comparison such as ``trend`` needs)."""
+    return value.cast(EXACT_MEAN_TYPE)
+
+
 def trend(
     windows: DataFrame,
     key: str,

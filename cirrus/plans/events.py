@@ -20,7 +20,7 @@ from cirrus.functions.labels import station_label
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.operators.rank import top_n_both_ends
-from cirrus.operators.sequence import gap_status, rate_of_change, threshold_periods, trend
+from cirrus.operators.sequence import exact, gap_status, rate_of_change, threshold_periods, trend
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.plans import normalize as norm
 from cirrus.session import use_utc
@@ -124,8 +124,8 @@ def top_extremes(spark, sf_dir):
 
 
 def moving_trend(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    w = _rolling_avg(ev, "30 days", "10 days")
+    ev = _events(spark, sf_dir).withColumn(VALUE, exact(F.col(VALUE)))
+    w = _rolling_avg(ev, "30 days", "10 days").withColumn("avg_value", F.col("avg_value").cast("double"))
     t = trend(w, KEY, "window_start", "avg_value")
     return t.select(KEY, "window_start", "window_end", _r("avg_value").alias("avg_value"), "trend_direction")
 

@@ -14,7 +14,7 @@ from cirrus.functions.baseline import formula_baseline
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.operators.rank import top_n_both_ends
-from cirrus.operators.sequence import gap_status, rate_of_change, threshold_periods, trend
+from cirrus.operators.sequence import exact, gap_status, rate_of_change, threshold_periods, trend
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.sources.readings import arrival_order
 
@@ -82,8 +82,11 @@ def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours
 
 
 def climate_trend(readings: DataFrame, size: str = "30 days", slide: str = "10 days", strategy: str = "auto") -> DataFrame:
-    """UC07: moving average and its direction against the previous window."""
-    w = sliding_agg(_temps(readings), K, T, size, slide, [("avg_temp_c", "avg", "temp_c")], strategy)
+    """UC07: moving average and its direction against the previous window
+    (averages summed exactly, see ``exact``)."""
+    x = _temps(readings).withColumn("temp_c", exact(F.col("temp_c")))
+    w = sliding_agg(x, K, T, size, slide, [("avg_temp_c", "avg", "temp_c")], strategy)
+    w = w.withColumn("avg_temp_c", F.col("avg_temp_c").cast("double"))
     return trend(w, K, "window_start", "avg_temp_c").select(K, "window_start", "window_end", "avg_temp_c", "trend_direction")
 
 

@@ -27,6 +27,7 @@ from cirrus.functions.baseline import formula_baseline
 from cirrus.functions.timeops import EPOCH_SHIFT_DAYS, MICROS_PER_HOUR, duration_seconds
 from cirrus.operators.rank import top_n_both_ends
 from cirrus.operators.windows import sliding_agg
+from cirrus.operators.sequence import exact
 from cirrus.plans import usecases as U
 from cirrus.schema import SINKS
 from cirrus.session import checkpoint_path
@@ -99,9 +100,10 @@ def temperature_rankings(readings: DataFrame, n: int = 10, size="24 hours", slid
 
 
 def climate_trend(readings: DataFrame, size="30 days", slide="10 days"):
-    w = _window_stats(U._temps(watermarked(readings)).select(K, T, "temp_c"), size, slide, [("avg", "avg", "temp_c")])
+    x = U._temps(watermarked(readings)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
+    w = _window_stats(x, size, slide, [("avg", "avg", "temp_c")])
     w = _unshift(w, "window_start", "window_end").select(
-        K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), "avg"
+        K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), F.col("avg").cast("double").alias("avg")
     )
     out = w.groupBy(K).transformWithState(
         TrendDirection(), "key string, start_us bigint, end_us bigint, avg double, trend string", "Append", "None"
