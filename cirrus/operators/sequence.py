@@ -14,9 +14,13 @@ associative aggregate (max or sum) over all earlier rows of its key.
    key count x time span / bucket width, not by row count) gets a running
    aggregate over the key's earlier buckets: the *carry*.
 3. Carry and in-bucket value are combined.
+4. A (key, bucket) group that is itself oversized (a burst) is first split
+   into ordered sub-buckets by range-partitioning its rows only, on (key,
+   time, tiebreak).  Spark's range partitioner samples deterministically, so
+   the row branch and the summary branch assign the same sub-bucket ids.
 
 The previous row is the prior max of ``struct(time, tiebreak..., fields...)``.
-Per-task work is bounded by the rows of one key inside one bucket.
+Per-task work is bounded by the rows of one key inside one (sub-)bucket.
 """
 
 from __future__ import annotations
