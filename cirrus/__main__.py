@@ -1,6 +1,7 @@
 """Command line: run the jobs.
 
   python -m cirrus normalize --data-dir DIR --out OUT [--year Y] [--station S] [--max-records N]
+  python -m cirrus normalize --kafka SERVERS [--topic noaa.raw] --out OUT        (streaming)
   python -m cirrus analytics --normalized OUT | --readings JSON  --results RES [--only uc01,uc03]
   python -m cirrus stream    --uc uc01 --readings JSON_DIR | --normalized OUT | --kafka SERVERS [--topic T]  --results RES
   python -m cirrus serve     --results RES --query s01 --from TS --to TS [--window-size 24h] [--list-name hottest]
@@ -44,7 +45,10 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="cirrus")
     sub = p.add_subparsers(dest="cmd", required=True)
     n = sub.add_parser("normalize")
-    n.add_argument("--data-dir", required=True)
+    g = n.add_mutually_exclusive_group(required=True)
+    g.add_argument("--data-dir")
+    g.add_argument("--kafka")
+    n.add_argument("--topic", default="noaa.raw")
     n.add_argument("--out", required=True)
     n.add_argument("--year")
     n.add_argument("--station")
@@ -73,7 +77,13 @@ def main(argv=None) -> None:
     args = p.parse_args(argv)
     spark = build_session(master=os.environ.get("CIRRUS_MASTER"))
 
-    if args.cmd == "normalize":
+    if args.cmd == "normalize" and args.kafka:
+        from cirrus.sources.kafka import raw_events, read_topic
+        from cirrus.streaming.jobs import start_normalizer
+
+        raw = raw_events(read_topic(spark, args.kafka, args.topic)).drop("_raw")
+        start_normalizer(spark, raw, args.out).awaitTermination()
+    elif args.cmd == "normalize":
         from cirrus.plans.normalize import run_normalizer
 
         run_normalizer(spark, args.data_dir, args.out, args.year, args.station, args.max_records)
