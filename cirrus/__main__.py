@@ -3,7 +3,7 @@
   python -m cirrus normalize --data-dir DIR --out OUT [--year Y] [--station S] [--max-records N]
   python -m cirrus normalize --kafka SERVERS [--topic noaa.raw] --out OUT        (streaming)
   python -m cirrus analytics --normalized OUT | --readings JSON  --results RES [--only uc01,uc03]
-  python -m cirrus stream    --uc uc01 --readings JSON_DIR | --normalized OUT | --kafka SERVERS [--topic T]  --results RES
+  python -m cirrus stream    --uc uc01|all --readings JSON_DIR | --normalized OUT | --kafka SERVERS [--topic T]  --results RES
   python -m cirrus serve     --results RES --query s01 --from TS --to TS [--window-size 24h] [--list-name hottest]
 
 Result tables live under RES/<table name>; batch runs rewrite them, streaming
@@ -60,7 +60,7 @@ def main(argv=None) -> None:
     a.add_argument("--results", required=True)
     a.add_argument("--only")
     s = sub.add_parser("stream")
-    s.add_argument("--uc", required=True, choices=sorted(SINKS))
+    s.add_argument("--uc", required=True, choices=sorted(SINKS) + ["all"])
     g = s.add_mutually_exclusive_group(required=True)
     g.add_argument("--readings")
     g.add_argument("--normalized")
@@ -110,6 +110,12 @@ def main(argv=None) -> None:
             readings = parse_readings(read_topic(spark, args.kafka, args.topic))
         else:
             readings = read_readings(spark, args.readings, stream=True)
+        if args.uc == "all":
+            from cirrus.streaming.jobs import start_all
+
+            start_all(spark, readings, args.results, bookings_frame(spark))
+            spark.streams.awaitAnyTermination()
+            return
         kwargs = {"bookings": bookings_frame(spark)} if args.uc == "uc08" else {}
         q = start(spark, args.uc, readings, os.path.join(args.results, SINKS[args.uc].name), **kwargs)
         q.awaitTermination()

@@ -233,3 +233,14 @@ def start_normalizer(spark: SparkSession, raw_events: DataFrame, out: str, name:
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def start_all(spark: SparkSession, readings: DataFrame, results_root: str, bookings: DataFrame, prefix: str = "stream", trigger: dict | None = None):
+    """All ten jobs as concurrent streaming queries of one application, each
+    appending to ``<results_root>/<table>``; returns the started queries."""
+    queries = []
+    for uc, spec in SINKS.items():
+        kwargs = {"bookings": bookings} if uc == "uc08" else {}
+        path = f"{results_root.rstrip('/')}/{spec.name}"
+        queries.append(start(spark, uc, readings, path, name=f"{prefix}-{uc}", trigger=trigger, **kwargs))
+    return queries

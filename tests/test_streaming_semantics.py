@@ -57,3 +57,35 @@ def test_restart_from_checkpoint_is_idempotent(spark, tmp_path):
     got = sorted((str(r.interval_start), str(r.interval_end)) for r in read_table(spark, SINKS["uc04"], table).collect())
     assert got == [("1901-01-01 00:00:00", "1901-01-01 01:00:00"), ("1901-01-01 01:00:00", "1901-01-01 02:00:00"),
                    ("1901-01-01 02:00:00", "1901-01-01 03:00:00")]
+
+
+def test_all_jobs_in_one_application(spark, tmp_path):
+    from cirrus.__main__ import load_results
+    from cirrus.sources.bookings import bookings_frame
+    from cirrus.streaming.jobs import start_all
+
+    src = tmp_path / "src-all"
+    recs = [
+        reading("02950099999", "1901-01-01T00:00:00", 5.0, wind=5.0, visibility=100, pressure=1015.0),
+        reading("02950099999", "1901-01-01T00:30:00", 7.0, wind=25.0, visibility=150, pressure=1011.0),
+        reading("02950099999", "1901-01-01T02:00:00", 6.0, wind=5.0, visibility=800, pressure=1010.0, temp_quality="3"),
+        reading("02950099999", "1901-01-20T00:00:00", 9.0, wind=5.0, visibility=800, pressure=1010.0),
+    ]
+    p = write_jsonl(src / "part-0.json", recs)
+    os.utime(p, (1_000_000, 1_000_000))
+    qs = start_all(spark, read_readings(spark, str(src), stream=True), str(tmp_path / "results"), bookings_frame(spark), prefix=f"all-{time.time_ns()}")
+    try:
+        for q in qs:
+            q.processAllAvailable()
+        for i, day in enumerate(("2199-01-01T00:00:00", "2199-06-01T00:00:00")):
+            p = write_jsonl(src / f"part-{i + 1}.json", [reading(SENTINEL, day, 0.0)])
+            os.utime(p, (2_000_000 + i, 2_000_000 + i))
+            for q in qs:
+                q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    tables = load_results(spark, str(tmp_path / "results"))
+    assert sorted(tables) == sorted(SINKS)
+    for uc, df in tables.items():
+        assert df.count() > 0, uc
