@@ -105,10 +105,21 @@ def _bytes(text: str) -> int:
 
 
 def supported_raw_line(raw: DataFrame, line: str = "raw_line") -> DataFrame:
-    """A2: keep the first 16 columns of each line, re-quoted minimally."""
-    schema = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)
-    parsed = F.from_csv(F.col(line), schema, {"mode": "PERMISSIVE", "quote": '"', "escape": '"'})
-    return raw.withColumn(line, F.when(F.col(line) != "", F.to_csv(parsed, {"quote": '"', "escape": '"'})).otherwise(F.col(line)))
+    """A2: keep the first 16 columns of each line (fewer if the line has
+    fewer), written back with minimal quoting: a field is quoted only when it
+    holds a comma, a quote or a line break, quotes doubled inside."""
+    from cirrus.plans.normalize import parse_fields
+
+    x = parse_fields(raw, line)
+    quoted = [
+        F.when(F.col(f"_f_{c}").rlike('[,"\r\n]'), F.concat(F.lit('"'), F.replace(F.col(f"_f_{c}"), F.lit('"'), F.lit('""')), F.lit('"')))
+        .otherwise(F.col(f"_f_{c}"))
+        for c in fmt.RAW_COLUMNS
+    ]
+    n = F.least(F.col("_n"), F.lit(len(fmt.RAW_COLUMNS)))
+    text = F.when(F.coalesce(F.col(line), F.lit("")) == "", F.col(line)).otherwise(F.array_join(F.slice(F.array(*quoted), 1, n), ","))
+    helper = ["_n", "_et", *[f"_f_{c}" for c in fmt.RAW_COLUMNS]]
+    return x.withColumn(line, text).drop(*helper)
 
 
 def first_records(raw: DataFrame, max_records: int | None) -> DataFrame:

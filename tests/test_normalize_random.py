@@ -106,3 +106,32 @@ def test_normaliser_matches_python_parse(spark, batch):
     assert dead.count() == 0
     got = {r.row_number: actual(r) for r in readings.collect()}
     assert got == {i: expected(line) for i, line in enumerate(batch)}
+
+
+def python_supported(line):
+    """First 16 columns, minimal quoting (the csv module's defaults)."""
+    import io
+
+    rows = list(csv.reader([line]))
+    row = rows[0] if rows else []
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(row[:16])
+    return out.getvalue()
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(lines(), min_size=20, max_size=40))
+def test_supported_line_matches_csv_module(spark, batch):
+    from cirrus.sources.raw import supported_raw_line
+
+    raw = spark.createDataFrame([(i, line) for i, line in enumerate(batch)], "row_number long, raw_line string")
+    got = {r.row_number: r.raw_line for r in supported_raw_line(raw).collect()}
+    assert got == {i: python_supported(line) for i, line in enumerate(batch)}
+
+
+def test_supported_line_short_and_empty(spark):
+    from cirrus.sources.raw import supported_raw_line
+
+    raw = spark.createDataFrame([(0, "a,b"), (1, ""), (2, '"x, y",,"z"')], "row_number long, raw_line string")
+    got = {r.row_number: r.raw_line for r in supported_raw_line(raw).collect()}
+    assert got == {0: "a,b", 1: "", 2: '"x, y",,z'}
