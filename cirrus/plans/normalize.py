@@ -111,10 +111,12 @@ def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFr
 
 def run_normalizer(spark, data_dir: str, out: str, year=None, station=None, max_records=None) -> None:
     """Batch normalisation job: raw files -> readings and dead letters, one
-    pass, written as parquet partitioned by ``kind``."""
-    from cirrus.sources.raw import first_records, read_raw, supported_raw_line
+    pass (each line parsed once), written as parquet partitioned by ``kind``.
+    Fields past the 16th are ignored by the parse, so lines are not cut to 16
+    columns first; a dead letter keeps its whole original line."""
+    from cirrus.sources.raw import first_records, read_raw
 
-    raw = first_records(supported_raw_line(read_raw(spark, data_dir, year, station)), max_records)
+    raw = first_records(read_raw(spark, data_dir, year, station), max_records)
     normalize_tagged(raw).write.mode("overwrite").partitionBy("kind").parquet(out)
 
 
