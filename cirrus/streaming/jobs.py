@@ -42,8 +42,9 @@ def _shift():
     return F.make_dt_interval(days=F.lit(EPOCH_SHIFT_DAYS))
 
 
-def watermarked(readings: DataFrame) -> DataFrame:
-    return readings.withColumn(T, F.col(T) + _shift()).withWatermark(T, WATERMARK)
+def watermarked(readings: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Event time shifted past 1970 with a bounded-lateness watermark."""
+    return readings.withColumn(T, F.col(T) + _shift()).withWatermark(T, delay)
 
 
 def _unshift(df: DataFrame, *cols: str) -> DataFrame:
@@ -61,8 +62,8 @@ def _window_stats(x: DataFrame, size: str, slide: str, aggs) -> DataFrame:
 
 
 # --------------------------------------------------------------------- windows
-def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24 hours"))):
-    x = U._temps(watermarked(readings)).select(K, T, "temp_c")
+def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24 hours")), watermark: str = WATERMARK):
+    x = U._temps(watermarked(readings, watermark)).select(K, T, "temp_c")
     parts = []
     for label, size in sizes:
         a = _window_stats(x, size, size, [("min_temp_c", "min", "temp_c"), ("max_temp_c", "max", "temp_c"), ("avg_temp_c", "avg", "temp_c")])
@@ -73,15 +74,15 @@ def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24
     return _unshift(out, "window_start", "window_end"), None
 
 
-def data_quality(readings: DataFrame, size="1 hour", slide="10 minutes"):
-    out = U.data_quality(watermarked(readings), size, slide, strategy="expand")
+def data_quality(readings: DataFrame, size="1 hour", slide="10 minutes", watermark: str = WATERMARK):
+    out = U.data_quality(watermarked(readings, watermark), size, slide, strategy="expand")
     return _unshift(out, "window_start", "window_end"), None
 
 
-def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour", baseline: DataFrame | None = None):
+def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour", baseline: DataFrame | None = None, watermark: str = WATERMARK):
     """Rolling average minus the formula baseline, or minus a static baseline
     table (station, baseline) joined to the closed windows (stream-static)."""
-    w = _window_stats(U._temps(watermarked(readings)).select(K, T, "temp_c"), size, slide, [("avg_temp_c", "avg", "temp_c")])
+    w = _window_stats(U._temps(watermarked(readings, watermark)).select(K, T, "temp_c"), size, slide, [("avg_temp_c", "avg", "temp_c")])
     if baseline is None:
         out = w.select(K, "window_start", "window_end", (F.col("avg_temp_c") - formula_baseline(F.col(K))).alias("deviation_c"))
     else:
@@ -90,17 +91,17 @@ def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour",
     return _unshift(out, "window_start", "window_end"), None
 
 
-def temperature_rankings(readings: DataFrame, n: int = 10, size="24 hours", slide="1 hour"):
+def temperature_rankings(readings: DataFrame, n: int = 10, size="24 hours", slide="1 hour", watermark: str = WATERMARK):
     """Per (window, station) maxima and minima are aggregated in the stream;
     all stations of a window close in the same micro-batch, where the top n
     of each end are ranked (batch window functions, partial group limit)."""
-    w = _window_stats(U._temps(watermarked(readings)).select(K, T, "temp_c"), size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")])
+    w = _window_stats(U._temps(watermarked(readings, watermark)).select(K, T, "temp_c"), size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")])
     w = _unshift(w, "window_start", "window_end")
     return w, lambda batch: top_n_both_ends(batch, K, "_hi", "_lo", n, "temp_c")
 
 
-def climate_trend(readings: DataFrame, size="30 days", slide="10 days"):
-    x = U._temps(watermarked(readings)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
+def climate_trend(readings: DataFrame, size="30 days", slide="10 days", watermark: str = WATERMARK):
+    x = U._temps(watermarked(readings, watermark)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
     w = _window_stats(x, size, slide, [("avg", "avg", "temp_c")])
     w = _unshift(w, "window_start", "window_end").select(
         K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), F.col("avg").cast("double").alias("avg")
@@ -155,8 +156,8 @@ def low_visibility(readings: DataFrame, threshold: float = U.VISIBILITY_THRESHOL
     ), None
 
 
-def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes"):
-    x = U.storm_readings(watermarked(readings))
+def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes", watermark: str = WATERMARK):
+    x = U.storm_readings(watermarked(readings, watermark))
     order = arrival_order(x)
     keyed = x.select(K, F.unix_micros(T).alias("t_us"), *order, F.col("pressure_hpa").alias("p"), F.col("wind_kmh").alias("level"))
     drops = keyed.groupBy(K).transformWithState(
