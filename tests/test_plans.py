@@ -63,3 +63,11 @@ def test_filters_and_columns_reach_the_scan(plan):
     p = plan("booking_alerts")
     assert "PushedFilters: [IsNotNull(value)" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in p
+
+
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
+def test_registered_queries_stay_in_the_jvm(plan, name):
+    p = plan(name)
+    for python_node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
+        assert python_node not in p, (name, python_node)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
