@@ -47,29 +47,44 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _split_hot_buckets(base: DataFrame, keys: list[str], time: str, tiebreak: Sequence[str], max_rows: int) -> DataFrame:
-    """Add ``SUB_COL``: 0 for ordinary (key, bucket) groups; for groups above
-    ``max_rows`` rows, an ordered sub-bucket from a range partitioning of
-    those rows only on (key, time, tiebreak), so ties in time are split too.
-    The group sizes come from a partial aggregate run once, at plan time."""
-    counts = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"))
-    oversized = counts.where(F.col("_seq_cnt") > F.lit(max_rows))
+def _checkpoint_dir(df: DataFrame) -> str | None:
+    spark = df.sparkSession
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Sequence[str], agg, max_rows: int | None):
+    """(rows with SUB_COL, per-(key, bucket, sub) summary with ``_seq_b``).
+
+    With a size limit, the per-(key, bucket) summary (row count and aggregate)
+    is computed once, map-side combined, and checkpointed to the shared
+    ``spark.checkpoint.dir``; the same table answers the plan-time question
+    "is any group above ``max_rows``?" and supplies the carry, so the input is
+    read only once more, by the row branch.  Groups above the limit are
+    re-summarised per sub-bucket from their (range-split) rows only."""
+    per_bucket = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
+    if not max_rows:
+        return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
+    if _checkpoint_dir(base):
+        per_bucket = per_bucket.checkpoint(eager=True)
+    oversized = per_bucket.where(F.col("_seq_cnt") > F.lit(max_rows))
     stats = oversized.agg(F.count(F.lit(1)).alias("groups"), F.sum("_seq_cnt").alias("rows")).first()
     if not stats or not stats["groups"]:
-        return base.withColumn(SUB_COL, F.lit(0))
+        return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
     hot = oversized.select(*keys, BUCKET_COL, F.lit(True).alias("_seq_hot"))
-    hot_rows = stats["rows"]
     small = stats["groups"] <= HOT_BROADCAST_MAX_ROWS
     flagged = base.join(F.broadcast(hot) if small else hot, [*keys, BUCKET_COL], "left")
     cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0))
-    parts = max(2, -(-int(hot_rows) // max_rows))
+    parts = max(2, -(-int(stats["rows"]) // max_rows))
     split = (
         flagged.where(F.col("_seq_hot"))
         .drop("_seq_hot")
         .repartitionByRange(parts, *keys, time, *tiebreak)
         .withColumn(SUB_COL, F.spark_partition_id() + F.lit(1))
     )
-    return cold.unionByName(split)
+    group = [*keys, BUCKET_COL, SUB_COL]
+    cold_summary = per_bucket.join(F.broadcast(hot) if small else hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0))
+    hot_summary = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
+    return cold.unionByName(split), cold_summary.unionByName(hot_summary)
 
 
 def prior_agg(
@@ -93,26 +108,19 @@ def prior_agg(
     touches one row per bucket.  The carry is joined back on (key, bucket):
     Spark broadcasts it when the estimate is small, otherwise the join reuses
     the rows' (key, bucket) partitioning and only the carry is shuffled.
-    Oversized (key, bucket) groups are split first (``_split_hot_buckets``);
+    Oversized (key, bucket) groups are split first (``_bucket_summaries``);
     ``max_rows_per_bucket=None`` skips that check.
     """
     keys = _keys(key)
     agg = {"max": F.max, "sum": F.sum}[how]
     order = [F.col(time), *[F.col(c) for c in tiebreak]]
     base = df.withColumn(BUCKET_COL, floor_time(time, bucket)).withColumn("_seq_v", value)
-    if max_rows_per_bucket:
-        base = _split_hot_buckets(base, keys, time, tiebreak, max_rows_per_bucket)
-    else:
-        base = base.withColumn(SUB_COL, F.lit(0))
+    base, summary = _bucket_summaries(base, keys, time, tiebreak, agg, max_rows_per_bucket)
     group = [*keys, BUCKET_COL, SUB_COL]
     before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = base.withColumn("_seq_in", agg("_seq_v").over(before))
     earlier_buckets = Window.partitionBy(*keys).orderBy(BUCKET_COL, SUB_COL).rowsBetween(Window.unboundedPreceding, -1)
-    carry = (
-        base.groupBy(*group)
-        .agg(agg("_seq_v").alias("_seq_b"))
-        .select(*group, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
-    )
+    carry = summary.select(*group, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
     joined = rows.join(carry, group, "left")
     if how == "max":
         combined = F.coalesce(F.col("_seq_in"), F.col("_seq_carry"))
