@@ -18,7 +18,7 @@ from tests.streaming_util import SENTINEL
 from tests.test_batch_equals_stream import _norm, events_as_readings  # noqa: F401  (fixture)
 
 
-@pytest.mark.parametrize("uc", ["uc01", "uc03", "uc04", "uc07", "uc09", "uc10"])
+@pytest.mark.parametrize("uc", ["uc01", "uc02", "uc03", "uc04", "uc05", "uc06", "uc07", "uc09", "uc10"])
 def test_multi_batch_equals_batch(spark, tmp_path, events_as_readings, uc):  # noqa: F811
     want = U.ANALYTICS[uc](read_readings(spark, events_as_readings)).collect()
     records = [json.loads(line) for p in glob.glob(events_as_readings + "/*.txt") for line in open(p)]
