@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.functions.baseline import formula_baseline
-from cirrus.functions.timeops import EPOCH_SHIFT_DAYS, MICROS_PER_HOUR, duration_seconds
+from cirrus.functions.timeops import EPOCH_SHIFT_DAYS, duration_seconds
 from cirrus.operators.rank import top_n_both_ends
-from cirrus.operators.windows import sliding_agg
 from cirrus.operators.sequence import exact
+from cirrus.operators.windows import sliding_agg
 from cirrus.plans import usecases as U
 from cirrus.schema import SINKS
 from cirrus.session import checkpoint_path
