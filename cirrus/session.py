@@ -56,11 +56,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local runs, tests) a fresh
-    scratch folder is created and recorded in the session.
+    Read from the session.  Only when it is unset and Spark runs in local
+    mode (tests, local runs) is a scratch folder created and recorded; on a
+    cluster an unset value is an error, as a machine-local folder would not
+    survive the loss of an executor or the driver.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a shared folder (streaming checkpoints and lineage cuts live there)")
         root = tempfile.mkdtemp(prefix="cirrus-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
         spark.sparkContext.setCheckpointDir(root)
