@@ -48,8 +48,15 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def _checkpoint_dir(df: DataFrame) -> str | None:
-    spark = df.sparkSession
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder, if the session names one (as set at
+    start-up, or later through ``spark.checkpoint.dir``)."""
+    sc = df.sparkSession.sparkContext
+    root = sc.getCheckpointDir()
+    if not root:
+        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if root:
+            sc.setCheckpointDir(root)
+    return root
 
 
 def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Sequence[str], agg, max_rows: int | None):
