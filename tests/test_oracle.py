@@ -34,9 +34,17 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    typed = con.sql(E.oracle_sql()[name])
+    want_types = {c: str(t) for c, t in zip(typed.columns, typed.types)}
+    got_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert got_types == want_types
     rel = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(ocols)
