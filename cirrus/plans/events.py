@@ -54,7 +54,7 @@ def _r(c) -> F.Column:
     return F.floor(x9 * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-def interval_stats(spark, sf_dir, strategy: str = "rollup"):
+def interval_stats(spark, sf_dir):
     ev = _events(spark, sf_dir)
     out = tumbling_stats(ev, KEY, TIME, VALUE)
     return out.withColumn("avg_value", _r("avg_value"))
