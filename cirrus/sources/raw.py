@@ -22,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,8 +59,19 @@ def _positions_in_split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
         yield pdf.assign(_pos=pos)
 
 
+_LINES_SCHEMA = "source_file string, _split bigint, _len bigint, _size bigint, raw_line string"
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(
+    """Lines with their file and split; a year or station that does not exist
+    reads as no lines (the file scan skips missing files)."""
+    try:
+        text = spark.read.text(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        return spark.createDataFrame([], _LINES_SCHEMA)
+    return text.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.col("_metadata.file_block_length").alias("_len"),

@@ -67,3 +67,10 @@ def test_line_numbers_with_small_arrow_batches(spark, tmp_path):
     for r in rows:
         if r.source_file.endswith("A.csv"):
             assert f",{r.row_number - 2:04d},1" in r.raw_line
+
+
+def test_missing_year_or_station_reads_as_empty(spark, tmp_path):
+    _write(tmp_path, "1901", "A", 3)
+    assert read_raw(spark, str(tmp_path / "data"), year="1999").count() == 0
+    assert read_raw(spark, str(tmp_path / "data"), year="1901", station="NOPE").count() == 0
+    assert read_raw(spark, str(tmp_path / "data"), year="1901", station="A").count() == 3
