@@ -42,7 +42,7 @@ def load_results(spark, root: str) -> dict:
 
 
 def main(argv=None) -> None:
-    p = argparse.ArgumentParser(prog="cirrus")
+    p = argparse.ArgumentParser(prog="cirrus", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     sub = p.add_subparsers(dest="cmd", required=True)
     n = sub.add_parser("normalize")
     g = n.add_mutually_exclusive_group(required=True)
