@@ -19,7 +19,7 @@ from cirrus.functions.baseline import formula_baseline
 from cirrus.functions.labels import station_label
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
-from cirrus.operators.rank import top_n_both_ends
+from cirrus.operators.rank import top_n_both_ends, top_n_sliding
 from cirrus.operators.sequence import exact, gap_status, rate_of_change, threshold_periods, trend
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.plans import normalize as norm
@@ -118,9 +118,10 @@ def baseline_deviation_table(spark, sf_dir):
 
 
 def top_extremes(spark, sf_dir):
+    """UC06: ranks only each window's candidate keys (the union of its panes'
+    top 10), see ``top_n_sliding``."""
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
-    w = sliding_agg(ev, KEY, TIME, "24 hours", "1 hour", [("_hi", "max", VALUE), ("_lo", "min", VALUE)])
-    return top_n_both_ends(w, KEY, "_hi", "_lo", 10, "value")
+    return top_n_sliding(ev, KEY, TIME, VALUE, "24 hours", "1 hour", 10, "value")
 
 
 def moving_trend(spark, sf_dir):

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from cirrus.functions.baseline import formula_baseline
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
-from cirrus.operators.rank import top_n_both_ends
+from cirrus.functions.timeops import duration_seconds
+from cirrus.operators.rank import top_n_both_ends, top_n_sliding
 from cirrus.operators.sequence import exact, gap_status, rate_of_change, threshold_periods, trend
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.sources.readings import arrival_order
@@ -74,10 +75,16 @@ def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: st
     return w.join(b, K, "left").select(K, "window_start", "window_end", (F.col("avg_temp_c") - F.col("_base")).alias("deviation_c"))
 
 
-def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours", slide: str = "1 hour", strategy: str = "auto") -> DataFrame:
+def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours", slide: str = "1 hour", strategy: str = "candidates") -> DataFrame:
     """UC06: per window, the n hottest stations (by max) and the n coldest
-    (by min), ties by station."""
-    w = sliding_agg(_temps(readings), K, T, size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")], strategy)
+    (by min), ties by station.  ``candidates`` ranks only each window's
+    candidate stations (``top_n_sliding``); ``expand`` / ``panes`` rank every
+    (station, window) aggregate."""
+    x = _temps(readings)
+    if strategy == "candidates" and duration_seconds(size) % duration_seconds(slide) == 0:
+        return top_n_sliding(x, K, T, "temp_c", size, slide, n, "temp_c")
+    strategy = "auto" if strategy == "candidates" else strategy
+    w = sliding_agg(x, K, T, size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")], strategy)
     return top_n_both_ends(w, K, "_hi", "_lo", n, "temp_c")
 
 
