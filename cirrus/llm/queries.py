@@ -17,6 +17,24 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.quality import assess
+
+    return assess(columns_of(spark, sf_dir, "documents", "doc_id", "text"), columns_of(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.secretscan import digest, scan
+
+    return digest(scan(columns_of(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.licenses import scan
+
+    return scan(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cirrus.llm.tokencount import token_counts
 
@@ -30,6 +48,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_rules": op4_quality_rules,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op10_packing": op10_packing,
 }
