@@ -17,6 +17,16 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+#: Bytes of text that a shard may hold.
+SHARD_BYTES = 1 << 20
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.sharding import shards
+
+    return shards(columns_of(spark, sf_dir, "documents", "doc_id", "text"), limit=SHARD_BYTES)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cirrus.llm.quality import assess
 
@@ -41,6 +51,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(columns_of(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), limit=512)
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.mixing import mix
+
+    return mix(columns_of(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cirrus.llm.packing import pack
 
@@ -48,10 +64,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
     "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
+    "op8_mixing": op8_mixing,
     "op10_packing": op10_packing,
 }
 
