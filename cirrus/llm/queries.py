@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cirrus.llm.common import columns_of
 
@@ -17,6 +18,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.topk import top_k
+
+    return top_k(columns_of(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
 #: Bytes of text that a shard may hold.
 SHARD_BYTES = 1 << 20
 
@@ -64,6 +71,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_sharding": op2_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
