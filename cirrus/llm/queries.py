@@ -64,6 +64,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(columns_of(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.toxicity import score
+
+    return score(columns_of(spark, sf_dir, "documents", "doc_id", "text"), columns_of(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cirrus.llm.packing import pack
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 
