@@ -34,6 +34,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(columns_of(spark, sf_dir, "documents", "doc_id", "text"), limit=SHARD_BYTES)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.neardup import components
+
+    return components(columns_of(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cirrus.llm.quality import assess
 
@@ -79,6 +85,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_sharding": op2_sharding,
+    "op3_near_dedup": op3_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
     "op6_license_scan": op6_license_scan,

@@ -4,8 +4,8 @@ A word's input is an embedding of the word and the mean embedding of its
 character sequences, so that unseen forms of a word still say something.
 Every text is covered by overlapping windows of words; each is scored by the
 network, and a text by its highest window.  Trained in numpy on a bounded
-sample of labelled rows; the score is calibrated over all labelled rows that
-may be learnt from.
+sample of labelled rows; the score is calibrated over all other labelled rows
+that may be learnt from.
 """
 
 from __future__ import annotations
@@ -32,6 +32,12 @@ TOXIC_FROM = 0.7
 STEPS_A_UNIT = 16
 
 WORDS, GRAMS, DIM, HIDDEN, ATTENTION = 1 << 13, 1 << 14, 8, 8, 8
+#: Characters of a word's start that have an embedding of their own.
+START = 4
+#: Texts that a word or sequence is in before its odds count.
+SEEN_IN = 4
+#: Share of the words' inputs that training leaves out at a time.
+DROPPED = 0.3
 _MARKS = ".,;:!?\"'()[]{}*#$%&|<>-_"
 
 
@@ -51,14 +57,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     told = labels.select(F.col("doc_id").cast("long").alias("known"), F.col("toxic").cast("int").alias("toxic"))
     told = told.where("known IS NOT NULL AND toxic IS NOT NULL").where(fold("known") != 1).groupBy("known").agg(F.max("toxic").alias("toxic"))
     told = stored(told, "toxic-labels")
-    net = fitted(rows, told)
+    net, tried_on = fitted(rows, told)
     held_out = F.coalesce(fold("id") == 1, F.lit(False)).alias("held_out")
     if net is None:
         zero = F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0).cast("long").alias("n_windows")
         return rows.select(F.col("id").alias(id_col), held_out, *zero)
     scored = stored(rows.mapInArrow(_logits(net), "id long, logit double, n_windows long"), "toxic-logits")
     step = F.floor(F.col("logit") * STEPS_A_UNIT).cast("int").alias("step")
-    tried = scored.where("n_windows > 0").join(told, scored["id"] == told["known"]).groupBy(step)
+    tried = scored.where("n_windows > 0").join(tried_on, scored["id"] == tried_on["known"]).groupBy(step)
     counts = tried.agg(F.sum((F.col("toxic") == 1).cast("long")).alias("toxic"), F.sum((F.col("toxic") == 0).cast("long")).alias("clean")).collect()
     from_logit = cut({r["step"]: (r["toxic"], r["clean"]) for r in counts})
     shift = math.log(TOXIC_FROM / (1 - TOXIC_FROM)) - from_logit
@@ -70,6 +76,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def cut(counts: dict[int, tuple[int, int]]) -> float:
     """The logit from which on predicting toxic has the highest F1 (in the
     middle of the lowest and the highest such step)."""
+    if not counts:
+        return 0.0
     toxic_total = sum(t for t, _ in counts.values())
     toxic = clean = 0
     tried = []
@@ -82,11 +90,12 @@ def cut(counts: dict[int, tuple[int, int]]) -> float:
     return (min(steps) + max(steps)) / 2 / STEPS_A_UNIT
 
 
-def fitted(rows: DataFrame, told: DataFrame) -> Network | None:
-    """The network trained on windows of a bounded sample of labelled rows."""
+def fitted(rows: DataFrame, told: DataFrame) -> tuple[Network | None, DataFrame]:
+    """The network trained on windows of a bounded sample of labelled rows,
+    and all other labelled rows, a fifth of all at least, to calibrate it."""
     some = None
     for label, most in FIT_DOCS.items():
-        one = told.where(F.col("toxic") == label).orderBy(F.xxhash64("known"), "known").limit(most)
+        one = told.where(F.col("toxic") == label).where(F.pmod(F.xxhash64("known", F.lit(9)), F.lit(5)) > 0).orderBy(F.xxhash64("known"), "known").limit(most)
         some = one if some is None else some.unionByName(one)
     some = stored(some, "toxic-sample")  # at most the FIT_DOCS ids
     texts = rows.join(F.broadcast(some), rows["id"] == some["known"]).select("id", "text", "toxic")
@@ -95,7 +104,8 @@ def fitted(rows: DataFrame, told: DataFrame) -> Network | None:
     for label, most in FIT_WINDOWS.items():
         part = cut_up.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), F.xxhash64("window"), "window").limit(most)
         sample[label] = [(r["id"], r["window"]) for r in part.select("id", "window").collect()]
-    return Network.trained(sample[1], [w for _, w in sample[0]]) if sample[0] and sample[1] else None
+    net = Network.trained(sample[1], sample[0]) if sample[0] and sample[1] else None
+    return net, told.join(F.broadcast(some.select("known")), "known", "left_anti")
 
 
 def words_of(text: str) -> list[str]:
@@ -131,6 +141,7 @@ class Vocabulary:
     def __init__(self, words: list[str]):
         bare = [(w.strip(_MARKS) or w).encode() for w in words]
         self.word = np.fromiter((zlib.crc32(w) % WORDS for w in bare), np.int64, len(bare))
+        self.start = np.fromiter((zlib.crc32(w.strip(_MARKS)[:START].encode()) % GRAMS for w in words), np.int64, len(bare))
         # characters as \2 word \3; a place is where a sequence of 3 starts,
         # and one of 4 if the word goes on
         raw = np.frombuffer(b"".join(b"\2" + w + b"\3" for w in bare) + b"\0", np.uint8).astype(np.uint32)
@@ -158,12 +169,13 @@ class Vocabulary:
             b = min(a + 20_000, len(self))
             i, j = self.first[a], self.first[b - 1] + self.places[b - 1]
             e = p["gram"][self.three[i:j]] + p["gram"][self.four[i:j]] * (self.four[i:j] >= 0)[:, None]
-            out[a + 1 : b + 1, DIM:] = np.add.reduceat(e, self.first[a:b] - i) / self.places[a:b, None]
+            out[a + 1 : b + 1, DIM:] = np.add.reduceat(e, self.first[a:b] - i) / self.places[a:b, None] + p["start"][self.start[a:b]]
         return out
 
     def spread(self, d: np.ndarray, grads: dict[str, np.ndarray]) -> None:
         """Adds the gradients of the inputs to those of the embeddings."""
         np.add.at(grads["word"], self.word, d[1:, :DIM])
+        np.add.at(grads["start"], self.start, d[1:, DIM:])
         each = (d[1:, DIM:] / self.places[:, None])[self.owner]
         np.add.at(grads["gram"], self.three, each)
         with_four = self.four >= 0
@@ -196,8 +208,10 @@ class Network:
         rng = np.random.default_rng(seed)
         draw = lambda *shape, s: rng.normal(0, s, shape).astype(np.float32)
         self.p = {
-            "word": draw(WORDS, DIM, s=0.1),
-            "gram": draw(GRAMS, DIM, s=0.1),
+            # small, so that what training never met says little
+            "word": draw(WORDS, DIM, s=0.02),
+            "gram": draw(GRAMS, DIM, s=0.02),
+            "start": draw(GRAMS, DIM, s=0.02),
             "in": draw(2, 2 * DIM, 3 * HIDDEN, s=0.4),
             "in_b": np.zeros((2, 1, 3 * HIDDEN), np.float32),
             "rec": draw(2, HIDDEN, 3 * HIDDEN, s=0.3),
@@ -243,11 +257,14 @@ class Network:
         gates = self.projected(vocabulary.inputs(self.p))
         return np.concatenate([np.zeros(0, np.float32), *(self.forward(gates, x[i : i + 1024])[0] for i in range(0, len(x), 1024))])
 
-    def gradients(self, vocabulary: Vocabulary, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+    def gradients(self, vocabulary: Vocabulary, x: np.ndarray, y: np.ndarray, kept: np.ndarray | None = None) -> dict[str, np.ndarray]:
+        """``kept``: which inputs of each word (its own embedding, its
+        characters) this pass sees, as factors (words + 1, 2)."""
         p, grads = self.p, {k: np.zeros_like(v) for k, v in self.p.items()}
-        inputs = vocabulary.inputs(p)
+        seen = np.float32(1) if kept is None else np.repeat(kept, DIM, axis=1)
+        inputs = vocabulary.inputs(p) * seen
         logit, f = self.forward(self.projected(inputs), x, keep=True)
-        d = ((1 / (1 + np.exp(-logit)) - y) * weight / len(y)).astype(np.float32)
+        d = ((1 / (1 + np.exp(-logit)) - y) / len(y)).astype(np.float32)
         a, u, states = f["a"], f["u"], f["states"]
         grads["out"], grads["out_b"] = f["c"].T @ d, d.sum(keepdims=True)
         dc = d[:, None] * p["out"]
@@ -272,19 +289,19 @@ class Network:
         dgates[:, 0] = 0
         grads["in"] = np.matmul(inputs.T[None], dgates)
         grads["in_b"] = dgates.sum(1, keepdims=True)
-        vocabulary.spread(np.matmul(dgates, p["in"].transpose(0, 2, 1)).sum(0), grads)
+        vocabulary.spread(np.matmul(dgates, p["in"].transpose(0, 2, 1)).sum(0) * seen, grads)
         return grads
 
     @classmethod
-    def trained(cls, toxic: list[tuple[int, str]], clean: list[str], steps: int = 110, batch: int = 192, rate: float = 0.01) -> Network:
-        """``toxic``: (text id, window).  Which windows of a toxic text are so
+    def trained(cls, toxic: list[tuple[int, str]], clean: list[tuple[int, str]], steps: int = 150, batch: int = 192, rate: float = 0.01) -> Network:
+        """Windows with their text's id.  Which windows of a toxic text are so
         isn't known: first those with words and sequences that toxic texts
         have more often, later those that the network itself scores highest."""
         net, rng = cls(), np.random.default_rng(5)
-        texts = [w.split() for _, w in toxic] + [w.split() for w in clean]
-        vocabulary, x, _ = coded(texts)
-        owner = np.unique(np.array([i for i, _ in toxic]), return_inverse=True)[1]
-        first = _lifts(vocabulary, x, len(toxic))[: len(toxic)]
+        vocabulary, x, _ = coded([w.split() for _, w in [*toxic, *clean]])
+        owner = np.concatenate([np.unique(np.array([i for i, _ in part]), return_inverse=True)[1] for part in (toxic, clean)])
+        first = _lifts(vocabulary, x, owner, len(toxic))[: len(toxic)]
+        owner = owner[: len(toxic)]
         moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
         t = 0
         for rounds in range(2):
@@ -299,7 +316,8 @@ class Network:
                 y = np.repeat([1.0, 0.0], [half, batch - half]).astype(np.float32)
                 used, small = np.unique(x[rows], return_inverse=True)
                 words, has_pad = used[used > 0] - 1, int(used[0] == 0)
-                grads = net.gradients(_part(vocabulary, words), small.reshape(len(rows), WINDOW) + (1 - has_pad), y, np.ones(batch, np.float32))
+                kept = (rng.random((len(words) + 1, 2)) > DROPPED).astype(np.float32) / np.float32(1 - DROPPED)
+                grads = net.gradients(_part(vocabulary, words), small.reshape(len(rows), WINDOW) + (1 - has_pad), y, kept)
                 t += 1
                 lr = rate * min(1.0, t / 20) * (0.2 if t > 1.6 * steps else 1.0)
                 for k, g in grads.items():
@@ -313,26 +331,37 @@ class Network:
 def _part(v: Vocabulary, words: np.ndarray) -> Vocabulary:
     """The vocabulary of some of the words, in ascending order."""
     out = object.__new__(Vocabulary)
-    out.word, out.places = v.word[words], v.places[words]
+    out.word, out.start, out.places = v.word[words], v.start[words], v.places[words]
     at = np.repeat(v.first[words] - (np.cumsum(out.places) - out.places), out.places) + np.arange(int(out.places.sum()))
     out.three, out.four = v.three[at], v.four[at]
     out.owner, out.first = np.repeat(np.arange(len(words)), out.places), np.cumsum(out.places) - out.places
     return out
 
 
-def _lifts(v: Vocabulary, x: np.ndarray, n_toxic: int) -> np.ndarray:
+def _lifts(v: Vocabulary, x: np.ndarray, owner: np.ndarray, n_toxic: int) -> np.ndarray:
     """Each window's mean of its three highest word lifts; a word's is its own
-    log odds or those of its character sequences, whichever is higher."""
+    log odds to be in a toxic text, or those of its character sequences,
+    whichever is higher, from SEEN_IN texts on."""
+    seen = {}
+    for label, rows in ((1, slice(n_toxic)), (0, slice(n_toxic, None))):
+        pairs = np.unique(owner[rows, None] * np.int64(len(v) + 1) + x[rows])
+        seen[label] = pairs // (len(v) + 1), pairs % (len(v) + 1)  # text, word
 
     def odds(key: np.ndarray, size: int, word: np.ndarray) -> np.ndarray:
-        times = np.zeros((2, size))
-        for label, part in ((1, x[:n_toxic]), (0, x[n_toxic:])):
-            seen = np.bincount(part.reshape(-1), minlength=len(v) + 1)[1:].astype(float)
-            np.add.at(times[label], key, seen[word])
-        share = (times + 0.5) / (times.sum(1, keepdims=True) + 1)
-        return np.where(times.sum(0) >= 10, np.log(share[1] / share[0]), 0.0)
+        times, texts = np.zeros((2, size)), np.zeros((2, 1))
+        first = np.searchsorted(word, np.arange(len(v) + 1))
+        for label, (text, w) in seen.items():
+            text, w = text[w > 0], w[w > 0] - 1
+            n = first[w + 1] - first[w]
+            at = np.repeat(first[w] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            has = np.unique(np.repeat(text, n) * np.int64(size) + key[at])
+            times[label] = np.bincount(has % size, minlength=size)
+            texts[label] = len(np.unique(text))
+        share = (times + 0.2) / (texts + 1)
+        return np.where(times.sum(0) >= SEEN_IN, np.log(share[1] / share[0]), 0.0)
 
     lift = odds(v.word, WORDS, np.arange(len(v)))[v.word]
+    lift = np.maximum(lift, odds(v.start, GRAMS, np.arange(len(v)))[v.start])
     with_four = v.four >= 0
     grams = odds(v.four[with_four], GRAMS, v.owner[with_four])[v.four[with_four]]
     np.maximum.at(lift, v.owner[with_four], grams)
