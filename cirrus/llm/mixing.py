@@ -23,8 +23,11 @@ WEIGHTS = (5, 2, 1)
 SHARE, REPEATS = 1.5, 2
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+def sized(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str, shuffle_col: str) -> DataFrame:
+    """(doc_id, source, size, spread): ``spread`` gives the shuffled order."""
+    size = word_count(F.col(text_col)).alias("size")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size, F.col(shuffle_col).alias("_by"))
+    return rows.withColumn("spread", shuffled(seed, "_by", "size")).drop("_by")
 
 
 def shuffled(seed: str, *columns: str) -> Column:
@@ -73,13 +76,14 @@ def _text_place(source: Column) -> Column:
     return F.coalesce(F.conv(head, 16, 10).cast("long") / F.lit(float(1 << 48)), F.lit(1 - 1e-12))
 
 
-def queue(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def queue(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shuffle_col: str | None = None) -> DataFrame:
     """The mix in serving order: every copy of which a word is taken, with
     (doc_id, source, copy, start, finish, taken, mix_start), the last the
-    words of the mix before it."""
-    served = _served(docs, seed, id_col, text_col, source_col).where("taken > 0")
-    out = served.select(F.col("doc_id").alias(id_col), F.col("source").alias(source_col), "copy", "start", "finish", "taken", "mix_start")
-    return out.orderBy("mix_start")
+    words of the mix before it.  ``shuffle_col`` (else the id) seeds the
+    order."""
+    served = _served(docs, seed, id_col, text_col, source_col, shuffle_col or id_col).where("taken > 0")
+    out = served.select(F.col("doc_id").alias(id_col), F.col("source").alias(source_col), "size", "copy", "start", "finish", "taken", "mix_start")
+    return out.orderBy("mix_start")  # a range sort of all copies
 
 
 def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -92,14 +96,24 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
     their own; null ids are allowed and other columns ignored.  An empty table
     gives no rows.  The same rows give the same mix in any order.
     """
-    first = _served(docs, seed, id_col, text_col, source_col).where("copy = 0")
+    first = _served(docs, seed, id_col, text_col, source_col, id_col).where("copy = 0")
     return first.select(F.col("doc_id").alias(id_col), "size", "source_size", "target", F.col("taken_all").alias("taken"), "mix_start")
 
 
-def _served(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def mixed_texts(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix as rows of ``docs``: one for every copy, with all columns; of a
+    copy that isn't taken whole, the words taken, joined by spaces."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
+    order = queue(rows, seed, "_row", text_col, source_col, shuffle_col=id_col).select(F.col("_row").alias("_at"), "size", "taken")
+    words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    part = F.when(F.col("taken") < F.col("size"), F.array_join(F.slice(words, F.lit(1), F.col("taken").cast("int")), " ")).otherwise(F.col(text_col))
+    return rows.join(order, F.col("_row") == F.col("_at")).withColumn(text_col, part).select(*docs.columns)
+
+
+def _served(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str, shuffle_col: str) -> DataFrame:
     """Every copy with its virtual times, the words taken of it and of all
     copies of its document, and its place in the mix."""
-    rows = stored(sized(docs, id_col, text_col, source_col).withColumn("spread", shuffled(seed, "doc_id", "size")), "sizes")
+    rows = stored(sized(docs, seed, id_col, text_col, source_col, shuffle_col), "sizes")
     sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     told = stored(targets(sizes), "targets").select(F.col("source").alias("_source"), "source_size", "target")
     order = [F.col("spread"), F.col("doc_id").asc_nulls_last(), F.col("size")]

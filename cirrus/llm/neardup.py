@@ -89,6 +89,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`components` keeps; of rows that share
+    an id the least, by all columns."""
+    kept = components(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept")).distinct()
+    twice = stored(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_twice")).count().where("count > 1").drop("count"), "twice")
+    out = docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    if twice.isEmpty():
+        return out
+    once = out.join(twice, F.col(id_col) == F.col("_twice"), "left_anti")
+    order = Window.partitionBy(id_col).orderBy(*[F.col(c) for c in docs.columns])
+    least = out.join(twice, F.col(id_col) == F.col("_twice"), "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    return once.unionByName(least)
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

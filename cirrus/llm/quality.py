@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,35 +43,52 @@ def assess(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     the forest rejects nothing.  Null texts are empty (and fail for want of
     words); null ids and repeated rows are assessed like any other.
     """
+    stats, forest, reject_from = fitted(docs, labels, id_col, text_col)
+    scored = stats.mapInArrow(_scores(forest), _STATS + ", score double") if forest else stats.withColumn("score", F.lit(0.0))
+    fine = F.lit(True) if reject_from is None else F.col("score") < reject_from
+    out = scored.withColumn("base_failed", failed())
+    return out.select(F.col("id").alias(id_col), *BASE, "base_failed", (~F.col("base_failed") & fine).alias("kept"), "score")
+
+
+def passing(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`assess` keeps, all columns as they are."""
+    _, forest, reject_from = fitted(docs, labels, id_col, text_col)
+
+    @F.pandas_udf("boolean")
+    def fine(texts: pd.Series) -> pd.Series:
+        found = np.array([statistics(t or "") for t in texts], np.int64).reshape(-1, len(BASE) + len(MORE))
+        rows = dict(zip((*BASE, *MORE), found.T))
+        ok = ~((rows["n_words"] < 10) | (100 * rows["n_repeat_words"] > 20 * rows["n_words"]))
+        if reject_from is not None:
+            ok &= forest.score(features(rows)) < reject_from
+        return pd.Series(ok)
+
+    return docs.where(fine(F.col(text_col)))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Forest | None, float | None]:
+    """The statistics of all documents, the forest, and the score from which
+    on it rejects (None: nothing)."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     stats = stored(rows.mapInArrow(_statistics, _STATS), "quality")
-    told = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality"))
-    told = told.where("id IS NOT NULL AND quality IS NOT NULL").groupBy("id").agg(F.min("quality").alias("quality"))
-    known = stored(stats.join(told, "id"), "quality-known")
-    sample = known.orderBy(F.xxhash64("id"), *stats.columns).limit(FIT_ROWS).toPandas()
+    told = labels.select(F.col("doc_id").cast("long").alias("known"), F.col("quality").cast("int").alias("quality"))
+    told = told.where("known IS NOT NULL AND quality IS NOT NULL").groupBy("known").agg(F.min("quality").alias("quality"))
+    known = stored(stats.join(told, F.col("id") == F.col("known")).drop("known"), "quality-known")
+    sample = known.drop("quality").orderBy(F.xxhash64("id"), *stats.columns).limit(FIT_ROWS).toPandas()
     if not len(sample):
-        return _verdict(stats.withColumn("score", F.lit(0.0)), None, id_col)
+        return stats, None, None
     forest = Forest.grown(features(sample), seed=len(sample))
-    scored = stats.mapInArrow(_scores(forest), _STATS + ", score double")
-    tried = known.where(~failed()).drop("quality").mapInArrow(_scores(forest), _STATS + ", score double")
-    quality = told.withColumnRenamed("id", "known_id")
-    tried = tried.join(quality, tried["id"] == quality["known_id"])
+    tried = known.where(~failed()).mapInArrow(_scores(forest), _STATS + ", quality int, score double")
     step = F.floor(F.col("score") * SCORE_STEPS).cast("int").alias("step")
     counts = tried.groupBy(step).agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad")).collect()
-    return _verdict(scored, threshold({r["step"]: (r["good"], r["bad"]) for r in counts}), id_col)
+    return stats, forest, threshold({r["step"]: (r["good"], r["bad"]) for r in counts})
 
 
 def failed():
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def _verdict(scored: DataFrame, reject_from: float | None, id_col: str) -> DataFrame:
-    fine = F.lit(True) if reject_from is None else F.col("score") < reject_from
-    out = scored.withColumn("base_failed", failed())
-    return out.select(F.col("id").alias(id_col), *BASE, "base_failed", (~F.col("base_failed") & fine).alias("kept"), "score")
-
-
 def threshold(counts: dict[int, tuple[int, int]]) -> float | None:
     """The score from which on documents are rejected: the lowest with at most
     GOOD_LOSS of the good rows and at least as many bad ones above it."""

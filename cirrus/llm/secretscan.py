@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,45 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labell
     adds nothing.  Null texts are empty; null ids and repeated rows are
     scanned like any other.
     """
+    scanned, net, least = fitted(docs, id_col, text_col, labelled)
+    out = scanned.mapInArrow(_found(net, least), "id long, n_assign long, n_access long, n_hex long, base array<struct<k:string,s:int,e:int>>, found array<struct<k:string,s:int,e:int>>, best double")
+    return out.withColumnRenamed("id", id_col)
+
+
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None, mark: str = "[secret]") -> DataFrame:
+    """``docs`` with every span that :func:`scan` finds replaced by ``mark``
+    (overlapping spans by one); all else, null texts included, as it is."""
+    _, net, least = fitted(docs, id_col, text_col, labelled)
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None else _replaced(t, spans, mark) for t, spans in zip(texts, _spans(net, least, list(texts)))], dtype=object)
+
+    return docs.withColumn(text_col, clean(F.col(text_col)))
+
+
+def _spans(net: Net | None, least: float, texts: list[str | None]) -> list[list[tuple[int, int]]]:
+    base = [[(s, e) for _, s, e in base_spans(t or "")] for t in texts]
+    cands = [candidates(t or "") if net else [] for t in texts]
+    cut = [[windows_of(t, s, e) for s, e in cs] for t, cs in zip(texts, cands)]
+    scores = iter(net.score([w for ws in cut for w3 in ws for w in w3]) if net else ())
+    for mine, cs, ws in zip(base, cands, cut):
+        mine += [c for c, w in zip(cs, ws) if max(next(scores) for _ in w) >= least]
+    return base
+
+
+def _replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    out, at = [], 0
+    for s, e in sorted(spans):
+        if s >= at:
+            out += [text[at:s], mark]
+        at = max(at, e)
+    return "".join(out) + text[at:]
+
+
+def fitted(docs: DataFrame, id_col: str, text_col: str, labelled: DataFrame | None) -> tuple[DataFrame, Net | None, float]:
+    """What the patterns and candidates of all documents are, the network, and
+    the score from which on it adds a candidate."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned = stored(rows.mapInArrow(_scan, _SCANNED), "secrets")
@@ -67,13 +107,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labell
     for label in (0, 1):
         some = labelled.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(FIT_ROWS)
         sample.append([r["window"] for r in some.collect()])
-    net = Net.trained(*sample) if all(sample) else None
-    least = 2.0
-    if net:
-        tried = labelled.where("label = 1").select("window").mapInArrow(_steps(net), "step int")
-        least = threshold({r["step"]: r["count"] for r in tried.groupBy("step").count().collect()})
-    out = scanned.mapInArrow(_found(net, least), "id long, n_assign long, n_access long, n_hex long, base array<struct<k:string,s:int,e:int>>, found array<struct<k:string,s:int,e:int>>, best double")
-    return out.withColumnRenamed("id", id_col)
+    if not all(sample):
+        return scanned, None, 2.0
+    net = Net.trained(*sample)
+    tried = labelled.where("label = 1").select("window").mapInArrow(_steps(net), "step int")
+    return scanned, net, threshold({r["step"]: r["count"] for r in tried.groupBy("step").count().collect()})
 
 
 def digest(found: DataFrame) -> DataFrame:
