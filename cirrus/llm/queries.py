@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.llm.common import columns_of
+from cirrus.llm.sql import ORACLE as ORACLE
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -94,5 +95,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
-
-ORACLE: dict[str, str] = {}
