@@ -103,11 +103,12 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
 def mixed_texts(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as rows of ``docs``: one for every copy, with all columns; of a
     copy that isn't taken whole, the words taken, joined by spaces."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    order = queue(rows, seed, "_row", text_col, source_col, shuffle_col=id_col).select(F.col("_row").alias("_at"), "size", "taken")
+    rows = stored(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    order = queue(rows, seed, "_mix_row", text_col, source_col, shuffle_col=id_col)
+    order = order.select(F.col("_mix_row").alias("_mix_at"), F.col("size").alias("_mix_size"), F.col("taken").alias("_mix_taken"))
     words = F.filter(F.split(F.col(text_col), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    part = F.when(F.col("taken") < F.col("size"), F.array_join(F.slice(words, F.lit(1), F.col("taken").cast("int")), " ")).otherwise(F.col(text_col))
-    return rows.join(order, F.col("_row") == F.col("_at")).withColumn(text_col, part).select(*docs.columns)
+    part = F.when(F.col("_mix_taken") < F.col("_mix_size"), F.array_join(F.slice(words, F.lit(1), F.col("_mix_taken").cast("int")), " ")).otherwise(F.col(text_col))
+    return rows.join(order, F.col("_mix_row") == F.col("_mix_at")).withColumn(text_col, part).select(*docs.columns)
 
 
 def _served(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str, shuffle_col: str) -> DataFrame:
