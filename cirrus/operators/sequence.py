@@ -16,8 +16,9 @@ associative aggregate (max or sum) over all earlier rows of its key.
 3. Carry and in-bucket value are combined.
 4. A (key, bucket) group that is itself oversized (a burst) is first split
    into ordered sub-buckets by range-partitioning its rows only, on (key,
-   time, tiebreak).  Spark's range partitioner samples deterministically, so
-   the row branch and the summary branch assign the same sub-bucket ids.
+   time, tiebreak).  Where the ranges end is up to a sample of the rows, so
+   the split rows are checkpointed with their sub-bucket numbers, and the row
+   branch and the summary branch both read them from there.
 
 The previous row is the prior max of ``struct(time, tiebreak..., fields...)``.
 Per-task work is bounded by the rows of one key inside one (sub-)bucket.
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cirrus.functions.timeops import MICROS_PER_HOUR, floor_time, micros_between, seconds_between
+from cirrus.session import checkpoint_root
 
 BUCKET_COL = "_seq_bucket"
 SUB_COL = "_seq_sub"
@@ -38,58 +40,47 @@ DEFAULT_BUCKET = "1 day"
 # A (key, bucket) group above this many rows is split into ordered
 # sub-buckets of about this size.
 DEFAULT_MAX_ROWS_PER_BUCKET = 4_000_000
-# The table of oversized groups is broadcast only up to this many rows
-# (it holds at most total rows / max rows per bucket entries).
-HOT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _checkpoint_dir(df: DataFrame) -> str | None:
-    """The shared checkpoint folder, if the session names one (as set at
-    start-up, or later through ``spark.checkpoint.dir``)."""
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in the shared checkpoint folder.  Sessions with
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` (as ``build_session``
+    sets it) remove the files when nothing refers to them any more."""
     sc = df.sparkSession.sparkContext
-    root = sc.getCheckpointDir()
-    if not root:
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if root:
-            sc.setCheckpointDir(root)
-    return root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    return df.checkpoint(eager=True)
 
 
 def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Sequence[str], agg, max_rows: int | None):
     """(rows with SUB_COL, per-(key, bucket, sub) summary with ``_seq_b``).
 
     With a size limit, the per-(key, bucket) summary (row count and aggregate)
-    is computed once, map-side combined, and checkpointed to the shared
-    ``spark.checkpoint.dir``; the same table answers the plan-time question
-    "is any group above ``max_rows``?" and supplies the carry, so the input is
-    read only once more, by the row branch.  Groups above the limit are
-    re-summarised per sub-bucket from their (range-split) rows only."""
+    is computed once, map-side combined, and checkpointed; the same table
+    answers the plan-time question "is any group above ``max_rows``?" and
+    supplies the carry, so the input is read only once more, by the row
+    branch.  Groups above the limit are re-summarised per sub-bucket from
+    their (range-split, checkpointed) rows only."""
     per_bucket = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
     if not max_rows:
         return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
-    if _checkpoint_dir(base):
-        per_bucket = per_bucket.checkpoint(eager=True)
+    per_bucket = _checkpointed(per_bucket)
     oversized = per_bucket.where(F.col("_seq_cnt") > F.lit(max_rows))
     stats = oversized.agg(F.count(F.lit(1)).alias("groups"), F.sum("_seq_cnt").alias("rows")).first()
     if not stats or not stats["groups"]:
         return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
     hot = oversized.select(*keys, BUCKET_COL, F.lit(True).alias("_seq_hot"))
-    small = stats["groups"] <= HOT_BROADCAST_MAX_ROWS
-    flagged = base.join(F.broadcast(hot) if small else hot, [*keys, BUCKET_COL], "left")
+    flagged = base.join(hot, [*keys, BUCKET_COL], "left")
     cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0))
     parts = max(2, -(-int(stats["rows"]) // max_rows))
-    split = (
-        flagged.where(F.col("_seq_hot"))
-        .drop("_seq_hot")
-        .repartitionByRange(parts, *keys, time, *tiebreak)
-        .withColumn(SUB_COL, F.spark_partition_id() + F.lit(1))
-    )
+    split = flagged.where(F.col("_seq_hot")).drop("_seq_hot").repartitionByRange(parts, *keys, time, *tiebreak)
+    split = _checkpointed(split.withColumn(SUB_COL, F.spark_partition_id() + F.lit(1)))
     group = [*keys, BUCKET_COL, SUB_COL]
-    cold_summary = per_bucket.join(F.broadcast(hot) if small else hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0))
+    cold_summary = per_bucket.join(hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0))
     hot_summary = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
     return cold.unionByName(split), cold_summary.unionByName(hot_summary)
 

@@ -69,6 +69,7 @@ def predicate_count(spark, sf_dir, strategy: str = "auto"):
 
 
 def predicate_count_expand(spark, sf_dir):
+    """The same query, always on the window expansion path."""
     return predicate_count(spark, sf_dir, strategy="expand")
 
 
@@ -85,9 +86,14 @@ def baseline_deviation_panes(spark, sf_dir):
     return w.select(KEY, "window_start", "window_end", _r(F.col("avg_value") - base).alias("deviation"))
 
 
-def rate_change(spark, sf_dir):
+#: Buckets and limit by which most groups of the ``*_split`` queries are
+#: oversized, at every size of ``events``.
+SPLIT = {"bucket": "30 days", "max_rows_per_bucket": 20}
+
+
+def rate_change(spark, sf_dir, **split):
     ev = _events(spark, sf_dir)
-    out = rate_of_change(ev, KEY, TIME, VALUE, TIEBREAK)
+    out = rate_of_change(ev, KEY, TIME, VALUE, TIEBREAK, **split)
     return out.select(KEY, F.col(TIME).alias("event_time"), _r("change_per_hour").alias("change_per_hour"))
 
 
@@ -157,15 +163,30 @@ def booking_alerts(spark, sf_dir):
     )
 
 
-def low_periods(spark, sf_dir):
-    return threshold_periods(_events(spark, sf_dir), KEY, TIME, VALUE, PERIOD_THRESHOLD, TIEBREAK)
+def rate_change_split(spark, sf_dir):
+    """K1 with oversized groups split."""
+    return rate_change(spark, sf_dir, **SPLIT)
+
+
+def low_periods(spark, sf_dir, **split):
+    return threshold_periods(_events(spark, sf_dir), KEY, TIME, VALUE, PERIOD_THRESHOLD, TIEBREAK, **split)
+
+
+def low_periods_split(spark, sf_dir):
+    """K4 with oversized groups split."""
+    return low_periods(spark, sf_dir, **SPLIT)
+
+
+def composite_alerts_split(spark, sf_dir):
+    """K5 and its windows with oversized groups split."""
+    return composite_alerts(spark, sf_dir, **SPLIT)
 
 
-def composite_alerts(spark, sf_dir, strategy: str = "auto"):
+def composite_alerts(spark, sf_dir, strategy: str = "auto", **split):
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
     out = composite_event(
         ev, KEY, TIME, F.col(VALUE), F.col(VALUE), DROP_THRESHOLD, LEVEL_THRESHOLD, "60 minutes", "10 minutes",
-        tiebreak=TIEBREAK, strategy=strategy,
+        tiebreak=TIEBREAK, strategy=strategy, **split,
     )
     return out.select(KEY, "window_start", "window_end", _r("max_drop_per_hour").alias("max_drop_per_hour"), "max_level", "alert")
 
@@ -310,6 +331,9 @@ QUERIES = {
     "booking_alerts": booking_alerts,
     "low_periods": low_periods,
     "composite_alerts": composite_alerts,
+    "rate_change_split": rate_change_split,
+    "low_periods_split": low_periods_split,
+    "composite_alerts_split": composite_alerts_split,
     "normalized_readings": normalized_readings,
     "normalize_dead_letters": normalize_dead_letters,
     "serve_stats": serve_stats,

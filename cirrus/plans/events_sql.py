@@ -240,6 +240,9 @@ ORACLE = {
     "booking_alerts": BOOKING_ALERTS,
     "low_periods": LOW_PERIODS,
     "composite_alerts": COMPOSITE_ALERTS,
+    "rate_change_split": RATE_CHANGE,
+    "low_periods_split": LOW_PERIODS,
+    "composite_alerts_split": COMPOSITE_ALERTS,
     "normalized_readings": NORMALIZED_READINGS,
     "normalize_dead_letters": NORMALIZE_DEAD_LETTERS,
     **SERVE,

@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "cirrus", shuffle_partit
         # too large for the JIT (HotSpot's limit), instead of running it
         # interpreted: 2.5x on the wide normaliser projection
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # checkpoint files go when nothing refers to them any more
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("CIRRUS_DRIVER_MEMORY", "16g"))
         # transformWithState needs a state store with column families
         .config(

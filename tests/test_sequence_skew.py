@@ -4,7 +4,8 @@ also when one key holds most rows and buckets are much smaller than gaps."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cirrus.operators.sequence import previous_row, prior_agg, threshold_periods
+from cirrus.operators.composite import rate_drops
+from cirrus.operators.sequence import gap_status, previous_row, prior_agg, rate_of_change, threshold_periods
 from tests.conftest import SF_SMALL
 
 
@@ -50,9 +51,34 @@ def test_oversized_buckets_are_split_and_exact(spark):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     want = {r.event_id: r.p for r in ev.select("event_id", F.lag("event_id").over(w).alias("p")).collect()}
     got = previous_row(ev, "user_id", "ts", ["value"], ["event_id"], "prev", "1 day", max_rows_per_bucket=5)
-    assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
     res = {r.event_id: (r.prev.event_id if r.prev else None) for r in got.select("event_id", "prev").collect()}
     assert res == want
     base = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "1 day", None).collect())
     split = sorted(threshold_periods(ev, "user_id", "ts", "value", 20.0, ["event_id"], "1 day", 5).collect())
     assert base == split
+
+
+def test_large_oversized_group_equals_whole_key_windows(spark):
+    """400,000 rows of one key in one day, limit 50,000: more rows than a range
+    partitioner samples, so sub-bucket numbers taken twice would differ."""
+    n = 400_000
+    at = F.to_timestamp_ntz(F.lit("2024-01-10 00:00:00")) + F.make_dt_interval(secs=(F.col("id") / F.lit(5)).cast("decimal(18,6)"))
+    value = F.pmod(F.xxhash64("id"), F.lit(1000)) / F.lit(10.0)
+    rows = spark.range(0, n, numPartitions=8).select(F.lit("k").alias("key"), at.alias("ts"), value.alias("value"))
+    limit = 50_000
+    w = Window.partitionBy("key").orderBy("ts")
+    prev = rows.select("*", F.lag("ts").over(w).alias("pt"), F.lag("value").over(w).alias("pv")).where("pt IS NOT NULL")
+
+    def same(got, want):
+        assert got.count() == want.count()
+        assert got.exceptAll(want).isEmpty()
+
+    seconds = F.lit(0.2)
+    rate = lambda a, b: F.round((a - b) * 3600 / seconds, 6).alias("r")
+    got = rate_of_change(rows, "key", "ts", "value", max_rows_per_bucket=limit)
+    same(got.select("ts", F.round("change_per_hour", 6).alias("r")), prev.select("ts", rate(F.col("value"), F.col("pv"))))
+    got = rate_drops(rows, "key", "ts", F.col("value"), F.col("value"), max_rows_per_bucket=limit)
+    same(got.select("ts", F.round("drop_per_hour", 6).alias("r"), "level"), prev.select("ts", rate(F.col("pv"), F.col("value")), F.col("value").alias("level")))
+    got = gap_status(rows, "key", "ts", max_gap="1 second", max_rows_per_bucket=limit)
+    same(got, prev.select("key", F.col("pt").alias("interval_start"), F.col("ts").alias("interval_end"), F.lit("complete").alias("status")))
+    same(threshold_periods(rows, "key", "ts", "value", 20.0, max_rows_per_bucket=limit), threshold_periods(rows, "key", "ts", "value", 20.0, max_rows_per_bucket=None))
