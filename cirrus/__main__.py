@@ -29,15 +29,14 @@ def _readings(spark, args):
 
 
 def load_results(spark, root: str) -> dict:
-    from cirrus.sources.sinks import read_table
+    from cirrus.sources.sinks import read_table, table_kind
 
     out = {}
     for uc, spec in SINKS.items():
-        path = os.path.join(root, spec.name)
-        if not os.path.exists(path):
-            continue
-        streamed = any(d.startswith("batch_id=") for d in os.listdir(path))
-        out[uc] = read_table(spark, spec, path) if streamed else spark.read.parquet(path)
+        path = f"{root.rstrip('/')}/{spec.name}"
+        kind = table_kind(spark, path)
+        if kind:
+            out[uc] = read_table(spark, spec, path) if kind == "log" else spark.read.parquet(path)
     return out
 
 
@@ -81,7 +80,7 @@ def main(argv=None) -> None:
         from cirrus.sources.kafka import raw_events, read_topic
         from cirrus.streaming.jobs import start_normalizer
 
-        raw = raw_events(read_topic(spark, args.kafka, args.topic)).drop("_raw")
+        raw = raw_events(read_topic(spark, args.kafka, args.topic))
         start_normalizer(spark, raw, args.out).awaitTermination()
     elif args.cmd == "normalize":
         from cirrus.plans.normalize import run_normalizer

@@ -5,8 +5,9 @@ into readings and dead letters (empty lines, lines without a parsable date).
 
 Empty versus missing fields: the CSV reader returns null for both, but the
 format distinguishes them ('' when the field is present but empty, null
-when the line ends before it).  The number of fields present is the number
-of commas outside quoted text plus one.
+when the line ends before it).  A line whose 16th field has text holds all of
+them; otherwise the number of fields present is the number of commas outside
+quoted text plus one.
 """
 
 from __future__ import annotations
@@ -19,10 +20,12 @@ from cirrus.functions.timeops import to_event_time
 
 _CSV_SCHEMA = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)
 _CSV_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
-# a quoted field, with doubled quotes inside
-_QUOTED = r'"([^"]|"")*"'
+# a quoted field, with doubled quotes inside; possessive, so that its length
+# costs no stack
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 
 EMPTY_LINE = "empty line"
+NOT_RAW_EVENT = "not a raw event"
 BAD_DATE = "DATE is missing or not yyyy-MM-ddTHH:mm:ss"
 
 
@@ -32,8 +35,10 @@ def parse_fields(df: DataFrame, line: str = "raw_line") -> DataFrame:
     parse runs once per line, in a projection of its own."""
     text = F.coalesce(F.col(line), F.lit(""))
     bare = F.regexp_replace(text, _QUOTED, "")
-    n = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + F.lit(1)
-    parsed = df.select("*", F.from_csv(text, _CSV_SCHEMA, _CSV_OPTIONS).alias("_csv"), n.alias("_n"))
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    last = F.col("_csv").getField(fmt.RAW_COLUMNS[-1])
+    n = F.when(last.isNotNull(), F.lit(len(fmt.RAW_COLUMNS))).otherwise(commas + F.lit(1))
+    parsed = df.select("*", F.from_csv(text, _CSV_SCHEMA, _CSV_OPTIONS).alias("_csv")).select("*", n.alias("_n"))
     fields = [
         F.when(F.lit(i) < F.col("_n"), F.coalesce(F.col("_csv").getField(c), F.lit(""))).alias(f"_f_{c}")
         for i, c in enumerate(fmt.RAW_COLUMNS)
@@ -48,7 +53,10 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     """raw (raw_line [, source_file, row_number]) -> one row per line with the
     reading columns, ``kind`` ('reading' | 'dead_letter') and, for dead
     letters, ``error`` and ``raw_message``.  A job writes this once,
-    partitioned by ``kind``, so each line is parsed once."""
+    partitioned by ``kind``, so each line is parsed once.  A column ``_raw``
+    (the message that a raw event came in) is the text of its dead letter; a
+    message without a line is no raw event."""
+    raw = raw if "_raw" in raw.columns else raw.withColumn("_raw", F.col(line))
     for c, t in (("source_file", "string"), ("row_number", "bigint")):
         if c not in raw.columns:
             raw = raw.withColumn(c, F.lit(None).cast(t))
@@ -62,6 +70,7 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     values = F.array(*[f(c) for c in fmt.RAW_COLUMNS])
     reading = x.select(
         F.col(line).alias("_line"),
+        "_raw",
         f("STATION").alias("station"),
         f("DATE").alias("date"),
         f("SOURCE").alias("source"),
@@ -87,10 +96,10 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     empty = F.coalesce(F.col("_line"), F.lit("")) == ""
     bad = empty | F.col("_et").isNull()
     return reading.select(
-        *[c for c in reading.columns if c not in ("_line", "_et")],
+        *[c for c in reading.columns if c not in ("_line", "_raw", "_et")],
         F.when(bad, F.lit(DEAD)).otherwise(F.lit(READING)).alias("kind"),
-        F.when(empty, F.lit(EMPTY_LINE)).when(bad, F.lit(BAD_DATE)).alias("error"),
-        F.when(bad, F.col("_line")).alias("raw_message"),
+        F.when(F.col("_line").isNull() & F.col("_raw").isNotNull(), F.lit(NOT_RAW_EVENT)).when(empty, F.lit(EMPTY_LINE)).when(bad, F.lit(BAD_DATE)).alias("error"),
+        F.when(bad, F.coalesce("_raw", "_line")).alias("raw_message"),
     )
 
 

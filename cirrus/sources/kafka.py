@@ -12,13 +12,21 @@ RAW_TOPIC = "noaa.raw"
 READINGS_TOPIC = "weather.readings"
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "earliest") -> DataFrame:
+# Messages a micro-batch takes at most.
+MAX_OFFSETS = 1_000_000
+
+
+def read_topic(
+    spark: SparkSession, servers: str, topic: str, starting: str = "earliest", group: str = "cirrus", max_offsets: int = MAX_OFFSETS
+) -> DataFrame:
     """Value-only string stream from the earliest offset."""
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
+        .option("groupIdPrefix", group)
+        .option("maxOffsetsPerTrigger", max_offsets)
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )

@@ -32,7 +32,7 @@ from cirrus.plans import usecases as U
 from cirrus.schema import SINKS
 from cirrus.session import checkpoint_path
 from cirrus.sources.readings import WATERMARK, arrival_order
-from cirrus.sources.sinks import upsert_writer
+from cirrus.sources.sinks import names_in, next_run, truncate, upsert_writer
 from cirrus.streaming.processors import GapStatus, PressureDrops, RateOfChange, ThresholdPeriods, TrendDirection
 
 K, T = "station", "event_time"
@@ -196,20 +196,37 @@ STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 KEYED_STATE_JOBS = {"uc03", "uc04", "uc07", "uc09", "uc10"}
 
 
-def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, name: str | None = None, trigger: dict | None = None, **kwargs):
+def run_of(spark: SparkSession, checkpoint: str, table_path: str) -> int:
+    """The run number of a job: kept beside its checkpoint, for a new
+    checkpoint the one after those in the table."""
+    path = f"{checkpoint.rstrip('/')}-run"
+    if names_in(spark, path):
+        return spark.read.schema("run long").parquet(path).first()["run"]
+    run = next_run(spark, table_path)
+    spark.range(1).select(F.lit(run).cast("bigint").alias("run")).coalesce(1).write.mode("overwrite").parquet(path)
+    return run
+
+
+def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, name: str | None = None, trigger: dict | None = None, fresh: bool = False, **kwargs):
     """Start the streaming job ``uc`` appending to the keyed result table at
     ``table_path``; its checkpoint lives under ``spark.checkpoint.dir``.
+    ``fresh`` empties the table and forgets the checkpoint first.
     Keyed-state jobs need a state store with column families (RocksDB); it is
     set when the session names no provider."""
     if uc in KEYED_STATE_JOBS and not spark.conf.get(STATE_PROVIDER, "").endswith("RocksDBStateStoreProvider"):
         default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
         if spark.conf.get(STATE_PROVIDER, default) == default:
             spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    checkpoint = checkpoint_path(spark, name or f"stream-{uc}")
+    if fresh:
+        for path in (table_path, checkpoint, f"{checkpoint}-run"):
+            truncate(spark, path)
+    run = run_of(spark, checkpoint, table_path)
     stream, transform = STREAM_JOBS[uc](readings, **kwargs)
     writer = (
         stream.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint_path(spark, name or f"stream-{uc}"))
-        .foreachBatch(upsert_writer(SINKS[uc], table_path, transform))
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(upsert_writer(SINKS[uc], table_path, transform, run))
     )
     if trigger:
         writer = writer.trigger(**trigger)
@@ -236,12 +253,12 @@ def start_normalizer(spark: SparkSession, raw_events: DataFrame, out: str, name:
     return writer.start()
 
 
-def start_all(spark: SparkSession, readings: DataFrame, results_root: str, bookings: DataFrame, prefix: str = "stream", trigger: dict | None = None):
+def start_all(spark: SparkSession, readings: DataFrame, results_root: str, bookings: DataFrame, prefix: str = "stream", trigger: dict | None = None, fresh: bool = False):
     """All ten jobs as concurrent streaming queries of one application, each
     appending to ``<results_root>/<table>``; returns the started queries."""
     queries = []
     for uc, spec in SINKS.items():
         kwargs = {"bookings": bookings} if uc == "uc08" else {}
         path = f"{results_root.rstrip('/')}/{spec.name}"
-        queries.append(start(spark, uc, readings, path, name=f"{prefix}-{uc}", trigger=trigger, **kwargs))
+        queries.append(start(spark, uc, readings, path, name=f"{prefix}-{uc}", trigger=trigger, fresh=fresh, **kwargs))
     return queries

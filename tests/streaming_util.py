@@ -1,12 +1,11 @@
 import itertools
-import os
 import time
 
 from cirrus.schema import SINKS
 from cirrus.sources.readings import read_readings
 from cirrus.sources.sinks import read_table
 from cirrus.streaming.jobs import start
-from tests.conftest import reading, write_jsonl
+from tests.documents import drop_file, reading
 
 SENTINEL = "~sentinel"
 _ids = itertools.count()
@@ -18,16 +17,14 @@ def run_stream(spark, tmp_path, uc, records, flush=True, **kwargs):
     every window (end of input does not close windows)."""
     n = next(_ids)
     src = tmp_path / f"src{n}"
-    first = write_jsonl(src / "part-0.json", records)
-    os.utime(first, (1_000_000, 1_000_000))
+    drop_file(src, "part-0.json", records, 1_000_000)
     table = str(tmp_path / f"table{n}")
     q = start(spark, uc, read_readings(spark, str(src), stream=True), table, name=f"{uc}-{n}-{time.time_ns()}", **kwargs)
     try:
         q.processAllAvailable()
         if flush:
             for i, day in enumerate(("2199-01-01T00:00:00", "2199-06-01T00:00:00")):
-                p = write_jsonl(src / f"part-{i + 1}.json", [reading(SENTINEL, day, 0.0)])
-                os.utime(p, (2_000_000 + i, 2_000_000 + i))
+                drop_file(src, f"part-{i + 1}.json", [reading(SENTINEL, day, 0.0)], 2_000_000 + i)
                 q.processAllAvailable()
     finally:
         q.stop()

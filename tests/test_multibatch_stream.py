@@ -3,7 +3,6 @@ time-ordered files and fed one file per trigger, give the batch results."""
 
 import glob
 import json
-import os
 import time
 
 import pytest
@@ -13,7 +12,7 @@ from cirrus.schema import SINKS
 from cirrus.sources.readings import read_readings
 from cirrus.sources.sinks import read_table
 from cirrus.streaming.jobs import start
-from tests.conftest import reading, write_jsonl
+from tests.documents import drop_file, reading
 from tests.streaming_util import SENTINEL
 from tests.test_batch_equals_stream import _norm, events_as_readings  # noqa: F401  (fixture)
 
@@ -30,8 +29,7 @@ def test_multi_batch_equals_batch(spark, tmp_path, events_as_readings, uc):  # n
         chunks = [records[k * len(records) // 4:(k + 1) * len(records) // 4] for k in range(4)]
         chunks += [[reading(SENTINEL, "2199-01-01T00:00:00", 0.0)], [reading(SENTINEL, "2199-06-01T00:00:00", 0.0)]]
         for i, chunk in enumerate(chunks):
-            p = write_jsonl(src / f"part-{i}.json", chunk)
-            os.utime(p, (1_000_000 + i, 1_000_000 + i))
+            drop_file(src, f"part-{i}.json", chunk, 1_000_000 + i)
             q.processAllAvailable()
     finally:
         q.stop()

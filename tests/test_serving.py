@@ -3,7 +3,7 @@
 from cirrus.plans import usecases as U
 from cirrus.plans.serving import SERVING_SQL, register_results, serve
 from cirrus.sources.bookings import bookings_frame
-from tests.conftest import reading
+from tests.documents import reading
 
 RANGE = ("1900-12-31 00:00:00", "1901-02-28 00:00:00")
 

@@ -1,7 +1,7 @@
 """Keyed result tables: upsert by primary key; replaying a batch is idempotent."""
 
 from cirrus.schema import SINKS
-from cirrus.sources.sinks import append_batch, read_table, upsert_latest
+from cirrus.sources.sinks import append_batch, compact, next_run, read_table, table_kind, truncate, upsert_latest
 
 
 def test_upsert_and_replay(spark, tmp_path):
@@ -25,3 +25,20 @@ def test_upsert_and_replay(spark, tmp_path):
 def test_upsert_latest(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 1, "c")], "k string, o int, v string")
     assert sorted((r.k, r.v) for r in upsert_latest(df, ["k"], ["o"]).collect()) == [("j", "c"), ("k", "b")]
+
+
+def test_empty_replay_runs_and_compaction(spark, tmp_path):
+    spec, path = SINKS["uc04"], str(tmp_path / "gaps")
+    row = lambda k, status: spark.createDataFrame([(k, "1901-01-01 00:00:00", "1901-01-01 01:00:00", status)], "station string, interval_start string, interval_end string, status string")
+    status = lambda: {r.station: r.status for r in read_table(spark, spec, path).collect()}
+    assert table_kind(spark, path) is None and next_run(spark, path) == 0
+    append_batch(row("A", "complete"), spec, path, 7)
+    append_batch(row("B", "complete"), spec, path, 8)
+    append_batch(row("B", "complete").where("false"), spec, path, 8)  # a replay without rows
+    assert status() == {"A": "complete"}
+    append_batch(row("A", "incomplete"), spec, path, 0, run=next_run(spark, path))  # a later run's first batch
+    assert status() == {"A": "incomplete"} and table_kind(spark, path) == "log"
+    compact(spark, spec, path, next_run(spark, path))
+    assert status() == {"A": "incomplete"} and next_run(spark, path) == 3
+    truncate(spark, path)
+    assert table_kind(spark, path) is None

@@ -1,13 +1,12 @@
 """Late data and restart semantics of the streaming jobs."""
 
-import os
 import time
 
 from cirrus.schema import SINKS
 from cirrus.sources.readings import read_readings
 from cirrus.sources.sinks import read_table
 from cirrus.streaming.jobs import start
-from tests.conftest import reading, write_jsonl
+from tests.documents import drop_file, reading
 from tests.streaming_util import SENTINEL
 
 
@@ -18,8 +17,7 @@ def _feed(spark, tmp_path, uc, batches, name):
     q = start(spark, uc, read_readings(spark, str(src), stream=True, max_files_per_trigger=1), table, name=name)
     try:
         for i, records in enumerate(batches):
-            p = write_jsonl(src / f"part-{i}.json", records)
-            os.utime(p, (1_000_000 + i, 1_000_000 + i))
+            drop_file(src, f"part-{i}.json", records, 1_000_000 + i)
             q.processAllAvailable()
     finally:
         q.stop()
@@ -44,13 +42,11 @@ def test_restart_from_checkpoint_is_idempotent(spark, tmp_path):
     src, table = tmp_path / "src-restart", str(tmp_path / "table-restart")
     name = f"restart-{time.time_ns()}"
     rows = [reading("A", f"1901-01-01T0{h}:00:00", float(h)) for h in range(4)]
-    p0 = write_jsonl(src / "part-0.json", rows[:2])
-    os.utime(p0, (1_000_000, 1_000_000))
+    drop_file(src, "part-0.json", rows[:2], 1_000_000)
     q = start(spark, "uc04", read_readings(spark, str(src), stream=True), table, name=name)
     q.processAllAvailable()
     q.stop()
-    p = write_jsonl(src / "part-1.json", rows[2:])
-    os.utime(p, (2_000_000, 2_000_000))
+    drop_file(src, "part-1.json", rows[2:], 2_000_000)
     q = start(spark, "uc04", read_readings(spark, str(src), stream=True), table, name=name)  # same checkpoint
     q.processAllAvailable()
     q.stop()
@@ -71,15 +67,13 @@ def test_all_jobs_in_one_application(spark, tmp_path):
         reading("02950099999", "1901-01-01T02:00:00", 6.0, wind=5.0, visibility=800, pressure=1010.0, temp_quality="3"),
         reading("02950099999", "1901-01-20T00:00:00", 9.0, wind=5.0, visibility=800, pressure=1010.0),
     ]
-    p = write_jsonl(src / "part-0.json", recs)
-    os.utime(p, (1_000_000, 1_000_000))
+    drop_file(src, "part-0.json", recs, 1_000_000)
     qs = start_all(spark, read_readings(spark, str(src), stream=True), str(tmp_path / "results"), bookings_frame(spark), prefix=f"all-{time.time_ns()}")
     try:
         for q in qs:
             q.processAllAvailable()
         for i, day in enumerate(("2199-01-01T00:00:00", "2199-06-01T00:00:00")):
-            p = write_jsonl(src / f"part-{i + 1}.json", [reading(SENTINEL, day, 0.0)])
-            os.utime(p, (2_000_000 + i, 2_000_000 + i))
+            drop_file(src, f"part-{i + 1}.json", [reading(SENTINEL, day, 0.0)], 2_000_000 + i)
             for q in qs:
                 q.processAllAvailable()
     finally:
@@ -89,3 +83,40 @@ def test_all_jobs_in_one_application(spark, tmp_path):
     assert sorted(tables) == sorted(SINKS)
     for uc, df in tables.items():
         assert df.count() > 0, uc
+
+
+def test_backfilled_files_are_read(spark, tmp_path):
+    """A file stamped decades before those already read is not left out."""
+    src, table = tmp_path / "src-backfill", str(tmp_path / "table-backfill")
+    drop_file(src, "new.json", [reading("A", "1901-01-01T00:00:00", 1.0), reading("A", "1901-01-01T01:00:00", 2.0)], int(time.time()))
+    q = start(spark, "uc03", read_readings(spark, str(src), stream=True), table, name=f"backfill-{time.time_ns()}")
+    try:
+        q.processAllAvailable()
+        drop_file(src, "old.json", [reading("B", "1901-01-01T00:00:00", 1.0), reading("B", "1901-01-01T01:00:00", 5.0)], 1_000)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert {r.station: r.change_c_per_hour for r in read_table(spark, SINKS["uc03"], table).collect()} == {"A": 1.0, "B": 4.0}
+
+
+def test_new_checkpoint_over_an_old_table(spark, tmp_path):
+    """A new run's rows win over an old run's later batches; a fresh run holds
+    its own rows only."""
+    table = str(tmp_path / "table-runs")
+
+    def feed(name, batches, fresh=False):
+        src = tmp_path / name
+        q = None
+        for i, records in enumerate(batches):
+            drop_file(src, f"part-{i}.json", records, 1_000_000 + i)
+            if q is None:
+                q = start(spark, "uc04", read_readings(spark, str(src), stream=True, max_files_per_trigger=1), table, name=f"{name}-{time.time_ns()}", fresh=fresh)
+            q.processAllAvailable()
+        q.stop()
+        return {(r.station, str(r.interval_end)): r.status for r in read_table(spark, SINKS["uc04"], table).collect()}
+
+    at = lambda s, h: reading(s, f"1901-01-01T0{h}:00:00", 1.0)
+    feed("first", [[at("A", 0)], [at("B", 0)], [at("A", 3)]])
+    second = feed("second", [[at("A", 2), at("A", 3)]])
+    assert second == {("A", "1901-01-01 03:00:00"): "complete"}
+    assert feed("third", [[at("C", 0), at("C", 1)]], fresh=True) == {("C", "1901-01-01 01:00:00"): "complete"}
