@@ -16,6 +16,10 @@ import re
 #: Fixed value: the pre-token pattern of byte-level BPE.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Marks that the pattern takes as one pre-token when they follow a word; the
+#: apostrophe isn't one, as it may start a pre-token with letters.
+_MARKS = ".,;:!?)"
+
 _CUT = re.compile(r" (?=\S)")
 
 
@@ -39,18 +43,29 @@ class ByteBpe:
         self.model = Tokenizer.from_file(path).model
         self.pretokens = regex.compile(PRETOKENS).findall
         self.table = _byte_letters()
+        self.space = chr(self.table[32])
 
     def ids(self, pretoken: str) -> list[int]:
         """Token ids of one pre-token."""
-        if pretoken in self.special:
-            return [self.special[pretoken]]
-        letters = pretoken.encode().decode("latin-1").translate(self.table)
-        return [t.id for t in self.model.tokenize(letters)]
+        return [t.id for t in self.model.tokenize(self._letters(pretoken))]
 
     def count(self, pretoken: str) -> int:
         if pretoken in self.special:
             return 1
-        return len(self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.table)))
+        return len(self.model.tokenize(self._letters(pretoken)))
+
+    def _letters(self, pretoken: str) -> str:
+        if pretoken[0] == " " and pretoken.isascii() and pretoken[1:].isalpha():
+            return self.space + pretoken[1:]  # letters of ASCII stand for themselves
+        return pretoken.encode().decode("latin-1").translate(self.table)
+
+    def pretokens_of(self, part: str) -> list[str]:
+        """Pre-tokens of a part of :func:`parts`."""
+        if part[0] != " ":  # mostly a word, perhaps with a mark behind
+            word = part.rstrip(_MARKS)
+            if word.isalpha():
+                return [" " + word] if len(word) == len(part) else [" " + word, part[len(word) :]]
+        return self.pretokens(spelled(part))
 
     def runs(self, text: str) -> list[tuple[bool, str]]:
         """The text cut at special strings: (is special, string)."""

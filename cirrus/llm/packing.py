@@ -10,11 +10,12 @@ by joining on (length, rank within length).
 from __future__ import annotations
 
 import bisect
+import sys
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ from cirrus.llm import bytebpe
 from cirrus.llm.common import bounded_batches, running_sum, stored
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: Parts of texts whose ids one Python process remembers.
-REMEMBERED = 600_000
+#: Parts of texts whose ids one Python process remembers, twice over.
+REMEMBERED = 500_000
 #: Slots that one planned row stands for at most, so that no task makes a
 #: whole length's slots.
 SLOTS_A_ROW = 4096
@@ -129,15 +130,19 @@ def _slots(spark: SparkSession, plan: list[tuple[int, int, int, int, int]]) -> D
 
 
 class _Bytes(dict):
-    """Ids of each part of a text as little-endian bytes; None marks an odd part."""
+    """Ids of each part of a text as little-endian bytes; None marks an odd
+    part.  When it is full, only parts that come again are kept."""
 
     def __init__(self, bpe: bytebpe.ByteBpe):
-        self.bpe = bpe
+        self.bpe, self.before = bpe, {}
 
     def __missing__(self, part: str) -> bytes | None:
-        out = None
-        if not bytebpe.odd(part):
-            out = np.array([i for t in self.bpe.pretokens(bytebpe.spelled(part)) for i in self.bpe.ids(t)], "<u4").tobytes()
+        if part in self.before:
+            out = self.before[part]
+        elif bytebpe.odd(part):
+            out = None
+        else:
+            out = array("I", [i for t in self.bpe.pretokens_of(part) for i in self.bpe.ids(t)]).tobytes()
         if len(part) <= 64:  # longer ones hardly come again
             self[part] = out
         return out
@@ -146,11 +151,14 @@ class _Bytes(dict):
         out = []
         for is_special, run in self.bpe.runs(text):
             if is_special:
-                out.append(np.array([self.bpe.special[run]], "<u4").tobytes())
+                out.append(array("I", [self.bpe.special[run]]).tobytes())
             elif run:
-                found = [self[p] for p in bytebpe.cut_at_spaces(run)]
-                out += found if None not in found else [self[p] for p in bytebpe.parts(run)]
+                try:
+                    out.append(b"".join(map(self.__getitem__, bytebpe.cut_at_spaces(run))))
+                except TypeError:  # None among them: an odd part
+                    out.append(b"".join(map(self.__getitem__, bytebpe.parts(run))))
         if len(self) > REMEMBERED:
+            self.before = dict(self)
             self.clear()
         return b"".join(out)
 
@@ -161,7 +169,9 @@ _KNOWN: dict[str, _Bytes] = {}
 def _cut(tokenizer: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _KNOWN.setdefault(tokenizer, _Bytes(bytebpe.opened(tokenizer)))
-        end = np.array([end_id], "<u4").tobytes()
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are handled as little-endian unsigned 32-bit integers")
+        end = array("I", [end_id]).tobytes()
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

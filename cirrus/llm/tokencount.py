@@ -119,16 +119,16 @@ class _Block:
             if is_special:
                 self.special[run, at] = self.special.get((run, at), 0) + 1
             elif run:
-                codes = [self.codes[p] for p in bytebpe.cut_at_spaces(run)]
+                codes = list(map(self.codes.__getitem__, bytebpe.cut_at_spaces(run)))
                 if self.codes.odd and not self.codes.odd.isdisjoint(codes):
-                    codes = [self.codes[p] for p in bytebpe.parts(run)]
+                    codes = list(map(self.codes.__getitem__, bytebpe.parts(run)))
                 code, times = np.unique(np.array(codes, np.int64), return_counts=True)
                 self.found.append(code * BLOCK_DOCS + at)
                 self.times.append(times)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         tokens = _Codes()
-        of_part = [[tokens[t] for t in self.bpe.pretokens(bytebpe.spelled(p))] if not bytebpe.odd(p) else [] for p in self.codes]
+        of_part = [[tokens[t] for t in self.bpe.pretokens_of(p)] if not bytebpe.odd(p) else [] for p in self.codes]
         lengths = np.fromiter(map(len, of_part), np.int64, len(of_part))
         flat = np.fromiter((t for ts in of_part for t in ts), np.int64, int(lengths.sum()))
         starts = np.cumsum(lengths) - lengths
