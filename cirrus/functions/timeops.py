@@ -7,6 +7,7 @@ microseconds, which is exact and zone-independent for both types.
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import Column
@@ -16,9 +17,8 @@ MICROS_PER_SECOND = 1_000_000
 MICROS_PER_HOUR = 3_600 * MICROS_PER_SECOND
 
 # Streaming watermarks start at 1970-01-01, so earlier event times would all be
-# late.  Shifting by a whole number of every window slide keeps window
-# boundaries where they were (largest slide used: 10 days).
-EPOCH_SHIFT_DAYS = 40_000
+# late: streams shift them by this many days at least (readings from 1697 on).
+EPOCH_SHIFT_DAYS = 100_000
 
 _UNIT_SECONDS = {
     "second": 1, "seconds": 1, "minute": 60, "minutes": 60,
@@ -32,6 +32,14 @@ def duration_seconds(text: str) -> int:
     return int(amount) * _UNIT_SECONDS[unit.lower()]
 
 
+def epoch_shift(*slides: str) -> Column:
+    """The shift of a stream whose windows move by ``slides``: a whole number
+    of each, so that window boundaries stay where they are."""
+    unit = math.lcm(*(duration_seconds(s) for s in slides))
+    seconds = -(-EPOCH_SHIFT_DAYS * 86_400 // unit) * unit
+    return F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))
+
+
 def micros_between(start: Column | str, end: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
 

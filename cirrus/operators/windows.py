@@ -112,8 +112,10 @@ def sliding_agg(
     keys = _keys(key)
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
     if strategy == "auto":
-        strategy = "expand" if size_s // slide_s <= EXPAND_MAX_COPIES else "panes"
-    if strategy == "panes" and size_s % slide_s == 0:
+        strategy = "expand" if size_s // slide_s <= EXPAND_MAX_COPIES or size_s % slide_s else "panes"
+    if strategy == "panes":
+        if size_s % slide_s:
+            raise ValueError(f"panes need a size that is a multiple of the slide, not {size} by {slide}")
         panes = pane_aggregate(df, keys, time, slide, aggs)
         out = merge_panes(panes, keys, "_pane", size, slide, aggs)
     else:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cirrus.functions.baseline import formula_baseline
 from cirrus.functions.labels import station_label
+from cirrus.functions.timeops import duration_seconds
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.operators.rank import top_n_both_ends, top_n_sliding
@@ -54,14 +55,21 @@ def _r(c) -> F.Column:
     return F.floor(x9 * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-def interval_stats(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+def _panel_events(spark: SparkSession, sf_dir: str, size: str) -> DataFrame:
+    """The events of all windows of ``size`` that end in the panel's range, by
+    a filter on time that reaches the scan."""
+    first = F.to_timestamp_ntz(F.lit(SERVE_FROM)) - F.make_dt_interval(secs=F.lit(duration_seconds(size)).cast("decimal(18,6)"))
+    return _events(spark, sf_dir).where((F.col(TIME) >= first) & (F.col(TIME) < F.to_timestamp_ntz(F.lit(SERVE_TO))))
+
+
+def interval_stats(spark, sf_dir, ev: DataFrame | None = None):
+    ev = ev or _events(spark, sf_dir)
     out = tumbling_stats(ev, KEY, TIME, VALUE)
     return out.withColumn("avg_value", _r("avg_value"))
 
 
-def predicate_count(spark, sf_dir, strategy: str = "auto"):
-    ev = _events(spark, sf_dir)
+def predicate_count(spark, sf_dir, strategy: str = "auto", ev: DataFrame | None = None):
+    ev = ev or _events(spark, sf_dir)
     bad = F.when(F.coalesce(F.col("event_type") == BAD_EVENT_TYPE, F.lit(False)), 1).otherwise(0)
     return sliding_agg(ev.withColumn("_bad", bad), KEY, TIME, "1 hour", "10 minutes", [("bad_count", "sum", "_bad")], strategy).withColumn(
         "bad_count", F.col("bad_count").cast("bigint")
@@ -105,8 +113,8 @@ def _rolling_avg(ev: DataFrame, size: str, slide: str, strategy: str = "auto") -
     return sliding_agg(ev.where(F.col(VALUE).isNotNull()), KEY, TIME, size, slide, [("avg_value", "avg", VALUE)], strategy)
 
 
-def baseline_deviation(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+def baseline_deviation(spark, sf_dir, ev: DataFrame | None = None):
+    ev = ev or _events(spark, sf_dir)
     w = _rolling_avg(ev, "24 hours", "1 hour")
     base = formula_baseline(F.col(KEY).cast("string"))
     return w.select(KEY, "window_start", "window_end", _r(F.col("avg_value") - base).alias("deviation"))
@@ -204,6 +212,37 @@ def normalize_dead_letters(spark, sf_dir):
     return dead
 
 
+def _messages(ev: DataFrame, document) -> DataFrame:
+    """Messages built from events: 'error' events are no JSON, 'signup' ones
+    a JSON object without what the reader needs, the others ``document``."""
+    kind, number = F.col("event_type"), F.col("event_id").cast("string")
+    broken = F.concat(F.lit("not json "), number)
+    lacking = F.concat(F.lit('{"row_number": '), number, F.lit("}"))
+    return ev.select(F.when(kind == "error", broken).when(kind == "signup", lacking).otherwise(document).alias("value"))
+
+
+def raw_event_dead_letters(spark, sf_dir):
+    """Raw events that can't be decoded, or without a usable line, with
+    their message."""
+    from cirrus.sources.kafka import raw_events
+
+    lines = norm.events_as_raw_lines(_events(spark, sf_dir).withColumn("event_type", F.when(F.col("event_type") == "view", "error").otherwise(F.col("event_type"))))
+    ev = _events(spark, sf_dir).join(lines.select((F.col("row_number") - 2).alias("event_id"), "raw_line"), "event_id")
+    document = F.to_json(F.struct(F.lit("f").alias("source_file"), F.col("event_id").alias("row_number"), F.when(F.col("event_type") == "view", F.lit("")).otherwise(F.col("raw_line")).alias("raw_line")))
+    _, dead = norm.normalize(raw_events(_messages(ev, document)))
+    return dead.select("error", F.col("raw_message").alias("message"))
+
+
+def reading_dead_letters(spark, sf_dir):
+    """Messages that are no reading, or one without an event time."""
+    from cirrus.sources.readings import parse_readings_split
+
+    date = F.when(F.col("event_type") == "view", F.lit("yesterday")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    document = F.concat(F.lit('{"station": "'), F.col("user_id").cast("string"), F.lit('", "date": "'), date, F.lit('"}'))
+    _, dead = parse_readings_split(_messages(_events(spark, sf_dir), document))
+    return dead.select("error", F.col("raw_message").alias("message"))
+
+
 # ---------------------------------------------------------------- serving
 def _between(c: str):
     return F.col(c).between(F.to_timestamp_ntz(F.lit(SERVE_FROM)), F.to_timestamp_ntz(F.lit(SERVE_TO)))
@@ -214,7 +253,7 @@ def _label(c: str):
 
 
 def serve_stats(spark, sf_dir, window_size: str = "24h"):
-    s = interval_stats(spark, sf_dir)
+    s = interval_stats(spark, sf_dir, _panel_events(spark, sf_dir, "24 hours"))
     return (
         s.where(_between("window_end") & (F.col("window_size") == window_size))
         .select(F.col("window_end").alias("time"), _label(KEY).alias("station"), "avg_value", "min_value", "max_value")
@@ -223,7 +262,7 @@ def serve_stats(spark, sf_dir, window_size: str = "24h"):
 
 
 def serve_quality(spark, sf_dir):
-    s = predicate_count(spark, sf_dir)
+    s = predicate_count(spark, sf_dir, ev=_panel_events(spark, sf_dir, "1 hour"))
     return s.where(_between("window_end")).select(
         F.col("window_end").alias("time"), _label(KEY).alias("metric"), F.col("bad_count").alias("value")
     ).orderBy("time")
@@ -244,7 +283,7 @@ def serve_gaps(spark, sf_dir):
 
 
 def serve_deviation(spark, sf_dir):
-    s = baseline_deviation(spark, sf_dir)
+    s = baseline_deviation(spark, sf_dir, _panel_events(spark, sf_dir, "24 hours"))
     return s.where(_between("window_end")).select(
         F.col("window_end").alias("time"), _label(KEY).alias("station"), "deviation"
     ).orderBy("time")
@@ -259,12 +298,10 @@ def serve_ranking(spark, sf_dir, list_name: str = "hottest"):
     from cirrus.functions.timeops import floor_time_expr
 
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
-    latest = ev.select(floor_time_expr(F.max(TIME), "1 hour").alias("s"))
-    start = latest.scalar()
-    end = latest.select((F.col("s") + F.make_dt_interval(hours=F.lit(24))).alias("e")).scalar()
+    start = ev.select(floor_time_expr(F.max(TIME), "1 hour").alias("s")).scalar()
     recent = ev.where(F.col(TIME) >= start)
     w = sliding_agg(recent, KEY, TIME, "24 hours", "1 hour", [("_hi", "max", VALUE), ("_lo", "min", VALUE)])
-    s = top_n_both_ends(w.where(F.col("window_end") == end), KEY, "_hi", "_lo", 10, "value")
+    s = top_n_both_ends(w.where(F.col("window_start") == start), KEY, "_hi", "_lo", 10, "value")
     return (
         s.where(F.col("list_name") == list_name)
         .select(
@@ -336,6 +373,8 @@ QUERIES = {
     "composite_alerts_split": composite_alerts_split,
     "normalized_readings": normalized_readings,
     "normalize_dead_letters": normalize_dead_letters,
+    "raw_event_dead_letters": raw_event_dead_letters,
+    "reading_dead_letters": reading_dead_letters,
     "serve_stats": serve_stats,
     "serve_quality": serve_quality,
     "serve_change": serve_change,

@@ -225,6 +225,20 @@ SERVE = {
         ORDER BY window_end DESC""",
 }
 
+_BROKEN = "CASE event_type WHEN 'error' THEN 'not json ' || event_id WHEN 'signup' THEN '{\"row_number\": ' || event_id || '}'"
+
+RAW_EVENT_DEAD_LETTERS = f"""
+SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'not a raw event' ELSE 'empty line' END AS error,
+       {_BROKEN} ELSE '{{"source_file":"f","row_number":' || event_id || ',"raw_line":""}}' END AS message
+FROM events WHERE event_type IN ('error', 'signup', 'view')
+"""
+
+READING_DEAD_LETTERS = f"""
+SELECT CASE event_type WHEN 'error' THEN 'not a reading' ELSE 'date is missing or not yyyy-MM-ddTHH:mm:ss' END AS error,
+       {_BROKEN} ELSE '{{"station": "' || user_id || '", "date": "yesterday"}}' END AS message
+FROM events WHERE event_type IN ('error', 'signup', 'view')
+"""
+
 ORACLE = {
     "interval_stats": INTERVAL_STATS,
     "predicate_count": PREDICATE_COUNT,
@@ -245,5 +259,7 @@ ORACLE = {
     "composite_alerts_split": COMPOSITE_ALERTS,
     "normalized_readings": NORMALIZED_READINGS,
     "normalize_dead_letters": NORMALIZE_DEAD_LETTERS,
+    "raw_event_dead_letters": RAW_EVENT_DEAD_LETTERS,
+    "reading_dead_letters": READING_DEAD_LETTERS,
     **SERVE,
 }

@@ -81,9 +81,10 @@ def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours
     candidate stations (``top_n_sliding``); ``expand`` / ``panes`` rank every
     (station, window) aggregate."""
     x = _temps(readings)
-    if strategy == "candidates" and duration_seconds(size) % duration_seconds(slide) == 0:
+    if strategy == "candidates":
+        if duration_seconds(size) % duration_seconds(slide):
+            raise ValueError(f"candidates need a size that is a multiple of the slide, not {size} by {slide}")
         return top_n_sliding(x, K, T, "temp_c", size, slide, n, "temp_c")
-    strategy = "auto" if strategy == "candidates" else strategy
     w = sliding_agg(x, K, T, size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")], strategy)
     return top_n_both_ends(w, K, "_hi", "_lo", n, "temp_c")
 

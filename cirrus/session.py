@@ -9,6 +9,7 @@ and local runs; on a cluster the caller owns the session and only
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -75,3 +76,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     return checkpoint_root(spark).rstrip("/") + "/" + name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, whose functions Python workers import
+    (once an application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(root):  # else it came in an archive, by --py-files
+        at = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="cirrus-py-"), "cirrus"), "zip", os.path.dirname(root), "cirrus")
+        sc.addPyFile(at)
+    _SHIPPED.add(sc.applicationId)

@@ -82,25 +82,25 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, data_dir: str, year: str | None = None, station: str | None = None) -> DataFrame:
     path = raw_glob(data_dir, year, station)
-    numbered = _lines(spark, path).mapInPandas(_positions_in_split, _SCAN_SCHEMA)
-    whole = numbered.where(F.col("_len") >= F.col("_size")).select(
-        "source_file", (F.col("_pos") + F.lit(1)).alias("row_number"), "raw_line"
-    )
     # files never split: at most min(maxPartitionBytes, openCostInBytes) bytes
     never_split = min(
         _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")),
         _bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m")),
     )
+    one, several = F.col("_len") >= F.col("_size"), (F.col("_size") > F.lit(never_split)) & (F.col("_len") < F.col("_size"))
+    # filtered before Python, so that each line passes it once
+    numbered = lambda which: _lines(spark, path).where(which).mapInPandas(_positions_in_split, _SCAN_SCHEMA)
+    whole = numbered(one).select("source_file", (F.col("_pos") + F.lit(1)).alias("row_number"), "raw_line")
     earlier = Window.partitionBy("source_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         _lines(spark, path)
-        .where((F.col("_size") > F.lit(never_split)) & (F.col("_len") < F.col("_size")))
+        .where(several)
         .groupBy("source_file", "_split")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("source_file", "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
     split = (
-        numbered.where(F.col("_len") < F.col("_size"))
+        numbered(several)
         .join(offsets, ["source_file", "_split"])
         .select("source_file", (F.col("_before") + F.col("_pos") + F.lit(1)).alias("row_number"), "raw_line")
     )

@@ -9,9 +9,9 @@ over a message stream).  Each builder returns ``(stream, transform)``:
 
 * Windows: native event-time windows in append mode, emitted once when the
   watermark (event time - 5 minutes) passes the window end.  Watermarks
-  start at 1970-01-01, so event times are shifted forward by
-  ``EPOCH_SHIFT_DAYS`` (a multiple of every slide) before the watermark and
-  back afterwards; without it, readings from before 1970 would all be late.
+  start at 1970-01-01, so event times are shifted forward by a whole number
+  of the job's slides (``epoch_shift``) before the watermark and back
+  afterwards; without it, readings from before 1970 would all be late.
 * Sequential operators: ``transformWithState`` with one value of state per
   key.  K1, K2, K4 run without event-time mode, so late rows are processed in
   arrival order rather than dropped (as in the reference); K5 feeds a window
@@ -24,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.functions.baseline import formula_baseline
-from cirrus.functions.timeops import EPOCH_SHIFT_DAYS, duration_seconds
+from cirrus.functions.timeops import duration_seconds, epoch_shift
 from cirrus.operators.rank import top_n_both_ends
 from cirrus.operators.sequence import exact
 from cirrus.operators.windows import sliding_agg
 from cirrus.plans import usecases as U
 from cirrus.schema import SINKS
-from cirrus.session import checkpoint_path
+from cirrus.session import checkpoint_path, ship_package
 from cirrus.sources.readings import WATERMARK, arrival_order
 from cirrus.sources.sinks import names_in, next_run, truncate, upsert_writer
 from cirrus.streaming.processors import GapStatus, PressureDrops, RateOfChange, ThresholdPeriods, TrendDirection
@@ -38,18 +38,14 @@ from cirrus.streaming.processors import GapStatus, PressureDrops, RateOfChange,
 K, T = "station", "event_time"
 
 
-def _shift():
-    return F.make_dt_interval(days=F.lit(EPOCH_SHIFT_DAYS))
-
-
-def watermarked(readings: DataFrame, delay: str = WATERMARK) -> DataFrame:
+def watermarked(readings: DataFrame, delay: str, *slides: str) -> DataFrame:
     """Event time shifted past 1970 with a bounded-lateness watermark."""
-    return readings.withColumn(T, F.col(T) + _shift()).withWatermark(T, delay)
+    return readings.withColumn(T, F.col(T) + epoch_shift(*slides)).withWatermark(T, delay)
 
 
-def _unshift(df: DataFrame, *cols: str) -> DataFrame:
-    for c in cols:
-        df = df.withColumn(c, F.col(c) - _shift())
+def _unshift(df: DataFrame, *slides: str) -> DataFrame:
+    for c in ("window_start", "window_end"):
+        df = df.withColumn(c, F.col(c) - epoch_shift(*slides))
     return df
 
 
@@ -63,7 +59,8 @@ def _window_stats(x: DataFrame, size: str, slide: str, aggs) -> DataFrame:
 
 # --------------------------------------------------------------------- windows
 def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24 hours")), watermark: str = WATERMARK):
-    x = U._temps(watermarked(readings, watermark)).select(K, T, "temp_c")
+    slides = [size for _, size in sizes]
+    x = U._temps(watermarked(readings, watermark, *slides)).select(K, T, "temp_c")
     parts = []
     for label, size in sizes:
         a = _window_stats(x, size, size, [("min_temp_c", "min", "temp_c"), ("max_temp_c", "max", "temp_c"), ("avg_temp_c", "avg", "temp_c")])
@@ -71,39 +68,39 @@ def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _unshift(out, "window_start", "window_end"), None
+    return _unshift(out, *slides), None
 
 
 def data_quality(readings: DataFrame, size="1 hour", slide="10 minutes", watermark: str = WATERMARK):
-    out = U.data_quality(watermarked(readings, watermark), size, slide, strategy="expand")
-    return _unshift(out, "window_start", "window_end"), None
+    out = U.data_quality(watermarked(readings, watermark, slide), size, slide, strategy="expand")
+    return _unshift(out, slide), None
 
 
 def temperature_deviation(readings: DataFrame, size="24 hours", slide="1 hour", baseline: DataFrame | None = None, watermark: str = WATERMARK):
     """Rolling average minus the formula baseline, or minus a static baseline
     table (station, baseline) joined to the closed windows (stream-static)."""
-    w = _window_stats(U._temps(watermarked(readings, watermark)).select(K, T, "temp_c"), size, slide, [("avg_temp_c", "avg", "temp_c")])
+    w = _window_stats(U._temps(watermarked(readings, watermark, slide)).select(K, T, "temp_c"), size, slide, [("avg_temp_c", "avg", "temp_c")])
     if baseline is None:
         out = w.select(K, "window_start", "window_end", (F.col("avg_temp_c") - formula_baseline(F.col(K))).alias("deviation_c"))
     else:
         b = baseline.select(K, F.col(baseline.columns[1]).alias("_base"))
         out = w.join(b, K, "left").select(K, "window_start", "window_end", (F.col("avg_temp_c") - F.col("_base")).alias("deviation_c"))
-    return _unshift(out, "window_start", "window_end"), None
+    return _unshift(out, slide), None
 
 
 def temperature_rankings(readings: DataFrame, n: int = 10, size="24 hours", slide="1 hour", watermark: str = WATERMARK):
     """Per (window, station) maxima and minima are aggregated in the stream;
     all stations of a window close in the same micro-batch, where the top n
     of each end are ranked (batch window functions, partial group limit)."""
-    w = _window_stats(U._temps(watermarked(readings, watermark)).select(K, T, "temp_c"), size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")])
-    w = _unshift(w, "window_start", "window_end")
+    w = _window_stats(U._temps(watermarked(readings, watermark, slide)).select(K, T, "temp_c"), size, slide, [("_hi", "max", "temp_c"), ("_lo", "min", "temp_c")])
+    w = _unshift(w, slide)
     return w, lambda batch: top_n_both_ends(batch, K, "_hi", "_lo", n, "temp_c")
 
 
 def climate_trend(readings: DataFrame, size="30 days", slide="10 days", watermark: str = WATERMARK):
-    x = U._temps(watermarked(readings, watermark)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
+    x = U._temps(watermarked(readings, watermark, slide)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
     w = _window_stats(x, size, slide, [("avg", "avg", "temp_c")])
-    w = _unshift(w, "window_start", "window_end").select(
+    w = _unshift(w, slide).select(
         K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), F.col("avg").cast("double").alias("avg")
     )
     out = w.groupBy(K).transformWithState(
@@ -157,7 +154,7 @@ def low_visibility(readings: DataFrame, threshold: float = U.VISIBILITY_THRESHOL
 
 
 def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes", watermark: str = WATERMARK):
-    x = U.storm_readings(watermarked(readings, watermark))
+    x = U.storm_readings(watermarked(readings, watermark, slide))
     order = arrival_order(x)
     keyed = x.select(K, F.unix_micros(T).alias("t_us"), *order, F.col("pressure_hpa").alias("p"), F.col("wind_kmh").alias("level"))
     drops = keyed.groupBy(K).transformWithState(
@@ -168,7 +165,7 @@ def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes", wa
     out = w.where(
         (F.col("pressure_drop_hpa_per_hour") > U.PRESSURE_DROP_HPA_PER_HOUR) & (F.col("max_wind_kmh") > U.WIND_THRESHOLD_KMH)
     ).withColumn("alert", F.lit("storm_event"))
-    return _unshift(out, "window_start", "window_end"), None
+    return _unshift(out, slide), None
 
 
 # ----------------------------------------------------------------------- join
@@ -221,6 +218,7 @@ def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, na
     if fresh:
         for path in (table_path, checkpoint, f"{checkpoint}-run"):
             truncate(spark, path)
+    ship_package(spark)
     run = run_of(spark, checkpoint, table_path)
     stream, transform = STREAM_JOBS[uc](readings, **kwargs)
     writer = (

@@ -13,6 +13,7 @@ from tests.conftest import SF_SMALL
 def plan(spark):
     def get(name):
         spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan, before AQE re-planning
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
         try:
             return E.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         finally:
@@ -77,3 +78,24 @@ def test_registered_queries_stay_in_the_jvm(plan, name):
     for python_node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF"):
         assert python_node not in p, (name, python_node)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+@pytest.mark.parametrize("name", ["serve_stats", "serve_quality", "serve_deviation"])
+def test_panels_filter_time_at_the_scan(plan, name):
+    p = plan(name)
+    pushed = re.findall(r"PushedFilters: \[([^\]]*)\]", p)
+    assert len(pushed) == 1 and "GreaterThanOrEqual(ts" in pushed[0] and "LessThan(ts" in pushed[0]
+
+
+def test_ranking_panel_scans_twice(plan):
+    assert plan("serve_ranking").count("FileScan parquet") <= 3  # the reused subquery is printed twice
+
+
+def test_raw_lines_are_filtered_before_python(spark, tmp_path):
+    from cirrus.sources.raw import read_raw
+
+    (tmp_path / "1901").mkdir()
+    (tmp_path / "1901" / "s.csv").write_text("h\na\nb\n")
+    p = read_raw(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    branches = p.split("MapInPandas")[1:]
+    assert len(branches) == 2 and all("_len" in b and "Filter" in b for b in branches)
