@@ -33,7 +33,7 @@ from cirrus.schema import SINKS
 from cirrus.session import checkpoint_path, ship_package
 from cirrus.sources.readings import WATERMARK, arrival_order
 from cirrus.sources.sinks import names_in, next_run, truncate, upsert_writer
-from cirrus.streaming.processors import GapStatus, PressureDrops, RateOfChange, ThresholdPeriods, TrendDirection
+from cirrus.streaming.processors import gap_status, pressure_drops, rate_of_change, threshold_periods, trend_direction
 
 K, T = "station", "event_time"
 
@@ -104,7 +104,7 @@ def climate_trend(readings: DataFrame, size="30 days", slide="10 days", watermar
         K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), F.col("avg").cast("double").alias("avg")
     )
     out = w.groupBy(K).transformWithState(
-        TrendDirection(), "key string, start_us bigint, end_us bigint, avg double, trend string", "Append", "None"
+        trend_direction(), "key string, start_us bigint, end_us bigint, avg double, trend string", "Append", "None"
     )
     return out.select(
         F.col("key").alias(K), _from_us("start_us").alias("window_start"), _from_us("end_us").alias("window_end"),
@@ -124,7 +124,7 @@ def temperature_change(readings: DataFrame, per_seconds: float = 3600.0):
     x = U._temps(readings)
     order = arrival_order(x)
     out = _keyed_input(x, "temp_c", order).groupBy(K).transformWithState(
-        RateOfChange(per_seconds, order), "key string, t_us bigint, rate double", "Append", "None"
+        rate_of_change(per_seconds, order), "key string, t_us bigint, rate double", "Append", "None"
     )
     return out.select(F.col("key").alias(K), _from_us("t_us").alias(T), F.col("rate").alias("change_c_per_hour")), None
 
@@ -132,7 +132,7 @@ def temperature_change(readings: DataFrame, per_seconds: float = 3600.0):
 def data_gaps(readings: DataFrame, max_gap: str = "1 hour"):
     order = arrival_order(readings)
     out = _keyed_input(readings, None, order).groupBy(K).transformWithState(
-        GapStatus(duration_seconds(max_gap) * 1_000_000, order), "key string, start_us bigint, end_us bigint, status string", "Append", "None"
+        gap_status(duration_seconds(max_gap) * 1_000_000, order), "key string, start_us bigint, end_us bigint, status string", "Append", "None"
     )
     return out.select(
         F.col("key").alias(K), _from_us("start_us").alias("interval_start"), _from_us("end_us").alias("interval_end"), "status"
@@ -145,7 +145,7 @@ def low_visibility(readings: DataFrame, threshold: float = U.VISIBILITY_THRESHOL
         K, T, *order, F.col("visibility.distance_meters").alias("vis")
     )
     out = _keyed_input(x, "vis", order).groupBy(K).transformWithState(
-        ThresholdPeriods(threshold, order), "key string, start_us bigint, end_us bigint, hours bigint", "Append", "None"
+        threshold_periods(threshold, order), "key string, start_us bigint, end_us bigint, hours bigint", "Append", "None"
     )
     return out.select(
         F.col("key").alias(K), _from_us("start_us").alias("period_start"), _from_us("end_us").alias("period_end"),
@@ -158,7 +158,7 @@ def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes", wa
     order = arrival_order(x)
     keyed = x.select(K, F.unix_micros(T).alias("t_us"), *order, F.col("pressure_hpa").alias("p"), F.col("wind_kmh").alias("level"))
     drops = keyed.groupBy(K).transformWithState(
-        PressureDrops(order), "key string, event_time timestamp, drop double, level double", "Append", "EventTime",
+        pressure_drops(order), "key string, event_time timestamp, drop double, level double", "Append", "EventTime",
         eventTimeColumnName="event_time",
     ).withColumnRenamed("key", K)
     w = _window_stats(drops, size, slide, [("pressure_drop_hpa_per_hour", "max", "drop"), ("max_wind_kmh", "max", "level")])

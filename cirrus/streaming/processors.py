@@ -1,164 +1,111 @@
-"""Keyed state machines (K1-K5) for ``transformWithState`` (row API).
-
-Each processor keeps one small value per key (the previous reading, the open
-period, the previous window average), as the reference's keyed process
-functions do.  Rows of one key inside a micro-batch are sorted by event time
-(and arrival position) first; across micro-batches, arrival order is kept.
-Times cross the Python boundary as epoch microseconds (``t_us``), so no time
-zone is involved.
+"""Keyed state (K1-K5) for ``transformWithState`` (row API).
+
+One processor, ``Fold``: a key's rows, in order, are folded into one small
+state, and a step may emit a row.  The five operators are steps.  Rows of a
+key inside a micro-batch are sorted by time (and arrival position) first;
+across micro-batches, arrival order is kept.  Times cross the Python boundary
+as epoch microseconds, so no time zone is involved.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-MICROS_PER_HOUR = 3_600_000_000
+MICROS_PER_SECOND, MICROS_PER_HOUR = 1_000_000, 3_600_000_000
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
-
-def _sorted(rows, *extra):
-    return sorted(rows, key=lambda r: (r["t_us"], *[(r[c] is None, r[c]) for c in extra]))
-
-
-def _ts(us: int) -> datetime:
-    return _EPOCH + timedelta(microseconds=us)
+#: (state or None, row) -> (next state or None, what to emit or None)
+Step = Callable[[tuple | None, Row], tuple[tuple | None, dict | None]]
 
 
-class RateOfChange(StatefulProcessor):
-    """K1: rows (t_us, v [, order...]) -> (t_us, rate per ``per_seconds``)."""
+class Fold(StatefulProcessor):
+    """Folds each key's rows, sorted by ``by`` (nulls last), with ``step``;
+    the state has the columns ``schema``."""
 
-    def __init__(self, per_seconds: float = 3600.0, order=()):
-        self.per_seconds, self.order = per_seconds, tuple(order)
+    def __init__(self, schema: str, step: Step, by: Sequence[str]):
+        self.schema, self.step, self.by = schema, step, tuple(by)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", "t_us BIGINT, v DOUBLE")
+        self.state = handle.getValueState("state", self.schema)
 
     def handleInputRows(self, key, rows, timerValues):
-        prev = self.prev.get() if self.prev.exists() else None
-        out = []
-        for r in _sorted(rows, *self.order):
-            if prev is not None:
-                sec = (r["t_us"] - prev[0]) / 1_000_000
-                if sec > 0:
-                    out.append(Row(key=key[0], t_us=r["t_us"], rate=(r["v"] - prev[1]) * self.per_seconds / sec))
-            prev = (r["t_us"], r["v"])
-        self.prev.update(prev)
-        return iter(out)
+        state = tuple(self.state.get()) if self.state.exists() else None
+        for row in sorted(rows, key=lambda r: [(r[c] is None, r[c]) for c in self.by]):
+            state, emitted = self.step(state, row)
+            if emitted is not None:
+                yield Row(key=key[0], **emitted)
+        if state is None:
+            self.state.clear()
+        else:
+            self.state.update(state)
 
     def close(self) -> None:
         pass
 
 
-class GapStatus(StatefulProcessor):
-    """K2: rows (t_us) -> (start_us, end_us, complete | incomplete)."""
-
-    def __init__(self, max_gap_us: int = MICROS_PER_HOUR, order=()):
-        self.max_gap_us, self.order = max_gap_us, tuple(order)
+def _change(value: str, per_seconds: float, emit: Callable[[Row, float], dict]) -> Step:
+    """Remembers (time, value); emits the change per time from an earlier one."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", "t_us BIGINT")
+    def step(before, row):
+        now = (row["t_us"], row[value])
+        gone = now[0] - before[0] if before else 0
+        return now, emit(row, (now[1] - before[1]) * per_seconds / (gone / MICROS_PER_SECOND)) if gone > 0 else None
 
-    def handleInputRows(self, key, rows, timerValues):
-        prev = self.prev.get()[0] if self.prev.exists() else None
-        out = []
-        for r in _sorted(rows, *self.order):
-            t = r["t_us"]
-            if prev is not None:
-                status = "complete" if t - prev <= self.max_gap_us else "incomplete"
-                out.append(Row(key=key[0], start_us=prev, end_us=t, status=status))
-            prev = t
-        self.prev.update((prev,))
-        return iter(out)
+    return step
 
-    def close(self) -> None:
-        pass
 
+def rate_of_change(per_seconds: float = 3600.0, order: Sequence[str] = ()) -> Fold:
+    """K1: rows (t_us, v) -> (t_us, rate per ``per_seconds``)."""
+    return Fold("t_us BIGINT, v DOUBLE", _change("v", per_seconds, lambda r, rate: {"t_us": r["t_us"], "rate": rate}), ("t_us", *order))
 
-class ThresholdPeriods(StatefulProcessor):
-    """K4: rows (t_us, v) -> closed periods of v < threshold (start_us, end_us, hours)."""
 
-    def __init__(self, threshold: float, order=()):
-        self.threshold, self.order = threshold, tuple(order)
+def pressure_drops(order: Sequence[str] = ()) -> Fold:
+    """K5: rows (t_us, p, level) -> (event_time, drop per hour, level), with an
+    event-time column so that a window can follow."""
+    emit = lambda r, rate: {"event_time": _EPOCH + timedelta(microseconds=r["t_us"]), "drop": -rate, "level": r["level"]}
+    return Fold("t_us BIGINT, p DOUBLE", _change("p", 3600.0, emit), ("t_us", *order))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open_start", "t_us BIGINT")
 
-    def handleInputRows(self, key, rows, timerValues):
-        start = self.open.get()[0] if self.open.exists() else None
-        out = []
-        for r in _sorted(rows, *self.order):
-            if r["v"] < self.threshold:
-                if start is None:
-                    start = r["t_us"]
-                continue
-            if start is None:
-                continue
-            out.append(Row(key=key[0], start_us=start, end_us=r["t_us"], hours=(r["t_us"] - start) // MICROS_PER_HOUR))
-            start = None
-        if start is None:
-            self.open.clear()
-        else:
-            self.open.update((start,))
-        return iter(out)
+def gap_status(max_gap_us: int = MICROS_PER_HOUR, order: Sequence[str] = ()) -> Fold:
+    """K2: rows (t_us) -> (start_us, end_us, complete | incomplete)."""
 
-    def close(self) -> None:
-        pass
+    def step(before, row):
+        end = row["t_us"]
+        if before is None:
+            return (end,), None
+        return (end,), {"start_us": before[0], "end_us": end, "status": "incomplete" if end - before[0] > max_gap_us else "complete"}
 
+    return Fold("t_us BIGINT", step, ("t_us", *order))
 
-class TrendDirection(StatefulProcessor):
-    """K3: closed windows (start_us, end_us, avg) -> trend against the key's
-    previous window."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev_avg", "avg DOUBLE")
+def threshold_periods(threshold: float, order: Sequence[str] = ()) -> Fold:
+    """K4: rows (t_us, v) -> closed periods of v < threshold (start_us, end_us,
+    hours); the state is the start of the open one."""
 
-    def handleInputRows(self, key, rows, timerValues):
-        prev = self.prev.get()[0] if self.prev.exists() else None
-        out = []
-        for r in sorted(rows, key=lambda r: r["start_us"]):
-            a = r["avg"]
-            if prev is None:
-                t = "unknown"
-            elif a > prev:
-                t = "rising"
-            elif a < prev:
-                t = "falling"
-            else:
-                t = "stable"
-            out.append(Row(key=key[0], start_us=r["start_us"], end_us=r["end_us"], avg=a, trend=t))
-            prev = a
-        self.prev.update((prev,))
-        return iter(out)
+    def step(opened, row):
+        at = row["t_us"]
+        if row["v"] < threshold:
+            return opened or (at,), None
+        return None, opened and {"start_us": opened[0], "end_us": at, "hours": (at - opened[0]) // MICROS_PER_HOUR}
 
-    def close(self) -> None:
-        pass
+    return Fold("t_us BIGINT", step, ("t_us", *order))
 
 
-class PressureDrops(StatefulProcessor):
-    """K5: rows (t_us, p, level) -> (event_time, drop per hour, level) for
-    readings strictly after the previous one; emits an event-time column so a
-    window can follow."""
+#: The direction by the sign of the change.
+DIRECTIONS = {-1: "falling", 0: "stable", 1: "rising"}
 
-    def __init__(self, order=()):
-        self.order = tuple(order)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.prev = handle.getValueState("prev", "t_us BIGINT, p DOUBLE")
+def trend_direction() -> Fold:
+    """K3: closed windows (start_us, end_us, avg) -> trend against the key's
+    window before."""
 
-    def handleInputRows(self, key, rows, timerValues):
-        prev = self.prev.get() if self.prev.exists() else None
-        out = []
-        for r in _sorted(rows, *self.order):
-            if prev is not None:
-                sec = (r["t_us"] - prev[0]) / 1_000_000
-                if sec > 0:
-                    out.append(Row(key=key[0], event_time=_ts(r["t_us"]), drop=(prev[1] - r["p"]) * 3600.0 / sec, level=r["level"]))
-            prev = (r["t_us"], r["p"])
-        self.prev.update(prev)
-        return iter(out)
+    def step(before, row):
+        now = row["avg"]
+        trend = "unknown" if before is None else DIRECTIONS[(now > before[0]) - (now < before[0])]
+        return (now,), {"start_us": row["start_us"], "end_us": row["end_us"], "avg": now, "trend": trend}
 
-    def close(self) -> None:
-        pass
+    return Fold("avg DOUBLE", step, ("start_us",))
