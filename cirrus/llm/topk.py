@@ -76,9 +76,10 @@ def _searched(queries: DataFrame, cands: DataFrame, k: int) -> DataFrame:
                 out.append(_search(qs["query_id"].to_numpy(np.int64), np.stack(qs["v"]).astype(np.int64), least, cs["vec_id"].to_numpy(np.int64), np.stack(cs["v"]).astype(np.int64), k))
         return pd.concat(out, ignore_index=True)
 
-    queries = queries.select("query_id", "v", "least", "shard", "block")
-    cands = cands.select("vec_id", "v", "shard", "block")
-    return queries.groupBy("shard", "block").cogroup(cands.groupBy("shard", "block")).applyInPandas(lambda q, c: search(q, c), _HITS)
+    # both sides come of one table: names of their own keep their columns apart
+    own = lambda df, *cols: df.select(*[F.col(c).alias(c) for c in cols], F.col("shard").alias("_shard"), F.col("block").alias("_block"))
+    queries, cands = own(queries, "query_id", "v", "least"), own(cands, "vec_id", "v")
+    return queries.groupBy("_shard", "_block").cogroup(cands.groupBy("_shard", "_block")).applyInPandas(lambda q, c: search(q, c), _HITS)
 
 
 class BallTree:
