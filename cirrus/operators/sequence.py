@@ -46,7 +46,7 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once, in the shared checkpoint folder.  Sessions with
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` (as ``build_session``
     sets it) remove the files when nothing refers to them any more."""
@@ -68,7 +68,7 @@ def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Seq
     per_bucket = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
     if not max_rows:
         return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
-    per_bucket = _checkpointed(per_bucket)
+    per_bucket = checkpointed(per_bucket)
     oversized = per_bucket.where(F.col("_seq_cnt") > F.lit(max_rows))
     stats = oversized.agg(F.count(F.lit(1)).alias("groups"), F.sum("_seq_cnt").alias("rows")).first()
     if not stats or not stats["groups"]:
@@ -78,7 +78,7 @@ def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Seq
     cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0))
     parts = max(2, -(-int(stats["rows"]) // max_rows))
     split = flagged.where(F.col("_seq_hot")).drop("_seq_hot").repartitionByRange(parts, *keys, time, *tiebreak)
-    split = _checkpointed(split.withColumn(SUB_COL, F.spark_partition_id() + F.lit(1)))
+    split = checkpointed(split.withColumn(SUB_COL, F.spark_partition_id() + F.lit(1)))
     group = [*keys, BUCKET_COL, SUB_COL]
     cold_summary = per_bucket.join(hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0))
     hot_summary = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))

@@ -12,7 +12,7 @@ quoted text plus one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.functions import rawformat as fmt
@@ -145,11 +145,11 @@ def _tenths_text(v, width: int, modulus: int):
     return F.lpad(F.pmod(F.floor(v).cast("bigint"), F.lit(modulus)).cast("string"), width, "0")
 
 
-def events_as_raw_lines(events: DataFrame) -> DataFrame:
+def events_as_raw_lines(events: DataFrame, slp: Column | None = None) -> DataFrame:
     """Raw station lines built from ``events`` (whole table): station from
     user_id, DATE from ts (empty for 'error' events, which become dead
     letters), TMP / WND / VIS from value, a quoted NAME holding a comma, a
-    surplus 17th column."""
+    surplus 17th column.  ``slp``: the text of SLP, else a constant."""
     v = F.col("value")
     q = lambda *cs: F.concat(F.lit('"'), *cs, F.lit('"'))
     date = F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
@@ -171,7 +171,7 @@ def events_as_raw_lines(events: DataFrame) -> DataFrame:
         q(_tenths_text(v * 100, 6, 1000000), F.lit(",1,N,9")),
         q(tmp_sign, _tenths_text(F.abs(v) * 10, 4, 10000), F.lit(",1")),
         q(F.lit("+9999,9")),
-        q(F.lit("10200,1")),
+        q(F.lit("10200,1") if slp is None else slp),
         q(F.lit("08,99,1")),
     )
     return events.select(

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from cirrus.plans import events, events_sql
+from cirrus.plans import events, events_sql, product, product_sql
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -39,7 +39,7 @@ SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "st
                    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(events_sql.ORACLE))
+@pytest.mark.parametrize("name", sorted(events_sql.ORACLE | product_sql.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     typed = con.sql(E.oracle_sql()[name])
@@ -57,3 +57,4 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
     assert set(events.QUERIES) == set(events_sql.ORACLE)
+    assert set(product.QUERIES) == set(product_sql.ORACLE)
