@@ -1,4 +1,4 @@
-"""Static physical plan summary of every registered query (AQE off, so the
+"""Static physical plan summary of the queries over events (AQE off, so the
 plan is the one chosen before run-time re-planning):
 
     python tools/plan_report.py [sf_dir]
@@ -10,7 +10,7 @@ import re
 import sys
 
 sys.path.insert(0, ".")
-import __spark_entry__ as E  # noqa: E402
+from cirrus.plans.events import QUERIES  # noqa: E402
 from cirrus.session import build_session  # noqa: E402
 
 
@@ -31,7 +31,7 @@ def main():
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     print("| query | scans | shuffles | partial agg | top-N group limit | joins | Python |")
     print("|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = summary(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())
         print(f"| {name} | {s['scans']} | {s['shuffles']} | {'yes' if s['partial_agg'] else 'no'} | "
               f"{'yes' if s['group_limit'] else '-'} | {s['joins']} | {s['python']} |")
