@@ -59,6 +59,7 @@ def main(argv=None) -> None:
     a.add_argument("--results", required=True)
     a.add_argument("--only")
     s = sub.add_parser("stream")
+    s.add_argument("--fresh", action="store_true", help="empty the result tables and forget the checkpoints first")
     s.add_argument("--uc", required=True, choices=sorted(SINKS) + ["all"])
     g = s.add_mutually_exclusive_group(required=True)
     g.add_argument("--readings")
@@ -98,25 +99,28 @@ def main(argv=None) -> None:
             write_table(df, SINKS[uc], os.path.join(args.results, SINKS[uc].name))
     elif args.cmd == "stream":
         from cirrus.sources.bookings import bookings_frame
-        from cirrus.sources.readings import parse_readings, read_normalized_stream, read_readings
-        from cirrus.streaming.jobs import start
+        from cirrus.sources.readings import parse_readings_split, read_normalized_stream, read_readings_split
+        from cirrus.streaming.jobs import start, start_dead_letters
 
+        dead = None
         if args.normalized:
             readings = read_normalized_stream(spark, args.normalized)
         elif args.kafka:
             from cirrus.sources.kafka import read_topic
 
-            readings = parse_readings(read_topic(spark, args.kafka, args.topic))
+            readings, dead = parse_readings_split(read_topic(spark, args.kafka, args.topic))
         else:
-            readings = read_readings(spark, args.readings, stream=True)
+            readings, dead = read_readings_split(spark, args.readings, stream=True)
+        if dead is not None:
+            start_dead_letters(spark, dead, os.path.join(args.results, "dead_letters"))
         if args.uc == "all":
             from cirrus.streaming.jobs import start_all
 
-            start_all(spark, readings, args.results, bookings_frame(spark))
+            start_all(spark, readings, args.results, bookings_frame(spark), fresh=args.fresh)
             spark.streams.awaitAnyTermination()
             return
         kwargs = {"bookings": bookings_frame(spark)} if args.uc == "uc08" else {}
-        q = start(spark, args.uc, readings, os.path.join(args.results, SINKS[args.uc].name), **kwargs)
+        q = start(spark, args.uc, readings, os.path.join(args.results, SINKS[args.uc].name), fresh=args.fresh, **kwargs)
         q.awaitTermination()
     elif args.cmd == "serve":
         from cirrus.plans.serving import register_results, serve

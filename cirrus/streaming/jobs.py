@@ -251,6 +251,13 @@ def start_normalizer(spark: SparkSession, raw_events: DataFrame, out: str, name:
     return writer.start()
 
 
+def start_dead_letters(spark: SparkSession, dead: DataFrame, out: str, name: str = "dead-letters", trigger: dict | None = None):
+    """Messages that are no reading, with their text, into parquet at ``out``
+    (the second half of ``read_readings_split`` / ``parse_readings_split``)."""
+    writer = dead.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint_path(spark, name)).outputMode("append")
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def start_all(spark: SparkSession, readings: DataFrame, results_root: str, bookings: DataFrame, prefix: str = "stream", trigger: dict | None = None, fresh: bool = False):
     """All ten jobs as concurrent streaming queries of one application, each
     appending to ``<results_root>/<table>``; returns the started queries."""

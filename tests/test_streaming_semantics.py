@@ -120,3 +120,19 @@ def test_new_checkpoint_over_an_old_table(spark, tmp_path):
     second = feed("second", [[at("A", 2), at("A", 3)]])
     assert second == {("A", "1901-01-01 03:00:00"): "complete"}
     assert feed("third", [[at("C", 0), at("C", 1)]], fresh=True) == {("C", "1901-01-01 01:00:00"): "complete"}
+
+
+def test_dead_letters_of_a_stream(spark, tmp_path):
+    """Lines that are no reading, or have no time, are kept with their text."""
+    from cirrus.sources.readings import read_readings_split
+    from cirrus.streaming.jobs import start_dead_letters
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('not json\n\n{"station": "A"}\n{"station": "A", "date": "1901-01-01T00:00:00"}\n')
+    readings, dead = read_readings_split(spark, str(tmp_path / "in"), stream=True)
+    q = start_dead_letters(spark, dead, str(tmp_path / "dead"), name=f"dead-{time.time_ns()}")
+    q.processAllAvailable()
+    q.stop()
+    got = {(r.error, r.raw_message) for r in spark.read.parquet(str(tmp_path / "dead")).collect()}
+    assert got == {("not a reading", "not json"), ("date is missing or not yyyy-MM-ddTHH:mm:ss", '{"station": "A"}')}
+    assert read_readings_split(spark, str(tmp_path / "in"))[0].count() == 1
