@@ -7,13 +7,15 @@
 2. Texts of one set are one class with its smallest id.  Classes that share a
    band of the signature are candidates.  Each bucket first compares its
    members with its smallest one only; links are confirmed on full sets.
-3. Buckets whose members are then still in several components are compared
-   in blocks, member by member across components, by signature; what may
-   reach the similarity is confirmed on full sets.
+3. Where members of a bucket are then still in several components, all such
+   texts are joined exactly, across components, by prefixes: two sets can only
+   be linked if they share one of the rarest quarter of either's shingles.
+   What a text has of its own fills its prefix, so that a text too far from a
+   group meets none of it, however large the group.
 4. Components are the result of merging along all links.
 
 No step emits the pairs of a group: copies are folded before, near copies
-meet their bucket's smallest member, and blocks hand on only likely links.
+meet their bucket's smallest member, and a component isn't joined with itself.
 """
 
 from __future__ import annotations
@@ -37,13 +39,10 @@ PERCENT = 75
 #: A pair at the least similarity shares no band with a probability of
 #: (1 - 0.75**5)**40 = 2e-5.
 BANDS, ROWS = 40, 5
-#: Signature coordinates (of BANDS * ROWS, one byte each) that blocks ask to
-#: agree.  A pair at the least similarity has fewer with a probability of 1e-6.
-AGREE = 120
-#: Members that one task compares with a text, or with each other, at a time.
-FANOUT, BLOCK = 64, 256
+#: Texts that one group compares with a text at a time.
+FANOUT = 64
 
-_SIGNED = "id long, n_shingles long, set_hash binary, bands array<long>, coords binary"
+_SIGNED = "id long, n_shingles long, set_hash binary, bands array<long>"
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,17 +71,19 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     buckets = keyed.withColumn("first", F.min("id").over(of_key)).withColumn("n", F.count(F.lit(1)).over(of_key))
     buckets = stored(buckets.where("n > 1").drop("n"), "buckets")
     star = buckets.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    links = stored(confirmed(star, rows), "links")
+    texts = rows.join(buckets.select(F.col("id").alias("_i")).distinct(), F.col("id") == F.col("_i"), "left_semi")
+    texts = stored(texts, "texts")
+    links = stored(confirmed(star, texts), "links")
     roots = merged(links)
 
     # several components in a bucket, its first member aside: its pairs are tried
     left = buckets.where("id <> first").select("id", "band", "key").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
-    left = left.select("id", "band", "key", F.coalesce("root", "id").alias("root"))
-    mixed = left.withColumn("low", F.min("root").over(of_key)).withColumn("high", F.max("root").over(of_key)).where("low < high").drop("low", "high")
-    mixed = stored(mixed, "mixed")
+    left = stored(left.select("id", "band", "key", F.coalesce("root", "id").alias("root")), "left")
+    mixed = left.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = left.join(stored(mixed.select("_b", "_k"), "mixed"), (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "root").distinct()
+    mixed = stored(mixed, "unsettled")
     if not mixed.isEmpty():
-        more = confirmed(likely(mixed, has.select("id", "coords")), rows)
-        links = stored(links.unionByName(more), "all-links")
+        links = stored(links.unionByName(confirmed(across(mixed, texts), texts)), "all-links")
     roots = merged(stored(links.unionByName(copies), "links-and-copies"))
     out = signed.select("id", "n_shingles").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
     component = F.coalesce("root", "id")
@@ -156,7 +157,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, hashes, bands, coords = [], [], [], []
+        counts, hashes, bands = [], [], []
         for text in batch.column(1).to_pylist():
             found = shingles(text or "")
             counts.append(len(found))
@@ -167,17 +168,18 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys = _mixed64(keys + _MIX[0] ^ low[k::ROWS].astype(np.uint64))
                 hashes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 bands.append(keys.view(np.int64))
-                coords.append((_mixed64(low.astype(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes())
             else:
-                hashes.append(None), bands.append(None), coords.append(None)
+                hashes.append(None)
+                bands.append(None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(coords, pa.binary())],
-            names=["id", "n_shingles", "set_hash", "bands", "coords"],
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            names=["id", "n_shingles", "set_hash", "bands"],
         )
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b) those that are linked by their full sets.
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Of ``pairs`` (a, b) those that are linked by their full sets; ``texts``
+    (id, text; a stored table) has all of them.
 
     A text that many are compared with goes along with FANOUT of them at a
     time, so that neither a task nor the shuffle holds it once a pair.
@@ -185,8 +187,6 @@ def confirmed(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     pairs = stored(pairs, "pairs")
     sizes = stored(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / F.lit(FANOUT)).cast("int").alias("salts")), "pair-sizes")
     salted = pairs.join(sizes.withColumnRenamed("b", "_b"), F.col("b") == F.col("_b")).select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int").alias("salt"))
-    ids = pairs.select(F.col("a").alias("_i")).union(pairs.select("b")).distinct()
-    texts = stored(rows.join(ids, F.col("id") == F.col("_i")).select("id", "text"), "pair-texts")
     many = salted.join(texts, F.col("a") == F.col("id")).select("a", "b", "salt", "text")
     one = sizes.join(texts, F.col("b") == F.col("id")).select(F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("part"), F.col("text").alias("whole"))
 
@@ -207,36 +207,42 @@ def linked(one: np.ndarray, other: np.ndarray) -> bool:
     return 100 * common >= PERCENT * (low + high - common)
 
 
-def likely(mixed: DataFrame, coords: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``mixed`` (id, band, key, root) in one bucket but not
-    of one component, whose signatures agree in AGREE coordinates.
-
-    A bucket's members are dealt into blocks of about BLOCK; each pair of
-    blocks is one group, so that the largest bucket is as many tasks as it
-    needs."""
-    sizes = stored(mixed.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")), "bucket-sizes")
-    sizes = sizes.select(F.col("band").alias("_b"), F.col("key").alias("_k"), "blocks")
-    dealt = mixed.join(sizes, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).drop("_b", "_k")
-    dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("id", "band", "key", "root", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    sig = coords.withColumnRenamed("id", "_i").dropDuplicates(["_i", "coords"])
-    blocks = dealt.join(sig, F.col("id") == F.col("_i")).drop("_i")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
-        x = np.frombuffer(b"".join(pdf["coords"]), np.uint8).reshape(len(pdf), -1)
-        ids, roots, mine = pdf["id"].to_numpy(), pdf["root"].to_numpy(), pdf["mine"].to_numpy()
-        rows, cols = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        out = [np.zeros((0, 2), np.int64)]
-        for r in rows:
-            able = cols[(roots[cols] != roots[r]) & ((ids[cols] > ids[r]) if i == j else True)]
-            hit = able[(x[able] == x[r]).sum(1) >= AGREE]
-            out.append(np.stack([np.maximum(ids[hit], ids[r]), np.minimum(ids[hit], ids[r])], axis=1))
-        both = np.unique(np.concatenate(out), axis=0)
-        return pd.DataFrame({"a": both[:, 0], "b": both[:, 1]})
-
-    return blocks.groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+def across(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``mixed`` (id, root) of different components, among
+    them all linked ones, by an exact prefix join.
+
+    With shingles in the order of how many texts have them, linked sets of n
+    and m shingles share one of the first n / 4 + 1 of the one and of the
+    first m / 4 + 1 of the other.  Shingles of one text only are counted, not
+    joined.  Of each shingle, the component that has most of its texts is
+    met by the others, not by itself.
+    """
+    sets = texts.join(mixed.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i")).select("id", "root", "text")
+    sets = stored(sets.mapInArrow(_sets, "id long, root long, uid long, n long, s array<long>"), "sets")
+    each = sets.select("id", "root", "uid", "n", F.explode("s").alias("s"))
+    shared = stored(each.groupBy("s").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "shared")
+    found = each.join(shared.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).drop("_s")
+    of_set = Window.partitionBy("uid")
+    place = F.row_number().over(of_set.orderBy("texts", "s")) + F.col("n") - F.count(F.lit(1)).over(of_set)
+    prefix = stored(found.withColumn("place", place).where(F.col("place") <= F.floor(F.col("n") / 4) + 1).select("id", "root", "n", "s"), "prefix")
+    by_root = prefix.groupBy("s", "root").agg(F.count(F.lit(1)).alias("texts"))
+    tops = by_root.groupBy("s").agg(F.max_by("root", F.struct("texts", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    tops = stored(tops.select(F.col("s").alias("_s"), "top"), "tops")
+    met = stored(prefix.join(tops, F.col("s") == F.col("_s")).select("id", "root", "n", "s", "top"), "met")
+    others = met.where("root <> top").select(F.col("id").alias("_id"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("s").alias("_s"))
+    near = (100 * F.least("n", "_n") >= PERCENT * F.greatest("n", "_n")) & (F.col("root") != F.col("_root"))
+    both = met.join(others, (F.col("s") == F.col("_s")) & near)
+    return both.select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).distinct()
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [shingles(t or "") for t in batch.column(2).to_pylist()]
+        uids = [xxhash.xxh64_intdigest(f.tobytes(), seed=i & 0xFFFFFFFF) for f, i in zip(found, batch.column(0).to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(np.array(uids, np.uint64).view(np.int64)), pa.array([len(f) for f in found], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+            names=["id", "root", "uid", "n", "s"],
+        )
 
 
 def merged(links: DataFrame) -> DataFrame:

@@ -126,12 +126,12 @@ def test_near_duplicate_chains_and_groups(spark):
     order = rng.permutation(len(rows))
     rows = [(int(order[i]), t, s) for i, t, s in rows]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
-    old = neardup.BLOCK, neardup.FANOUT
-    neardup.BLOCK, neardup.FANOUT = 16, 8
+    old = neardup.FANOUT
+    neardup.FANOUT = 8
     try:
         got = {r.doc_id: r.component_id for r in neardup.components(df).collect()}
     finally:
-        neardup.BLOCK, neardup.FANOUT = old
+        neardup.FANOUT = old
     assert got == brute_components(rows)
 
 
