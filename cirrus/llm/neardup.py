@@ -214,8 +214,13 @@ def across(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     With shingles in the order of how many texts have them, linked sets of n
     and m shingles share one of the first n / 4 + 1 of the one and of the
     first m / 4 + 1 of the other.  Shingles of one text only are counted, not
-    joined.  Of each shingle, the component that has most of its texts is
-    met by the others, not by itself.
+    joined.  Around a shared shingle, sets share at most the lesser number of
+    not their own before it and the lesser number behind it, so that texts
+    that each differ from a group in their own way aren't paired.
+    Nor are those with too few shingles in common in front, as all behind the
+    front of one of them can't make up for it.
+    Of each shingle, the component that has most of its texts is met by the
+    others, not by itself.
     """
     sets = texts.join(mixed.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i")).select("id", "root", "text")
     sets = stored(sets.mapInArrow(_sets, "id long, root long, uid long, n long, s array<long>"), "sets")
@@ -223,16 +228,25 @@ def across(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     shared = stored(each.groupBy("s").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "shared")
     found = each.join(shared.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).drop("_s")
     of_set = Window.partitionBy("uid")
-    place = F.row_number().over(of_set.orderBy("texts", "s")) + F.col("n") - F.count(F.lit(1)).over(of_set)
-    prefix = stored(found.withColumn("place", place).where(F.col("place") <= F.floor(F.col("n") / 4) + 1).select("id", "root", "n", "s"), "prefix")
+    own = F.col("n") - F.count(F.lit(1)).over(of_set)
+    ranked = found.withColumn("own", own).withColumn("place", F.row_number().over(of_set.orderBy("texts", "s")) + F.col("own"))
+    prefix = stored(ranked.where(F.col("place") <= F.floor(F.col("n") / 4) + 1).select("id", "root", "n", "own", "place", "s"), "prefix")
     by_root = prefix.groupBy("s", "root").agg(F.count(F.lit(1)).alias("texts"))
     tops = by_root.groupBy("s").agg(F.max_by("root", F.struct("texts", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
     tops = stored(tops.select(F.col("s").alias("_s"), "top"), "tops")
-    met = stored(prefix.join(tops, F.col("s") == F.col("_s")).select("id", "root", "n", "s", "top"), "met")
-    others = met.where("root <> top").select(F.col("id").alias("_id"), F.col("root").alias("_root"), F.col("n").alias("_n"), F.col("s").alias("_s"))
-    near = (100 * F.least("n", "_n") >= PERCENT * F.greatest("n", "_n")) & (F.col("root") != F.col("_root"))
-    both = met.join(others, (F.col("s") == F.col("_s")) & near)
-    return both.select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).distinct()
+    met = stored(prefix.join(tops, F.col("s") == F.col("_s")).select("id", "root", "n", "own", "place", "s", "top"), "met")
+    others = met.where("root <> top").select(*[F.col(c).alias(f"_{c}") for c in ("id", "root", "n", "own", "place", "s")])
+    before = F.least(F.col("place") - F.col("own"), F.col("_place") - F.col("_own"))
+    most = before + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+    able = lambda shared: 100 * shared >= PERCENT * (F.col("n") + F.col("_n") - shared)
+    once = (F.col("root") == F.col("top")) | (F.col("id") < F.col("_id"))
+    both = met.join(others, (F.col("s") == F.col("_s")) & able(most) & once & (F.col("root") != F.col("_root")))
+    later = F.col("id") > F.col("_id")  # a pair may come either way round, by the shingle
+    of = lambda x, y: F.when(later, F.col(x)).otherwise(F.col(y))
+    both = both.select(of("id", "_id").alias("a"), of("_id", "id").alias("b"), of("n", "_n").alias("n"), of("_n", "n").alias("_n"))
+    both = both.groupBy("a", "b", "n", "_n").agg(F.count(F.lit(1)).alias("c"))
+    behind = lambda n: F.col(n) - F.floor(F.col(n) / 4) - 1
+    return both.where(able(F.col("c") + F.greatest(behind("n"), behind("_n")))).select("a", "b").distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

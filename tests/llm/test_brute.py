@@ -135,6 +135,26 @@ def test_near_duplicate_chains_and_groups(spark):
     assert got == brute_components(rows)
 
 
+def test_prefix_join_loses_no_link(spark):
+    """Whatever the components so far, every linked pair across them is found."""
+    rng = np.random.default_rng(8)
+    words = [f"u{i}" for i in range(400)]
+    base = [list(rng.choice(words, 60)) for _ in range(4)]
+    rows = []
+    for i in range(160):
+        text = list(base[i % 4])
+        for p in rng.choice(60, int(rng.integers(0, 6)), replace=False):
+            text[p] = str(rng.choice(words))
+        rows.append((i, " ".join(text[: int(rng.integers(45, 61))]), ""))
+    roots = {i: int(rng.integers(0, 5)) for i, _, _ in rows}
+    texts = spark.createDataFrame([r[:2] for r in rows], "id long, text string").repartition(3)
+    mixed = spark.createDataFrame(list(roots.items()), "id long, root long")
+    got = {(r.a, r.b) for r in neardup.across(mixed, texts).collect()}
+    sets = {i: s[0] for i, s in shingle_sets(rows).items()}
+    want = {(i, j) for i in sets for j in sets if i > j and roots[i] != roots[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    assert want and want <= got and all(roots[a] != roots[b] for a, b in got)
+
+
 def test_signature_is_circulant_minhash():
     """Shares of equal coordinates estimate the similarity."""
     rng = np.random.default_rng(2)
