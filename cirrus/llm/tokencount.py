@@ -5,14 +5,16 @@ the documents' pre-token frequencies:
 
 1. every block of documents (part of one input partition) becomes one row
    per distinct pre-token, with its postings (document in block, frequency);
-2. rows are shuffled and sorted by pre-token, so each distinct pre-token
-   meets its postings from all blocks in one run of one task: its pieces are
-   counted once, multiplied with the frequencies and summed per document, as
-   far as that task has them;
+2. rows are shuffled by pre-token and sorted by block range and pre-token, so
+   each distinct pre-token meets its postings from all blocks of a range in
+   one run of one task: its pieces are counted once, multiplied with the
+   frequencies and summed per document; at the end of a range the task passes
+   on one row for each of its blocks, of the documents that it has sums of;
 3. the partial sums of a block meet with its document ids.
 
 A pre-token has one row per block however often it occurs, so a very common
-one is not a hot key.
+one is not a hot key.  A block has one row of partial sums from each task at
+most, together no longer than its postings, however many blocks there are.
 """
 
 from __future__ import annotations
@@ -32,10 +34,11 @@ from cirrus.llm.common import bounded_batches
 BLOCK_DOCS = 1 << 13
 BLOCK_CHARS = 48 << 20
 _MOST = (1 << 31) // BLOCK_DOCS - 1
-#: Blocks whose sums a task holds before it passes them on.
-HELD_BLOCKS = 256
+#: A block range, whose sums a task holds at a time: so many partitions, and
+#: of each so many blocks.
+RANGE_PARTS, RANGE_BLOCKS = 32, 8
 
-_BLOCKS = "token string, block long, postings array<int>, ids array<long>, bytes array<long>"
+_BLOCKS = "token string, range long, block long, postings array<int>, ids array<long>, bytes array<long>"
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,14 +54,21 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int, id_col: str = "doc
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    postings = rows.mapInArrow(_blocks(tokenizer), _BLOCKS)
-    runs = postings.repartition(width, "token").sortWithinPartitions("token")
-    sums = runs.mapInArrow(_piece_sums(tokenizer), "block long, sums array<long>, ids array<long>, bytes array<long>")
+    sums = partial_sums(rows, tokenizer)
     out = sums.groupBy("block").applyInArrow(_documents, "id long, n_bytes long, n_tokens long")
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
+def partial_sums(rows: DataFrame, tokenizer: str) -> DataFrame:
+    """Of (id, text) rows: one row a block with its documents' ids and bytes,
+    and at most one from each task with the tokens that the task has counted
+    in them; ``docs``: the documents that the sums are of, null for all."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = rows.mapInArrow(_blocks(tokenizer), _BLOCKS)
+    runs = postings.repartition(width, "token").sortWithinPartitions("range", "token")
+    return runs.mapInArrow(_piece_sums(tokenizer), "block long, docs array<short>, sums array<long>, ids array<long>, bytes array<long>")
+
+
 class _Codes(dict):
     """Numbers its keys in order of appearance."""
 
@@ -160,54 +170,67 @@ class _Block:
             b = min(a + 20_000, len(names))
             offsets = (bounds[a : b + 1] - bounds[a]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(posting[bounds[a] : bounds[b]]))
-            yield _batch(names[a:b], [self.number] * (b - a), lists, None, None)
+            yield _batch(names[a:b], self.number, lists, None, None)
         # the block's documents travel under a name that is no pre-token, as
         # a control character and a letter never stand in one
-        yield _batch([f"\x01block{self.number}"], [self.number], None, [self.ids], [self.bytes])
+        yield _batch([f"\x01block{self.number}"], self.number, None, [self.ids], [self.bytes])
 
 
-def _batch(tokens, blocks, postings, ids, sizes) -> pa.RecordBatch:
+def _range(block: int) -> int:
+    part, n = block >> 32, block & 0xFFFFFFFF
+    return (part // RANGE_PARTS << 32) + n // RANGE_BLOCKS
+
+
+def _batch(tokens, block, postings, ids, sizes) -> pa.RecordBatch:
     n = len(tokens)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(tokens, pa.string()),
-            pa.array(blocks, pa.int64()),
+            pa.array(np.full(n, _range(block))),
+            pa.array(np.full(n, block)),
             postings if postings is not None else pa.nulls(n, pa.list_(pa.int32())),
             pa.array(ids, pa.list_(pa.int64())) if ids else pa.nulls(n, pa.list_(pa.int64())),
             pa.array(sizes, pa.list_(pa.int64())) if sizes else pa.nulls(n, pa.list_(pa.int64())),
         ],
-        names=["token", "block", "postings", "ids", "bytes"],
+        names=["token", "range", "block", "postings", "ids", "bytes"],
     )
 
 
-_SUMS = pa.schema([("block", pa.int64()), ("sums", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int64()))])
+_SUMS = pa.schema([("block", pa.int64()), ("docs", pa.list_(pa.int16())), ("sums", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("bytes", pa.list_(pa.int64()))])
 
 
 def _piece_sums(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = bytebpe.opened(tokenizer)
         slots, sums = _Codes(), np.zeros((0, BLOCK_DOCS), np.int64)
-        last, pieces = None, 0
-        for batch in batches:
-            tokens, blocks, postings = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-            infos = [i for i, t in enumerate(tokens) if t.startswith("\x01block")]
-            if infos:
-                yield pa.RecordBatch.from_arrays([pa.array([blocks[i] for i in infos]), pa.nulls(len(infos), pa.list_(pa.int64())), *(batch.column(c).take(pa.array(infos)) for c in (3, 4))], schema=_SUMS)
-            counts = np.zeros(len(tokens), np.int64)
-            for i, t in enumerate(tokens):
-                if t != last:
-                    last, pieces = t, bpe.count(t) if postings[i].is_valid else 0
-                counts[i] = pieces
-            slot = np.fromiter((slots[b] for b in blocks), np.int64, len(blocks))
-            if len(slots) > len(sums):
-                sums = np.concatenate([sums, np.zeros((len(slots) - len(sums), BLOCK_DOCS), np.int64)])
-            value = np.asarray(postings.flatten())
-            n = np.asarray(postings.value_lengths().fill_null(0))
-            key = np.repeat(slot, n) * BLOCK_DOCS + value % BLOCK_DOCS
-            np.add.at(sums.reshape(-1), key, np.repeat(counts, n) * (value // BLOCK_DOCS))
-            if len(slots) >= HELD_BLOCKS:
-                yield from _passed_on(slots, sums)
-                slots, sums = _Codes(), np.zeros((0, BLOCK_DOCS), np.int64)
+        last, pieces, now = None, 0, None
+        for whole in batches:
+            ranges = np.asarray(whole.column(1))
+            cuts = [0, *(np.flatnonzero(np.diff(ranges)) + 1), len(ranges)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if ranges[a] != now:
+                    yield from _passed_on(slots, sums)
+                    slots, sums, now = _Codes(), np.zeros((0, BLOCK_DOCS), np.int64), ranges[a]
+                batch = whole.slice(a, b - a)
+                tokens, blocks, postings = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
+                infos = [i for i, t in enumerate(tokens) if t.startswith("\x01block")]
+                if infos:
+                    none = [pa.nulls(len(infos), _SUMS.field(c).type) for c in ("docs", "sums")]
+                    yield pa.RecordBatch.from_arrays([pa.array([blocks[i] for i in infos]), *none, *(batch.column(c).take(pa.array(infos)) for c in (4, 5))], schema=_SUMS)
+                counts = np.zeros(len(tokens), np.int64)
+                for i, t in enumerate(tokens):
+                    if t != last:
+                        last, pieces = t, bpe.count(t) if postings[i].is_valid else 0
+                    counts[i] = pieces
+                slot = np.fromiter((slots[b] for b in blocks), np.int64, len(blocks))
+                if len(slots) > len(sums):
+                    sums = np.concatenate([sums, np.zeros((len(slots) - len(sums), BLOCK_DOCS), np.int64)])
+                value = np.asarray(postings.flatten())
+                n = np.asarray(postings.value_lengths().fill_null(0))
+                key = np.repeat(slot, n) * BLOCK_DOCS + value % BLOCK_DOCS
+                np.add.at(sums.reshape(-1), key, np.repeat(counts, n) * (value // BLOCK_DOCS))
         yield from _passed_on(slots, sums)
 
     return run
@@ -217,18 +240,20 @@ def _passed_on(slots: dict, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     for block, i in slots.items():
         used = np.flatnonzero(sums[i])
         if len(used):
-            one = pa.array([sums[i, : used[-1] + 1]], pa.list_(pa.int64()))
+            few = 2 * len(used) < used[-1]
+            docs = pa.array([used.astype(np.int16) if few else None], pa.list_(pa.int16()))
+            one = pa.array([sums[i, used] if few else sums[i, : used[-1] + 1]], pa.list_(pa.int64()))
             none = pa.nulls(1, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), one, none, none], schema=_SUMS)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), docs, one, none, none], schema=_SUMS)
 
 
 def _documents(table: pa.Table) -> pa.Table:
     total, ids, sizes = np.zeros(BLOCK_DOCS, np.int64), [], []
     for batch in table.to_batches():
         for i in range(batch.num_rows):
-            if batch.column(1)[i].is_valid:
-                part = np.asarray(batch.column(1)[i].values)
-                total[: len(part)] += part
+            if batch.column(2)[i].is_valid:
+                part, docs = np.asarray(batch.column(2)[i].values), batch.column(1)[i]
+                total[np.asarray(docs.values) if docs.is_valid else slice(len(part))] += part
             else:
-                ids, sizes = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
+                ids, sizes = batch.column(3)[i].as_py(), batch.column(4)[i].as_py()
     return pa.table({"id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()), "n_tokens": total[: len(ids)]})

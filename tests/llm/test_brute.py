@@ -290,6 +290,23 @@ def test_token_counts(docs, awkward, empty, library):
     assert tokencount.token_counts(empty, tokenizer_path(), 512).count() == 0
 
 
+def test_token_counts_of_many_blocks(spark, library):
+    """However many blocks meet in a task, it passes on one row of each."""
+    words = [f"many{i}" for i in range(40)]
+    rows = [(i, " ".join(words[i % 7 :: 1 + i % 3]) + f" own{i}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(600, "doc_id").sortWithinPartitions("doc_id")
+    old, n = spark.conf.get("spark.sql.shuffle.partitions"), 4
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        sums = tokencount.partial_sums(df.selectExpr("doc_id AS id", "text"), tokenizer_path())
+        blocks, parts = sums.where("ids IS NOT NULL").count(), sums.where("sums IS NOT NULL").count()
+        got = tokencount.token_counts(df, tokenizer_path(), 512).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert blocks > 500 and parts <= n * blocks
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(library(t)) for i, t in rows} and len(got) == len(rows)
+
+
 ODD_TEXTS = ["", " ", "  ", " a", "a ", "a  b", "\n a", "a \nb", "a\n \nb", "a  b", "　x y", "\x1c x", " \x85y", "it's 'tis ''s", "x.'s y", "don't,won't", "1 2  3", "\t\tx", "a\r\n b", "é İı K", "\U0001f600 \U0001f600x", "<|endoftext|> a<|endoftext|>", "a<|endoftext|>  b", "-- a--b", "x)y) z)", "café, naïve."]
 
 
