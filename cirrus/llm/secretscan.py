@@ -1,16 +1,21 @@
 """Secret scan: fixed patterns, and a character convolutional network over
-every candidate string with its surroundings.
+every candidate string (run of CANDIDATE_LEAST or more secret-like characters)
+with its surroundings.
 
 The patterns' spans always stand.  The network adds candidates that look and
 are introduced like labelled secrets; it is trained in numpy on a bounded
 sample of labelled findings, and its threshold is the highest that keeps the
-recall asked for over all labelled findings.
+recall asked for over all labelled findings, the patterns' values of any
+length.  Runs that no pattern has, but that are introduced or made up like
+secrets, are scored and no examples of clean ones.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +35,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run that reaches HEX_LEAST is a greedy run that isn't dropped for length.
 HEX = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 
-#: A candidate is a whole run of these characters with a digit in it.
-_RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
-_FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_.=-]*")
+#: A candidate is a whole run of these characters.
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
 CANDIDATE_LEAST = 8
+#: What a run is: unmatched, the value of a pattern, another part of a
+#: pattern's span, unmatched but perhaps a secret.
+CLEAN, SECRET, TOUCHED, DOUBTFUL = range(4)
+_INTRODUCES = re.compile(r"pass|pwd|secret|token|key|bearer|auth|credential", re.I | re.A)
+_PIECE = re.compile(r"[A-Za-z0-9]{16,}")
 LEFT, BODY, RIGHT = 24, 40, 8
 #: Characters by which the windows of a long candidate advance.
 ADVANCE = 32
@@ -43,7 +52,7 @@ FIT_ROWS = 4000
 RECALL = 0.99
 SCORE_STEPS = 2000
 
-_SCANNED = "id long, n_assign long, n_access long, n_hex long, base array<struct<k:int,s:int,e:int>>, cands array<struct<s:int,e:int,windows:array<string>,label:int>>"
+_LABELLED = "window string, label int, place long"
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None) -> DataFrame:
@@ -53,35 +62,43 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labell
 
     ``labelled``: (window, label), windows as :func:`windows_of` cuts them.
     Without it the findings of ``docs`` itself are used, labelled by whether
-    a pattern matched.  With no labelled findings of both kinds the network
+    a pattern matched, doubtful ones left out (then ``docs`` is read twice).  With no labelled findings of both kinds the network
     adds nothing.  Null texts are empty; null ids and repeated rows are
     scanned like any other.
     """
-    scanned, net, least = fitted(docs, id_col, text_col, labelled)
-    out = scanned.mapInArrow(_found(net, least), "id long, n_assign long, n_access long, n_hex long, base array<struct<k:string,s:int,e:int>>, found array<struct<k:string,s:int,e:int>>, best double")
+    net, least = fitted(docs, text_col, labelled)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    out = rows.mapInArrow(_found(net, least), "id long, n_assign long, n_access long, n_hex long, base array<struct<k:string,s:int,e:int>>, found array<struct<k:string,s:int,e:int>>, best double")
     return out.withColumnRenamed("id", id_col)
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span that :func:`scan` finds replaced by ``mark``
     (overlapping spans by one); all else, null texts included, as it is."""
-    _, net, least = fitted(docs, id_col, text_col, labelled)
+    net, least = fitted(docs, text_col, labelled)
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None else _replaced(t, spans, mark) for t, spans in zip(texts, _spans(net, least, list(texts)))], dtype=object)
+        return pd.Series([t if t is None else _replaced(t, [x[1:] for x in base] + more, mark) for t, (base, more, _) in zip(texts, spans_of(net, least, list(texts)))], dtype=object)
 
     return docs.withColumn(text_col, clean(F.col(text_col)))
 
 
-def _spans(net: Net | None, least: float, texts: list[str | None]) -> list[list[tuple[int, int]]]:
-    base = [[(s, e) for _, s, e in base_spans(t or "")] for t in texts]
-    cands = [candidates(t or "") if net else [] for t in texts]
-    cut = [[windows_of(t, s, e) for s, e in cs] for t, cs in zip(texts, cands)]
-    scores = iter(net.score([w for ws in cut for w3 in ws for w in w3]) if net else ())
-    for mine, cs, ws in zip(base, cands, cut):
-        mine += [c for c, w in zip(cs, ws) if max(next(scores) for _ in w) >= least]
-    return base
+def spans_of(net: Net | None, least: float, texts: list[str | None]) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int]], float]]:
+    """Of each text: the patterns' spans, those that the network adds, and
+    the highest score."""
+    base = [base_spans(t or "") for t in texts]
+    if net is None:
+        return [(b, [], 0.0) for b in base]
+    runs = [[r for r in runs_of(t or "", b) if r[2] != TOUCHED] for t, b in zip(texts, base)]
+    cut = [[windows_of(t, s, e) for s, e, _ in rs] for t, rs in zip(texts, runs)]
+    different = list(dict.fromkeys(w for ws in cut for each in ws for w in each))
+    score = dict(zip(different, net.score(different).tolist()))
+    out = []
+    for b, rs, ws in zip(base, runs, cut):
+        tops = [max(score[w] for w in each) for each in ws]
+        out.append((b, [(s, e) for (s, e, label), top in zip(rs, tops) if label != SECRET and top >= least], max(tops, default=0.0)))
+    return out
 
 
 def _replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:
@@ -93,25 +110,37 @@ def _replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:
     return "".join(out) + text[at:]
 
 
-def fitted(docs: DataFrame, id_col: str, text_col: str, labelled: DataFrame | None) -> tuple[DataFrame, Net | None, float]:
-    """What the patterns and candidates of all documents are, the network, and
-    the score from which on it adds a candidate."""
+def fitted(docs: DataFrame, text_col: str, labelled: DataFrame | None) -> tuple[Net | None, float]:
+    """The network, and the score from which on it adds a candidate."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scanned = stored(rows.mapInArrow(_scan, _SCANNED), "secrets")
     if labelled is None:
-        cands = scanned.select(F.explode("cands").alias("c"))
-        labelled = cands.select(F.explode("c.windows").alias("window"), F.col("c.label").alias("label"))
+        labelled = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(_labelled, _LABELLED), "secrets")
+    else:
+        labelled = labelled.select("window", "label", F.crc32(F.encode("window", "UTF-8")).alias("place"))
     labelled = labelled.where("window IS NOT NULL AND label IS NOT NULL")
     sample = []
-    for label in (0, 1):
-        some = labelled.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(FIT_ROWS)
+    for label in (CLEAN, SECRET):
+        some = labelled.where(F.col("label") == label)
+        some = (some.distinct() if label == CLEAN else some).orderBy("place", "window").limit(FIT_ROWS)
         sample.append([r["window"] for r in some.collect()])
     if not all(sample):
-        return scanned, None, 2.0
-    net = Net.trained(*sample)
-    tried = labelled.where("label = 1").select("window").mapInArrow(_steps(net), "step int")
-    return scanned, net, threshold({r["step"]: r["count"] for r in tried.groupBy("step").count().collect()})
+        return None, 2.0
+    clean, secret = sample
+    net = Net.trained(clean, secret + elsewhere(secret, clean))
+    tried = labelled.where(F.col("label") == SECRET).select("window").mapInArrow(_steps(net), "step int")
+    return net, threshold({r["step"]: r["count"] for r in tried.groupBy("step").count().collect()})
+
+
+def elsewhere(secret: list[str], clean: list[str]) -> list[str]:
+    """The secrets, some cut to their ends, in the surroundings of clean runs,
+    so that the network knows them in other forms than the patterns'."""
+    rng, out = np.random.default_rng(13), []
+    for window in secret:
+        around = clean[int(rng.integers(len(clean)))]
+        body = window[LEFT : LEFT + BODY].rstrip()
+        n = int(rng.integers(min(len(body), max(CANDIDATE_LEAST, len(body) // 2)), len(body) + 1))
+        out.append(around[:LEFT] + body[len(body) - n :].ljust(BODY) + around[LEFT + BODY :])
+    return out
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -143,19 +172,49 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda x: (x[1], x[0]))
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Maximal runs of secret-like characters that hold a digit."""
-    out, done = [], 0
-    for m in _FROM_DIGIT.finditer(text):
-        start = m.start()
-        while start > done and text[start - 1] in _RUN:
-            start -= 1
-        done = m.end()
-        if done - start >= CANDIDATE_LEAST:
-            out.append((start, done))
+def runs_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, what it is) of all candidates, and of shorter runs with
+    the value of a pattern; ``base``: the patterns' spans in the text."""
+    values = sorted((ASSIGN.match(text, s).start(2) if KINDS[k] == "assign" else s, e) for k, s, e in base)
+    reach = _joined([(s, e) for _, s, e in base])
+    values, v, r, out = _joined(values), 0, 0, []
+    for m in _RUN.finditer(text):
+        s, e = m.span()
+        while v < len(values) and values[v][1] <= s:
+            v += 1
+        while r < len(reach) and reach[r][1] <= s:
+            r += 1
+        if v < len(values) and values[v][0] < e:
+            out.append((s, e, SECRET))
+        elif e - s >= CANDIDATE_LEAST:
+            touched = r < len(reach) and reach[r][0] < e
+            out.append((s, e, TOUCHED if touched else DOUBTFUL if _doubtful(text, s, e) else CLEAN))
+    return out
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
     return out
 
 
+def _doubtful(text: str, start: int, end: int) -> bool:
+    """Introduced by a word that introduces secrets, or with a long piece of
+    letters and digits, or of letters in changing case."""
+    if _INTRODUCES.search(text, max(0, start - LEFT), end if "=" in text[start:end] else start):
+        return True
+    for m in _PIECE.finditer(text, start, end):
+        piece = m.group()
+        digit, rest = any(c.isdigit() for c in piece), piece[1:]
+        if digit and not piece.isdigit() or not digit and not rest.islower() and not piece.isupper():
+            return True
+    return False
+
+
 def windows_of(text: str, start: int, end: int) -> list[str]:
     """What the network sees of a candidate: LEFT characters before, BODY of
     it, RIGHT after, as many windows as cover it, padded with spaces."""
@@ -167,26 +226,33 @@ def windows_of(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    span = pa.list_(pa.struct([("k", pa.int32()), ("s", pa.int32()), ("e", pa.int32())]))
-    cand = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("windows", pa.list_(pa.string())), ("label", pa.int32())]))
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of all secret runs, and of the clean ones the FIT_ROWS
+    different windows of the partition that come first by their place."""
+
+    def rows(found: list[tuple[int, str]], label: int) -> pa.RecordBatch:
+        windows, places = [w for _, w in found], [p for p, _ in found]
+        return pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array([label] * len(found), pa.int32()), pa.array(places, pa.int64())], names=["window", "label", "place"])
+
+    first: list[tuple[int, str]] = []
+    last = 1 << 32
     for batch in batches:
-        bases, cands = [], []
-        for text in batch.column(1).to_pylist():
+        secret, some = [], set(first)
+        for text in batch.column(0).to_pylist():
             text = text or ""
-            base = base_spans(text)
-            runs = candidates(text)
-            at, mine = 0, []
-            reach = sorted((s, e) for _, s, e in base)
-            for s, e in runs:
-                while at < len(reach) and reach[at][1] <= s:
-                    at += 1
-                hit = at < len(reach) and reach[at][0] < e
-                mine.append({"s": s, "e": e, "windows": windows_of(text, s, e), "label": int(hit)})
-            bases.append([{"k": k, "s": s, "e": e} for k, s, e in base])
-            cands.append(mine)
-        counts = [pa.array([sum(x["k"] == k for x in b) for b in bases], pa.int64()) for k in range(3)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(bases, span), pa.array(cands, cand)], names=["id", "n_assign", "n_access", "n_hex", "base", "cands"])
+            for s, e, label in runs_of(text, base_spans(text)):
+                if label in (CLEAN, SECRET):
+                    for w in windows_of(text, s, e):
+                        place = zlib.crc32(w.encode())
+                        if label == SECRET:
+                            secret.append((place, w))
+                        elif place <= last:
+                            some.add((place, w))
+        first = heapq.nsmallest(FIT_ROWS, some)
+        if len(first) == FIT_ROWS:
+            last = first[-1][0]
+        yield rows(secret, SECRET)
+    yield rows(first, CLEAN)
 
 
 class Net:
@@ -214,9 +280,20 @@ class Net:
         points = np.frombuffer("".join(windows).encode("utf-32-le"), np.uint32).reshape(len(windows), cls.LENGTH)
         return np.where((points >= 32) & (points < 127), points - 32, np.where(points < 32, 95, 96)).astype(np.int64)
 
-    def _forward(self, x: np.ndarray) -> dict[str, np.ndarray]:
+    def _pairs(self) -> list[np.ndarray]:
+        """What each two adjacent characters add at places 0, 1 and 2, 3."""
+        c = self.p["conv"]
+        return [(c[k][:, None] + c[k + 1][None]).reshape(-1, self.FILTERS) for k in (0, 2)]
+
+    def _forward(self, x: np.ndarray, pairs: list[np.ndarray] | None = None) -> dict[str, np.ndarray]:
         p, steps = self.p, self.LENGTH - self.WIDTH + 1
-        z = p["conv_b"] + sum(p["conv"][k][x[:, k : k + steps]] for k in range(self.WIDTH))
+        if pairs is None:
+            z = p["conv_b"] + sum(p["conv"][k][x[:, k : k + steps]] for k in range(self.WIDTH))
+        else:  # the same in fewer steps
+            two = x[:, :-1] * self.LETTERS + x[:, 1:]
+            z = p["conv"][4].take(x[:, 4:], axis=0) + p["conv_b"]
+            for k, table in zip((0, 2), pairs):
+                z += table.take(two[:, k : k + steps], axis=0)
         inside = slice(LEFT, LEFT + BODY - self.WIDTH + 1)
         body, ctx = z[:, inside], z[:, :LEFT]
         at_body, at_ctx = body.argmax(1), ctx.argmax(1)
@@ -226,9 +303,9 @@ class Net:
         return {"at": np.concatenate([at_body + LEFT, at_ctx], axis=1), "pooled": pooled, "a": a, "h": h, "logit": h @ p["w2"] + p["b2"][0]}
 
     def score(self, windows: list[str]) -> np.ndarray:
-        out = [np.zeros(0)]
-        for a in range(0, len(windows), 512):
-            out.append(1 / (1 + np.exp(-self._forward(self.codes(windows[a : a + 512]))["logit"].astype(float))))
+        out, pairs = [np.zeros(0)], self._pairs() if len(windows) > 512 else None
+        for a in range(0, len(windows), 256):
+            out.append(1 / (1 + np.exp(-self._forward(self.codes(windows[a : a + 256]), pairs)["logit"].astype(float))))
         return np.concatenate(out)
 
     @classmethod
@@ -280,23 +357,16 @@ def _found(net: Net | None, least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, cands = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            windows = [w for cs in cands for c in cs for w in c["windows"]]
-            scores = iter(net.score(windows) if net else np.zeros(len(windows)))
             bases, found, best = [], [], []
-            for spans, cs in zip(base, cands):
-                mine = [{"k": KINDS[x["k"]], "s": x["s"], "e": x["e"]} for x in spans]
-                most, more = 0.0, []
-                for c in cs:
-                    top = max(next(scores) for _ in c["windows"])
-                    most = max(most, top)
-                    if not c["label"] and top >= least:
-                        more.append({"k": "network", "s": c["s"], "e": c["e"]})
+            for base, added, top in spans_of(net, least, batch.column(1).to_pylist()):
+                mine = [{"k": KINDS[k], "s": s, "e": e} for k, s, e in base]
+                more = [{"k": "network", "s": s, "e": e} for s, e in added]
                 order = {k: i for i, k in enumerate((*KINDS, "network"))}
                 bases.append(mine)
                 found.append(sorted(mine + more, key=lambda x: (x["s"], order[x["k"]])))
-                best.append(most)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(bases, span), pa.array(found, span), pa.array(best, pa.float64())], names=["id", "n_assign", "n_access", "n_hex", "base", "found", "best"])
+                best.append(top)
+            counts = [pa.array([sum(x["k"] == k for x in b) for b in bases], pa.int64()) for k in KINDS]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array(bases, span), pa.array(found, span), pa.array(best, pa.float64())], names=["id", "n_assign", "n_access", "n_hex", "base", "found", "best"])
 
     return run
 

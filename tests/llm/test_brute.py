@@ -242,10 +242,32 @@ def test_secret_network_finds_what_patterns_miss(spark):
     out = {r.doc_id: r.spans for r in secretscan.digest(secretscan.scan(df)).collect()}
     assert sum("network" in out[1000 + i] for i in range(300)) <= 6
     assert all("assign" in out[i] and "hex" in out[i] for i in range(300))
+    assert sum("network" in out[2000 + i] for i in range(20)) >= 19
     text = rows[0][1]
     assert secretscan.windows_of("x" * 100, 0, 100)[-1].rstrip().endswith("x") and len(secretscan.windows_of(text, 20, 30)[0]) == secretscan.Net.LENGTH
 
 
+def test_secret_network_sees_every_run(spark):
+    """Secrets in other forms, letters only included, are found; words and
+    numbers stay; values shorter than a candidate are labelled findings."""
+    rng = np.random.default_rng(5)
+    drawn = lambda letters, n: "".join(rng.choice(list(letters), n))
+    hexes, mixed = "0123456789abcdef", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    prose = lambda: " ".join(rng.choice(["ordinary", "sentences", "containing", "several", "reasonably", "different", "Wonderful", "expressions"], 6))
+    rows = [(i, f'{prose()} token = "{drawn(hexes, 40) if i % 2 else drawn(mixed, 32)}" and more', "") for i in range(400)]
+    rows += [(1000 + i, f"{prose()} call {rng.integers(10**9, 10**10)} {prose()}", "") for i in range(300)]
+    rows += [(2000 + i, f'{prose()} token is "{drawn(hexes, 23)}" and more', "") for i in range(20)]
+    rows += [(3000 + i, f'{prose()} token is "{drawn(mixed, 30)}" and more', "") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: r.spans for r in secretscan.digest(secretscan.scan(df)).collect()}
+    assert sum("network" in out[2000 + i] for i in range(20)) >= 12
+    assert sum("network" in out[3000 + i] for i in range(20)) >= 19
+    assert sum("network" in out[1000 + i] for i in range(300)) <= 6
+    text = "password: abcdef token=abcdefgh pwd is correcthorsebattery wonderful"
+    runs = secretscan.runs_of(text, secretscan.base_spans(text))
+    assert [(text[s:e], k) for s, e, k in runs] == [("password", secretscan.TOUCHED), ("abcdef", secretscan.SECRET), ("token=abcdefgh", secretscan.SECRET), ("correcthorsebattery", secretscan.DOUBTFUL), ("wonderful", secretscan.CLEAN)]
+
+
 def test_licences(docs, awkward, empty):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     want = []
