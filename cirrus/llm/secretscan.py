@@ -6,7 +6,7 @@ The patterns' spans always stand.  The network adds candidates that look and
 are introduced like labelled secrets; it is trained in numpy on a bounded
 sample of labelled findings, and its threshold is the highest that keeps the
 recall asked for over all labelled findings, the patterns' values of any
-length.  Runs that no pattern has, but that are introduced or made up like
+length; copies of a window count once in both.  Runs that no pattern has, but that are introduced or made up like
 secrets, are scored and no examples of clean ones.
 """
 
@@ -47,7 +47,7 @@ LEFT, BODY, RIGHT = 24, 40, 8
 #: Characters by which the windows of a long candidate advance.
 ADVANCE = 32
 
-#: Labelled findings that the network is trained on, at most, of each label.
+#: Different windows that the network is trained on, at most, of each label.
 FIT_ROWS = 4000
 RECALL = 0.99
 SCORE_STEPS = 2000
@@ -117,11 +117,10 @@ def fitted(docs: DataFrame, text_col: str, labelled: DataFrame | None) -> tuple[
         labelled = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(_labelled, _LABELLED), "secrets")
     else:
         labelled = labelled.select("window", "label", F.crc32(F.encode("window", "UTF-8")).alias("place"))
-    labelled = labelled.where("window IS NOT NULL AND label IS NOT NULL")
+    labelled = labelled.where("window IS NOT NULL AND label IS NOT NULL").distinct()
     sample = []
     for label in (CLEAN, SECRET):
-        some = labelled.where(F.col("label") == label)
-        some = (some.distinct() if label == CLEAN else some).orderBy("place", "window").limit(FIT_ROWS)
+        some = labelled.where(F.col("label") == label).orderBy("place", "window").limit(FIT_ROWS)
         sample.append([r["window"] for r in some.collect()])
     if not all(sample):
         return None, 2.0
@@ -227,7 +226,7 @@ def windows_of(text: str, start: int, end: int) -> list[str]:
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows of all secret runs, and of the clean ones the FIT_ROWS
+    """The different windows of a batch's secret runs, and of the clean ones the FIT_ROWS
     different windows of the partition that come first by their place."""
 
     def rows(found: list[tuple[int, str]], label: int) -> pa.RecordBatch:
@@ -237,7 +236,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first: list[tuple[int, str]] = []
     last = 1 << 32
     for batch in batches:
-        secret, some = [], set(first)
+        secret, some = set(), set(first)
         for text in batch.column(0).to_pylist():
             text = text or ""
             for s, e, label in runs_of(text, base_spans(text)):
@@ -245,13 +244,13 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for w in windows_of(text, s, e):
                         place = zlib.crc32(w.encode())
                         if label == SECRET:
-                            secret.append((place, w))
+                            secret.add((place, w))
                         elif place <= last:
                             some.add((place, w))
         first = heapq.nsmallest(FIT_ROWS, some)
         if len(first) == FIT_ROWS:
             last = first[-1][0]
-        yield rows(secret, SECRET)
+        yield rows(list(secret), SECRET)
     yield rows(first, CLEAN)
 
 

@@ -268,6 +268,24 @@ def test_secret_network_sees_every_run(spark):
     assert [(text[s:e], k) for s, e, k in runs] == [("password", secretscan.TOUCHED), ("abcdef", secretscan.SECRET), ("token=abcdefgh", secretscan.SECRET), ("correcthorsebattery", secretscan.DOUBTFUL), ("wonderful", secretscan.CLEAN)]
 
 
+def test_secret_copies_count_once(spark):
+    """A window copied often neither fills the sample nor sets the threshold."""
+    rng = np.random.default_rng(6)
+    drawn = lambda: "".join(rng.choice(list("0123456789abcdef"), 40))
+    once = [f'once token = "{drawn()}" and' for _ in range(40)]
+    rows = [(f'often token = "{"a1" * 20}" and',)] * 3000 + [(t,) for t in once] + [(f"wonderful number {i:09}",) for i in range(50)]
+    docs = spark.createDataFrame(rows, "text string").repartition(4)
+    seen, trained = [], secretscan.Net.trained
+    secretscan.Net.trained = lambda clean, secret: seen.append(secret[: len(secret) // 2]) or trained(clean, secret)
+    try:
+        net, least = secretscan.fitted(docs, "text", None)
+    finally:
+        secretscan.Net.trained = trained
+    cut = [secretscan.windows_of(t, t.index('"') + 1, t.rindex('"'))[0] for t in once]
+    assert len(seen[0]) == len(set(seen[0])) == 41 and set(cut) < set(seen[0])
+    assert (net.score(cut) >= least).all()
+
+
 def test_licences(docs, awkward, empty):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     want = []
