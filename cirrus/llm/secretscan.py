@@ -256,7 +256,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 class Net:
     """Width-5 convolution over one-hot characters, ReLU, maximum over the
-    candidate and over its surroundings, two dense layers."""
+    candidate, over what is before it and over what follows, two dense layers."""
 
     WIDTH, FILTERS, HIDDEN, LETTERS = 5, 24, 16, 98
     LENGTH = LEFT + BODY + RIGHT
@@ -267,7 +267,7 @@ class Net:
         self.p = {
             "conv": f32(self.WIDTH, self.LETTERS, self.FILTERS, s=0.2),
             "conv_b": np.zeros(self.FILTERS, np.float32),
-            "w1": f32(2 * self.FILTERS, self.HIDDEN, s=0.2),
+            "w1": f32(3 * self.FILTERS, self.HIDDEN, s=0.2),
             "b1": np.zeros(self.HIDDEN, np.float32),
             "w2": f32(self.HIDDEN, s=0.2),
             "b2": np.zeros(1, np.float32),
@@ -294,12 +294,12 @@ class Net:
             for k, table in zip((0, 2), pairs):
                 z += table.take(two[:, k : k + steps], axis=0)
         inside = slice(LEFT, LEFT + BODY - self.WIDTH + 1)
-        body, ctx = z[:, inside], z[:, :LEFT]
-        at_body, at_ctx = body.argmax(1), ctx.argmax(1)
-        pooled = np.concatenate([body.max(1), ctx.max(1)], axis=1)
+        body, ctx, after = z[:, inside], z[:, :LEFT], z[:, inside.stop :]
+        at = [body.argmax(1) + LEFT, ctx.argmax(1), after.argmax(1) + inside.stop]
+        pooled = np.concatenate([body.max(1), ctx.max(1), after.max(1)], axis=1)
         a = np.maximum(pooled, 0)
         h = np.maximum(a @ p["w1"] + p["b1"], 0)
-        return {"at": np.concatenate([at_body + LEFT, at_ctx], axis=1), "pooled": pooled, "a": a, "h": h, "logit": h @ p["w2"] + p["b2"][0]}
+        return {"at": np.concatenate(at, axis=1), "pooled": pooled, "a": a, "h": h, "logit": h @ p["w2"] + p["b2"][0]}
 
     def score(self, windows: list[str]) -> np.ndarray:
         out, pairs = [np.zeros(0)], self._pairs() if len(windows) > 512 else None
@@ -334,12 +334,12 @@ class Net:
         dh = np.outer(d, p["w2"]) * (f["h"] > 0)
         da = (dh @ p["w1"].T) * (f["pooled"] > 0)
         conv = np.zeros_like(p["conv"])
-        filters = np.tile(np.arange(self.FILTERS), 2)[None, :].repeat(n, 0)
+        filters = np.tile(np.arange(self.FILTERS), 3)[None, :].repeat(n, 0)
         rows = np.arange(n)[:, None]
         for k in range(self.WIDTH):
             np.add.at(conv[k], (x[rows, f["at"] + k], filters), da)
-        both = da[:, : self.FILTERS].sum(0) + da[:, self.FILTERS :].sum(0)
-        return {"conv": conv, "conv_b": both, "w1": f["a"].T @ dh, "b1": dh.sum(0), "w2": f["h"].T @ d, "b2": d.sum(keepdims=True)}
+        bias = da.reshape(n, 3, self.FILTERS).sum((0, 1))
+        return {"conv": conv, "conv_b": bias, "w1": f["a"].T @ dh, "b1": dh.sum(0), "w2": f["h"].T @ d, "b2": d.sum(keepdims=True)}
 
 
 def _steps(net: Net):

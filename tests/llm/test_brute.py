@@ -286,6 +286,28 @@ def test_secret_copies_count_once(spark):
     assert (net.score(cut) >= least).all()
 
 
+def test_secret_network_reads_what_follows():
+    net, n = secretscan.Net(), secretscan.Net.LENGTH
+    window = "some words before it is 0123456789abcdef".ljust(n)
+    for at in range(n - secretscan.RIGHT, n):  # alone it counts wherever it wins a maximum
+        net.p["conv"][:, ord("Z") - 32] = 5.0
+        plain, other = net.score([window, window[:at] + "Z" + window[at + 1 :]])
+        assert plain != other
+    net = secretscan.Net()
+    x, y, weight = net.codes([window, "x" * n, "ab" * (n // 2)]), np.array([1, 0, 1], np.float32), np.ones(3, np.float32)
+    net.p = {k: p.astype(np.float64) for k, p in net.p.items()}
+    grads = net._gradients(x, y, weight)
+    loss = lambda: np.mean(np.logaddexp(0, z := net._forward(x)["logit"]) - y * z)
+    for k, at in [("w1", (2 * net.FILTERS + 1, 3)), ("w1", (5, 2)), ("w2", (4,)), ("conv_b", (7,)), ("conv", (1, ord("x") - 32, 2))]:
+        net.p[k][at] += 1e-5
+        up = loss()
+        net.p[k][at] -= 2e-5
+        assert grads[k][at] == pytest.approx((up - loss()) / 2e-5, rel=0.02, abs=1e-6)
+        net.p[k][at] += 1e-5
+    pairs = net._forward(x, net._pairs())["logit"]
+    assert pairs == pytest.approx(net._forward(x)["logit"])
+
+
 def test_licences(docs, awkward, empty):
     pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     want = []
