@@ -40,7 +40,9 @@ class ByteBpe:
             raise ValueError(f"{path}: added tokens that take in their surroundings")
         self.special = {t["content"]: t["id"] for t in said["added_tokens"]}
         self.at_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.model = Tokenizer.from_file(path).model
+        whole = Tokenizer.from_file(path)
+        self.model = whole.model
+        self.highest = max(whole.get_vocab(with_added_tokens=True).values())
         self.pretokens = regex.compile(PRETOKENS).findall
         self.table = _byte_letters()
         self.space = chr(self.table[32])

@@ -41,13 +41,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     back: computed once, lineage cut, and not lost with an executor.  The
     files are removed when the application ends."""
-    spark = df.sparkSession
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared checkpoint folder, removed when
+    the application ends."""
     path = f"{checkpoint_root(spark).rstrip('/')}/cirrus-llm/{name}-{uuid.uuid4().hex}"
     if not _WRITTEN:
         atexit.register(_remove_written)
     _WRITTEN.append((spark, path))
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def _remove_written() -> None:
@@ -97,3 +103,22 @@ def running_sum(df: DataFrame, keys: list[str], order: list[Column], spread: Col
     for b in by:
         same = same & F.col(b).eqNullSafe(F.col(f"{b}t"))
     return rows.join(earlier, same, "left").select(*df.columns, (F.col("_inside") + F.col("_earlier")).alias(out))
+
+
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with ``out``: 0, 1, ... in ``order``, as a stored table.
+
+    Rows are range-partitioned by ``order`` and numbered inside their
+    partitions; a partition's base is the prefix sum of the partitions' sizes,
+    so no task sees more than its range.  ``order`` should tell rows apart:
+    rows that tie stay in one partition.  ``df`` is read twice: pass a stored
+    table."""
+    spark = df.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the number that Spark gives holds the partition above its lower 33 bits
+    ranged = df.repartitionByRange(width, *order).sortWithinPartitions(*order).withColumn("_numbered_at", F.monotonically_increasing_id())
+    ranged = stored(ranged, "numbered")
+    part, at = F.shiftright("_numbered_at", 33), F.col("_numbered_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ranged.groupBy(part.alias("_numbered_part")).agg(F.count(F.lit(1)).alias("_numbered_size"))
+    bases = sizes.select("_numbered_part", (F.sum("_numbered_size").over(Window.orderBy("_numbered_part")) - F.col("_numbered_size")).alias("_numbered_base"))
+    return ranged.join(bases, part == F.col("_numbered_part")).select(*df.columns, (F.col("_numbered_base") + at).alias(out))

@@ -166,9 +166,16 @@ class _Bytes(dict):
 _KNOWN: dict[str, _Bytes] = {}
 
 
+def remembered(tokenizer: str) -> _Bytes:
+    """The ids that this Python process knows, kept from task to task."""
+    if tokenizer not in _KNOWN:
+        _KNOWN[tokenizer] = _Bytes(bytebpe.opened(tokenizer))
+    return _KNOWN[tokenizer]
+
+
 def _cut(tokenizer: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _KNOWN.setdefault(tokenizer, _Bytes(bytebpe.opened(tokenizer)))
+        known = remembered(tokenizer)
         if sys.byteorder != "little" or array("I").itemsize != 4:
             raise RuntimeError("ids are handled as little-endian unsigned 32-bit integers")
         end = array("I", [end_id]).tobytes()

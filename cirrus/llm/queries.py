@@ -83,6 +83,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(columns_of(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), capacity=2048, end_id=0)
 
 
+def op11_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.common import scratch
+    from cirrus.llm.tokenids import read, write
+
+    path = scratch(spark, "token-ids")
+    return read(write(columns_of(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path(), end_id=2, path=path), path)
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.centroids import clusters
+
+    return clusters(columns_of(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=40, rounds=5, dims=64, by=256, seed="2")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cirrus.llm.phrases import collocations
+
+    return collocations(columns_of(spark, sf_dir, "documents", "text", "lang"), least=100, longest=5, percent=100, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_sharding": op2_sharding,
@@ -94,4 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_token_ids": op11_token_ids,
+    "op12_clusters": op12_clusters,
+    "op13_phrases": op13_phrases,
 }

@@ -100,9 +100,65 @@ FROM x
 """
 
 
+def clusters_sql(k: int = 40, rounds: int = 5, dims: int = 64, by: int = 256, seed: str = "2") -> str:
+    """One table of centroids and one of nearest centroids a round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT row, c AS cluster, d AS distance FROM (
+    SELECT x.row, c.c, CAST(list_sum(list_transform(list_zip(x.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM x, c{i} c)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.c, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT cluster, i, CAST(sum(v[i]) AS HUGEINT) AS s, count(*) AS n FROM a{i} JOIN x USING (row), (SELECT unnest(range(1, {dims + 1})) AS i) GROUP BY cluster, i)
+    GROUP BY cluster) m ON m.cluster = c.c)""")
+    return f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor({by} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM x QUALIFY c < {k}),
+{", ".join(steps)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c.v, lambda v: CAST(v AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN x USING (row) JOIN c{rounds} c ON c.c = cluster
+"""
+
+
+def phrases_sql(least: int = 100, longest: int = 5, percent: int = 100, top: int = 2000) -> str:
+    """Every phrase spelled out and counted."""
+    return rf"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS w FROM documents
+), g AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT unnest(range(1, {longest + 1})) AS m))
+), f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= {least}),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, a FROM (
+    SELECT lang, w, a, k, unnest(range(1, m - k + 2)) AS i FROM c, (SELECT unnest(range(2, {longest})) AS k) WHERE k < m)
+), kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= {percent} * c.a)),
+cuts AS (
+  SELECT kept.lang, kept.phrase, a, k, l.f AS l, r.f AS r, n, (CAST(1000 AS HUGEINT) * a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) kept JOIN n ON n.lang = kept.lang
+  JOIN f l ON l.lang = kept.lang AND l.m = k AND l.phrase = array_to_string(w[1:k], ' ')
+  JOIN f r ON r.lang = kept.lang AND r.m = len(w) - k AND r.phrase = array_to_string(w[k + 1:], ' ')
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= {top}
+"""
+
+
 ORACLE = {
     "op1_top_k": TOP_K,
     "op2_sharding": SHARDING,
     "op6_license_scan": licence_sql(),
     "op8_mixing": MIXING,
+    "op12_clusters": clusters_sql(),
+    "op13_phrases": phrases_sql(),
 }

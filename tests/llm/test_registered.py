@@ -22,8 +22,8 @@ def test_query_matches_sql(spark, name):
     assert text(got.collect(), got.columns) == text(want.fetchall(), want.columns)
 
 
-def test_eleven_queries():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+def test_a_query_for_each_operator():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)
 
 
