@@ -26,14 +26,31 @@ def _df(spark, rows):
 
 
 @SETTINGS
-@given(rows=rows_st, shape=st.sampled_from([("1 hour", "10 minutes"), ("24 hours", "1 hour"), ("30 days", "10 days")]))
-def test_panes_equal_expand(spark, rows, shape):
+@given(rows=rows_st, shape=st.sampled_from([("1 hour", "10 minutes"), ("24 hours", "1 hour"), ("30 days", "10 days"), ("3 days", "1 minute"), ("1 hour", "1 hour")]))
+def test_strategies_agree(spark, rows, shape):
     df = _df(spark, rows)
     aggs = [("s", "sum", "v"), ("n", "count", "v"), ("lo", "min", "v"), ("hi", "max", "v"), ("a", "avg", "v")]
-    a = sliding_agg(df, "k", "t", *shape, aggs, "panes").collect()
-    b = sliding_agg(df, "k", "t", *shape, aggs, "expand").collect()
     norm = lambda rs: sorted((r.k, r.window_start, r.window_end, r.s, r.n, r.lo, r.hi, round(r.a, 9)) for r in rs)
-    assert norm(a) == norm(b)
+    want = norm(sliding_agg(df, "k", "t", *shape, aggs, "expand").collect())
+    for strategy in ("blocks",) if shape[1] == "1 minute" else ("blocks", "panes"):
+        assert norm(sliding_agg(df, "k", "t", *shape, aggs, strategy).collect()) == want
+
+
+def test_blocks_shuffle_each_pane_twice(spark):
+    """Rows shuffled don't grow with size / slide: windows are spelled out
+    behind the last shuffle."""
+    df = _df(spark, [(i % 4, 7 * i, i) for i in range(400)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for size in ("20 minutes", "1 day"):
+            out = sliding_agg(df, "k", "t", size, "10 minutes", [("s", "sum", "v"), ("hi", "max", "v")])
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            last = [i for i, line in enumerate(plan.splitlines()) if "Exchange" in line]
+            spelled = [i for i, line in enumerate(plan.splitlines()) if "Generate explode(CASE WHEN" in line]
+            assert len(last) == 2 and spelled and max(spelled) < min(last)
+            assert "Generate explode([true,false])" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 @SETTINGS
