@@ -22,7 +22,7 @@ from cirrus.operators.sequence import DEFAULT_BUCKET, DEFAULT_MAX_ROWS_PER_BUCKE
 from cirrus.operators.windows import sliding_agg
 
 
-def rate_drops(
+def drop_rows(
     df: DataFrame,
     key: str,
     time: str,
@@ -31,16 +31,20 @@ def rate_drops(
     tiebreak: Sequence[str] = (),
     bucket: str = DEFAULT_BUCKET,
     max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
+    """Every reading with its drop per hour and level, both null for those
+    whose predecessor (a key's first one's: that in ``initial``) isn't
+    strictly earlier."""
     x = df.select(key, time, *tiebreak, falling.alias("_f"), level.alias("_lvl"))
-    x = previous_row(x, key, time, ["_f"], tiebreak, "_prev", bucket, max_rows_per_bucket)
+    x = previous_row(x, key, time, ["_f"], tiebreak, "_prev", bucket, max_rows_per_bucket, initial)
     sec = seconds_between(F.col("_prev").getField(time), F.col(time))
-    return x.where(sec > 0).select(
-        key,
-        time,
-        ((F.col("_prev").getField("_f") - F.col("_f")) * F.lit(3600.0) / sec).alias("drop_per_hour"),
-        F.col("_lvl").alias("level"),
-    )
+    drop = (F.col("_prev").getField("_f") - F.col("_f")) * F.lit(3600.0) / sec
+    return x.select(key, time, F.when(sec > 0, drop).alias("drop_per_hour"), F.when(sec > 0, F.col("_lvl")).alias("level"))
+
+
+def rate_drops(df: DataFrame, key: str, time: str, falling: Column, level: Column, *args, **kwargs) -> DataFrame:
+    return drop_rows(df, key, time, falling, level, *args, **kwargs).where(F.col("drop_per_hour").isNotNull())
 
 
 def composite_event(

@@ -95,9 +95,13 @@ def prior_agg(
     how: str = "max",
     bucket: str = DEFAULT_BUCKET,
     max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``out`` = aggregate of ``value`` over the strictly earlier rows of
     the same key in (time, *tiebreak) order; ``how`` is ``max`` or ``sum``.
+    ``initial`` (key, one more column): what a key begins with, as if from a
+    row before all others; it stands for ``max`` until the key has a row, and
+    is added for ``sum``.
 
     Plan: the rows are shuffled once, on (key, bucket), for the in-bucket
     running window.  The per-bucket summary is a partial aggregate taken
@@ -119,6 +123,10 @@ def prior_agg(
     rows = base.withColumn("_seq_in", agg("_seq_v").over(before))
     earlier_buckets = Window.partitionBy(*keys).orderBy(BUCKET_COL, SUB_COL).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(*group, agg("_seq_b").over(earlier_buckets).alias("_seq_carry"))
+    if initial is not None:  # one row a key, met by the few summaries of its buckets
+        first = initial.select(*keys, F.col(next(c for c in initial.columns if c not in keys)).alias("_seq_initial"))
+        carried = F.coalesce("_seq_carry", "_seq_initial") if how == "max" else F.coalesce("_seq_carry", F.lit(0)) + F.coalesce("_seq_initial", F.lit(0))
+        carry = carry.join(first, keys, "left").select(*group, carried.alias("_seq_carry"))
     joined = rows.join(carry, group, "left")
     if how == "max":
         combined = F.coalesce(F.col("_seq_in"), F.col("_seq_carry"))
@@ -136,11 +144,22 @@ def previous_row(
     out: str = "prev",
     bucket: str = DEFAULT_BUCKET,
     max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``out``: struct(time, *tiebreak, *fields) of the previous row of the key."""
+    """Add ``out``: struct(time, *tiebreak, *fields) of the previous row of the
+    key; of its first row, the one in ``initial`` (see :func:`last_rows`)."""
+    value = _row(time, fields, tiebreak)
+    return prior_agg(df, key, time, tiebreak, value, out, "max", bucket, max_rows_per_bucket, initial)
+
+
+def _row(time: str, fields: Sequence[str], tiebreak: Sequence[str]) -> Column:
     names = [time, *tiebreak, *[f for f in fields if f not in (time, *tiebreak)]]
-    value = F.struct(*[F.col(n).alias(n) for n in names])
-    return prior_agg(df, key, time, tiebreak, value, out, "max", bucket, max_rows_per_bucket)
+    return F.struct(*[F.col(n).alias(n) for n in names])
+
+
+def last_rows(df: DataFrame, key: str, time: str, fields: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+    """(key, last): struct(time, *tiebreak, *fields) of each key's last row."""
+    return df.groupBy(key).agg(F.max(_row(time, fields, tiebreak)).alias("last"))
 
 
 def rate_of_change(
@@ -153,12 +172,14 @@ def rate_of_change(
     per_seconds: float = 3600.0,
     bucket: str = DEFAULT_BUCKET,
     max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """K1: (value - previous value) * per_seconds / elapsed seconds, for rows
     whose predecessor is strictly earlier; the first row of a key emits
-    nothing.  Rows with a null value are ignored (not state-updating)."""
+    nothing, unless ``initial`` has the one before.  Rows with a null value
+    are ignored (not state-updating)."""
     x = df.where(F.col(value).isNotNull()).select(key, time, *tiebreak, value)
-    x = previous_row(x, key, time, [value], tiebreak, "_prev", bucket, max_rows_per_bucket)
+    x = previous_row(x, key, time, [value], tiebreak, "_prev", bucket, max_rows_per_bucket, initial)
     sec = seconds_between(F.col("_prev").getField(time), F.col(time))
     return x.where(sec > 0).select(
         key,
@@ -175,14 +196,16 @@ def gap_status(
     max_gap: str = "1 hour",
     bucket: str = DEFAULT_BUCKET,
     max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """K2: one row per consecutive pair of readings of a key:
-    (interval_start, interval_end, 'complete' if the gap <= max_gap else 'incomplete')."""
+    """K2: one row per consecutive pair of readings of a key (its first one
+    with that in ``initial``): (interval_start, interval_end, 'complete' if
+    the gap <= max_gap else 'incomplete')."""
     from cirrus.functions.timeops import duration_seconds
 
     limit = duration_seconds(max_gap) * 1_000_000
     x = df.select(key, time, *tiebreak)
-    x = previous_row(x, key, time, [], tiebreak, "_prev", bucket, max_rows_per_bucket)
+    x = previous_row(x, key, time, [], tiebreak, "_prev", bucket, max_rows_per_bucket, initial)
     start = F.col("_prev").getField(time)
     return x.where(F.col("_prev").isNotNull()).select(
         key,
@@ -206,19 +229,45 @@ def threshold_periods(
 ) -> DataFrame:
     """K4: periods where ``value < threshold``.  A period opens at the first
     low reading and closes at the next reading >= threshold; its duration is
-    floor(hours).  A period still open at the end is not emitted.
+    floor(hours).  A period still open at the end is not emitted."""
+    return closed_periods(periods(df, key, time, value, threshold, tiebreak, bucket, max_rows_per_bucket), key)
+
+
+def periods(
+    df: DataFrame,
+    key: str,
+    time: str,
+    value: str,
+    threshold: float,
+    tiebreak: Sequence[str] = (),
+    bucket: str = DEFAULT_BUCKET,
+    max_rows_per_bucket: int | None = DEFAULT_MAX_ROWS_PER_BUCKET,
+    opened: DataFrame | None = None,
+) -> DataFrame:
+    """(key, _g, period_start, period_end): every run of low readings with the
+    reading that closes it, numbered along the key; either end may be missing.
 
     Islands without a per-key window: g = number of non-low readings strictly
     before a row (a prior *sum*).  Group (key, g) holds one run of low rows and
-    the non-low row that closes it; the group-by is partially aggregated."""
+    the non-low row that closes it; the group-by is partially aggregated.
+    ``opened`` (key, opened): when a period that is open before the first row
+    began; it is the start of the key's group 0."""
     low = F.col(value) < F.lit(threshold)
     x = df.where(F.col(value).isNotNull()).select(key, time, *tiebreak, low.alias("_low"))
     x = prior_agg(x, key, time, tiebreak, F.when(F.col("_low"), 0).otherwise(1), "_g", "sum", bucket, max_rows_per_bucket)
-    periods = x.groupBy(key, "_g").agg(
+    out = x.groupBy(key, "_g").agg(
         F.min(F.when(F.col("_low"), F.col(time))).alias("period_start"),
         F.min(F.when(~F.col("_low"), F.col(time))).alias("period_end"),
     )
-    return periods.where(F.col("period_start").isNotNull() & F.col("period_end").isNotNull()).select(
+    if opened is None:
+        return out
+    before = opened.where("opened IS NOT NULL").select(F.col(key).alias("_key"), F.lit(0).cast("long").alias("_first"), "opened")
+    out = out.join(before, (F.col(key) == F.col("_key")) & (F.col("_g") == F.col("_first")), "left")
+    return out.select(key, "_g", F.coalesce("opened", "period_start").alias("period_start"), "period_end")
+
+
+def closed_periods(runs: DataFrame, key: str) -> DataFrame:
+    return runs.where(F.col("period_start").isNotNull() & F.col("period_end").isNotNull()).select(
         key,
         "period_start",
         "period_end",
@@ -226,6 +275,13 @@ def threshold_periods(
     )
 
 
+def open_periods(runs: DataFrame, key: str) -> DataFrame:
+    """(key, opened): when the period that is open after a key's last row
+    began; null if none is."""
+    last = runs.groupBy(key).agg(F.max_by(F.struct("period_start", "period_end"), "_g").alias("_last"))
+    return last.select(key, F.when(F.col("_last.period_end").isNull(), F.col("_last.period_start")).alias("opened"))
+
+
 EXACT_MEAN_TYPE = "decimal(38,12)"
 
 
@@ -243,15 +299,22 @@ def trend(
     order: str,
     value: str,
     out: str = "trend_direction",
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """K3: compare each window's value with the key's previous window:
-    unknown / rising / falling / stable.  Runs on window aggregates, whose count
-    per key is bounded by time span / slide, so a per-key window is safe."""
+    """K3: compare each window's value with the key's previous window (its
+    first one with that in ``initial``, see :func:`last_rows`): unknown /
+    rising / falling / stable.  Runs on window aggregates, whose count per key
+    is bounded by time span / slide, so a per-key window is safe."""
     prev = F.lag(value).over(Window.partitionBy(key).orderBy(order))
-    return windows.withColumn(
+    if initial is not None:
+        before = initial.select(F.col(key).alias("_key"), F.col("last").getField(value).alias("_before"))
+        named = windows.join(before, F.col(key) == F.col("_key"), "left").withColumn("_prev", F.coalesce(prev, "_before"))
+        windows, prev = named.select(*windows.columns, "_prev"), F.col("_prev")
+    compared = windows.withColumn(
         out,
         F.when(prev.isNull(), F.lit("unknown"))
         .when(F.col(value) > prev, F.lit("rising"))
         .when(F.col(value) < prev, F.lit("falling"))
         .otherwise(F.lit("stable")),
     )
+    return compared.drop("_prev")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from cirrus.functions.baseline import formula_baseline
 from cirrus.functions.labels import station_label
 from cirrus.functions.timeops import duration_seconds
+from cirrus.operators.asof import asof_join, since_baseline, yearly_baselines
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.operators.rank import top_n_both_ends, top_n_sliding
@@ -158,9 +159,43 @@ def bookings(spark, sf_dir) -> DataFrame:
     )
 
 
-def booking_alerts(spark, sf_dir):
+def long_bookings(spark, sf_dir) -> DataFrame:
+    """One booking per customer from 2024-01-01 minus (c_custkey mod 4000)
+    days on, of 10 minutes times 2^(c_custkey mod 20): up to ten years."""
+    b = bookings(spark, sf_dir)
+    start = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) - F.make_dt_interval(days=F.pmod(F.col("booking_id"), F.lit(4000)).cast("int"))
+    lasts = F.make_dt_interval(mins=(F.lit(10) * F.expr("shiftleft(1, cast(pmod(booking_id, 20) as int))")).cast("int"))
+    return b.withColumn("booking_start", start).withColumn("booking_end", start + lasts)
+
+
+def booking_alerts_long(spark, sf_dir):
+    """UC08 with bookings of minutes to years."""
+    return booking_alerts(spark, sf_dir, long_bookings(spark, sf_dir))
+
+
+def departure_weather(spark, sf_dir):
+    """Every flight with the last reading before its departure, of two days
+    at most: a flight per customer from station c_custkey mod 200."""
+    b = bookings(spark, sf_dir)
+    at = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(mins=F.pmod(F.col("booking_id") * 7919, F.lit(43_200)).cast("int"))
+    flights = b.select(F.col("booking_id").alias("flight_id"), F.pmod("booking_id", F.lit(200)).alias(KEY), at.alias("departure"))
+    ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
+    out = asof_join(flights, ev, KEY, "departure", TIME, [VALUE], TIEBREAK, inclusive=False, max_age="2 days", out="reading")
+    return out.select("flight_id", KEY, "departure", F.col("reading").getField(TIME).alias("observed"), F.col("reading").getField(VALUE).alias(VALUE))
+
+
+def yearly_deviation(spark, sf_dir):
+    """deviation of each order's price from its customer's yearly average
+    that was known then (the last complete year with orders)."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp_ntz").alias("ordered"), "o_totalprice")
+    base = yearly_baselines(orders, "o_custkey", "ordered", "o_totalprice")
+    out = since_baseline(orders, base, "o_custkey", "ordered", F.col("o_totalprice"), bucket="365 days")
+    return out.select("o_orderkey", "o_custkey", "baseline_year", _r("baseline").alias("baseline"), _r("deviation").alias("deviation"))
+
+
+def booking_alerts(spark, sf_dir, booked: DataFrame | None = None):
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull()).select(KEY, TIME, VALUE)
-    j = interval_join(ev, bookings(spark, sf_dir), KEY, "resort_id", TIME, "booking_start", "booking_end")
+    j = interval_join(ev, booked or bookings(spark, sf_dir), KEY, "resort_id", TIME, "booking_start", "booking_end")
     return j.where((F.col(VALUE) > HIGH_LEVEL) | (F.col(VALUE) < LOW_LEVEL)).select(
         F.col("booking_user").alias("user_id"),
         "booking_id",
@@ -366,6 +401,9 @@ QUERIES = {
     "top_extremes": top_extremes,
     "moving_trend": moving_trend,
     "booking_alerts": booking_alerts,
+    "booking_alerts_long": booking_alerts_long,
+    "departure_weather": departure_weather,
+    "yearly_deviation": yearly_deviation,
     "low_periods": low_periods,
     "composite_alerts": composite_alerts,
     "rate_change_split": rate_change_split,

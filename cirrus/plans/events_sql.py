@@ -112,6 +112,29 @@ WHERE e.value IS NOT NULL
   AND (e.value > 60.0 OR e.value < 5.0)
 """
 
+BOOKING_ALERTS_LONG = """
+WITH b AS (SELECT c_name AS booking_user, c_custkey AS booking_id, TIMESTAMP '2024-01-01 00:00:00' - to_days(CAST(c_custkey % 4000 AS INTEGER)) AS s,
+                  to_minutes(10 * (1 << CAST(c_custkey % 20 AS INTEGER))) AS lasts FROM customer)
+SELECT booking_user AS user_id, booking_id, booking_id AS resort_id, e.ts AS event_time, 'bad_conditions' AS alert, e.value
+FROM events e JOIN b ON e.user_id = booking_id
+WHERE e.value IS NOT NULL AND e.ts >= s AND e.ts <= s + lasts AND (e.value > 60.0 OR e.value < 5.0)
+"""
+
+DEPARTURE_WEATHER = """
+WITH f AS (SELECT c_custkey AS flight_id, c_custkey % 200 AS user_id, TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey * 7919 % 43200 AS INTEGER)) AS departure FROM customer),
+j AS (SELECT f.*, e.ts, e.value FROM f ASOF LEFT JOIN (SELECT * FROM events WHERE value IS NOT NULL) e ON f.user_id = e.user_id AND f.departure > e.ts)
+SELECT flight_id, user_id, departure, CASE WHEN ts >= departure - INTERVAL '2 days' THEN ts END AS observed,
+       CASE WHEN ts >= departure - INTERVAL '2 days' THEN value END AS value FROM j
+"""
+
+YEARLY_DEVIATION = """
+WITH b AS (SELECT o_custkey, year(o_orderdate) AS y, avg(o_totalprice) AS a FROM orders GROUP BY ALL),
+j AS (SELECT o.*, (SELECT max(y) FROM b WHERE b.o_custkey = o.o_custkey AND b.y < year(o.o_orderdate)) AS y FROM orders o)
+SELECT j.o_orderkey, j.o_custkey, CAST(j.y AS INTEGER) AS baseline_year, floor(floor((b.a) * 1e9 + 0.5) / 1e9 * 1e6 + 0.5) / 1e6 AS baseline,
+       floor(floor((j.o_totalprice - b.a) * 1e9 + 0.5) / 1e9 * 1e6 + 0.5) / 1e6 AS deviation
+FROM j LEFT JOIN b ON b.o_custkey = j.o_custkey AND b.y = j.y
+"""
+
 # Closing rows (first reading >= threshold after a low one); the period starts
 # at the first low reading after the last non-low reading before it.
 LOW_PERIODS = """
@@ -252,6 +275,9 @@ ORACLE = {
     "top_extremes": TOP_EXTREMES,
     "moving_trend": MOVING_TREND,
     "booking_alerts": BOOKING_ALERTS,
+    "booking_alerts_long": BOOKING_ALERTS_LONG,
+    "departure_weather": DEPARTURE_WEATHER,
+    "yearly_deviation": YEARLY_DEVIATION,
     "low_periods": LOW_PERIODS,
     "composite_alerts": COMPOSITE_ALERTS,
     "rate_change_split": RATE_CHANGE,
