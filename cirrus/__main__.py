@@ -1,10 +1,11 @@
 """Command line: run the jobs.
 
-  python -m cirrus normalize --data-dir DIR --out OUT [--year Y] [--station S] [--max-records N]
+  python -m cirrus normalize --data-dir DIR --out OUT [--year Y] [--station S] [--max-records N] [--by-day]
   python -m cirrus normalize --kafka SERVERS [--topic noaa.raw] --out OUT        (streaming)
   python -m cirrus analytics --normalized OUT | --readings JSON  --results RES [--only uc01,uc03]
   python -m cirrus stream    --uc uc01|all --readings JSON_DIR | --normalized OUT | --kafka SERVERS [--topic T]  --results RES
   python -m cirrus serve     --results RES --query s01 --from TS --to TS [--window-size 24h] [--list-name hottest]
+  python -m cirrus compact   --results RES                                       (also while streams write)
 
 Result tables live under RES/<table name>; batch runs rewrite them, streaming
 jobs append micro-batches that ``serve`` reads merged by primary key.
@@ -29,15 +30,10 @@ def _readings(spark, args):
 
 
 def load_results(spark, root: str) -> dict:
-    from cirrus.sources.sinks import read_table, table_kind
+    from cirrus.sources.sinks import is_table, read_table
 
-    out = {}
-    for uc, spec in SINKS.items():
-        path = f"{root.rstrip('/')}/{spec.name}"
-        kind = table_kind(spark, path)
-        if kind:
-            out[uc] = read_table(spark, spec, path) if kind == "log" else spark.read.parquet(path)
-    return out
+    paths = {uc: f"{root.rstrip('/')}/{spec.name}" for uc, spec in SINKS.items()}
+    return {uc: read_table(spark, SINKS[uc], path) for uc, path in paths.items() if is_table(spark, path)}
 
 
 def main(argv=None) -> None:
@@ -52,6 +48,7 @@ def main(argv=None) -> None:
     n.add_argument("--year")
     n.add_argument("--station")
     n.add_argument("--max-records", type=int)
+    n.add_argument("--by-day", action="store_true", help="file readings by day")
     a = sub.add_parser("analytics")
     g = a.add_mutually_exclusive_group(required=True)
     g.add_argument("--normalized")
@@ -74,6 +71,9 @@ def main(argv=None) -> None:
     v.add_argument("--to", dest="t_to", required=True)
     v.add_argument("--window-size", default="24h")
     v.add_argument("--list-name", default="hottest")
+    v.add_argument("--limit", type=int, help="print so many rows (default: all)")
+    c = sub.add_parser("compact")
+    c.add_argument("--results", required=True)
     args = p.parse_args(argv)
     spark = build_session(master=os.environ.get("CIRRUS_MASTER"))
 
@@ -86,7 +86,7 @@ def main(argv=None) -> None:
     elif args.cmd == "normalize":
         from cirrus.plans.normalize import run_normalizer
 
-        run_normalizer(spark, args.data_dir, args.out, args.year, args.station, args.max_records)
+        run_normalizer(spark, args.data_dir, args.out, args.year, args.station, args.max_records, args.by_day)
     elif args.cmd == "analytics":
         from cirrus.plans import usecases as U
         from cirrus.sources.bookings import bookings_frame
@@ -123,10 +123,20 @@ def main(argv=None) -> None:
         q = start(spark, args.uc, readings, os.path.join(args.results, SINKS[args.uc].name), fresh=args.fresh, **kwargs)
         q.awaitTermination()
     elif args.cmd == "serve":
-        from cirrus.plans.serving import register_results, serve
-
-        register_results(spark, load_results(spark, args.results))
-        serve(spark, f"s{args.query[-2:]}", args.t_from, args.t_to, args.window_size, args.list_name).show(50, truncate=False)
+        from cirrus.plans.serving import serve_stored
+
+        out = serve_stored(spark, args.results, f"s{args.query[-2:]}", args.t_from, args.t_to, args.window_size, args.list_name)
+        out = out.limit(args.limit) if args.limit else out
+        print("\t".join(out.columns))
+        for row in out.toLocalIterator():
+            print("\t".join("" if v is None else str(v) for v in row))
+    elif args.cmd == "compact":
+        from cirrus.sources.sinks import compact, is_table
+
+        for spec in SINKS.values():
+            path = os.path.join(args.results, spec.name)
+            if is_table(spark, path):
+                compact(spark, spec, path)
 
 
 if __name__ == "__main__":

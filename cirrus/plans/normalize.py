@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cirrus.functions import rawformat as fmt
 from cirrus.functions.timeops import to_event_time
+from cirrus.sources import files
 
 _CSV_SCHEMA = ", ".join(f"`{c}` STRING" for c in fmt.RAW_COLUMNS)
 _CSV_OPTIONS = {"mode": "PERMISSIVE", "quote": '"', "escape": '"'}
@@ -118,23 +119,42 @@ def normalize(raw: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFr
     return split_tagged(normalize_tagged(raw, line))
 
 
-def run_normalizer(spark, data_dir: str, out: str, year=None, station=None, max_records=None) -> None:
+def run_normalizer(spark, data_dir: str, out: str, year=None, station=None, max_records=None, by_day: bool = False) -> None:
     """Batch normalisation job: raw files -> readings and dead letters, one
-    pass (each line parsed once), written as parquet partitioned by ``kind``.
+    pass (each line parsed once), see :func:`write_normalized`.
     Fields past the 16th are ignored by the parse, so lines are not cut to 16
     columns first; a dead letter keeps its whole original line."""
-    from cirrus.sources.raw import first_records, read_raw
+    from cirrus.sources.raw import read_first, read_raw
 
-    raw = first_records(read_raw(spark, data_dir, year, station), max_records)
-    normalize_tagged(raw).write.mode("overwrite").partitionBy("kind").parquet(out)
+    raw = read_first(spark, data_dir, year, station, max_records) if max_records else read_raw(spark, data_dir, year, station)
+    write_normalized(raw, out, by_day)
+
+
+def write_normalized(raw: DataFrame, out: str, by_day: bool = False) -> None:
+    """Raw lines normalised into parquet partitioned by ``kind``; with
+    ``by_day`` also by the reading's day, for analytics that read some days
+    only (one shuffle, so that a day has few files)."""
+    tagged = normalize_tagged(raw)
+    if not by_day:
+        tagged.write.mode("overwrite").partitionBy("kind").parquet(out)
+        return
+    day = F.when(F.col("kind") == READING, F.substring("date", 1, 10))
+    tagged.withColumn("day", day).hint("rebalance", "kind", "day").write.mode("overwrite").partitionBy("kind", "day").parquet(out)
 
 
 def read_normalized(spark, out: str) -> tuple[DataFrame, DataFrame]:
     """(readings, dead letters) of a normalisation output; the ``kind``
-    partition filter prunes the other half."""
+    partition filter prunes the other half.  Readings filed by day have the
+    partition column ``day``."""
     return split_tagged(spark.read.parquet(out))
 
 
+def days_in(spark, out: str) -> list[str]:
+    """The days of a normalisation output filed by day."""
+    names = files.names_in(spark, f"{out.rstrip('/')}/kind={READING}")
+    return sorted(n.removeprefix("day=") for n in names if n.startswith("day="))
+
+
 def to_json_lines(readings: DataFrame) -> DataFrame:
     """A5: one JSON document per reading (value column for a message sink)."""
     return readings.select(F.to_json(F.struct(*[c for c in readings.columns])).alias("value"))

@@ -1,33 +1,74 @@
 """The product end to end on the driver's tables: raw station lines built from
-``events`` are normalised, the ten analytics run on the readings, and the ten
-panels' SQL runs on their results.
+``events`` are normalised into readings filed by day, the ten analytics run on
+them, and the ten panels' SQL runs on the stored result tables.
+
+As in production, normalising and storing results happen once (per application
+and version of ``events``): a ``product_uc..`` query is one analytic over the
+stored readings, a ``product_s..`` query one panel over a stored table, of
+which it reads the panel's days.  ``pane_..`` queries make windows from stored
+panes, added in two runs.
 
 Times leave as timestamp_ntz and floats rounded as in ``cirrus.plans.events``.
 """
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
-from cirrus.operators.sequence import checkpointed
 from cirrus.plans import events as E
 from cirrus.plans import normalize as norm
+from cirrus.plans import panes as P
 from cirrus.plans import usecases as U
-from cirrus.plans.serving import register_results, serve
+from cirrus.plans.serving import serve_stored
 from cirrus.schema import SINKS
+from cirrus.session import checkpoint_path
+from cirrus.sources import files
 from cirrus.sources.readings import with_event_time
+from cirrus.sources.sinks import write_table
 
+_MADE: dict[tuple, str] = {}
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings of all events: station by user, temperature, wind, visibility
-    and (falling as the value rises) pressure by value.  Normalised once, as
-    the job does that the analytics read from; a filter of theirs pushed below
-    the parse would repeat it."""
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
+    """The folder that ``make`` fills, once for an application and version of
+    the events table."""
+    table = f"{sf_dir.rstrip('/')}/events.parquet"
+    where, fs = files.at(spark, table)
+    changed = max([fs.getFileStatus(where).getModificationTime(), *files.ages_in(spark, table).values()])
+    known = (spark.sparkContext.applicationId, sf_dir, changed, name)
+    if known not in _MADE:
+        path = checkpoint_path(spark, f"cirrus-product/{name}-{uuid.uuid4().hex}")
+        atexit.register(_forget, spark, path)
+        make(path)
+        _MADE[known] = path
+    return _MADE[known]
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    try:
+        files.delete(spark, path)
+    except Exception:  # noqa: BLE001  the session is gone: nothing to remove with
+        return
+
+
+def normalized(spark: SparkSession, sf_dir: str) -> str:
+    """Readings of all events, filed by day: station by user, temperature,
+    wind, visibility and (falling as the value rises) pressure by value."""
     tenths = F.lpad(F.floor(F.lit(10_000) - F.col("value") * 10).cast("bigint").cast("string"), 5, "0")
-    lines = norm.events_as_raw_lines(E._events(spark, sf_dir), F.concat(tenths, F.lit(",1")))
-    return with_event_time(checkpointed(norm.normalize(lines)[0]))
+
+    def make(path: str) -> None:
+        norm.write_normalized(norm.events_as_raw_lines(E._events(spark, sf_dir), F.concat(tenths, F.lit(",1"))), path, by_day=True)
+
+    return _once(spark, sf_dir, "readings", make)
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_event_time(norm.read_normalized(spark, normalized(spark, sf_dir))[0])
 
 
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +102,25 @@ def _analytic(uc: str):
 
 def _panel(uc: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        register_results(spark, {uc: result(spark, sf_dir, uc)})
-        return _comparable(serve(spark, f"s{uc[2:]}", E.SERVE_FROM, E.SERVE_TO))
+        spec = SINKS[uc]
+        root = _once(spark, sf_dir, f"results-{uc}", lambda path: write_table(result(spark, sf_dir, uc), spec, f"{path}/{spec.name}"))
+        return _comparable(serve_stored(spark, root, f"s{uc[2:]}", E.SERVE_FROM, E.SERVE_TO))
+
+    return run
+
+
+def _from_panes(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        E._events(spark, sf_dir)  # the session reads times as UTC
+
+        def make(path: str) -> None:
+            days = norm.days_in(spark, normalized(spark, sf_dir))
+            for known in (days[: len(days) // 2], days):  # a second run adds what is new
+                P.reading_panes(spark, path).add(readings(spark, sf_dir), known)
+
+        return _comparable(P.ANALYTICS[name](P.reading_panes(spark, _once(spark, sf_dir, "panes", make))))
 
     return run
 
 
-QUERIES = {f"product_{uc}": _analytic(uc) for uc in SINKS} | {f"product_s{uc[2:]}": _panel(uc) for uc in SINKS}
+QUERIES = {f"product_{uc}": _analytic(uc) for uc in SINKS} | {f"product_s{uc[2:]}": _panel(uc) for uc in SINKS} | {f"pane_{name}": _from_panes(name) for name in P.ANALYTICS}

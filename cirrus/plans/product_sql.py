@@ -64,4 +64,4 @@ PANELS = {
     "s10": _panel("uc10", "window_end", f"window_end AS alert_time, {_STATION} AS station, alert AS status, pressure_drop_hpa_per_hour, max_wind_kmh"),
 }
 
-ORACLE = {f"product_{k}": v for k, v in {**ANALYTICS, **PANELS}.items()}
+ORACLE = {f"product_{k}": v for k, v in {**ANALYTICS, **PANELS}.items()} | {f"pane_{uc}": ANALYTICS[uc] for uc in ("uc01", "uc02", "uc05", "uc06", "uc07")}

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.schema import SINKS
+from cirrus.sources.levels import LevelledTable
 
 
 def _label(c: str) -> str:
@@ -60,6 +61,21 @@ def register_results(spark: SparkSession, results: dict[str, DataFrame]) -> None
         df.createOrReplaceTempView(SINKS[uc].name)
 
 
+def serve_stored(spark: SparkSession, root: str, query: str, t_from: str, t_to: str, window_size: str = "24h", list_name: str = "hottest", bands: bool = False) -> DataFrame:
+    """Serving query over the stored table under ``root``: only the files of
+    the days that the panel shows are read, of S06 those of the last day."""
+    uc = f"uc{query[1:]}"
+    spec = SINKS[uc]
+    table = LevelledTable(spark, spec, f"{root.rstrip('/')}/{spec.name}")
+    since, until = t_from[:10], t_to[:10]
+    if query == "s06":
+        since = until = max(table.days(), default=None)
+    if spec.day == "period_start":  # filed under the start, shown by the end
+        since = None
+    register_results(spark, {uc: table.read(since, until)})
+    return serve(spark, query, t_from, t_to, window_size, list_name, bands)
+
+
 def serve(
     spark: SparkSession, query: str, t_from: str, t_to: str, window_size: str = "24h", list_name: str = "hottest", bands: bool = False
 ) -> DataFrame:

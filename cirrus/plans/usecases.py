@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.functions.baseline import formula_baseline
+from cirrus.operators.asof import since_baseline
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.functions.timeops import duration_seconds
@@ -33,6 +34,10 @@ PRESSURE_DROP_HPA_PER_HOUR, WIND_THRESHOLD_KMH = 5.0, 80.0
 MPS_TO_KMH = 3.6
 
 
+def bad_temperature():
+    return ~F.coalesce(F.col("temperature.is_valid"), F.lit(False))
+
+
 def _temps(readings: DataFrame) -> DataFrame:
     """Readings with a temperature value (no validity test, as in the
     reference's use of the value)."""
@@ -47,7 +52,7 @@ def temperature_stats(readings: DataFrame, sizes=(("1h", "1 hour"), ("24h", "24
 def data_quality(readings: DataFrame, size: str = "1 hour", slide: str = "10 minutes", bad=None, strategy: str = "auto") -> DataFrame:
     """UC02: readings without a valid temperature per sliding window (zero
     counts kept)."""
-    bad = bad if bad is not None else ~F.coalesce(F.col("temperature.is_valid"), F.lit(False))
+    bad = bad if bad is not None else bad_temperature()
     x = readings.select(K, T, F.when(bad, 1).otherwise(0).alias("_bad"))
     out = sliding_agg(x, K, T, size, slide, [("bad_count", "sum", "_bad")], strategy)
     return out.withColumn("bad_count", F.col("bad_count").cast("bigint"))
@@ -67,10 +72,15 @@ def data_gaps(readings: DataFrame, max_gap: str = "1 hour") -> DataFrame:
 
 def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: str = "1 hour", baseline: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """UC05: rolling average minus the station's historical baseline: the
-    built-in formula, or a table (station, baseline) joined in."""
+    built-in formula, a table (station, baseline) joined in, or one of
+    ``asof.yearly_baselines``, of which each window takes the last that was
+    known when it began."""
     w = sliding_agg(_temps(readings), K, T, size, slide, [("avg_temp_c", "avg", "temp_c")], strategy)
     if baseline is None:
         return w.select(K, "window_start", "window_end", (F.col("avg_temp_c") - formula_baseline(F.col(K))).alias("deviation_c"))
+    if "known_from" in baseline.columns:
+        known = since_baseline(w, baseline, K, "window_start", F.col("avg_temp_c"), bucket="365 days")
+        return known.select(K, "window_start", "window_end", F.col("deviation").alias("deviation_c"))
     b = baseline.select(K, F.col(baseline.columns[1]).alias("_base"))
     return w.join(b, K, "left").select(K, "window_start", "window_end", (F.col("avg_temp_c") - F.col("_base")).alias("deviation_c"))
 

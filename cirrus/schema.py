@@ -52,27 +52,29 @@ DEAD_LETTER = _struct(("error", S), ("raw_message", S), ("source_file", S), ("ro
 
 @dataclass(frozen=True)
 class SinkSpec:
-    """A result table: name, columns and primary key (rows with an equal key
-    are upserts of each other)."""
+    """A result table: name, columns (which of them may be null), primary key
+    (rows with an equal key are upserts of each other) and the time whose day
+    its rows are filed under (determined by the key)."""
 
     name: str
     schema: StructType
     primary_key: tuple[str, ...]
+    day: str
 
 
-def _sink(name: str, cols: list[tuple[str, DataType]], pk: list[str]) -> SinkSpec:
-    return SinkSpec(name, StructType([StructField(n, t, n not in pk) for n, t in cols]), tuple(pk))
+def _sink(name: str, cols: list[tuple[str, DataType]], pk: list[str], day: str = "window_end", may_be_null: tuple[str, ...] = ()) -> SinkSpec:
+    return SinkSpec(name, StructType([StructField(n, t, n in may_be_null) for n, t in cols]), tuple(pk), day)
 
 
 SINKS = {
-    "uc01": _sink("temperature_stats", [("station", S), ("window_size", S), ("window_start", T), ("window_end", T), ("min_temp_c", D), ("max_temp_c", D), ("avg_temp_c", D)], ["station", "window_size", "window_start"]),
+    "uc01": _sink("temperature_stats", [("station", S), ("window_size", S), ("window_start", T), ("window_end", T), ("min_temp_c", D), ("max_temp_c", D), ("avg_temp_c", D)], ["station", "window_size", "window_start"], may_be_null=("min_temp_c", "max_temp_c", "avg_temp_c")),
     "uc02": _sink("data_quality", [("station", S), ("window_start", T), ("window_end", T), ("bad_count", L)], ["station", "window_start"]),
-    "uc03": _sink("temperature_change", [("station", S), ("event_time", T), ("change_c_per_hour", D)], ["station", "event_time"]),
-    "uc04": _sink("data_gaps", [("station", S), ("interval_start", T), ("interval_end", T), ("status", S)], ["station", "interval_end"]),
+    "uc03": _sink("temperature_change", [("station", S), ("event_time", T), ("change_c_per_hour", D)], ["station", "event_time"], "event_time"),
+    "uc04": _sink("data_gaps", [("station", S), ("interval_start", T), ("interval_end", T), ("status", S)], ["station", "interval_end"], "interval_end"),
     "uc05": _sink("temperature_deviation", [("station", S), ("window_start", T), ("window_end", T), ("deviation_c", D)], ["station", "window_start"]),
     "uc06": _sink("temperature_rankings", [("station", S), ("window_start", T), ("window_end", T), ("list_name", S), ("rank_position", L), ("temp_c", D)], ["window_start", "list_name", "rank_position"]),
     "uc07": _sink("climate_trend", [("station", S), ("window_start", T), ("window_end", T), ("avg_temp_c", D), ("trend_direction", S)], ["station", "window_start"]),
-    "uc08": _sink("user_notifications", [("user_id", S), ("booking_id", S), ("resort_id", S), ("event_time", T), ("alert", S), ("wind_mps", D), ("visibility_m", I)], ["user_id", "booking_id", "event_time"]),
-    "uc09": _sink("low_visibility", [("station", S), ("period_start", T), ("period_end", T), ("duration_hours", L)], ["station", "period_start"]),
+    "uc08": _sink("user_notifications", [("user_id", S), ("booking_id", S), ("resort_id", S), ("event_time", T), ("alert", S), ("wind_mps", D), ("visibility_m", I)], ["user_id", "booking_id", "event_time"], "event_time", ("wind_mps", "visibility_m")),
+    "uc09": _sink("low_visibility", [("station", S), ("period_start", T), ("period_end", T), ("duration_hours", L)], ["station", "period_start"], "period_start"),
     "uc10": _sink("storm_warning", [("station", S), ("window_start", T), ("window_end", T), ("pressure_drop_hpa_per_hour", D), ("max_wind_kmh", D), ("alert", S)], ["station", "window_start"]),
 }

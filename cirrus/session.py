@@ -38,7 +38,7 @@ def build_session(master: str | None = None, app: str = "cirrus", shuffle_partit
         # checkpoint files go when nothing refers to them any more
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("CIRRUS_DRIVER_MEMORY", "16g"))
-        # transformWithState needs a state store with column families
+        # the state of windows may outgrow an executor's memory
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -20,6 +20,7 @@ the lines:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cirrus.functions import rawformat as fmt
+from cirrus.session import ship_package
+from cirrus.sources import files
 
 _SCAN_SCHEMA = "source_file string, _split bigint, _len bigint, _size bigint, raw_line string, _pos bigint"
 
@@ -62,7 +65,7 @@ def _positions_in_split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFram
 _LINES_SCHEMA = "source_file string, _split bigint, _len bigint, _size bigint, raw_line string"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines with their file and split; a year or station that does not exist
     reads as no lines (the file scan skips missing files)."""
     try:
@@ -81,7 +84,12 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, data_dir: str, year: str | None = None, station: str | None = None) -> DataFrame:
-    path = raw_glob(data_dir, year, station)
+    return _numbered(spark, raw_glob(data_dir, year, station))
+
+
+def _numbered(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with their numbers in their files, without the headers."""
+    ship_package(spark)
     # files never split: at most min(maxPartitionBytes, openCostInBytes) bytes
     never_split = min(
         _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")),
@@ -134,6 +142,43 @@ def supported_raw_line(raw: DataFrame, line: str = "raw_line") -> DataFrame:
     return x.withColumn(line, text).drop(*helper)
 
 
+def read_first(spark: SparkSession, data_dir: str, year: str | None, station: str | None, max_records: int) -> DataFrame:
+    """A3: :func:`read_raw`'s first ``max_records`` lines in (file, line)
+    order, without sorting lines.  Files are counted in order of their names,
+    1, 2, 4, ... at a time, until they add up to the cut; those behind are
+    never read, and of the last one the lines behind the cut are left out."""
+    paths = _listed(spark, raw_glob(data_dir, year, station))
+    needed, total, at, some = [], 0, 0, 1
+    while at < len(paths) and total < max_records:
+        chunk = paths[at : at + some]
+        lines = _lines(spark, chunk).groupBy("source_file").agg((F.count(F.lit(1)) - 1).alias("n"))
+        counts = {_plain(r["source_file"]): r["n"] for r in lines.collect()}
+        for path in chunk:
+            if total < max_records and counts.get(_plain(path), 0) > 0:
+                needed.append(path)
+                before, total = total, total + counts[_plain(path)]
+        at, some = at + len(chunk), some * 2
+    if not needed:
+        return read_raw(spark, data_dir, year, station).limit(0)
+    last = F.col("source_file") == _last_of(spark, needed)
+    return _numbered(spark, needed).where(~last | (F.col("row_number") <= max_records - before + 1))
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files of a glob, in order."""
+    where, fs = files.at(spark, path)
+    return sorted(x.getPath().toString() for x in fs.globStatus(where) or [] if x.isFile())
+
+
+def _plain(path: str) -> str:
+    """The path without scheme and escapes, which listings and scans differ in."""
+    return unquote(urlsplit(path).path if "://" in path else path.partition(":")[2] or path)
+
+
+def _last_of(spark: SparkSession, paths: list[str]):
+    return F.lit(_lines(spark, paths[-1]).select("source_file").first()["source_file"])
+
+
 def first_records(raw: DataFrame, max_records: int | None) -> DataFrame:
     """A3: the first n lines in (file, line) order; 0 or None means all."""
     if not max_records:

@@ -1,19 +1,11 @@
-"""Result tables.
-
-A result table has a primary key; a row with an existing key replaces the
-old one (upsert).  Without a transactional table format on the classpath the
-table is stored as an append log of micro-batches plus merge-on-read:
-
-* ``append_batch`` overwrites ``<path>/run=r/batch_id=n``, so replaying a batch
-  after a failure rewrites the same folder (idempotent, exactly-once under
-  replay).  A job's run number stays with its checkpoint; a new checkpoint over
-  an old table is a new run, whose rows win over all before;
-* ``read_table`` keeps, per key, the row of the highest run and batch (and,
-  inside a batch, the last row in arrival order); ``compact`` rewrites the log
-  as one batch.
-
-Batch jobs write a full refresh (``mode('overwrite')``, the analogue of
-truncating before a run).
+"""Result tables (A9-A12, T7): keyed upsert into levelled tables, full
+refreshes of them, and JDBC options.
+
+A streamed table has one part per micro-batch, merged as they become many
+(``cirrus.sources.levels``).  A job's run number stays with its checkpoint; a
+new checkpoint over an old table is a new run, whose rows win over all before.
+Batch jobs replace a table's rows as a whole (the analogue of truncating
+before a run).
 """
 
 from __future__ import annotations
@@ -22,9 +14,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from cirrus.schema import SinkSpec
+from cirrus.sources import files
+from cirrus.sources.files import names_in as names_in
+from cirrus.sources.levels import LevelledTable, conform
 
 
 def upsert_latest(df: DataFrame, pk: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -34,93 +28,53 @@ def upsert_latest(df: DataFrame, pk: Sequence[str], order: Sequence[str]) -> Dat
     return df.withColumn("_up_rn", F.row_number().over(w)).where(F.col("_up_rn") == 1).drop("_up_rn")
 
 
-def conform(df: DataFrame, spec: SinkSpec) -> DataFrame:
-    """Select the table's columns in order, cast to its types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
-
-
 def write_table(df: DataFrame, spec: SinkSpec, path: str) -> None:
     """Full refresh of a result table from a batch result."""
-    conform(df, spec).write.mode("overwrite").parquet(path)
+    LevelledTable(df.sparkSession, spec, path).replace(df)
 
 
 def append_batch(df: DataFrame, spec: SinkSpec, path: str, batch_id: int, run: int = 0) -> None:
-    """Batch ``batch_id`` of run ``run`` (a checkpoint's life; a later one has
-    a higher number).  Its folder is replaced whatever it held, so that a
-    replay without rows clears it too."""
-    out = conform(df, spec).withColumn("_seq", F.monotonically_increasing_id())
-    out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={run}/batch_id={batch_id}")
-
+    LevelledTable(df.sparkSession, spec, path).append(df, batch_id, run)
 
-def read_log(spark: SparkSession, spec: SinkSpec, path: str) -> DataFrame:
-    schema = StructType([*spec.schema.fields, *(StructField(c, LongType()) for c in ("_seq", "run", "batch_id"))])
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
+def read_table(spark: SparkSession, spec: SinkSpec, path: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Per key its latest row; only the files of the days ``since`` ..
+    ``until`` (yyyy-MM-dd) are read."""
+    return LevelledTable(spark, spec, path).read(since, until)
 
-def read_table(spark: SparkSession, spec: SinkSpec, path: str) -> DataFrame:
-    """Per key the row of the highest (run, batch), in a batch the last one;
-    partially aggregated, so that a key's old rows don't travel."""
-    names = [f.name for f in spec.schema.fields]
-    rest = [c for c in names if c not in spec.primary_key]
-    row = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(True)
-    latest = read_log(spark, spec, path).groupBy(*spec.primary_key).agg(F.max_by(row, F.struct("run", "batch_id", "_seq")).alias("_row"))
-    return latest.select(*[F.col(c) if c in spec.primary_key else F.col("_row").getField(c).alias(c) for c in names])
 
-
-def compact(spark: SparkSession, spec: SinkSpec, path: str, run: int) -> None:
-    """The table's present rows as batch 0 of ``run``, and the runs before it
-    removed.  No stream may be writing, and ``run`` must be a new one: a
-    stopped job goes on with a later run number."""
-    runs = _runs(spark, path)
-    if runs and run <= max(runs):
-        raise ValueError(f"run {run} isn't later than {max(runs)}")
-    append_batch(read_table(spark, spec, path), spec, path, 0, run)
-    for old in runs:
-        _delete(spark, f"{path.rstrip('/')}/run={old}")
+def compact(spark: SparkSession, spec: SinkSpec, path: str, fanout: int = 2) -> None:
+    """Merges until no level has ``fanout`` parts, and removes what is no
+    longer used.  A stream may go on writing."""
+    table = LevelledTable(spark, spec, path)
+    while table.merge(fanout):
+        pass
+    table.vacuum()
 
 
 def truncate(spark: SparkSession, path: str) -> None:
     """Remove a table's rows, as before a fresh run."""
-    _delete(spark, path)
-
-
-def next_run(spark: SparkSession, path: str) -> int:
-    return max(_runs(spark, path), default=-1) + 1
-
-
-def table_kind(spark: SparkSession, path: str) -> str | None:
-    """"log" for a streamed table, "refresh" for a batch one, None without one."""
-    names = names_in(spark, path)
-    return None if not names else "log" if any(n.startswith("run=") for n in names) else "refresh"
-
-
-def _runs(spark: SparkSession, path: str) -> list[int]:
-    return [int(n.removeprefix("run=")) for n in names_in(spark, path) if n.startswith("run=")]
-
-
-def _at(spark: SparkSession, path: str):
-    """The path and its file system, whichever that is."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(spark, path)
 
 
-def names_in(spark: SparkSession, path: str) -> list[str]:
-    at, fs = _at(spark, path)
-    return [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+def next_run(spark: SparkSession, spec: SinkSpec, path: str) -> int:
+    return LevelledTable(spark, spec, path).next_run()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    at, fs = _at(spark, path)
-    fs.delete(at, True)
+def is_table(spark: SparkSession, path: str) -> bool:
+    return "manifest" in files.names_in(spark, path)
 
 
 def upsert_writer(spec: SinkSpec, path: str, transform=None, run: int = 0):
-    """``foreachBatch`` function appending each micro-batch to a keyed table;
-    ``transform`` (optional) runs batch-only logic on the micro-batch first."""
+    """``foreachBatch`` function appending each micro-batch to a keyed table,
+    and merging its parts when they are many; ``transform`` (optional) runs
+    batch-only logic on the micro-batch first."""
 
     def _write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        append_batch(out, spec, path, batch_id, run)
+        table = LevelledTable(batch.sparkSession, spec, path)
+        table.append(out, batch_id, run)
+        table.merge()
 
     return _write
 

@@ -2,38 +2,45 @@
 
 Input: a streaming readings DataFrame with ``event_time`` (see
 ``cirrus.sources.readings.read_readings(stream=True)`` or ``parse_readings``
-over a message stream).  Each builder returns ``(stream, transform)``:
-``stream`` is appended to the result table by ``start``; ``transform``
-(optional) is batch-only logic applied to each micro-batch before the upsert
-(used for ranking, which Spark does not allow on a stream).
+over a message stream).  Each builder returns ``(stream, then)``: ``stream``
+is what Spark computes continuously, ``then`` (optional) what happens to each
+of its micro-batches before the upsert: a function of the batch (ranking,
+which Spark does not allow on a stream), or :class:`Carried`, a step that also
+has the keys' state.
 
 * Windows: native event-time windows in append mode, emitted once when the
   watermark (event time - 5 minutes) passes the window end.  Watermarks
   start at 1970-01-01, so event times are shifted forward by a whole number
   of the job's slides (``epoch_shift``) before the watermark and back
   afterwards; without it, readings from before 1970 would all be late.
-* Sequential operators: ``transformWithState`` with one value of state per
-  key.  K1, K2, K4 run without event-time mode, so late rows are processed in
-  arrival order rather than dropped (as in the reference); K5 feeds a window
-  and therefore runs in event-time mode.
+* Sequential operators (K1-K4): the batch operator on each micro-batch, going
+  on from the state that the keys carry (``cirrus.streaming.carry``).  Rows of
+  a key are ordered by time inside a batch, by arrival across batches; late
+  rows are processed, not dropped, and become the state, as in the reference.
+* K5 feeds a window: two queries in a row, the first with the state, which
+  no watermark touches, the second with the windows, which drop late rows.
 """
 
 from __future__ import annotations
 
+import time
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.functions.baseline import formula_baseline
-from cirrus.functions.timeops import duration_seconds, epoch_shift
+from cirrus.functions.timeops import epoch_shift
+from cirrus.operators.composite import drop_rows
 from cirrus.operators.rank import top_n_both_ends
-from cirrus.operators.sequence import exact
+from cirrus.operators.sequence import closed_periods, exact, gap_status, last_rows, open_periods, periods, rate_of_change, trend
 from cirrus.operators.windows import sliding_agg
 from cirrus.plans import usecases as U
-from cirrus.schema import SINKS
-from cirrus.session import checkpoint_path, ship_package
-from cirrus.sources.readings import WATERMARK, arrival_order
+from cirrus.schema import SINKS, SinkSpec
+from cirrus.session import checkpoint_path
+from cirrus.sources.readings import MAX_FILE_AGE, WATERMARK, arrival_order
 from cirrus.sources.sinks import names_in, next_run, truncate, upsert_writer
-from cirrus.streaming.processors import gap_status, pressure_drops, rate_of_change, threshold_periods, trend_direction
+from cirrus.streaming.carry import Carry, Step, stepped
 
 K, T = "station", "event_time"
 
@@ -49,8 +56,11 @@ def _unshift(df: DataFrame, *slides: str) -> DataFrame:
     return df
 
 
-def _from_us(c: str):
-    return F.timestamp_micros(F.col(c))
+@dataclass(frozen=True)
+class Carried:
+    """What happens to a micro-batch of a job with keyed state."""
+
+    step: Step
 
 
 def _window_stats(x: DataFrame, size: str, slide: str, aggs) -> DataFrame:
@@ -100,68 +110,62 @@ def temperature_rankings(readings: DataFrame, n: int = 10, size="24 hours", slid
 def climate_trend(readings: DataFrame, size="30 days", slide="10 days", watermark: str = WATERMARK):
     x = U._temps(watermarked(readings, watermark, slide)).select(K, T, exact(F.col("temp_c")).alias("temp_c"))
     w = _window_stats(x, size, slide, [("avg", "avg", "temp_c")])
-    w = _unshift(w, slide).select(
-        K, F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), F.col("avg").cast("double").alias("avg")
-    )
-    out = w.groupBy(K).transformWithState(
-        trend_direction(), "key string, start_us bigint, end_us bigint, avg double, trend string", "Append", "None"
-    )
-    return out.select(
-        F.col("key").alias(K), _from_us("start_us").alias("window_start"), _from_us("end_us").alias("window_end"),
-        F.col("avg").alias("avg_temp_c"), F.col("trend").alias("trend_direction"),
-    ), None
+    w = _unshift(w, slide).select(K, "window_start", "window_end", F.col("avg").cast("double").alias("avg_temp_c"))
 
+    def step(batch, state):
+        return trend(batch, K, "window_start", "avg_temp_c", initial=state), last_rows(batch, K, "window_start", ["avg_temp_c"])
 
-# ----------------------------------------------------------------- sequential
-def _keyed_input(x: DataFrame, value: str | None, order) -> DataFrame:
-    cols = [K, F.unix_micros(T).alias("t_us"), *order]
-    if value:
-        cols.append(F.col(value).alias("v"))
-    return x.select(*cols)
+    return w, Carried(step)
 
 
+# ----------------------------------------------------------------- sequential
 def temperature_change(readings: DataFrame, per_seconds: float = 3600.0):
     x = U._temps(readings)
     order = arrival_order(x)
-    out = _keyed_input(x, "temp_c", order).groupBy(K).transformWithState(
-        rate_of_change(per_seconds, order), "key string, t_us bigint, rate double", "Append", "None"
-    )
-    return out.select(F.col("key").alias(K), _from_us("t_us").alias(T), F.col("rate").alias("change_c_per_hour")), None
+
+    def step(batch, state):
+        rates = rate_of_change(batch, K, T, "temp_c", order, "change_c_per_hour", per_seconds, initial=state)
+        return rates, last_rows(batch, K, T, ["temp_c"], order)
+
+    return x, Carried(step)
 
 
 def data_gaps(readings: DataFrame, max_gap: str = "1 hour"):
     order = arrival_order(readings)
-    out = _keyed_input(readings, None, order).groupBy(K).transformWithState(
-        gap_status(duration_seconds(max_gap) * 1_000_000, order), "key string, start_us bigint, end_us bigint, status string", "Append", "None"
-    )
-    return out.select(
-        F.col("key").alias(K), _from_us("start_us").alias("interval_start"), _from_us("end_us").alias("interval_end"), "status"
-    ), None
+    return readings.select(K, T, *order), Carried(lambda batch, state: (gap_status(batch, K, T, order, max_gap, initial=state), last_rows(batch, K, T, [], order)))
 
 
 def low_visibility(readings: DataFrame, threshold: float = U.VISIBILITY_THRESHOLD_M):
     order = arrival_order(readings)
-    x = readings.where(F.col("visibility.distance_meters").isNotNull()).select(
-        K, T, *order, F.col("visibility.distance_meters").alias("vis")
-    )
-    out = _keyed_input(x, "vis", order).groupBy(K).transformWithState(
-        threshold_periods(threshold, order), "key string, start_us bigint, end_us bigint, hours bigint", "Append", "None"
-    )
-    return out.select(
-        F.col("key").alias(K), _from_us("start_us").alias("period_start"), _from_us("end_us").alias("period_end"),
-        F.col("hours").alias("duration_hours"),
-    ), None
+    vis = F.col("visibility.distance_meters")
+    x = readings.where(vis.isNotNull()).select(K, T, *order, vis.alias("visibility_m"))
+
+    def step(batch, state):
+        runs = periods(batch, K, T, "visibility_m", threshold, order, opened=state)
+        return closed_periods(runs, K), open_periods(runs, K)
+
+    return x, Carried(step)
 
 
-def storm_warning(readings: DataFrame, size="60 minutes", slide="10 minutes", watermark: str = WATERMARK):
-    x = U.storm_readings(watermarked(readings, watermark, slide))
+def pressure_drops(readings: DataFrame):
+    """First half of the storm warning: (station, time, drop per hour, wind)
+    of every storm reading, drop and wind null for those without an earlier
+    one, which only move the second half's watermark."""
+    x = U.storm_readings(readings)
     order = arrival_order(x)
-    keyed = x.select(K, F.unix_micros(T).alias("t_us"), *order, F.col("pressure_hpa").alias("p"), F.col("wind_kmh").alias("level"))
-    drops = keyed.groupBy(K).transformWithState(
-        pressure_drops(order), "key string, event_time timestamp, drop double, level double", "Append", "EventTime",
-        eventTimeColumnName="event_time",
-    ).withColumnRenamed("key", K)
-    w = _window_stats(drops, size, slide, [("pressure_drop_hpa_per_hour", "max", "drop"), ("max_wind_kmh", "max", "level")])
+
+    def step(batch, state):
+        drops = drop_rows(batch, K, T, F.col("pressure_hpa"), F.col("wind_kmh"), order, initial=state)
+        before = batch.select(K, T, *order, F.col("pressure_hpa").alias("_f"))
+        return drops, last_rows(before, K, T, ["_f"], order)
+
+    return x, Carried(step)
+
+
+def storm_warning(drops: DataFrame, size="60 minutes", slide="10 minutes", watermark: str = WATERMARK):
+    """Second half: windows over a stream of :func:`pressure_drops`' rows."""
+    x = watermarked(drops, watermark, slide)
+    w = _window_stats(x, size, slide, [("pressure_drop_hpa_per_hour", "max", "drop_per_hour"), ("max_wind_kmh", "max", "level")])
     out = w.where(
         (F.col("pressure_drop_hpa_per_hour") > U.PRESSURE_DROP_HPA_PER_HOUR) & (F.col("max_wind_kmh") > U.WIND_THRESHOLD_KMH)
     ).withColumn("alert", F.lit("storm_event"))
@@ -174,6 +178,7 @@ def user_notifications(readings: DataFrame, bookings: DataFrame):
     return U.user_notifications(readings, bookings), None
 
 
+#: uc10 is a chain of two, see ``start``.
 STREAM_JOBS = {
     "uc01": temperature_stats,
     "uc02": data_quality,
@@ -184,22 +189,16 @@ STREAM_JOBS = {
     "uc07": climate_trend,
     "uc08": user_notifications,
     "uc09": low_visibility,
-    "uc10": storm_warning,
 }
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-KEYED_STATE_JOBS = {"uc03", "uc04", "uc07", "uc09", "uc10"}
-
-
-def run_of(spark: SparkSession, checkpoint: str, table_path: str) -> int:
+def run_of(spark: SparkSession, checkpoint: str, spec: SinkSpec, table_path: str) -> int:
     """The run number of a job: kept beside its checkpoint, for a new
     checkpoint the one after those in the table."""
     path = f"{checkpoint.rstrip('/')}-run"
     if names_in(spark, path):
         return spark.read.schema("run long").parquet(path).first()["run"]
-    run = next_run(spark, table_path)
+    run = next_run(spark, spec, table_path)
     spark.range(1).select(F.lit(run).cast("bigint").alias("run")).coalesce(1).write.mode("overwrite").parquet(path)
     return run
 
@@ -207,28 +206,72 @@ def run_of(spark: SparkSession, checkpoint: str, table_path: str) -> int:
 def start(spark: SparkSession, uc: str, readings: DataFrame, table_path: str, name: str | None = None, trigger: dict | None = None, fresh: bool = False, **kwargs):
     """Start the streaming job ``uc`` appending to the keyed result table at
     ``table_path``; its checkpoint lives under ``spark.checkpoint.dir``.
-    ``fresh`` empties the table and forgets the checkpoint first.
-    Keyed-state jobs need a state store with column families (RocksDB); it is
-    set when the session names no provider."""
-    if uc in KEYED_STATE_JOBS and not spark.conf.get(STATE_PROVIDER, "").endswith("RocksDBStateStoreProvider"):
-        default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-        if spark.conf.get(STATE_PROVIDER, default) == default:
-            spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    ``fresh`` empties the table and forgets the checkpoint first.  State, and
+    for ``uc10`` the rows between its two queries, lie beside the checkpoint."""
     checkpoint = checkpoint_path(spark, name or f"stream-{uc}")
     if fresh:
-        for path in (table_path, checkpoint, f"{checkpoint}-run"):
+        for path in (table_path, checkpoint, *(f"{checkpoint}-{x}" for x in ("run", "carry", "drops", "drops-checkpoint"))):
             truncate(spark, path)
-    ship_package(spark)
-    run = run_of(spark, checkpoint, table_path)
-    stream, transform = STREAM_JOBS[uc](readings, **kwargs)
-    writer = (
-        stream.writeStream.outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(upsert_writer(SINKS[uc], table_path, transform, run))
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    run = run_of(spark, checkpoint, SINKS[uc], table_path)
+    if uc != "uc10":
+        stream, then = STREAM_JOBS[uc](readings, **kwargs)
+        return _started(spark, stream, then, upsert_writer(SINKS[uc], table_path, run=run), checkpoint, trigger)
+    path = f"{checkpoint}-drops"
+    rows, state = pressure_drops(readings)
+    schema = f"{K} string, {T} timestamp, drop_per_hour double, level double"
+    spark.createDataFrame([], schema).write.mode("append").parquet(f"{path}/batch_id=-1")  # the folder is there before its reader
+    put = lambda out, n: out.write.mode("overwrite").parquet(f"{path}/batch_id={n}")
+    first = _started(spark, rows, state, put, f"{checkpoint}-drops-checkpoint", trigger)
+    # a batch that is run again replaces its files: maxima don't mind rows that come twice
+    drops = spark.readStream.schema(f"{schema}, batch_id long").option("maxFileAge", MAX_FILE_AGE).option("ignoreMissingFiles", "true").option("cleanSource", "delete").parquet(path)
+    stream, _ = storm_warning(drops.drop("batch_id"), **kwargs)
+    goes_on = {k: v for k, v in (trigger or {}).items() if k not in ("availableNow", "once")}
+    second = _started(spark, stream, None, upsert_writer(SINKS[uc], table_path, run=run), checkpoint, goes_on)
+    return Chained(first, second)
+
+
+def _started(spark: SparkSession, stream: DataFrame, then, write, checkpoint: str, trigger: dict | None):
+    if isinstance(then, Carried):
+        each = stepped(Carry(spark, f"{checkpoint}-carry", K), then.step, write)
+    else:
+        each = lambda batch, n: write(then(batch) if then else batch, n)
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(each)
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+class Chained:
+    """Two streaming queries, the second reading what the first writes, as one."""
+
+    def __init__(self, first, second):
+        self.first, self.second = first, second
+
+    @property
+    def isActive(self) -> bool:
+        return self.first.isActive and self.second.isActive
+
+    def processAllAvailable(self) -> None:
+        self.first.processAllAvailable()
+        self.second.processAllAvailable()
+
+    def awaitTermination(self, timeout: float | None = None) -> bool:
+        end = None if timeout is None else time.monotonic() + timeout
+        while self.isActive:
+            if end is not None and time.monotonic() > end:
+                return False
+            self.first.awaitTermination(1)
+        if self.second.isActive:  # the first has read all there was
+            self.second.processAllAvailable()
+        self.stop()
+        if failed := self.exception():
+            raise failed
+        return True
+
+    def stop(self) -> None:
+        self.first.stop()
+        self.second.stop()
+
+    def exception(self):
+        return self.first.exception() or self.second.exception()
 
 
 # ----------------------------------------------------------------- normaliser
