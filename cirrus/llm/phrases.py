@@ -3,8 +3,8 @@
 1. Texts become streams of words, cut into blocks; a block
    begins with the last words of the one before, so that a phrase is counted
    where it ends.  A block numbers its words by itself.
-2. Words are counted per language; those with ``least`` occurrences are
-   numbered by frequency.  A phrase with ``least`` occurrences has no other
+2. Words are dealt to lists by their hash and counted per language; those
+   with ``least`` occurrences are numbered by frequency.  A phrase with ``least`` occurrences has no other
    words, so blocks are rewritten with these numbers and gaps.
 3. Adjacent numbers are pairs.  The number space is split into square tiles
    of tile x tile pairs: those of the most frequent numbers are counted
@@ -17,14 +17,17 @@
 5. Every frequent phrase has the counts of its beginnings from its first
    part and those of its ends from its second; scores are exact decimals.
 
-Nothing is gathered but tile sums (a million numbers), the different pairs of
-one bucket of sparse tiles, and one block at a time.
+Words and pairs travel packed, a row per block and list or tile.  Nothing is
+gathered but tile sums (a million numbers), the different words of one list or
+pairs of one bucket of sparse tiles, and one block at a time.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +55,8 @@ class Sizes:
     #: bucket of sparse tiles is planned for.
     salts: int = 16
     bucket: int = 4 << 20
+    #: Lists that words are dealt to, at most.
+    lists: int = 4096
 
     @property
     def dense(self) -> int:
@@ -98,28 +103,33 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, percent: i
     scored = out.withColumn("c", F.array_min(F.expr(cuts))).select("lang", "phrase", "a", "c.l", "c.r", "n", "c.score")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    return ranked.select(F.decode(F.unhex("lang"), "UTF-8").alias("lang"), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
 def frequent(docs: DataFrame, least: int, longest: int, text_col: str = "text", lang_col: str = "lang", sizes: Sizes = Sizes()) -> tuple[dict[int, DataFrame], DataFrame]:
     """Stored tables of the phrases of m = 1 .. ``longest`` words that occur
-    ``least`` times: (id, lang, words, last, f, x, y, pre, suf), x and y the
+    ``least`` times: (id, lang (in hex), words, last, f, x, y, pre, suf), x and y the
     ids of the phrase without its last and without its first word, pre and
     suf the counts of its beginnings and ends of 1 .. m - 1 words; and the
     number of words (lang, n)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    cut = stored(rows.mapInArrow(_blocks(longest - 1, sizes), "block long, skip int, codes binary, lang string, word string, code int, n long"), "blocks")
-    listed = cut.where("codes IS NULL")
-    blocks = cut.where("codes IS NOT NULL").select("block", "skip", "codes")
-    counted = stored(listed.groupBy("lang", "word").agg(F.sum("n").alias("f")), "words")
-    words = stored(counted.groupBy("lang").agg(F.sum("f").alias("n")), "languages")
-    known = numbered(stored(counted.where(F.col("f") >= least), "frequent"), [F.col("f").desc(), F.col("lang"), F.col("word")], "id")
-    known = stored(known, "numbered-words")
-    same = (F.col("lang") == F.col("_lang")) & (F.col("word") == F.col("_word"))
-    of_block = listed.select("block", "lang", "word", "code").join(known.select(F.col("lang").alias("_lang"), F.col("word").alias("_word"), "id"), same)
-    streams = _rewritten(blocks, of_block.select("block", F.col("code").cast("long").alias("key"), "id"), _encoded)
+    # in hex a language holds no line break, which separates it from words
+    lang = F.hex(F.encode(F.coalesce(F.col(lang_col), F.lit("und")), "UTF-8"))
+    rows = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = min(width, sizes.lists)
+    cut = stored(rows.mapInArrow(_blocks(longest - 1, lists, sizes), _CUT), "blocks")
+    spoken = cut.where("langs IS NOT NULL")
+    words = stored(spoken.select(F.explode(F.arrays_zip("langs", "totals")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.totals").alias("n")), "languages")
+    listed = cut.where("langs IS NULL").select("tile", "block", "words", "codes", "times")
+    counted = listed.drop("block", "codes").repartition(width, "tile").sortWithinPartitions("tile").mapInArrow(_word_sums(least), "tile int, lang string, word string, f long")
+    known = stored(numbered(stored(counted, "frequent"), [F.col("f").desc(), F.col("lang"), F.col("word")], "id"), "numbered-words")
+    # a list's frequent words come first, then the blocks' words, one by one
+    own = known.groupBy("tile").agg(F.collect_list(F.struct(F.concat("lang", F.lit("\n"), "word").alias("word"), "id")).alias("own"))
+    own = own.select("tile", F.lit(-1).cast("long").alias("block"), F.col("own.word").alias("known"), F.col("own.id").alias("ids"))
+    both = listed.drop("times").unionByName(own, allowMissingColumns=True).repartition(width, "tile").sortWithinPartitions("tile", "block")
+    streams = _rewritten(spoken.select("block", "skip", "codes"), both.mapInArrow(_words_met, "block long, keys binary, ids binary"), _encoded)
     none = F.array().cast("array<long>")
     out = {1: stored(known.select("id", "lang", F.col("word").alias("words"), F.col("word").alias("last"), "f", F.lit(None).cast("long").alias("x"), F.lit(None).cast("long").alias("y"), none.alias("pre"), none.alias("suf")), "phrases-1")}
     for m in range(2, longest + 1):
@@ -127,7 +137,7 @@ def frequent(docs: DataFrame, least: int, longest: int, text_col: str = "text",
         if ids >= 3 << 30:
             raise ValueError("more phrases than pairs of their numbers fit a long")
         total = streams.agg(F.sum("places")).first()[0] or 0
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // sizes.bucket))
+        buckets = max(width, -(-total // sizes.bucket))
         tiles = streams.mapInArrow(_tiles(m, ids, buckets, sizes), "tile long, salt int, block long, keys binary, times binary")
         found = numbered(stored(_counted(tiles, ids, least, sizes), "pairs"), [F.col("f").desc(), F.col("x"), F.col("y")], "id")
         a = pairs.select(F.col("id").alias("_a"), "lang", F.col("words").alias("_words"), F.col("pre").alias("_pre"), F.col("f").alias("_fa"))
@@ -149,40 +159,53 @@ def _counted(tiles: DataFrame, ids: int, least: int, sizes: Sizes) -> DataFrame:
 
 
 def _met(tiles: DataFrame, found: DataFrame, ids: int, buckets: int, sizes: Sizes) -> DataFrame:
-    """(block, key, id) of the frequent pairs ``found`` that each block has:
-    joined by tile, the dense tiles in parts."""
+    """(block, keys, ids) of the frequent pairs ``found`` that each block has,
+    a row a tile: met by tile, the dense tiles in parts."""
     numbers = found.select("x", "y", "id").mapInArrow(_by_tile(ids, buckets, sizes), "tile long, key long, id long")
     salts = F.when(F.col("tile") < sizes.dense, sizes.salts).otherwise(1)
     lists = numbers.groupBy("tile").agg(F.collect_list(F.struct("key", "id")).alias("found"))
-    lists = lists.select("tile", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(-1).cast("long").alias("block"), F.lit(None).cast("binary").alias("keys"), F.col("found.key").alias("known"), F.col("found.id").alias("ids"))
-    rows = tiles.select("tile", "salt", "block", "keys", *[F.lit(None).cast("array<long>").alias(c) for c in ("known", "ids")])
+    lists = lists.select("tile", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(-1).cast("long").alias("block"), F.col("found.key").alias("known"), F.col("found.id").alias("ids"))
+    rows = tiles.select("tile", "salt", "block", "keys")
     width = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a tile's list comes first, then its blocks, one by one
-    merged = rows.unionByName(lists).repartition(width, "tile", "salt").sortWithinPartitions("tile", "salt", "block")
-    return merged.mapInArrow(_matched(ids, sizes), "block long, key long, id long")
+    merged = rows.unionByName(lists, allowMissingColumns=True).repartition(width, "tile", "salt").sortWithinPartitions("tile", "salt", "block")
+    return merged.mapInArrow(_matched(ids, sizes), "block long, keys binary, ids binary")
 
 
 def _rewritten(blocks: DataFrame, found: DataFrame, rewrite) -> DataFrame:
-    """Blocks (block, skip, codes) with new codes, by ``found`` (block, key,
-    id); ``places``: how many codes are numbers."""
+    """Blocks (block, skip, codes) with new codes, by ``found`` (what a block's
+    codes become); ``places``: how many codes are numbers."""
     own = lambda df: df.withColumnRenamed("block", "_block")
     both = own(found).groupBy("_block").cogroup(own(blocks).groupBy("_block"))
     return stored(both.applyInArrow(rewrite, "block long, skip int, codes binary, places long"), "streams")
 
 
+#: Types that numbers are packed as, the smallest that holds them all.
+_TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
+
+
 def _packed(x: np.ndarray) -> bytes:
-    return pa.compress(np.ascontiguousarray(x).tobytes(), codec="zstd", asbytes=True) if len(x) else b""
+    """Whole numbers from -1 on, compressed: how many, their type, and they
+    themselves, one higher."""
+    x = x.astype(np.int64) + 1
+    kind = next(i for i, t in enumerate(_TYPES) if i == 3 or x.max(initial=0) <= np.iinfo(t).max)
+    return len(x).to_bytes(8, "little") + bytes([kind]) + (pa.compress(x.astype(_TYPES[kind]).tobytes(), codec="zstd", asbytes=True) if len(x) else b"")
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n, kind = int.from_bytes(data[:8], "little"), np.dtype(_TYPES[data[8]])
+    if not n:
+        return np.zeros(0, np.int64)
+    return np.frombuffer(pa.decompress(data[9:], n * kind.itemsize, codec="zstd", asbytes=True), kind).astype(np.int64) - 1
 
 
-def _unpacked(data: bytes, dtype, n: int | None = None) -> np.ndarray:
-    """``data`` begins with its length in 8 bytes if ``n`` isn't given."""
-    if n is None:
-        n, data = int.from_bytes(data[:8], "little"), data[8:]
-    return np.frombuffer(pa.decompress(data, n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True), dtype) if n else np.zeros(0, dtype)
+def _steps(x: np.ndarray) -> bytes:
+    """Rising numbers, packed by their differences."""
+    return _packed(np.diff(x, prepend=0))
 
 
-def _sized(x: np.ndarray) -> bytes:
-    return len(x).to_bytes(8, "little") + _packed(x)
+def _stepped(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
 
 
 class _Codes(dict):
@@ -215,21 +238,100 @@ class _Block:
         self.codes.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
         self.filled += len(words)
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
+    def rows(self, lists: int) -> Iterator[pa.RecordBatch]:
         codes = np.concatenate(self.codes)
         own = codes[self.skip :]
         times = np.bincount(own[own >= 0], minlength=len(self.words))
-        names = ["block", "skip", "codes", "lang", "word", "code", "n"]
-        one = lambda v, t: pa.array([v], t)
-        yield pa.RecordBatch.from_arrays([one(self.number, pa.int64()), one(self.skip, pa.int32()), one(_sized(codes), pa.binary()), one(None, pa.string()), one(None, pa.string()), one(None, pa.int32()), one(None, pa.int64())], names=names)
-        for a in range(0, len(self.words), 20_000):
-            b = min(a + 20_000, len(self.words))
-            n = b - a
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, self.number)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.array(self.langs[a:b], pa.string()), pa.array(self.words[a:b], pa.binary()).cast(pa.string()), pa.array(np.arange(a, b, dtype=np.int32)), pa.array(times[a:b])], names=names
+        langs = sorted(self.languages)
+        of = {lang: i for i, lang in enumerate(langs)}
+        lang = np.fromiter((of[x] for x in self.langs), np.int64, len(self.langs))
+        totals = np.bincount(lang, weights=times, minlength=len(langs)).astype(np.int64)
+        one = {"block": [self.number], "skip": [self.skip], "codes": [_packed(codes)], "langs": [langs], "totals": [totals]}
+        yield _cut_batch(one, 1)
+        # words by list, and by language and spelling in it
+        tile = np.fromiter((zlib.crc32(w) for w in self.words), np.int64, len(self.words)) % lists
+        spelled = [x.encode() + b"\n" + w for x, w in zip(self.langs, self.words)]
+        order = np.array(sorted(range(len(spelled)), key=lambda i: (tile[i], spelled[i])), np.int64)
+        firsts = np.flatnonzero(np.diff(tile[order], prepend=-1))
+        ends = np.append(firsts[1:], len(order))
+        for a in range(0, len(firsts), 2000):
+            some = [order[i:j] for i, j in zip(firsts[a : a + 2000], ends[a : a + 2000])]
+            yield _cut_batch(
+                {
+                    "block": [self.number] * len(some),
+                    "tile": [int(tile[o[0]]) for o in some],
+                    "words": [_text(b"\n".join(spelled[i] for i in o)) for o in some],
+                    "codes": [_packed(o) for o in some],
+                    "times": [_packed(times[o]) for o in some],
+                },
+                len(some),
             )
 
 
+_CUT = "block long, skip int, codes binary, langs array<string>, totals array<long>, tile int, words binary, times binary"
+_CUT_TYPES = {"block": pa.int64(), "skip": pa.int32(), "codes": pa.binary(), "langs": pa.list_(pa.string()), "totals": pa.list_(pa.int64()), "tile": pa.int32(), "words": pa.binary(), "times": pa.binary()}
+
+
+def _cut_batch(columns: dict[str, list], n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in _CUT_TYPES.items()], names=list(_CUT_TYPES))
+
+
+def _text(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _words_of(data: bytes) -> list[bytes]:
+    """Language, word, language, word, ... (neither holds a line break)."""
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True).split(b"\n")
+
+
+def _word_sums(least: int):
+    """Frequent words of lists that come one by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, {}
+
+        def frequent() -> Iterator[pa.RecordBatch]:
+            some = [(k, n) for k, n in sums.items() if n >= least]
+            if some:
+                langs, words = zip(*(k for k, _ in some))
+                yield pa.RecordBatch.from_arrays([pa.array([now] * len(some), pa.int32()), _strings(langs), _strings(words), pa.array([n for _, n in some], pa.int64())], names=["tile", "lang", "word", "f"])
+
+        for batch in batches:
+            for tile, words, times in zip(*(batch.column(c).to_pylist() for c in ("tile", "words", "times"))):
+                if tile != now:
+                    yield from frequent()
+                    now, sums = tile, {}
+                found = _words_of(words)
+                for k, n in zip(zip(found[::2], found[1::2]), _unpacked(times).tolist()):
+                    sums[k] = sums.get(k, 0) + n
+        yield from frequent()
+
+    return run
+
+
+def _strings(values) -> pa.Array:
+    return pa.array(values, pa.binary()).cast(pa.string())
+
+
+def _words_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, keys, ids): the codes of a block's frequent words, their numbers."""
+    now, known = None, {}
+    for batch in batches:
+        names = ("tile", "block", "words", "codes")
+        for i, (tile, block, words, codes) in enumerate(zip(*(batch.column(c).to_pylist() for c in names))):
+            if block < 0:
+                now = tile
+                known = dict(zip(batch.column("known")[i].as_py(), batch.column("ids")[i].as_py()))
+                known = {tuple(k.encode().split(b"\n", 1)): n for k, n in known.items()}
+            elif tile == now:
+                found = _words_of(words)
+                ids = np.fromiter(map(known.get, zip(found[::2], found[1::2]), repeat(-1)), np.int64, len(found) // 2)
+                some = ids >= 0
+                if some.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_packed(_unpacked(codes)[some])], pa.binary()), pa.array([_packed(ids[some])], pa.binary())], names=["block", "keys", "ids"])
+
+
 def _segments(text: str, most: int) -> Iterator[list[bytes]]:
     """The words of a text and the ends of its pieces, in parts."""
     data = text.encode().translate(_TABLE)
@@ -244,7 +346,7 @@ def _segments(text: str, most: int) -> Iterator[list[bytes]]:
         at = upto
 
 
-def _blocks(context: int, sizes: Sizes):
+def _blocks(context: int, lists: int, sizes: Sizes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         block, last = _Block(number), []
@@ -262,36 +364,37 @@ def _blocks(context: int, sizes: Sizes):
                         at += len(some)
                         last = (last + some[-context:])[-context:] if context else []
                         if block.filled >= sizes.block:
-                            yield from block.rows()
+                            yield from block.rows(lists)
                             number += 1
                             block = _Block(number)
                             block.add(lang, [_END, *last])
                             block.skip = 1 + len(last)
         if block.filled > block.skip:
-            yield from block.rows()
+            yield from block.rows(lists)
 
     return run
 
 
 def _encoded(found: pa.Table, blocks: pa.Table) -> pa.Table:
     """Codes of a block's words into their numbers, -1 for all others."""
-    codes = _unpacked(blocks.column("codes")[0].as_py(), np.int32)
+    codes = _unpacked(blocks.column("codes")[0].as_py())
     numbers = np.full(int(codes.max(initial=-1)) + 2, -1, np.int64)  # the last stands for code -1
-    key = np.asarray(found.column("key").combine_chunks())
-    numbers[key] = np.asarray(found.column("id").combine_chunks())
+    for key, ids in zip(found.column("keys").to_pylist(), found.column("ids").to_pylist()):
+        numbers[_unpacked(key)] = _unpacked(ids)
     return _stream(blocks, numbers[codes])
 
 
 def _paired(ids: int):
     def run(found: pa.Table, blocks: pa.Table) -> pa.Table:
         """Every pair of adjacent numbers into its own number, -1 if it has none."""
-        s = _unpacked(blocks.column("codes")[0].as_py(), np.int64)
+        s = _unpacked(blocks.column("codes")[0].as_py())
         x, y = s[:-1], s[1:]
-        key = np.asarray(found.column("key").combine_chunks())
         out = np.full(len(x), -1, np.int64)
-        if len(key):
+        if found.num_rows:
+            key = np.concatenate([_stepped(k) for k in found.column("keys").to_pylist()])
+            numbers = np.concatenate([_unpacked(k) for k in found.column("ids").to_pylist()])
             order = np.argsort(key)
-            key, numbers = key[order], np.asarray(found.column("id").combine_chunks())[order]
+            key, numbers = key[order], numbers[order]
             at = np.flatnonzero((x >= 0) & (y >= 0))
             want = x[at] * ids + y[at]
             place = np.minimum(np.searchsorted(key, want), len(key) - 1)
@@ -303,7 +406,7 @@ def _paired(ids: int):
 
 
 def _stream(blocks: pa.Table, s: np.ndarray) -> pa.Table:
-    return pa.table({"block": blocks.column("_block"), "skip": blocks.column("skip"), "codes": pa.array([_sized(s)], pa.binary()), "places": pa.array([int((s >= 0).sum())], pa.int64())})
+    return pa.table({"block": blocks.column("_block"), "skip": blocks.column("skip"), "codes": pa.array([_packed(s)], pa.binary()), "places": pa.array([int((s >= 0).sum())], pa.int64())})
 
 
 def _tile_of(x: np.ndarray, y: np.ndarray, buckets: int, sizes: Sizes) -> np.ndarray:
@@ -320,7 +423,7 @@ def _tiles(m: int, ids: int, buckets: int, sizes: Sizes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, skip, codes in zip(*(batch.column(c).to_pylist() for c in ("block", "skip", "codes"))):
-                s = _unpacked(codes, np.int64)
+                s = _unpacked(codes)
                 at = np.flatnonzero((s[:-1] >= 0) & (s[1:] >= 0))
                 key, of = np.unique(s[at] * ids + s[at + 1], return_inverse=True)
                 # pairs that end before this block's own words don't count, but longer phrases have them
@@ -331,12 +434,12 @@ def _tiles(m: int, ids: int, buckets: int, sizes: Sizes):
                 tile = _tile_of(x, y, buckets, sizes)
                 order = np.argsort(tile, kind="stable")
                 tile, key, times = tile[order], key[order], times[order].astype(np.int64)
-                cell = (x % sizes.tile * sizes.tile + y % sizes.tile)[order].astype(np.int32)
+                cell = (x % sizes.tile * sizes.tile + y % sizes.tile)[order]
                 firsts = np.flatnonzero(np.diff(tile, prepend=-1))
                 ends = np.append(firsts[1:], len(tile))
                 names = tile[firsts]
-                keys = [cell[a:b].tobytes() if t < sizes.dense else key[a:b].tobytes() for t, a, b in zip(names, firsts, ends)]
-                counts = [times[a:b].astype(np.int32).tobytes() for a, b in zip(firsts, ends)]
+                keys = [_steps(cell[a:b] if t < sizes.dense else key[a:b]) for t, a, b in zip(names, firsts, ends)]
+                counts = [_packed(times[a:b]) for a, b in zip(firsts, ends)]
                 salt = np.where(names < sizes.dense, block % sizes.salts, 0).astype(np.int32)
                 for a in range(0, len(names), 5000):
                     b = a + 5000
@@ -357,7 +460,7 @@ class _Tile:
         self.waiting = 0
 
     def add(self, keys: bytes, times: np.ndarray) -> None:
-        key = np.frombuffer(keys, np.int32 if self.dense else np.int64)
+        key = _stepped(keys)
         self.new.append((key, times))
         self.waiting += len(key)
         if self.waiting > max(1 << 20, len(self.keys)):
@@ -380,13 +483,11 @@ class _Tile:
     def row(self, least: int | None) -> tuple[int, bytes, bytes] | None:
         self.merge()
         some = np.flatnonzero(self.sums >= (least or 1))
-        keys = some.astype(np.int32) if self.dense else self.keys[some]
-        return (self.number, keys.tobytes(), self.sums[some].tobytes()) if len(some) else None
+        return (self.number, _steps(some if self.dense else self.keys[some]), _packed(self.sums[some])) if len(some) else None
 
 
 def _summed(least: int | None, sizes: Sizes):
-    """Sums of rows that come tile by tile; ``least``: of these at least, and
-    the second time, when counts are 8 bytes long."""
+    """Sums of rows that come tile by tile; ``least``: those of so much only."""
 
     def batch_of(rows: list) -> pa.RecordBatch:
         tile, keys, times = zip(*rows)
@@ -400,7 +501,7 @@ def _summed(least: int | None, sizes: Sizes):
                     if now is not None and (row := now.row(least)):
                         yield batch_of([row])
                     now = _Tile(number, sizes)
-                now.add(keys, np.frombuffer(times, np.int32 if least is None else np.int64).astype(np.int64))
+                now.add(keys, _unpacked(times))
         if now is not None and (row := now.row(least)):
             yield batch_of([row])
 
@@ -410,8 +511,8 @@ def _summed(least: int | None, sizes: Sizes):
 def _pairs(tile: int, keys: bytes, ids: int, sizes: Sizes) -> np.ndarray:
     """A tile's pairs as x * ids + y."""
     if tile >= sizes.dense:
-        return np.frombuffer(keys, np.int64)
-    cell = np.frombuffer(keys, np.int32).astype(np.int64)
+        return _stepped(keys)
+    cell = _stepped(keys)
     return (tile // sizes.side * sizes.tile + cell // sizes.tile) * ids + tile % sizes.side * sizes.tile + cell % sizes.tile
 
 
@@ -420,7 +521,7 @@ def _spelled(ids: int, sizes: Sizes):
         for batch in batches:
             for tile, keys, times in zip(*(batch.column(c).to_pylist() for c in ("tile", "keys", "times"))):
                 key = _pairs(tile, keys, ids, sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(key // ids), pa.array(key % ids), pa.array(np.frombuffer(times, np.int64))], names=["x", "y", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(key // ids), pa.array(key % ids), pa.array(_unpacked(times))], names=["x", "y", "f"])
 
     return run
 
@@ -449,6 +550,6 @@ def _matched(ids: int, sizes: Sizes):
                     place = np.minimum(np.searchsorted(key, want), len(key) - 1)
                     hit = key[place] == want
                     if hit.any():
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(int(hit.sum()), block)), pa.array(want[hit]), pa.array(number[place[hit]])], names=["block", "key", "id"])
+                        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_steps(want[hit])], pa.binary()), pa.array([_packed(number[place[hit]])], pa.binary())], names=["block", "keys", "ids"])
 
     return run

@@ -136,7 +136,7 @@ def talk():
             w += ["new", "york", "times", "square", "garden", "show"]
         text = " ".join(x + ("" if rng.random() < 0.9 else rng.choice([".", ",", "\n", "\t", "\x0b", ";  "])) for x in w)
         rows.append((text, ["en", "fr", None][i % 3]))
-    rows += [("", "en"), (None, "en"), (None, None), ("a " * 500 + "b", "de"), ("und one two " * 9, "und"), ("x\x1cy \x00 z\x85q " * 30, ""), (" \t\n.,", "en")]
+    rows += [("", "en"), (None, "en"), (None, None), ("a " * 500 + "b", "de"), ("und one two " * 9, "und"), ("x\x1cy \x00 z\x85q " * 30, ""), ("same same other " * 15, "e\nn"), ("same same other " * 15, "e"), (" \t\n.,", "en")]
     return rows + rows[:40]
 
 
