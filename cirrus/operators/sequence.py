@@ -67,20 +67,27 @@ def _bucket_summaries(base: DataFrame, keys: list[str], time: str, tiebreak: Seq
     their (range-split, checkpointed) rows only."""
     per_bucket = base.groupBy(*keys, BUCKET_COL).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
     if not max_rows:
-        return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
+        return base.withColumn(SUB_COL, F.lit(0).cast("long")), per_bucket.withColumn(SUB_COL, F.lit(0).cast("long"))
     per_bucket = checkpointed(per_bucket)
     oversized = per_bucket.where(F.col("_seq_cnt") > F.lit(max_rows))
     stats = oversized.agg(F.count(F.lit(1)).alias("groups"), F.sum("_seq_cnt").alias("rows")).first()
     if not stats or not stats["groups"]:
-        return base.withColumn(SUB_COL, F.lit(0)), per_bucket.withColumn(SUB_COL, F.lit(0))
+        return base.withColumn(SUB_COL, F.lit(0).cast("long")), per_bucket.withColumn(SUB_COL, F.lit(0).cast("long"))
     hot = oversized.select(*keys, BUCKET_COL, F.lit(True).alias("_seq_hot"))
     flagged = base.join(hot, [*keys, BUCKET_COL], "left")
-    cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0))
-    parts = max(2, -(-int(stats["rows"]) // max_rows))
-    split = flagged.where(F.col("_seq_hot")).drop("_seq_hot").repartitionByRange(parts, *keys, time, *tiebreak)
-    split = checkpointed(split.withColumn(SUB_COL, F.spark_partition_id() + F.lit(1)))
+    cold = flagged.where(F.col("_seq_hot").isNull()).drop("_seq_hot").withColumn(SUB_COL, F.lit(0).cast("long"))
+    # as many ranges as there are tasks for, each cut into sub-buckets in order:
+    # a row's number holds its range above its place (33 bits) in it
+    width = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(2, min(-(-int(stats["rows"]) // max_rows), 4 * width))
+    order = [*keys, time, *tiebreak]
+    split = flagged.where(F.col("_seq_hot")).drop("_seq_hot").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    split = split.withColumn("_seq_at", F.monotonically_increasing_id())
+    in_range = F.col("_seq_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sub = F.col("_seq_at") - in_range + F.floor(in_range / F.lit(max_rows)) + F.lit(1)
+    split = checkpointed(split.withColumn(SUB_COL, sub.cast("long")).drop("_seq_at"))
     group = [*keys, BUCKET_COL, SUB_COL]
-    cold_summary = per_bucket.join(hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0))
+    cold_summary = per_bucket.join(hot, [*keys, BUCKET_COL], "left_anti").withColumn(SUB_COL, F.lit(0).cast("long"))
     hot_summary = split.groupBy(*group).agg(F.count(F.lit(1)).alias("_seq_cnt"), agg("_seq_v").alias("_seq_b"))
     return cold.unionByName(split), cold_summary.unionByName(hot_summary)
 

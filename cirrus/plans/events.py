@@ -22,10 +22,11 @@ from cirrus.operators.asof import asof_join, since_baseline, yearly_baselines
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
 from cirrus.operators.rank import top_n_both_ends, top_n_sliding
-from cirrus.operators.sequence import exact, gap_status, rate_of_change, threshold_periods, trend
+from cirrus.operators.sequence import closed_periods, exact, gap_status, last_rows, open_periods, periods, rate_of_change, threshold_periods, trend
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.plans import normalize as norm
-from cirrus.session import use_utc
+from cirrus.session import scratch_path, use_utc
+from cirrus.streaming.carry import Carry
 
 KEY, TIME, VALUE, TIEBREAK = "user_id", "ts", "value", ("event_id",)
 
@@ -234,6 +235,53 @@ def composite_alerts(spark, sf_dir, strategy: str = "auto", **split):
     return out.select(KEY, "window_start", "window_end", _r("max_drop_per_hour").alias("max_drop_per_hour"), "max_level", "alert")
 
 
+# ------------------------------------------------------------ carried state
+#: Batches that the ``*_carried`` queries cut the events into, by time.
+BATCHES = 4
+
+
+def _carried(spark, sf_dir, name: str, ev: DataFrame, step) -> DataFrame:
+    """``step`` batch by batch, as a stream runs it, each going on from the
+    state that the keys carry from those before."""
+    ends = ev.agg(F.min(TIME).alias("a"), F.max(TIME).alias("b")).first()
+    carry = Carry(spark, scratch_path(spark, f"carry-{name}"), KEY)
+    out = None
+    for n in range(BATCHES):
+        a, b = (ends["a"] + (ends["b"] - ends["a"]) * (n + k) / BATCHES for k in (0, 1)) if ends["a"] else (None, None)
+        rows = ev.where((F.col(TIME) >= F.lit(a).cast("timestamp_ntz")) & (F.col(TIME) < F.lit(b).cast("timestamp_ntz") if n < BATCHES - 1 else F.lit(True)))
+        found, changed = step(rows, carry.before(n))
+        carry.put(n, changed)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def rate_change_carried(spark, sf_dir):
+    """K1 with stored state."""
+    ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
+
+    def step(rows, state):
+        return rate_of_change(rows, KEY, TIME, VALUE, TIEBREAK, initial=state), last_rows(rows, KEY, TIME, [VALUE], TIEBREAK)
+
+    out = _carried(spark, sf_dir, "rate", ev, step)
+    return out.select(KEY, F.col(TIME).alias("event_time"), _r("change_per_hour").alias("change_per_hour"))
+
+
+def gap_status_carried(spark, sf_dir):
+    """K2 with stored state."""
+    step = lambda rows, state: (gap_status(rows, KEY, TIME, TIEBREAK, "1 hour", initial=state), last_rows(rows, KEY, TIME, [], TIEBREAK))
+    return _carried(spark, sf_dir, "gaps", _events(spark, sf_dir), step)
+
+
+def low_periods_carried(spark, sf_dir):
+    """K4 with stored state: periods may be open over several batches."""
+
+    def step(rows, state):
+        runs = periods(rows, KEY, TIME, VALUE, PERIOD_THRESHOLD, TIEBREAK, opened=state)
+        return closed_periods(runs, KEY), open_periods(runs, KEY)
+
+    return _carried(spark, sf_dir, "periods", _events(spark, sf_dir), step)
+
+
 # ---------------------------------------------------------------- normaliser
 def normalized_readings(spark, sf_dir):
     lines = norm.events_as_raw_lines(_events(spark, sf_dir))
@@ -406,6 +454,9 @@ QUERIES = {
     "yearly_deviation": yearly_deviation,
     "low_periods": low_periods,
     "composite_alerts": composite_alerts,
+    "rate_change_carried": rate_change_carried,
+    "gap_status_carried": gap_status_carried,
+    "low_periods_carried": low_periods_carried,
     "rate_change_split": rate_change_split,
     "low_periods_split": low_periods_split,
     "composite_alerts_split": composite_alerts_split,

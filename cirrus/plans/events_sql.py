@@ -280,6 +280,9 @@ ORACLE = {
     "yearly_deviation": YEARLY_DEVIATION,
     "low_periods": LOW_PERIODS,
     "composite_alerts": COMPOSITE_ALERTS,
+    "rate_change_carried": RATE_CHANGE,
+    "gap_status_carried": GAP_STATUS,
+    "low_periods_carried": LOW_PERIODS,
     "rate_change_split": RATE_CHANGE,
     "low_periods_split": LOW_PERIODS,
     "composite_alerts_split": COMPOSITE_ALERTS,

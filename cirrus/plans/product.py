@@ -13,9 +13,6 @@ Times leave as timestamp_ntz and floats rounded as in ``cirrus.plans.events``.
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
@@ -26,7 +23,7 @@ from cirrus.plans import panes as P
 from cirrus.plans import usecases as U
 from cirrus.plans.serving import serve_stored
 from cirrus.schema import SINKS
-from cirrus.session import checkpoint_path
+from cirrus.session import scratch_path
 from cirrus.sources import files
 from cirrus.sources.readings import with_event_time
 from cirrus.sources.sinks import write_table
@@ -42,20 +39,12 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make) -> str:
     changed = max([fs.getFileStatus(where).getModificationTime(), *files.ages_in(spark, table).values()])
     known = (spark.sparkContext.applicationId, sf_dir, changed, name)
     if known not in _MADE:
-        path = checkpoint_path(spark, f"cirrus-product/{name}-{uuid.uuid4().hex}")
-        atexit.register(_forget, spark, path)
+        path = scratch_path(spark, name)
         make(path)
         _MADE[known] = path
     return _MADE[known]
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    try:
-        files.delete(spark, path)
-    except Exception:  # noqa: BLE001  the session is gone: nothing to remove with
-        return
-
-
 def normalized(spark: SparkSession, sf_dir: str) -> str:
     """Readings of all events, filed by day: station by user, temperature,
     wind, visibility and (falling as the value rises) pressure by value."""

@@ -8,9 +8,11 @@ and local runs; on a cluster the caller owns the session and only
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -78,6 +80,28 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return checkpoint_root(spark).rstrip("/") + "/" + name
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the checkpoint root, removed when the
+    application ends."""
+    path = checkpoint_path(spark, f"cirrus-scratch/{name}-{uuid.uuid4().hex}")
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for spark, path in _SCRATCH:
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001  the session is gone: nothing to remove with
+            return
+
+
 _SHIPPED: set[str] = set()
 
 
