@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cirrus.functions.timeops import duration_seconds, floor_time
+
 
 def top_n(df: DataFrame, partition: Sequence[str], order: Sequence[Column], n: int, rank_col: str = "rank_position") -> DataFrame:
     w = Window.partitionBy(*partition).orderBy(*order)
@@ -59,49 +61,25 @@ def top_n_sliding(
     """Per sliding window (size a multiple of slide): the n keys with the
     highest max of ``value`` and the n with the lowest min, ties by key;
     the output of ``top_n_both_ends`` over per-(key, window) maxima / minima,
-    without building every (key, window) row.
-
-    A key in a window's top n reaches its window value in some pane (slide);
-    every key ranked above it in that pane is also above it in the window, so
-    it is in that pane's top n.  Hence the window's top n lies in the union
-    of its panes' top n: at most n x size/slide candidates per window and
-    list, whatever the number of keys.  Only candidates get their exact
-    window value (from their own panes) and are ranked."""
-    from cirrus.functions.timeops import duration_seconds, floor_time
-
-    size_s, slide_s = duration_seconds(size), duration_seconds(slide)
-    k = size_s // slide_s
+    from the lists of n keys of each pane (slide) alone.
+
+    A key in a window's top n reaches its window value in some pane; every key
+    ranked above it in that pane is also above it in the window, so it is in
+    that pane's list, with that value.  All others have at most their own
+    value in the lists, and rank behind.  So a window's lists are those of its
+    panes merged: n x size/slide rows a window, whatever the number of keys;
+    the input is read and aggregated once."""
+    slide_s = duration_seconds(slide)
+    k = duration_seconds(size) // slide_s
     top = F.col("list_name") == F.lit(names[0])
-
-    def ordered(d: DataFrame) -> DataFrame:
-        return d.withColumn("_ord", F.when(top, -F.col("_hi")).otherwise(F.col("_lo")))
-
-    def shift(c: str):
-        return F.make_dt_interval(secs=(F.col(c) * F.lit(slide_s)).cast("decimal(18,6)"))
-
+    order = [F.when(top, -F.col("_v")).otherwise(F.col("_v")).asc(), F.col(key).asc()]
     panes = df.groupBy(key, floor_time(time, slide).alias("_pane")).agg(F.max(value).alias("_hi"), F.min(value).alias("_lo"))
-    lists = F.explode(F.array(F.lit(names[0]), F.lit(names[1]))).alias("list_name")
-    pane_top = top_n(ordered(panes.select(key, "_pane", "_hi", "_lo", lists)), ["_pane", "list_name"], [F.col("_ord").asc(), F.col(key).asc()], n)
-    offsets = F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    candidates = (
-        pane_top.select(key, "list_name", "_pane", offsets.alias("_i"))
-        .select(key, "list_name", (F.col("_pane") - shift("_i")).alias("window_start"))
-        .distinct()
-    )
-    their_panes = candidates.select(key, "list_name", "window_start", offsets.alias("_j")).withColumn(
-        "_pane", F.col("window_start") + shift("_j")
-    )
-    values = (
-        their_panes.join(panes, [key, "_pane"])
-        .groupBy(key, "list_name", "window_start")
-        .agg(F.max("_hi").alias("_hi"), F.min("_lo").alias("_lo"))
-    )
-    ranked = top_n(ordered(values), ["window_start", "list_name"], [F.col("_ord").asc(), F.col(key).asc()], n)
-    return ranked.select(
-        key,
-        "window_start",
-        (F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s).cast("decimal(18,6)"))).alias("window_end"),
-        "list_name",
-        "rank_position",
-        F.when(top, F.col("_hi")).otherwise(F.col("_lo")).alias(out_value),
-    )
+    ends = F.explode(F.array(*[F.struct(F.lit(name).alias("list_name"), F.col(c).alias("_v")) for name, c in zip(names, ("_hi", "_lo"))]))
+    lists = top_n(panes.select(key, "_pane", ends.alias("_e")).select(key, "_pane", "_e.*"), ["_pane", "list_name"], order, n).drop("rank_position")
+    shift = F.make_dt_interval(secs=(F.col("_i") * F.lit(slide_s)).cast("decimal(18,6)"))
+    windows = lists.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn("window_start", F.col("_pane") - shift)
+    values = windows.groupBy(key, "list_name", "window_start").agg(F.max("_v").alias("_max"), F.min("_v").alias("_min"))
+    values = values.select(key, "list_name", "window_start", F.when(top, F.col("_max")).otherwise(F.col("_min")).alias("_v"))
+    ranked = top_n(values, ["window_start", "list_name"], order, n)
+    end = F.col("window_start") + F.make_dt_interval(secs=F.lit(k * slide_s).cast("decimal(18,6)"))
+    return ranked.select(key, "window_start", end.alias("window_end"), "list_name", "rank_position", F.col("_v").alias(out_value))

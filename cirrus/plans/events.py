@@ -21,8 +21,10 @@ from cirrus.functions.timeops import duration_seconds
 from cirrus.operators.asof import asof_join, since_baseline, yearly_baselines
 from cirrus.operators.composite import composite_event
 from cirrus.operators.join import interval_join
+from cirrus.operators.quantile import percentiles
 from cirrus.operators.rank import top_n_both_ends, top_n_sliding
 from cirrus.operators.sequence import closed_periods, exact, gap_status, last_rows, open_periods, periods, rate_of_change, threshold_periods, trend
+from cirrus.operators.slope import sliding_slope
 from cirrus.operators.windows import sliding_agg, tumbling_stats
 from cirrus.plans import normalize as norm
 from cirrus.session import scratch_path, use_utc
@@ -134,8 +136,7 @@ def baseline_deviation_table(spark, sf_dir):
 
 
 def top_extremes(spark, sf_dir):
-    """UC06: ranks only each window's candidate keys (the union of its panes'
-    top 10), see ``top_n_sliding``."""
+    """UC06: the top 10 of a window's panes merged, see ``top_n_sliding``."""
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull())
     return top_n_sliding(ev, KEY, TIME, VALUE, "24 hours", "1 hour", 10, "value")
 
@@ -194,6 +195,21 @@ def yearly_deviation(spark, sf_dir):
     return out.select("o_orderkey", "o_custkey", "baseline_year", _r("baseline").alias("baseline"), _r("deviation").alias("deviation"))
 
 
+def yearly_percentiles(spark, sf_dir):
+    """Median and tails of the order prices of every year and priority."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.year("o_orderdate").alias("year"), "o_orderpriority", "o_totalprice")
+    out = percentiles(orders, ["year", "o_orderpriority"], "o_totalprice", [0.05, 0.5, 0.95], few=200)
+    return out.select("year", "o_orderpriority", *[_r(c).alias(c) for c in ("p5", "p50", "p95")])
+
+
+def daily_slopes(spark, sf_dir):
+    """Slope of each key's readings over two days, every twelve hours, and
+    what it says for six hours after."""
+    out = sliding_slope(_events(spark, sf_dir), KEY, TIME, VALUE, "48 hours", "12 hours", "6 hours")
+    tight = F.col("n") >= 3  # two readings may be microseconds apart
+    return out.where(tight).select(KEY, "window_start", "window_end", "n", *[_r(c).alias(c) for c in ("slope_per_hour", "r2", "forecast")])
+
+
 def booking_alerts(spark, sf_dir, booked: DataFrame | None = None):
     ev = _events(spark, sf_dir).where(F.col(VALUE).isNotNull()).select(KEY, TIME, VALUE)
     j = interval_join(ev, booked or bookings(spark, sf_dir), KEY, "resort_id", TIME, "booking_start", "booking_end")
@@ -452,6 +468,8 @@ QUERIES = {
     "booking_alerts_long": booking_alerts_long,
     "departure_weather": departure_weather,
     "yearly_deviation": yearly_deviation,
+    "yearly_percentiles": yearly_percentiles,
+    "daily_slopes": daily_slopes,
     "low_periods": low_periods,
     "composite_alerts": composite_alerts,
     "rate_change_carried": rate_change_carried,

@@ -135,6 +135,22 @@ SELECT j.o_orderkey, j.o_custkey, CAST(j.y AS INTEGER) AS baseline_year, floor(f
 FROM j LEFT JOIN b ON b.o_custkey = j.o_custkey AND b.y = j.y
 """
 
+_R6 = "floor(floor(({x}) * 1e9 + 0.5) / 1e9 * 1e6 + 0.5) / 1e6"
+
+YEARLY_PERCENTILES = f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, {", ".join(f"{_R6.format(x=f'quantile_cont(o_totalprice, {f})')} AS p{round(100 * f)}" for f in (0.05, 0.5, 0.95))}
+FROM orders GROUP BY ALL
+"""
+
+DAILY_SLOPES = f"""
+WITH x AS (SELECT user_id, value, ts, make_timestamp(epoch_us(time_bucket(INTERVAL '12 hours', ts, {EPOCH})) - k * {12 * H}) AS window_start
+           FROM events, range(0, 4) r(k) WHERE value IS NOT NULL),
+h AS (SELECT *, (epoch_us(ts) - epoch_us(window_start)) / 3600e6 AS t FROM x),
+w AS (SELECT user_id, window_start, count(*) AS n, regr_slope(value, t) AS b, regr_r2(value, t) AS r2, regr_intercept(value, t) AS a, regr_syy(value, t) AS syy FROM h GROUP BY ALL HAVING count(*) >= 3 AND min(t) < max(t))
+SELECT user_id, window_start, window_start + INTERVAL '48 hours' AS window_end, n, {_R6.format(x="b")} AS slope_per_hour,
+       CASE WHEN syy > 0 THEN {_R6.format(x="r2")} END AS r2, {_R6.format(x="a + 54 * b")} AS forecast FROM w
+"""
+
 # Closing rows (first reading >= threshold after a low one); the period starts
 # at the first low reading after the last non-low reading before it.
 LOW_PERIODS = """
@@ -278,6 +294,8 @@ ORACLE = {
     "booking_alerts_long": BOOKING_ALERTS_LONG,
     "departure_weather": DEPARTURE_WEATHER,
     "yearly_deviation": YEARLY_DEVIATION,
+    "yearly_percentiles": YEARLY_PERCENTILES,
+    "daily_slopes": DAILY_SLOPES,
     "low_periods": LOW_PERIODS,
     "composite_alerts": COMPOSITE_ALERTS,
     "rate_change_carried": RATE_CHANGE,

@@ -87,9 +87,9 @@ def temperature_deviation(readings: DataFrame, size: str = "24 hours", slide: st
 
 def temperature_rankings(readings: DataFrame, n: int = 10, size: str = "24 hours", slide: str = "1 hour", strategy: str = "candidates") -> DataFrame:
     """UC06: per window, the n hottest stations (by max) and the n coldest
-    (by min), ties by station.  ``candidates`` ranks only each window's
-    candidate stations (``top_n_sliding``); ``expand`` / ``panes`` rank every
-    (station, window) aggregate."""
+    (by min), ties by station.  ``candidates`` merges the lists of a window's
+    panes (``top_n_sliding``); the others rank every (station, window)
+    aggregate."""
     x = _temps(readings)
     if strategy == "candidates":
         if duration_seconds(size) % duration_seconds(slide):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cirrus.operators.asof import asof_join, since_baseline, yearly_baselines
 from cirrus.operators.join import TOP_LEVEL, dyadic_ranges, interval_join
 from cirrus.operators.windows import sliding_agg
+from cirrus.sources import panes
 from cirrus.sources.panes import PaneStore
 from cirrus.sources.raw import read_first, read_raw
 
@@ -73,7 +74,7 @@ def test_yearly_baseline_known_before_each_reading(spark):
     assert got["A", 1902, 1] == (1901, mean(1901)) and got["A", 1904, 12] == (1902, mean(1902))
 
 
-def test_pane_store_adds_only_new_days(spark, tmp_path):
+def test_pane_store_adds_only_new_days(spark, tmp_path, monkeypatch):
     exact = F.col("v").cast("decimal(20,3)")
     aggs = [("lo", "min", "v"), ("hi", "max", "v"), ("s", "sum", exact), ("mean", "avg", exact)]
     rng = np.random.default_rng(4)
@@ -85,12 +86,12 @@ def test_pane_store_adds_only_new_days(spark, tmp_path):
     store = PaneStore(spark, str(tmp_path / "panes"), "k", "t", "10 minutes", aggs)
     assert store.add(readings, days[:-1]) == days[:-1] and store.days() == days[:-1]
     kept = {f: (tmp_path / "panes" / f).stat().st_mtime_ns for f in (f"day={d}" for d in days[:-1])}
-    files = []
-    new = [d for d in days if d not in store.days()]
-    read = readings.where(F.col("day").isin([F.lit(d).cast("date") for d in new]))
-    files = [line for line in read._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
-    assert files and f"day#" in files[0] and "PartitionFilters: []" not in files[0]
+    # the second run's scan is given the new day's partition only
+    seen, real = [], panes.pane_aggregate
+    monkeypatch.setattr(panes, "pane_aggregate", lambda rows, *a: seen.append(rows) or real(rows, *a))
     assert store.add(readings, days) == days[-1:] and store.days() == days
+    scan = next(line for line in seen[0]._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line)
+    assert f"cast(day#" in scan.split("PartitionFilters")[1] or days[-1] in scan.split("PartitionFilters")[1]
     assert {f: (tmp_path / "panes" / f).stat().st_mtime_ns for f in kept} == kept  # the others weren't written
     full = PaneStore(spark, str(tmp_path / "full"), "k", "t", "10 minutes", aggs)
     full.add(readings, days)
@@ -103,7 +104,8 @@ def test_pane_store_adds_only_new_days(spark, tmp_path):
         assert norm(got) == norm(want)
     # windows of some days need these days' panes only
     some = store.windows("24 hours", "1 hour", ["hi"], since=days[5], until=days[6])
-    assert {f.split("day=")[1][:10] for f in some.inputFiles()} <= set(days[3:7])
+    scan = next(line for line in some._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line)
+    assert f"<= {days[6]})" in scan and panes.earlier(days[5], "24 hours") == days[4]
     whole = {(r.k, r.window_start): r.hi for r in store.windows("24 hours", "1 hour", ["hi"]).collect()}
     mine = {(r.k, r.window_start): r.hi for r in some.collect() if days[5] <= str(r.window_end)[:10] <= days[6]}
     assert mine and all(whole[k] == v for k, v in mine.items())
