@@ -7,11 +7,16 @@
 2. Texts of one set are one class with its smallest id.  Classes that share a
    band of the signature are candidates.  Each bucket first compares its
    members with its smallest one only; links are confirmed on full sets.
-3. Where members of a bucket are then still in several components, all such
-   texts are joined exactly, across components, by prefixes: two sets can only
-   be linked if they share one of the rarest quarter of either's shingles.
-   What a text has of its own fills its prefix, so that a text too far from a
-   group meets none of it, however large the group.
+3. Where members of a bucket are then still in several components, texts that
+   candidates connect are a group, and what its texts differ in is joined, not
+   what they share: with a centre C (the shingles that more than half of the
+   group has) and D(a) = a XOR C, |a XOR b| = |D(a)| + |D(b)| - 2 |D(a) AND D(b)|,
+   and a link means |a XOR b| <= (n + m) / 7.  So a linked pair shares
+   t = (|D(a)| + |D(b)| - (n + m) / 7) / 2 elements of D, hence one among the
+   first |D| - t + 1 of each in any one order, here rare ones first.  What a text
+   has of its own fills its prefix exactly when it is too far from the centre,
+   so near copies of one template meet nobody.  Pairs with t <= 0 are linked;
+   the text of least |D| - n / 7 is linked with both of them, and meets them all.
 4. Components are the result of merging along all links.
 
 No step emits the pairs of a group: copies are folded before, near copies
@@ -67,10 +72,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = has.join(classes.select(F.col("set_hash").alias("_h"), "rep"), (F.col("set_hash") == F.col("_h")) & (F.col("id") == F.col("rep")))
     firsts = firsts.select("id", "bands").dropDuplicates(["id", "bands"])
     keyed = firsts.select("id", F.posexplode("bands").alias("band", "key")).distinct()
-    of_key = Window.partitionBy("band", "key")
-    buckets = keyed.withColumn("first", F.min("id").over(of_key)).withColumn("n", F.count(F.lit(1)).over(of_key))
-    buckets = stored(buckets.where("n > 1").drop("n"), "buckets")
-    star = buckets.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    keyed = stored(keyed, "keyed")
+    lows = keyed.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    buckets = stored(keyed.join(lows, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "band", "key", "first"), "buckets")
+    star = stored(buckets.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "candidates")
     texts = rows.join(buckets.select(F.col("id").alias("_i")).distinct(), F.col("id") == F.col("_i"), "left_semi")
     texts = stored(texts, "texts")
     links = stored(confirmed(star, texts), "links")
@@ -83,7 +88,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mixed = left.join(stored(mixed.select("_b", "_k"), "mixed"), (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "root").distinct()
     mixed = stored(mixed, "unsettled")
     if not mixed.isEmpty():
-        links = stored(links.unionByName(confirmed(across(mixed, texts), texts)), "all-links")
+        groups = merged(star)
+        mixed = mixed.join(groups.select(F.col("id").alias("_i"), F.col("root").alias("group")), F.col("id") == F.col("_i")).select("id", "root", "group")
+        links = stored(links.unionByName(confirmed(across(stored(mixed, "grouped"), texts), texts)), "all-links")
     roots = merged(stored(links.unionByName(copies), "links-and-copies"))
     out = signed.select("id", "n_shingles").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
     component = F.coalesce("root", "id")
@@ -208,77 +215,108 @@ def linked(one: np.ndarray, other: np.ndarray) -> bool:
 
 
 def across(mixed: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``mixed`` (id, root) of different components, among
-    them all linked ones, by an exact prefix join.
-
-    With shingles in the order of how many texts have them, linked sets of n
-    and m shingles share one of the first n / 4 + 1 of the one and of the
-    first m / 4 + 1 of the other.  Shingles of one text only are counted, not
-    joined.  Around a shared shingle, sets share at most the lesser number of
-    not their own before it and the lesser number behind it, so that texts
-    that each differ from a group in their own way aren't paired.
-    Nor are those with too few shingles in common in front, as all behind the
-    front of one of them can't make up for it.
-    Of each shingle, the component that has most of its texts is met by the
-    others, not by itself.
+    """Pairs (a, b) of ``mixed`` (id, root, group) of one group and different
+    components: all linked ones are among them, or each of the two is in a
+    pair with a third.  See the module's text, 3.
+
+    An element of D that one text only has is counted, not joined.  Of each
+    element, the component that has most of its texts is met by the others,
+    not by itself.
     """
-    sets = texts.join(mixed.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i")).select("id", "root", "text")
-    sets = stored(sets.mapInArrow(_sets, "id long, root long, uid long, n long, s array<long>"), "sets")
-    each = sets.select("id", "root", "uid", "n", F.explode("s").alias("s"))
-    shared = stored(each.groupBy("s").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "shared")
-    found = each.join(shared.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).drop("_s")
-    of_set = Window.partitionBy("uid")
-    own = F.col("n") - F.count(F.lit(1)).over(of_set)
-    ranked = found.withColumn("own", own).withColumn("place", F.row_number().over(of_set.orderBy("texts", "s")) + F.col("own"))
-    prefix = stored(ranked.where(F.col("place") <= F.floor(F.col("n") / 4) + 1).select("id", "root", "n", "own", "place", "s"), "prefix")
-    by_root = prefix.groupBy("s", "root").agg(F.count(F.lit(1)).alias("texts"))
-    tops = by_root.groupBy("s").agg(F.max_by("root", F.struct("texts", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    tops = stored(tops.select(F.col("s").alias("_s"), "top"), "tops")
-    met = stored(prefix.join(tops, F.col("s") == F.col("_s")).select("id", "root", "n", "own", "place", "s", "top"), "met")
-    others = met.where("root <> top").select(*[F.col(c).alias(f"_{c}") for c in ("id", "root", "n", "own", "place", "s")])
+    sets = texts.join(mixed.select(F.col("id").alias("_i"), "root", "group"), F.col("id") == F.col("_i")).select("group", "id", "root", "text")
+    sets = stored(sets.mapInArrow(_sets, "group long, id long, root long, uid long, n long, s array<long>").dropDuplicates(["group", "uid"]), "sets")
+    sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    often = sets.select("group", F.explode("s").alias("s")).groupBy("group", "s").agg(F.count(F.lit(1)).alias("times"))
+    often = often.join(sizes.select(F.col("group").alias("_g"), "size"), F.col("group") == F.col("_g")).where(2 * F.col("times") > F.col("size"))
+    # a centre is no longer than twice the longest text
+    centres = sizes.select(F.col("group").alias("_g"), "size").join(often.groupBy(F.col("group").alias("_c")).agg(F.collect_list("s").alias("centre")), F.col("_g") == F.col("_c"), "left")
+    salts = F.ceil(F.col("size") / F.lit(FANOUT)).cast("int")
+    centres = stored(centres.select(F.col("_g").alias("hub"), salts.alias("salts"), F.coalesce("centre", F.array().cast("array<long>")).alias("centre")), "centres")
+    ones = centres.select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("part"), "centre")
+    many = sets.join(centres.select(F.col("hub").alias("_h"), "salts"), F.col("group") == F.col("_h")).withColumn("salt", F.pmod(F.xxhash64("uid"), F.col("salts")).cast("int"))
+    many = many.select("group", "salt", "id", "root", "uid", "n", "s")
+    differing = ones.groupBy("hub", "part").cogroup(many.groupBy("group", "salt")).applyInArrow(_differing, "group long, id long, root long, uid long, n long, d array<long>")
+    differing = stored(differing.withColumn("size", F.size("d").cast("long")).withColumn("value", 7 * F.size("d").cast("long") - F.col("n")), "differing")
+    # the text that is nearest to the centre, by value = 7 |D| - n, meets all that are linked with it unseen
+    nearest = differing.groupBy("group").agg(F.min(F.struct("value", "id")).alias("m")).select(F.col("group").alias("_g"), F.col("m.value").alias("least"), F.col("m.id").alias("hub"))
+    nearest = stored(nearest, "nearest")
+    placed = differing.join(nearest, F.col("group") == F.col("_g")).drop("_g")
+    unseen = placed.where((F.col("value") <= -F.col("least")) & (F.col("id") != F.col("hub"))).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    # with any other text a pair has to share so many elements at least
+    need = F.greatest(F.lit(1), F.ceil((F.col("value") + F.col("least")) / F.lit(14)).cast("long"))
+    each = placed.select("group", "id", "root", "uid", "n", "size", "value", need.alias("need"), F.explode("d").alias("e"))
+    shared = stored(each.groupBy("group", "e").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "shared")
+    found = each.join(shared.select(F.col("group").alias("_g"), F.col("e").alias("_e"), "texts"), (F.col("group") == F.col("_g")) & (F.col("e") == F.col("_e"))).drop("_g", "_e")
+    of_set = Window.partitionBy("group", "uid")
+    ranked = found.withColumn("own", F.col("size") - F.count(F.lit(1)).over(of_set)).withColumn("place", F.row_number().over(of_set.orderBy("texts", "e")) + F.col("own"))
+    able = (F.col("place") <= F.col("size") - F.col("need") + 1) & (F.col("need") <= F.col("size") - F.col("own"))
+    prefix = stored(ranked.where(able).select("group", "e", "id", "root", "n", "size", "value", "own", "place"), "prefix")
+    by_root = prefix.groupBy("group", "e", "root").agg(F.count(F.lit(1)).alias("texts"))
+    tops = by_root.groupBy(F.col("group").alias("_g"), F.col("e").alias("_e")).agg(F.max_by("root", F.struct("texts", "root")).alias("top"), F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots")
+    met = stored(prefix.join(stored(tops, "tops"), (F.col("group") == F.col("_g")) & (F.col("e") == F.col("_e"))).drop("_g", "_e"), "met")
+    others = met.where("root <> top").select(*[F.col(c).alias(f"_{c}") for c in ("group", "e", "id", "root", "n", "size", "value", "own", "place")])
+    t = F.ceil((F.col("value") + F.col("_value")) / F.lit(14)).cast("long")
+    fits = lambda c: F.col(f"{c}place") <= F.col(f"{c}size") - t + 1
+    behind = F.least(F.col("size") - F.col("place"), F.col("_size") - F.col("_place"))
     before = F.least(F.col("place") - F.col("own"), F.col("_place") - F.col("_own"))
-    most = before + F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
-    able = lambda shared: 100 * shared >= PERCENT * (F.col("n") + F.col("_n") - shared)
     once = (F.col("root") == F.col("top")) | (F.col("id") < F.col("_id"))
-    both = met.join(others, (F.col("s") == F.col("_s")) & able(most) & once & (F.col("root") != F.col("_root")))
-    later = F.col("id") > F.col("_id")  # a pair may come either way round, by the shingle
-    of = lambda x, y: F.when(later, F.col(x)).otherwise(F.col(y))
-    both = both.select(of("id", "_id").alias("a"), of("_id", "id").alias("b"), of("n", "_n").alias("n"), of("_n", "n").alias("_n"))
-    both = both.groupBy("a", "b", "n", "_n").agg(F.count(F.lit(1)).alias("c"))
-    behind = lambda n: F.col(n) - F.floor(F.col(n) / 4) - 1
-    return both.where(able(F.col("c") + F.greatest(behind("n"), behind("_n")))).select("a", "b").distinct()
+    same = (F.col("group") == F.col("_group")) & (F.col("e") == F.col("_e"))
+    both = met.join(others, same & once & (F.col("root") != F.col("_root")) & (t > 0) & fits("") & fits("_") & (before + behind >= t))
+    return both.select(F.greatest("id", "_id").alias("a"), F.least("id", "_id").alias("b")).unionByName(unseen).distinct()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [shingles(t or "") for t in batch.column(2).to_pylist()]
-        uids = [xxhash.xxh64_intdigest(f.tobytes(), seed=i & 0xFFFFFFFF) for f, i in zip(found, batch.column(0).to_pylist())]
+        found = [shingles(t or "") for t in batch.column(3).to_pylist()]
+        uids = [xxhash.xxh64_intdigest(f.tobytes(), seed=i & 0xFFFFFFFF) for f, i in zip(found, batch.column(1).to_pylist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.array(uids, np.uint64).view(np.int64)), pa.array([len(f) for f in found], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
-            names=["id", "root", "uid", "n", "s"],
+            [*(batch.column(c) for c in range(3)), pa.array(np.array(uids, np.uint64).view(np.int64)), pa.array([len(f) for f in found], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
+            names=["group", "id", "root", "uid", "n", "s"],
         )
 
 
+def _differing(centre: pa.Table, sets: pa.Table) -> pa.Table:
+    """What each set and the centre don't share; a shingle that the centre
+    has and the set lacks is the same element for all sets, and can't be one
+    that a set has and the centre lacks."""
+    c = np.sort(np.asarray(centre.column("centre")[0].values)) if centre.num_rows else np.zeros(0, np.int64)
+    differ = [np.setxor1d(np.asarray(s.values), c, assume_unique=True) for s in sets.column("s")]
+    return pa.table({**{k: sets.column(k) for k in ("group", "id", "root", "uid", "n")}, "d": pa.array(differ, pa.list_(pa.int64()))})
+
+
+#: Hooks that are followed in a round of :func:`merged`: 2 to this power.
+FOLLOWED = 3
+
+
 def merged(links: DataFrame) -> DataFrame:
     """(id, root) of every id in ``links`` (a, b): the smallest id reachable.
 
-    Each round joins every node to the smallest of itself and its neighbours
-    and contracts the links accordingly, until none is left; a hub is never
-    gathered, only its minimum is taken."""
+    Each round hooks every node on the neighbour (or itself) with the least
+    number that the round's hash gives, follows hooks to hooks, and contracts
+    the links accordingly, until none is left.  As numbers are drawn anew, a
+    chain shrinks by a factor a round, however its ids rise or fall; a hub is
+    never gathered, only its least neighbour is taken."""
     edges = stored(links.where("a <> b").select("a", "b").distinct(), "edges")
-    roots = None
+    roots, turn = None, 0
     while not edges.isEmpty():
+        drawn = lambda c, salt=turn: F.struct(F.xxhash64(c, F.lit(salt)).alias("h"), F.col(c).alias("id"))
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        to = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-        to = stored(to.select("node", F.least("node", "low").alias("low")), "hooks")
+        least = both.groupBy(F.col("a").alias("node")).agg(F.min(drawn("b")).alias("m"))
+        hooks = stored(least.select("node", F.least(F.col("m"), drawn("node"))["id"].alias("low")), "hooks")
+        for _ in range(FOLLOWED):
+            next_ = hooks.select(F.col("node").alias("_n"), F.col("low").alias("_low"))
+            hooks = hooks.join(next_, F.col("low") == F.col("_n")).select("node", F.col("_low").alias("low"))
+        hooks = stored(hooks, "followed")
         if roots is None:
-            roots = to.select(F.col("node").alias("id"), F.col("low").alias("root"))
+            roots = hooks.select(F.col("node").alias("id"), F.col("low").alias("root"))
         else:
-            roots = roots.join(to, F.col("root") == F.col("node"), "left").select("id", F.coalesce("low", "root").alias("root"))
+            roots = roots.join(hooks, F.col("root") == F.col("node"), "left").select("id", F.coalesce("low", "root").alias("root"))
         roots = stored(roots, "roots")
-        one = edges.join(to, F.col("a") == F.col("node")).select(F.col("low").alias("x"), "b")
-        two = one.join(to, F.col("b") == F.col("node")).select("x", F.col("low").alias("y"))
+        one = edges.join(hooks, F.col("a") == F.col("node")).select(F.col("low").alias("x"), "b")
+        two = one.join(hooks, F.col("b") == F.col("node")).select("x", F.col("low").alias("y"))
         edges = stored(two.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
+        turn += 1
     if roots is None:
         return links.sparkSession.createDataFrame([], "id long, root long")
-    return roots
+    lowest = roots.groupBy(F.col("root").alias("_r")).agg(F.min("id").alias("low"))
+    return stored(roots.join(lowest, F.col("root") == F.col("_r")).select("id", F.col("low").alias("root")), "components")

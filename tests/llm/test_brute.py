@@ -135,8 +135,11 @@ def test_near_duplicate_chains_and_groups(spark):
     assert got == brute_components(rows)
 
 
-def test_prefix_join_loses_no_link(spark):
-    """Whatever the components so far, every linked pair across them is found."""
+@pytest.mark.parametrize("groups", [1, 3, 4])
+def test_prefix_join_loses_no_link(spark, groups):
+    """Whatever the components so far, every linked pair of a group is found,
+    or both are paired with a third that they are linked with; with one group
+    of four templates its centre is no template's, with three one has two."""
     rng = np.random.default_rng(8)
     words = [f"u{i}" for i in range(400)]
     base = [list(rng.choice(words, 60)) for _ in range(4)]
@@ -147,12 +150,31 @@ def test_prefix_join_loses_no_link(spark):
             text[p] = str(rng.choice(words))
         rows.append((i, " ".join(text[: int(rng.integers(45, 61))]), ""))
     roots = {i: int(rng.integers(0, 5)) for i, _, _ in rows}
-    texts = spark.createDataFrame([r[:2] for r in rows], "id long, text string").repartition(3)
-    mixed = spark.createDataFrame(list(roots.items()), "id long, root long")
-    got = {(r.a, r.b) for r in neardup.across(mixed, texts).collect()}
+    texts = spark.createDataFrame([r[:2] for r in rows + rows[:20]], "id long, text string").repartition(3)
+    mixed = spark.createDataFrame([(i, r, i % 4 % groups) for i, r in roots.items()], "id long, root long, group long")
+    got = {tuple(sorted((r.a, r.b))) for r in neardup.across(mixed, texts).collect()}
     sets = {i: s[0] for i, s in shingle_sets(rows).items()}
-    want = {(i, j) for i in sets for j in sets if i > j and roots[i] != roots[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
-    assert want and want <= got and all(roots[a] != roots[b] for a, b in got)
+    links = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    want = {(i, j) for i, j in links if roots[i] != roots[j] and i % 4 % groups == j % 4 % groups}
+    met = {i: {x + y - i for x, y in got & links if i in (x, y)} | {i} for i in sets}
+    assert len(want) > 150 and all(p in got or met[p[0]] & met[p[1]] for p in want)
+    assert len(got) < 2 * len(want) and all(i % 4 % groups == j % 4 % groups for i, j in got)
+
+
+def test_components_of_a_long_chain(spark):
+    """Each link joins a number with the next: rounds grow with the logarithm
+    of the length, whether the ids rise or not."""
+    n = 1000
+    for step in (1, 7919):
+        edges = spark.createDataFrame([(i * step % n, (i + 1) * step % n) for i in range(n - 1)], "a long, b long")
+        rounds, old = [], neardup.stored
+        neardup.stored = lambda df, name: rounds.append(name) or old(df, name)
+        try:
+            got = neardup.merged(edges.union(spark.createDataFrame([(n + 5, n + 9)], "a long, b long"))).collect()
+        finally:
+            neardup.stored = old
+        assert {r.id: r.root for r in got} == {i: 0 for i in range(n)} | {n + 5: n + 5, n + 9: n + 5}
+        assert rounds.count("hooks") <= 12
 
 
 def test_signature_is_circulant_minhash():
@@ -237,12 +259,12 @@ def test_secret_network_finds_what_patterns_miss(spark):
     secret = lambda: "".join(rng.choice(list("0123456789abcdef"), 40))
     rows = [(i, f'some words token = "{secret()}" and more on', "") for i in range(300)]
     rows += [(1000 + i, f"call +{rng.integers(10**9, 10**10)} or {rng.integers(10**8, 10**9)} today", "") for i in range(300)]
-    rows += [(2000 + i, f'some words token is "{secret()[:23]}" and more on', "") for i in range(20)]
+    rows += [(2000 + i, f'some words token is "{secret()[:23]}" and more on', "") for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = {r.doc_id: r.spans for r in secretscan.digest(secretscan.scan(df)).collect()}
     assert sum("network" in out[1000 + i] for i in range(300)) <= 6
     assert all("assign" in out[i] and "hex" in out[i] for i in range(300))
-    assert sum("network" in out[2000 + i] for i in range(20)) >= 19
+    assert sum("network" in out[2000 + i] for i in range(100)) >= 90
     text = rows[0][1]
     assert secretscan.windows_of("x" * 100, 0, 100)[-1].rstrip().endswith("x") and len(secretscan.windows_of(text, 20, 30)[0]) == secretscan.Net.LENGTH
 
@@ -256,12 +278,12 @@ def test_secret_network_sees_every_run(spark):
     prose = lambda: " ".join(rng.choice(["ordinary", "sentences", "containing", "several", "reasonably", "different", "Wonderful", "expressions"], 6))
     rows = [(i, f'{prose()} token = "{drawn(hexes, 40) if i % 2 else drawn(mixed, 32)}" and more', "") for i in range(400)]
     rows += [(1000 + i, f"{prose()} call {rng.integers(10**9, 10**10)} {prose()}", "") for i in range(300)]
-    rows += [(2000 + i, f'{prose()} token is "{drawn(hexes, 23)}" and more', "") for i in range(20)]
-    rows += [(3000 + i, f'{prose()} token is "{drawn(mixed, 30)}" and more', "") for i in range(20)]
+    rows += [(2000 + i, f'{prose()} token is "{drawn(hexes, 23)}" and more', "") for i in range(100)]
+    rows += [(3000 + i, f'{prose()} token is "{drawn(mixed, 30)}" and more', "") for i in range(100)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     out = {r.doc_id: r.spans for r in secretscan.digest(secretscan.scan(df)).collect()}
-    assert sum("network" in out[2000 + i] for i in range(20)) >= 12
-    assert sum("network" in out[3000 + i] for i in range(20)) >= 19
+    assert sum("network" in out[2000 + i] for i in range(100)) >= 90
+    assert sum("network" in out[3000 + i] for i in range(100)) >= 90
     assert sum("network" in out[1000 + i] for i in range(300)) <= 6
     text = "password: abcdef token=abcdefgh pwd is correcthorsebattery wonderful"
     runs = secretscan.runs_of(text, secretscan.base_spans(text))
@@ -282,8 +304,9 @@ def test_secret_copies_count_once(spark):
     finally:
         secretscan.Net.trained = trained
     cut = [secretscan.windows_of(t, t.index('"') + 1, t.rindex('"'))[0] for t in once]
-    assert len(seen[0]) == len(set(seen[0])) == 41 and set(cut) < set(seen[0])
-    assert (net.score(cut) >= least).all()
+    assert len(seen[0]) == len(set(seen[0])) and 10 < len(set(cut) & set(seen[0])) < 30
+    calibrated = [w for w in cut if zlib.crc32(w.encode()) % 2]
+    assert not set(calibrated) & set(seen[0]) and (net.score(calibrated) >= least).all()
 
 
 def test_secret_network_reads_what_follows():
