@@ -4,10 +4,11 @@ with its surroundings.
 
 The patterns' spans always stand.  The network adds candidates that look and
 are introduced like labelled secrets; it is trained in numpy on a bounded
-sample of labelled findings, and its threshold is the highest that keeps the
-recall asked for over all labelled findings, the patterns' values of any
-length; copies of a window count once in both.  Runs that no pattern has, but that are introduced or made up like
-secrets, are scored and no examples of clean ones.
+sample of half of the labelled findings, and its threshold is the highest that
+keeps the recall asked for over all of the other half, the patterns' values of
+any length; copies of a window count once in both.  Runs that no pattern has,
+but that are introduced or made up like secrets, are scored and no examples of
+clean ones; clean examples come from CLEAN_ROWS sampled texts.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ ADVANCE = 32
 
 #: Different windows that the network is trained on, at most, of each label.
 FIT_ROWS = 4000
+#: Texts, about, that clean windows are drawn from: those with the least
+#: hashes, so that copies are in it or out of it together.
+CLEAN_ROWS = 20_000
 RECALL = 0.99
 SCORE_STEPS = 2000
 
@@ -64,7 +68,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labell
     Without it the findings of ``docs`` itself are used, labelled by whether
     a pattern matched, doubtful ones left out (then ``docs`` is read twice).  With no labelled findings of both kinds the network
     adds nothing.  Null texts are empty; null ids and repeated rows are
-    scanned like any other.
+    scanned like any other, very long texts whole; other columns are ignored;
+    an empty table gives no rows.
     """
     net, least = fitted(docs, text_col, labelled)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -114,19 +119,24 @@ def fitted(docs: DataFrame, text_col: str, labelled: DataFrame | None) -> tuple[
     """The network, and the score from which on it adds a candidate."""
     bounded_batches(docs.sparkSession)
     if labelled is None:
-        labelled = stored(docs.select(F.col(text_col).alias("text")).mapInArrow(_labelled, _LABELLED), "secrets")
+        texts = docs.select(F.col(text_col).alias("text"))
+        share = min(1.0, CLEAN_ROWS / max(1, docs.count()))
+        labelled = stored(texts.mapInArrow(_labelled(share), _LABELLED), "secrets")
     else:
         labelled = labelled.select("window", "label", F.crc32(F.encode("window", "UTF-8")).alias("place"))
     labelled = labelled.where("window IS NOT NULL AND label IS NOT NULL").distinct()
+    secrets = labelled.where(F.col("label") == SECRET)
+    halves = secrets.where(F.col("place") % 2 == 0), secrets.where(F.col("place") % 2 == 1)
+    if halves[0].isEmpty() or halves[1].isEmpty():
+        halves = secrets, secrets  # hardly any
     sample = []
-    for label in (CLEAN, SECRET):
-        some = labelled.where(F.col("label") == label).orderBy("place", "window").limit(FIT_ROWS)
-        sample.append([r["window"] for r in some.collect()])
+    for some in (labelled.where(F.col("label") == CLEAN), halves[0]):
+        sample.append([r["window"] for r in some.orderBy("place", "window").limit(FIT_ROWS).collect()])
     if not all(sample):
         return None, 2.0
     clean, secret = sample
     net = Net.trained(clean, secret + elsewhere(secret, clean))
-    tried = labelled.where(F.col("label") == SECRET).select("window").mapInArrow(_steps(net), "step int")
+    tried = halves[1].select("window").mapInArrow(_steps(net), "step int")
     return net, threshold({r["step"]: r["count"] for r in tried.groupBy("step").count().collect()})
 
 
@@ -225,40 +235,47 @@ def windows_of(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different windows of a batch's secret runs, and of the clean ones the FIT_ROWS
-    different windows of the partition that come first by their place."""
+def _labelled(share: float):
+    """The different windows of a batch's secret runs; of the clean ones in
+    about ``share`` of the texts the FIT_ROWS different windows of the
+    partition that come first by their place."""
 
     def rows(found: list[tuple[int, str]], label: int) -> pa.RecordBatch:
         windows, places = [w for _, w in found], [p for p, _ in found]
         return pa.RecordBatch.from_arrays([pa.array(windows, pa.string()), pa.array([label] * len(found), pa.int32()), pa.array(places, pa.int64())], names=["window", "label", "place"])
 
-    first: list[tuple[int, str]] = []
-    last = 1 << 32
-    for batch in batches:
-        secret, some = set(), set(first)
-        for text in batch.column(0).to_pylist():
-            text = text or ""
-            for s, e, label in runs_of(text, base_spans(text)):
-                if label in (CLEAN, SECRET):
-                    for w in windows_of(text, s, e):
-                        place = zlib.crc32(w.encode())
-                        if label == SECRET:
-                            secret.add((place, w))
-                        elif place <= last:
-                            some.add((place, w))
-        first = heapq.nsmallest(FIT_ROWS, some)
-        if len(first) == FIT_ROWS:
-            last = first[-1][0]
-        yield rows(list(secret), SECRET)
-    yield rows(first, CLEAN)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: list[tuple[int, str]] = []
+        last = 1 << 32
+        for batch in batches:
+            secret, some = set(), set(first)
+            for text in batch.column(0).to_pylist():
+                text = text or ""
+                base, drawn = base_spans(text), zlib.crc32(text.encode()) < share * (1 << 32)
+                if not base and not drawn:
+                    continue
+                for s, e, label in runs_of(text, base):
+                    if label == SECRET or label == CLEAN and drawn:
+                        for w in windows_of(text, s, e):
+                            place = zlib.crc32(w.encode())
+                            if label == SECRET:
+                                secret.add((place, w))
+                            elif place <= last:
+                                some.add((place, w))
+            first = heapq.nsmallest(FIT_ROWS, some)
+            if len(first) == FIT_ROWS:
+                last = first[-1][0]
+            yield rows(list(secret), SECRET)
+        yield rows(first, CLEAN)
+
+    return run
 
 
 class Net:
     """Width-5 convolution over one-hot characters, ReLU, maximum over the
     candidate, over what is before it and over what follows, two dense layers."""
 
-    WIDTH, FILTERS, HIDDEN, LETTERS = 5, 24, 16, 98
+    WIDTH, FILTERS, HIDDEN, LETTERS = 5, 12, 16, 98
     LENGTH = LEFT + BODY + RIGHT
 
     def __init__(self, seed: int = 7):
@@ -308,7 +325,7 @@ class Net:
         return np.concatenate(out)
 
     @classmethod
-    def trained(cls, clean: list[str], secret: list[str], batch: int = 128, rate: float = 0.003, steps: int = 800) -> Net:
+    def trained(cls, clean: list[str], secret: list[str], batch: int = 128, rate: float = 0.003, steps: int = 1600) -> Net:
         net, rng = cls(), np.random.default_rng(11)
         x = cls.codes(clean + secret)
         y = np.repeat([0.0, 1.0], [len(clean), len(secret)]).astype(np.float32)
