@@ -4,14 +4,13 @@ bounded Arrow batches, running sums over salted buckets, word rules."""
 from __future__ import annotations
 
 import atexit
-import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cirrus.session import checkpoint_root
+from cirrus.session import checkpoint_root, ship_package
 
 #: Fixed value: the white space that separates words in every word rule here.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,7 +25,9 @@ _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep the session's Arrow batches within BATCH_ROWS rows and BATCH_BYTES bytes."""
+    """Before Python runs on the executors: they get this package, and the
+    session's Arrow batches stay within BATCH_ROWS rows and BATCH_BYTES bytes."""
+    ship_package(spark)
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         name = f"spark.sql.execution.arrow.{key}"
         try:
@@ -80,29 +81,31 @@ def columns_of(spark: SparkSession, sf_dir: str, table: str, *names: str) -> Dat
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet").select(*names)
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[Column], spread: Column, value: str, out: str) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], order: list[Column], value: str, out: str) -> DataFrame:
     """Exact sum of ``value`` over the rows before each row, per ``keys``.
 
-    A key may hold most rows, so no task sees a whole key: rows are put into
-    sqrt(all rows) buckets by ``spread`` (a double in [0, 1) that the
-    ``order`` columns must refine), summed inside their (key, bucket), and
-    only bucket totals (at most sqrt(n) a key) are summed along the key.
-    Adds column ``out`` (sum of all earlier rows) and keeps the others.
-    ``df`` is read several times: pass a stored table.
+    A key may hold most rows, and rows may tie in ``order``, so no task sees a
+    whole key: all rows are range-partitioned by keys, order and, so that ties
+    part too, their place in ``df``; they are summed inside their (range, key),
+    and only the totals of these (a key's ranges, and one for each key in a
+    range) are summed along the key.  Adds column ``out`` (sum of all earlier
+    rows) and keeps the others.  ``df`` is read several times: pass a stored table.
     """
-    buckets = max(1, math.isqrt(df.count()))
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [f"_k{i}" for i in range(len(keys))]
-    bucket = F.least(F.floor(spread * buckets), F.lit(buckets - 1)).alias("_bucket")
-    rows = df.select("*", *[F.col(k).alias(a) for k, a in zip(keys, by)], bucket)
-    totals = rows.groupBy(*by, "_bucket").agg(F.sum(value).alias("_total"))
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = totals.select(*[F.col(b).alias(f"{b}t") for b in by], F.col("_bucket").alias("_bt"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_earlier"))
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-    same = F.col("_bucket") == F.col("_bt")
+    rows = df.select("*", *[F.col(k).alias(a) for k, a in zip(keys, by)], F.monotonically_increasing_id().alias("_tie"))
+    along = [*[F.col(b) for b in by], *order, F.col("_tie")]
+    ranged = rows.repartitionByRange(width, *along).sortWithinPartitions(*along).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+    ranged = stored(ranged.withColumn("_range", F.shiftright("_at", 33)), "ranges")
+    totals = ranged.groupBy(*by, "_range").agg(F.sum(value).alias("_total"))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = totals.select(*[F.col(b).alias(f"{b}t") for b in by], F.col("_range").alias("_rt"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_earlier"))
+    inside = Window.partitionBy("_range", *by).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    same = F.col("_range") == F.col("_rt")
     for b in by:
         same = same & F.col(b).eqNullSafe(F.col(f"{b}t"))
-    return rows.join(earlier, same, "left").select(*df.columns, (F.col("_inside") + F.col("_earlier")).alias(out))
+    return summed.join(earlier, same, "left").select(*df.columns, (F.col("_inside") + F.col("_earlier")).alias(out))
 
 
 def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:

@@ -11,8 +11,6 @@ of the queue are words).  DataFrame functions only.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +45,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     from what these leave.  ``sizes``: (source, source_size), stored.
     """
     order = [F.col("source").asc_nulls_last()]
-    place = running_sum(
-        sizes.withColumn("_one", F.lit(1).cast("long")).withColumn("_spread", _text_place(F.col("source"))),
-        [], order, F.col("_spread"), "_one", "_place",
-    )
+    place = running_sum(sizes.withColumn("_one", F.lit(1).cast("long")), [], order, "_one", "_place")
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("_place") % len(weights) + 1).cast("int")).cast("long")
     ranked = place.select("source", "source_size", weight.alias("weight"))
     ranked = ranked.withColumn("most", F.col("source_size") * repeats).withColumn("stop", F.col("most") / F.col("weight"))
@@ -58,11 +53,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     total = ranked.agg(F.sum("source_size"), F.sum("weight"), F.max("stop")).first()
     if not total[0]:
         return ranked.select("source", "source_size", F.lit(0.0).alias("target"))
-    spread = F.log1p("stop") / F.lit(math.log1p(total[2]) + 1e-9)
-    by_stop = ranked.withColumn("_spread", F.least(spread, F.lit(1 - 1e-12)))
     stops = [F.col("stop"), F.col("source").asc_nulls_last()]
-    by_stop = stored(running_sum(by_stop, [], stops, F.col("_spread"), "most", "_stopped"), "stops")
-    by_stop = running_sum(by_stop, [], stops, F.col("_spread"), "weight", "_weights")
+    by_stop = stored(running_sum(ranked, [], stops, "most", "_stopped"), "stops")
+    by_stop = running_sum(by_stop, [], stops, "weight", "_weights")
     rate = (F.lit(share * total[0]) - F.col("_stopped")) / (F.lit(total[1]) - F.col("_weights"))
     # the first source that doesn't stop gives the rate of all that follow
     first = by_stop.where(F.col("stop") >= rate).agg(F.min(F.struct("stop", "weight", rate.alias("rate"))).alias("m")).first()["m"]
@@ -70,12 +63,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return ranked.select("source", "source_size", F.least(F.lit(float(rate)) * F.col("weight"), F.col("most").cast("double")).alias("target"))
 
 
-def _text_place(source: Column) -> Column:
-    """A double in [0, 1) that follows the code point order of strings, null last."""
-    head = F.rpad(F.substring(F.hex(F.encode(source, "UTF-8")), 1, 12), 12, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long") / F.lit(float(1 << 48)), F.lit(1 - 1e-12))
-
-
 def queue(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shuffle_col: str | None = None) -> DataFrame:
     """The mix in serving order: every copy of which a word is taken, with
     (doc_id, source, copy, start, finish, taken, mix_start), the last the
@@ -118,7 +105,7 @@ def _served(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col:
     sizes = stored(rows.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
     told = stored(targets(sizes), "targets").select(F.col("source").alias("_source"), "source_size", "target")
     order = [F.col("spread"), F.col("doc_id").asc_nulls_last(), F.col("size")]
-    rows = running_sum(rows, ["source"], order, F.col("spread"), "size", "before")
+    rows = running_sum(rows, ["source"], order, "size", "before")
     rows = rows.join(told, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     # queues are served at the rate of their targets, so that all reach the
     # budget at time 1; a word's finish time is its place over the target
@@ -128,12 +115,11 @@ def _served(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col:
     copies = rows.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(REPEATS)]))).withColumn("taken", taken(F.col("copy")))
     begin = F.col("before") + F.col("copy") * F.col("source_size")
     copies = copies.withColumn("start", F.coalesce(begin / per, F.lit(0.0))).withColumn("finish", F.coalesce((begin + F.col("size")) / per, F.lit(0.0)))
-    # sorted by finish time in slices of virtual time: as all queues are
-    # served evenly, equal slices hold about equal words.  Copies beyond the
-    # budget (finish over 1) are spread over the last half by their hash
+    # sorted by finish time; copies beyond the budget, of which nothing is
+    # taken, come last by their hash
     copies = stored(copies, "copies")
     late = F.col("start") >= 1
     key = F.when(late, 2 + F.col("spread")).otherwise(F.least("finish", F.lit(1.999)))
     copies = copies.withColumn("_key", key)
     ahead = [F.col("_key"), F.col("finish"), F.col("spread"), F.col("doc_id").asc_nulls_last(), F.col("copy"), F.col("source").asc_nulls_last()]
-    return running_sum(copies, [], ahead, F.col("_key") / F.lit(3.0), "taken", "mix_start")
+    return running_sum(copies, [], ahead, "taken", "mix_start")

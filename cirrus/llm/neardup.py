@@ -58,7 +58,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     empty and linked with nothing.  ``component_id`` is the smallest id that
     links reach, ``kept`` whether it is the row's own.  Rows that share an id
     are one document, with all their texts.  Rows without id are kept, with a
-    null component, and linked with nothing.  Other columns are ignored.
+    null component, and linked with nothing.  Very long texts are compared
+    whole; other columns are ignored; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))

@@ -57,10 +57,9 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = _slots(spark, best_fit(histogram, capacity))
-    spread = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    ordered = pieces.withColumn("_spread", spread).withColumn("_one", F.lit(1).cast("long"))
+    ordered = pieces.withColumn("_one", F.lit(1).cast("long"))
     rest = [F.col(c) for c in pieces.columns if c not in ("length",)]
-    ranked = running_sum(ordered, ["length"], [F.col("_spread"), *rest], F.col("_spread"), "_one", "rank")
+    ranked = running_sum(ordered, ["length"], rest, "_one", "rank")
     joined = ranked.join(slots, ["length", "rank"])
     return joined.select(*pieces.columns, "sequence_id", "offset")
 

@@ -1,7 +1,8 @@
 """Document quality: rule statistics, and an isolation forest over them.
 
-The forest is grown on a bounded sample of labelled rows; its verdict's
-threshold is set from the scores of all labelled rows.
+The forest is grown on a bounded sample of labelled rows, whose good ones say
+which levels of a statistic are usual; its verdict's threshold is set from the
+scores of all labelled rows.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ TREES, TREE_ROWS = 100, 256
 #: Share of the well-labelled rows that the forest's verdict may reject.
 GOOD_LOSS = 0.003
 SCORE_STEPS = 4000
-UPPER, NEXT_EQUAL = 0.08, 0.03
 
 
 def assess(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,7 +41,8 @@ def assess(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``labels``: (doc_id, quality), 1 for good; where a doc_id has several
     labels the lowest counts, null ones don't.  Without labels of both kinds
     the forest rejects nothing.  Null texts are empty (and fail for want of
-    words); null ids and repeated rows are assessed like any other.
+    words); null ids and repeated rows are assessed like any other, very long
+    texts whole; other columns are ignored.  An empty table gives no rows.
     """
     stats, forest, reject_from = fitted(docs, labels, id_col, text_col)
     scored = stats.mapInArrow(_scores(forest), _STATS + ", score double") if forest else stats.withColumn("score", F.lit(0.0))
@@ -75,10 +76,11 @@ def fitted(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
     told = labels.select(F.col("doc_id").cast("long").alias("known"), F.col("quality").cast("int").alias("quality"))
     told = told.where("known IS NOT NULL AND quality IS NOT NULL").groupBy("known").agg(F.min("quality").alias("quality"))
     known = stored(stats.join(told, F.col("id") == F.col("known")).drop("known"), "quality-known")
-    sample = known.drop("quality").orderBy(F.xxhash64("id"), *stats.columns).limit(FIT_ROWS).toPandas()
+    sample = known.orderBy(F.xxhash64("id"), *stats.columns).limit(FIT_ROWS).toPandas()
     if not len(sample):
         return stats, None, None
-    forest = Forest.grown(features(sample), seed=len(sample))
+    x = features(sample)
+    forest = Forest.grown(x, len(sample), usual_levels(x[(sample["quality"] == 1).to_numpy()]))
     tried = known.where(~failed()).mapInArrow(_scores(forest), _STATS + ", quality int, score double")
     step = F.floor(F.col("score") * SCORE_STEPS).cast("int").alias("step")
     counts = tried.groupBy(step).agg(F.sum((F.col("quality") == 1).cast("long")).alias("good"), F.sum((F.col("quality") == 0).cast("long")).alias("bad")).collect()
@@ -137,39 +139,42 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def features(rows) -> np.ndarray:
-    """What the forest splits on: rates, so that length alone isolates nothing,
-    levelled where they say nothing: writing has up to UPPER capitals a
-    character and NEXT_EQUAL words like the one before; beyond one symbol a
-    word, more don't matter."""
+    """What the forest splits on: all rule statistics as rates, so that length
+    alone isolates nothing, and the mean word length, long or short."""
     col = {c: np.asarray(rows[c], float) for c in (*BASE, *MORE)}
     words, chars = np.maximum(col["n_words"], 1), np.maximum(col["word_chars"], 1)
-    return np.stack(
-        [
-            np.minimum(col["n_symbols"] / words, 1),
-            np.maximum(col["n_upper"] / chars, UPPER),
-            np.maximum(col["n_next_equal"] / words, NEXT_EQUAL),
-        ],
-        axis=1,
-    )
+    per_word = [col[c] / words for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "n_next_equal")]
+    return np.stack([*per_word, col["n_upper"] / chars, chars / words, -chars / words], axis=1)
+
+
+def usual_levels(good: np.ndarray) -> np.ndarray:
+    """Up to which level each feature says nothing: that of all good rows but
+    GOOD_LOSS, shared out among the features.  Without good rows each counts."""
+    if not len(good):
+        return np.full(good.shape[1], -np.inf)
+    return np.quantile(good, 1 - GOOD_LOSS / good.shape[1], axis=0, method="higher")
 
 
 class Forest:
     """Isolation trees as arrays: feature (-1: leaf), split, children, and for
     leaves the expected path length, depth included."""
 
-    def __init__(self, trees: list[tuple[np.ndarray, ...]], usual: float):
-        self.trees, self.usual = trees, usual
+    def __init__(self, trees: list[tuple[np.ndarray, ...]], usual: float, levels: np.ndarray):
+        self.trees, self.usual, self.levels = trees, usual, levels
 
     @classmethod
-    def grown(cls, x: np.ndarray, seed: int) -> Forest:
+    def grown(cls, x: np.ndarray, seed: int, levels: np.ndarray | None = None) -> Forest:
+        """``levels``: what lower values of a feature count as."""
         rng = np.random.default_rng(seed)
+        levels = np.full(x.shape[1], -np.inf) if levels is None else levels
+        x = np.maximum(x, levels)
         n = min(TREE_ROWS, len(x))
         deepest = max(1, int(np.ceil(np.log2(max(n, 2)))))
-        return cls([_tree(x[rng.choice(len(x), n, replace=False)], deepest, rng) for _ in range(TREES)], max(_expected(n), 1e-9))
+        return cls([_tree(x[rng.choice(len(x), n, replace=False)], deepest, rng) for _ in range(TREES)], max(_expected(n), 1e-9), levels)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """2 ** -(mean path length / usual path length)."""
-        total = np.zeros(len(x))
+        x, total = np.maximum(x, self.levels), np.zeros(len(x))
         for feature, split, left, right, path in self.trees:
             at = np.zeros(len(x), np.int32)
             while True:

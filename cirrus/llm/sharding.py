@@ -93,7 +93,7 @@ def _paged(rows: DataFrame, limit: int) -> DataFrame:
         return rows.withColumn("page", F.lit(0).cast("long"))
     hot = rows.join(alike, "h")
     hot = stored(hot.select("*", F.lit(1).cast("long").alias("one"), F.rand(7).alias("spread")), "paged")
-    ranked = running_sum(hot, ["h"], [F.col("spread")], F.col("spread"), "one", "rank")
+    ranked = running_sum(hot, ["h"], [F.col("spread")], "one", "rank")
     ranked = ranked.withColumn("page", F.floor(F.col("rank") / F.col("a_page")))
     rest = rows.join(alike, "h", "left_anti").withColumn("page", F.lit(0).cast("long"))
     return rest.unionByName(ranked.select(rest.columns))

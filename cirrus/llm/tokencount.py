@@ -47,7 +47,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int, id_col: str = "doc
     ``tokenizer``: path of a byte-level BPE file that every executor can
     read.  Special strings in a text count as one token, none are added.
     Null and empty texts have 0 bytes and 0 tokens; every row counts by
-    itself, repeated rows and null ids included; other columns are ignored.
+    itself, repeated rows and null ids included, very long texts whole; other
+    columns are ignored; an empty table gives no rows.
     ``docs`` must give the same partitions each time it is read (files, or a
     stored table), as a lost partition is made again.
     """

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cirrus.llm.common import stored
+from cirrus.llm.common import bounded_batches, stored
 
 SHARD_ROWS, BLOCK_QUERIES, LEAF_ROWS = 8192, 2048, 256
 _HITS = "query_id long, vec_id long, score long"
@@ -40,13 +40,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, by: int = 64, id_col: st
     that share an id count as one vector each, none of which is a candidate
     for a query of that id; repeated query rows (same id and vector) are one
     query.  Other columns are ignored.  Scores are exact while they fit a
-    long.
+    long.  An empty table, or one without queries, gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), scaled(F.col(vector_col), by).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-    rows = stored(rows.where("vec_id IS NOT NULL AND v IS NOT NULL"), "vectors")
+    bounded_batches(vectors.sparkSession)
+    # dealt by row, as many rows may share an id
+    rows = rows.where("vec_id IS NOT NULL AND v IS NOT NULL").withColumn("deal", F.xxhash64(F.monotonically_increasing_id(), F.lit(1)))
+    rows = stored(rows, "vectors")
     n, nq = rows.count(), rows.where("q").count()
     shards, blocks = max(1, -(-n // SHARD_ROWS)), max(1, -(-nq // BLOCK_QUERIES))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod("deal", F.lit(shards)).cast("int"))
     queries = rows.where("q").groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("_n")).select(F.col("vec_id").alias("query_id"), "v")
     queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(blocks)).cast("int"))
     cands = dealt.select("vec_id", "v", "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

@@ -48,8 +48,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     held out: nothing is learnt from their labels.  Of several labels of an
     id the highest counts.  Only texts are inputs of the score.  Null and
     empty texts score 0; null ids aren't held out; repeated rows are scored
-    alike; other columns are ignored.  Without learnable labels of both kinds
-    every score is 0.
+    alike, very long ones whole; other columns are ignored.  Without learnable
+    labels of both kinds every score is 0; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -99,10 +99,10 @@ def fitted(rows: DataFrame, told: DataFrame) -> tuple[Network | None, DataFrame]
         some = one if some is None else some.unionByName(one)
     some = stored(some, "toxic-sample")  # at most the FIT_DOCS ids
     texts = rows.join(F.broadcast(some), rows["id"] == some["known"]).select("id", "text", "toxic")
-    cut_up = stored(texts.mapInArrow(_windows, "id long, toxic int, window string"), "toxic-windows")
+    cut_up = stored(texts.mapInArrow(_windows, "id long, toxic int, turn int, window string"), "toxic-windows")
     sample = {}
     for label, most in FIT_WINDOWS.items():
-        part = cut_up.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), F.xxhash64("window"), "window").limit(most)
+        part = cut_up.where(F.col("toxic") == label).orderBy("turn", F.xxhash64("id"), F.xxhash64("window"), "window").limit(most)
         sample[label] = [(r["id"], r["window"]) for r in part.select("id", "window").collect()]
     net = Network.trained(sample[1], sample[0]) if sample[0] and sample[1] else None
     return net, told.join(F.broadcast(some.select("known")), "known", "left_anti")
@@ -118,13 +118,17 @@ def starts_of(n: int) -> range:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text its windows in an order of their own hashes: texts take
+    turns in a bounded sample, so that long ones don't push out the others."""
     for batch in batches:
         out = []
         for i, text, toxic in zip(*(batch.column(c).to_pylist() for c in range(3))):
             words = words_of(text or "")
-            out += [(i, toxic, " ".join(words[a : a + WINDOW])) for a in starts_of(len(words))]
-        cols = list(zip(*out)) or [()] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string())], names=["id", "toxic", "window"])
+            cut_up = [" ".join(words[a : a + WINDOW]) for a in starts_of(len(words))]
+            out += [(i, toxic, turn, w) for turn, w in enumerate(sorted(cut_up, key=lambda w: (zlib.crc32(w.encode()), w)))]
+        cols = list(zip(*out)) or [()] * 4
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["id", "toxic", "turn", "window"])
 
 
 class _Codes(dict):
