@@ -186,17 +186,19 @@ _TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
 
 def _packed(x: np.ndarray) -> bytes:
     """Whole numbers from -1 on, compressed: how many, their type, and they
-    themselves, one higher."""
+    themselves, one higher, all first bytes, then all second bytes, ..."""
     x = x.astype(np.int64) + 1
     kind = next(i for i, t in enumerate(_TYPES) if i == 3 or x.max(initial=0) <= np.iinfo(t).max)
-    return len(x).to_bytes(8, "little") + bytes([kind]) + (pa.compress(x.astype(_TYPES[kind]).tobytes(), codec="zstd", asbytes=True) if len(x) else b"")
+    planes = x.astype(_TYPES[kind]).view(np.uint8).reshape(len(x), -1).T.tobytes() if len(x) else b""
+    return len(x).to_bytes(8, "little") + bytes([kind]) + (pa.compress(planes, codec="zstd", asbytes=True) if len(x) else b"")
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     n, kind = int.from_bytes(data[:8], "little"), np.dtype(_TYPES[data[8]])
     if not n:
         return np.zeros(0, np.int64)
-    return np.frombuffer(pa.decompress(data[9:], n * kind.itemsize, codec="zstd", asbytes=True), kind).astype(np.int64) - 1
+    planes = np.frombuffer(pa.decompress(data[9:], n * kind.itemsize, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(-1, n).T).view(kind).ravel().astype(np.int64) - 1
 
 
 def _steps(x: np.ndarray) -> bytes:
