@@ -63,9 +63,8 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
             raw = raw.withColumn(c, F.lit(None).cast(t))
     x = parse_fields(raw, line)
     f = lambda c: F.col(f"_f_{c}")
-    compound = {"WND": "_p_wnd", "CIG": "_p_cig", "VIS": "_p_vis", "TMP": "_p_tmp", "DEW": "_p_dew", "SLP": "_p_slp"}
-    # split each compound field once; the struct builders below read the arrays
-    x = x.select("*", *[fmt.parts(f(c)).alias(a) for c, a in compound.items()])
+    # split each compound field once; the structs below read the arrays
+    x = x.select("*", *[fmt.parts(f(layout.column)).alias(f"_p_{name}") for name, layout in fmt.LAYOUTS.items()])
     n = F.least(F.col("_n"), F.lit(len(fmt.RAW_COLUMNS)))
     names = F.array(*[F.lit(c.lower()) for c in fmt.RAW_COLUMNS])
     values = F.array(*[f(c) for c in fmt.RAW_COLUMNS])
@@ -82,12 +81,7 @@ def normalize_tagged(raw: DataFrame, line: str = "raw_line") -> DataFrame:
         f("REPORT_TYPE").alias("report_type"),
         f("CALL_SIGN").alias("call_sign"),
         f("QUALITY_CONTROL").alias("quality_control"),
-        fmt.wind(F.col("_p_wnd")).alias("wind"),
-        fmt.ceiling(F.col("_p_cig")).alias("ceiling"),
-        fmt.visibility(F.col("_p_vis")).alias("visibility"),
-        fmt.temperature(F.col("_p_tmp")).alias("temperature"),
-        fmt.temperature(F.col("_p_dew")).alias("dew_point"),
-        fmt.pressure(F.col("_p_slp")).alias("sea_level_pressure"),
+        *[fmt.compound(layout, F.col(f"_p_{name}")).alias(name) for name, layout in fmt.LAYOUTS.items()],
         # The columns present on the line (the first n), lower-cased name -> raw text
         F.map_from_arrays(F.slice(names, 1, n), F.slice(values, 1, n)).alias("columns"),
         "source_file",

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Columns and types of a bookings table.
+BOOKING = {"user_id": "string", "booking_id": "string", "resort_id": "string", "booking_start": "timestamp", "booking_end": "timestamp"}
+
 # The built-in bookings (user, booking, resort station, start, end).
 DEFAULT_BOOKINGS = [
     ("u-001", "b-001", "02907099999", "1901-01-01 00:00:00", "1901-01-02 00:00:00"),
@@ -14,14 +17,6 @@ DEFAULT_BOOKINGS = [
 
 
 def bookings_frame(spark: SparkSession, rows=None) -> DataFrame:
-    df = spark.createDataFrame(
-        rows if rows is not None else DEFAULT_BOOKINGS,
-        "user_id string, booking_id string, resort_id string, booking_start_text string, booking_end_text string",
-    )
-    return df.select(
-        "user_id",
-        "booking_id",
-        "resort_id",
-        F.to_timestamp("booking_start_text").alias("booking_start"),
-        F.to_timestamp("booking_end_text").alias("booking_end"),
-    )
+    """Rows of texts (the built-in ones by default) as a bookings table."""
+    texts = spark.createDataFrame(DEFAULT_BOOKINGS if rows is None else rows, ", ".join(f"{c} string" for c in BOOKING))
+    return texts.select(*[F.col(c).cast(t).alias(c) for c, t in BOOKING.items()])

@@ -46,9 +46,9 @@ def test_message_values_round_trip(spark):
     """Readings -> JSON message values (sink side) -> parsed readings (source side)."""
     from cirrus.plans.normalize import to_json_lines
     from cirrus.sources.readings import parse_readings
-    from tests.test_normalize import DEMO
+    from tests.test_normalize import LINE
 
-    raw = spark.createDataFrame([(DEMO,), ("",)], "raw_line string")
+    raw = spark.createDataFrame([(LINE,), ("",)], "raw_line string")
     readings, _ = normalize(raw)
     values = to_json_lines(readings)
     back = parse_readings(values).collect()
