@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,11 +47,21 @@ class ByteBpe:
         self.pretokens = regex.compile(PRETOKENS).findall
         self.table = _byte_letters()
         self.space = chr(self.table[32])
+        self.known = _Known(self)
 
     def ids(self, pretoken: str) -> list[int]:
         """Token ids of one pre-token."""
         return [t.id for t in self.model.tokenize(self._letters(pretoken))]
 
+    def ids_of(self, part: str) -> bytes:
+        """Token ids of a part of :func:`parts`, 4 bytes each; words and marks
+        that were seen in other parts aren't tokenised again."""
+        known = self.known
+        out = b"".join([known[t] for t in self.pretokens_of(part)])
+        if len(known) > KNOWN:
+            known.clear()
+        return out
+
     def count(self, pretoken: str) -> int:
         if pretoken in self.special:
             return 1
@@ -67,6 +78,15 @@ class ByteBpe:
             word = part.rstrip(_MARKS)
             if word.isalpha():
                 return [" " + word] if len(word) == len(part) else [" " + word, part[len(word) :]]
+            if "\n" in part:  # a word, perhaps marks, a line break, a word, ...
+                out = []
+                for k, line in enumerate(part.split("\n")):
+                    word = line.rstrip(_MARKS)
+                    if not word.isalpha():
+                        return self.pretokens(spelled(part))
+                    out.append("\n" if k else "")
+                    out += [word if k else " " + word, line[len(word) :]]
+                return list(filter(None, out))
         return self.pretokens(spelled(part))
 
     def runs(self, text: str) -> list[tuple[bool, str]]:
@@ -80,6 +100,21 @@ class ByteBpe:
         return [*out, (False, text[at:])]
 
 
+#: Pre-tokens whose ids one Python process remembers.
+KNOWN = 500_000
+
+
+class _Known(dict):
+    def __init__(self, bpe: ByteBpe):
+        self.bpe = bpe
+
+    def __missing__(self, pretoken: str) -> bytes:
+        out = array("I", self.bpe.ids(pretoken)).tobytes()
+        if len(pretoken) <= 64:
+            self[pretoken] = out
+        return out
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte-level BPE spells each byte as one printable letter: a byte that is
     printable in Latin-1 as itself, the others as 256, 257, ... in order."""

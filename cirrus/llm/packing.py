@@ -141,7 +141,7 @@ class _Bytes(dict):
         elif bytebpe.odd(part):
             out = None
         else:
-            out = array("I", [i for t in self.bpe.pretokens_of(part) for i in self.bpe.ids(t)]).tobytes()
+            out = self.bpe.ids_of(part)
         if len(part) <= 64:  # longer ones hardly come again
             self[part] = out
         return out
