@@ -52,3 +52,25 @@ def test_pipeline_over_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def test_pipeline_over_awkward_rows(spark, awkward):
+    """Nulls in any column, empty and long texts, ties and repeated rows, and
+    a column more: every stage keeps what it should of them."""
+    more = " ".join(f"clean{i} words" for i in range(30))
+    rows = [(i, t, [None, "en"][k % 2], s, None if k % 3 else len(t or ""), "x") for k, (i, t, s) in enumerate(awkward)]
+    rows += [(100, more, None, None, None, None), (100, more, None, None, None, None), (101, more, "en", "s", 1, "y"), (None, more + " more", "en", None, 3, "z"), (102, f'{more} token = "{"0a" * 20}"', "en", "s", 5, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, id string").repartition(3)
+    columns, outs = list(corpus_pipeline.COLUMNS), [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        outs.append(stage(spark, outs[-1], SF_SMALL).cache())
+    whole, good, alone, clean, mixed, packed = [o.collect() for o in outs]
+    assert all(sorted(o.columns) == sorted(columns) for o in outs[1:-1])
+    texts = lambda rs: [(r.doc_id, r.text) for r in rs]
+    assert set(texts(alone)) <= set(texts(good)) <= set(texts(whole)) and all(r.text and len(r.text.split()) >= 10 for r in good)
+    ids = [r.doc_id for r in alone if r.doc_id is not None]
+    assert len(ids) == len(set(ids)) and {100, 102} - set(ids) in (set(), {102}) and 101 not in ids and None in {r.doc_id for r in alone}
+    assert len(clean) == len(alone) and not any("0a0a0a0a" in r.text for r in clean)
+    words = lambda rs: sum(len(r.text.split()) for r in rs)
+    assert 1.3 * words(clean) <= words(mixed) <= 1.5 * words(clean) and {r.doc_id for r in mixed} <= {r.doc_id for r in clean}
+    assert {r.doc_id for r in packed} == {r.doc_id for r in mixed} and all(r.length <= 2048 for r in packed)
