@@ -40,6 +40,8 @@ from cirrus.llm.packing import remembered
 
 #: Bytes of text, and documents, that a shard is planned for.
 SHARD_BYTES, SHARD_DOCS = 64 << 20, 1 << 22
+#: A size from which on Spark means that it doesn't know one.
+UNKNOWN = 1 << 50
 #: Documents that a reading task takes at a time.
 READ_DOCS = 1 << 16
 
@@ -63,8 +65,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, path: str, id_col: str =
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
-    shards = max(1, -(-(size["bytes"] or 0) // shard_bytes), -(-size["n"] // SHARD_DOCS))
+    size = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    shards = max(1, -(-text_bytes(rows) // shard_bytes), -(-size // SHARD_DOCS))
     tie = F.xxhash64("text")
     # equal rows would fall in one range: a number that takes part in no order tells them apart
     dealt = rows.withColumn("tie", tie).withColumn("spread", F.rand(17)).repartitionByRange(shards, "id", "tie", "spread")
@@ -78,6 +80,15 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, path: str, id_col: str =
     return opened(spark, path)
 
 
+def text_bytes(rows: DataFrame) -> int:
+    """About how many bytes of text ``rows`` (id, text) have: for files twice
+    their size, as texts are compressed there; else counted."""
+    known = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if known < UNKNOWN:
+        return 2 * known
+    return rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+
+
 def opened(spark: SparkSession, path: str) -> DataFrame:
     """The manifest of a data set that :func:`write` made."""
     return spark.read.schema(f"{_SHARD}, first long, start long").parquet(path.rstrip("/") + "/manifest")
