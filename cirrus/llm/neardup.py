@@ -125,7 +125,7 @@ def _mixed64(h: np.ndarray) -> np.ndarray:
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
         out = xxhash.xxh64_intdigest(word)
-        if len(self) < 500_000 and len(word) <= 64:
+        if len(self) < 200_000 and len(word) <= 64:
             self[word] = out
         return out
 
@@ -136,7 +136,7 @@ _WORD_HASHES = _WordHash()
 def shingles(text: str) -> np.ndarray:
     """The sorted distinct shingles of a text, as 64-bit hashes."""
     words = text.encode().lower().split()  # bytes: A-Z and ASCII white space
-    if len(_WORD_HASHES) >= 500_000:
+    if len(_WORD_HASHES) >= 200_000:
         _WORD_HASHES.clear()
     h = np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
     n = min(WORDS, len(h))
@@ -227,7 +227,7 @@ def across(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     sets = texts.join(mixed.select(F.col("id").alias("_i"), "root", "group"), F.col("id") == F.col("_i")).select("group", "id", "root", "text")
     sets = stored(sets.mapInArrow(_sets, "group long, id long, root long, uid long, n long, s array<long>").dropDuplicates(["group", "uid"]), "sets")
     sizes = sets.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    often = sets.select("group", F.explode("s").alias("s")).groupBy("group", "s").agg(F.count(F.lit(1)).alias("times"))
+    often = sets.select("group", F.explode("s").alias("s")).groupBy("group", "s").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
     often = often.join(sizes.select(F.col("group").alias("_g"), "size"), F.col("group") == F.col("_g")).where(2 * F.col("times") > F.col("size"))
     # a centre is no longer than twice the longest text
     centres = sizes.select(F.col("group").alias("_g"), "size").join(often.groupBy(F.col("group").alias("_c")).agg(F.collect_list("s").alias("centre")), F.col("_g") == F.col("_c"), "left")
