@@ -9,9 +9,10 @@ Sliding windows have three physical strategies:
   before the shuffle); cut the time line into blocks as long as a window, so
   that a window is the end of one block and the beginning of the next.  A
   running aggregate over a block's panes gives all its beginnings, one
-  backwards all its ends, and every window is the combination of two entries.
+  backwards all its ends, and every window is the combination of two of them.
   Each pane crosses the shuffle twice, whatever size / slide is; windows are
-  spelled out behind it.  Needs size to be a multiple of slide.
+  spelled out behind it, as runs of equal ones, and not aggregated again.
+  Needs size to be a multiple of slide.
 * ``expand``: Spark's own ``window(time, size, slide)``; every row is copied
   size/slide times before the (partial) aggregate.
 * ``panes``: panes as above, but each pane is copied size/slide times and
@@ -29,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from cirrus.functions.timeops import MICROS_PER_SECOND, duration_seconds, floor_time
 
@@ -113,16 +115,30 @@ def merge_panes(panes: DataFrame, key, pane: str, size: str, slide: str, aggs: S
     return merged.withColumn("window_end", F.col("window_start") + F.make_dt_interval(secs=F.lit(size_s).cast("decimal(18,6)")))
 
 
+def _both(kind, a: Column, b: Column, of: DataType) -> Column:
+    """What the aggregate ``kind`` makes of two partial results of type
+    ``of``, either of which may be null."""
+    if kind is F.min or kind is F.max:
+        return (F.least if kind is F.min else F.greatest)(a, b)
+    if isinstance(of, DecimalType):  # all digits are kept, and the type is that of a sum
+        narrow = DecimalType(min(of.precision, 37), of.scale)
+        a, b = a.cast(narrow), b.cast(narrow)
+        return F.coalesce(a + b, a, b).cast(DecimalType(min(of.precision + 10, 38), of.scale))
+    return F.coalesce(a + b, a, b)
+
+
 def merge_blocks(panes: DataFrame, key, pane: str, size: str, slide: str, aggs: Sequence[AggSpec]) -> DataFrame:
     """Windows of ``size`` sliding by ``slide`` from partial aggregates per
-    (key, pane), one row for each (see ``blocks``).  A task holds the panes of
-    two blocks of a key at most: 2 x size / slide rows.
+    (key, pane), one row for each (see ``blocks``).
 
     With panes numbered and k = size / slide to a block, window s (its first
     pane) of block b takes the panes s .. of b and those below s + k of b + 1.
-    A pane p of b is the first of the window s for s down to behind the pane
-    before it in the block; as a pane of b + 1 it is the last for s + k up to
-    the pane that follows it."""
+    So a pane p of b is left by the window p + 1, and a pane p of b + 1 is met
+    by the window p - k + 1; between two such places of a block all windows
+    hold the same.  A row of the shuffle gives the run of windows before its
+    place, the last one of a block also the run from there on.  Windows are
+    spelled out last and nothing holds them: a task sorts its share of the
+    panes, and a block of a key is 2 x size / slide rows at most."""
     keys = _keys(key)
     size_s, slide_s = duration_seconds(size), duration_seconds(slide)
     k = size_s // slide_s
@@ -130,21 +146,42 @@ def merge_blocks(panes: DataFrame, key, pane: str, size: str, slide: str, aggs:
     kind = panes.schema[pane].dataType
     number = F.expr(f"div(unix_micros(cast(`{pane}` as timestamp)) - pmod(unix_micros(cast(`{pane}` as timestamp)), {slide_s * MICROS_PER_SECOND}L), {slide_s * MICROS_PER_SECOND}L)")
     x = panes.select(*keys, *parts, number.alias("_p")).withColumn("_b", F.expr(f"div(_p - pmod(_p, {k}L), {k}L)"))
-    both = x.withColumn("_end", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("_b", F.when(F.col("_end"), F.col("_b")).otherwise(F.col("_b") - 1))
-    dealt = both.repartition(*[F.col(c) for c in (*keys, "_b")])
-    side = Window.partitionBy(*keys, "_b", "_end").orderBy("_o")
-    running = side.rowsBetween(Window.unboundedPreceding, 0)
-    # ends of a block run backwards, beginnings forwards
-    entries = dealt.withColumn("_o", F.when(F.col("_end"), -F.col("_p")).otherwise(F.col("_p"))).select(
-        *keys, "_b", "_end", "_p", F.lead("_o").over(side).alias("_n"), *[fn(c).over(running).alias(c) for c, fn in _running(aggs)]
-    )
-    first = F.col("_b") * k
-    low = F.when(F.col("_end"), F.greatest(F.coalesce(1 - F.col("_n"), first), first)).otherwise(F.col("_p") - (k - 1))
-    high = F.when(F.col("_end"), F.col("_p")).otherwise(F.least(F.coalesce(F.col("_n") - k, first + (k - 1)), first + (k - 1)))
-    spelled = F.when(low <= high, F.sequence(low, high))  # none for the last pane of a next block
-    windows = entries.select(*keys, "_b", *parts, F.explode(spelled).alias("_s")).groupBy(*keys, "_b", "_s").agg(*_merge(aggs))
+    both = x.withColumn("_end", F.explode(F.array(F.lit(True), F.lit(False))))
+    both = both.where(F.col("_end") | (F.expr(f"pmod(_p, {k}L)") < k - 1))  # no window of b meets the last pane of b + 1
+    place = F.when(F.col("_end"), F.col("_p") + 1).otherwise(F.col("_p") - (k - 1))
+    block = F.when(F.col("_end"), F.col("_b")).otherwise(F.col("_b") - 1)
+    dealt = both.select(*keys, *parts, "_end", place.alias("_c"), block.alias("_b")).repartition(*[F.col(c) for c in (*keys, "_b")])
+    of_block = Window.partitionBy(*keys, "_b")
+    still = of_block.orderBy(F.col("_c").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    line = of_block.orderBy("_c")
+    met, met_here = line.rangeBetween(Window.unboundedPreceding, -1), line.rangeBetween(Window.unboundedPreceding, 0)
+    merged = [*_running(aggs), ("_any", F.sum)]
+    rows = dealt.withColumn("_any", F.lit(1))
+    rows = rows.select("*", *[fn(F.when(F.col("_end"), F.col(c))).over(still).alias(f"{c}_e") for c, fn in merged])
+    new = lambda c, fn, over: fn(F.when(~F.col("_end"), F.col(c))).over(over)
+    rows = rows.select(
+        *keys, "_b", "_c", F.lag("_c").over(line).alias("_from"), F.lead("_c").over(line).isNull().alias("_last"), *[f"{c}_e" for c, _ in merged],
+        *[new(c, fn, met).alias(f"{c}_m") for c, fn in merged], *[new(c, fn, met_here).alias(f"{c}_h") for c, fn in merged],
+    )
+    of = {c: rows.schema[f"{c}_e"].dataType for c, _ in merged}
+    how = dict(merged)
+
+    def result(name: str, agg: str, of_part) -> Column:
+        return (F.try_divide(of_part(f"{name}_s"), of_part(f"{name}_n")) if agg == "avg" else of_part(f"{name}_p")).alias(name)
+
+    before = lambda c: _both(how[c], F.col(f"{c}_e"), F.col(f"{c}_m"), of[c])
+    behind = lambda c: _both(how[c], F.lit(None).cast(of[c]), F.col(f"{c}_h"), of[c])
+    first, end = F.col("_b") * k, F.col("_b") * k + k
+    low = F.when(F.col("_any_e").isNotNull() | F.col("_any_m").isNotNull(), F.coalesce("_from", first)).otherwise(F.col("_c"))
+    high = F.when(F.col("_last") & F.col("_any_h").isNotNull(), end).otherwise(F.col("_c"))
+    runs = rows.select(
+        *keys, "_c", F.when(low < high, F.sequence(low, high - 1)).alias("_run"),
+        F.struct(*[result(n, a, before) for n, a, _ in aggs]).alias("_before"), F.struct(*[result(n, a, behind) for n, a, _ in aggs]).alias("_behind"),
+    )
+    windows = runs.select(*keys, "_c", "_before", "_behind", F.explode("_run").alias("_s"))
     at = lambda n: F.timestamp_micros(n * (slide_s * MICROS_PER_SECOND)).cast(kind)
-    return windows.select(*keys, at(F.col("_s")).alias("window_start"), at(F.col("_s") + k).alias("window_end"), *[a[0] for a in aggs])
+    values = [F.when(F.col("_s") < F.col("_c"), F.col("_before").getField(a[0])).otherwise(F.col("_behind").getField(a[0])).alias(a[0]) for a in aggs]
+    return windows.select(*keys, at(F.col("_s")).alias("window_start"), at(F.col("_s") + k).alias("window_end"), *values)
 
 
 def sliding_agg(
