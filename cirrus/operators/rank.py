@@ -3,7 +3,8 @@
 ``row_number() <= n`` lets Spark insert a partial ``WindowGroupLimit`` before
 the shuffle, so each map task forwards at most n rows per window: the final
 ranking task never sees more than n x (map tasks) rows of a window, however
-many keys there are.
+many keys there are.  A map task sorts all its rows for that, so where keys
+are many, rows that can't be ranked are left out before (``within_reach``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from pyspark.sql import functions as F
 
 from cirrus.functions.timeops import duration_seconds, floor_time
 
+#: Parts of the keys, for each place of a list, by which ``within_reach``
+#: finds its bound: with eight the bound is hardly beyond the n-th place.
+REACH = 8
+
 
 def top_n(df: DataFrame, partition: Sequence[str], order: Sequence[Column], n: int, rank_col: str = "rank_position") -> DataFrame:
     w = Window.partitionBy(*partition).orderBy(*order)
@@ -31,13 +36,18 @@ def top_n_both_ends(
     out_value: str = "value",
     names: tuple[str, str] = ("hottest", "coldest"),
     window_cols: Sequence[str] = ("window_start", "window_end"),
+    many_keys: bool = False,
 ) -> DataFrame:
     """Per window: the n keys with the highest ``high`` (ties by key ascending)
     and the n keys with the lowest ``low``; tagged ``list_name``.
 
     One pass for both lists: each window row is tagged once per list and
     ranked by a single ascending sort key (the negated ``high`` for the top
-    list; the output carries the value itself, never the negation)."""
+    list; the output carries the value itself, never the negation).
+    ``many_keys``: only rows within reach of a list are sorted; ``windows`` is
+    computed twice."""
+    if many_keys:
+        windows = within_reach(windows, key, high, low, n, window_cols)
     tagged = windows.select(key, *window_cols, high, low, F.explode(F.array(F.lit(names[0]), F.lit(names[1]))).alias("list_name"))
     top = F.col("list_name") == F.lit(names[0])
     tagged = tagged.withColumn("_ord", F.when(top, -F.col(high)).otherwise(F.col(low)))
@@ -47,6 +57,24 @@ def top_n_both_ends(
     )
 
 
+def within_reach(windows: DataFrame, key: str, high: str, low: str, n: int, window_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``windows`` that may be among a window's n first of either
+    list of ``top_n_both_ends``: those as good as a bound that n keys reach.
+
+    Keys are dealt into REACH x n parts; of the best values of a window's
+    parts the n-th best is one that n rows have or surpass.  So only n rows,
+    a few more, and ties of the bound are left, of any number of keys.  Rows
+    without a value, which come first, stay, and so do windows of less parts
+    than n."""
+    part = F.pmod(F.xxhash64(key), F.lit(REACH * n)).alias("_part")
+    # nulls and NaN are put in order as the ranking's sort does
+    best = windows.groupBy(*window_cols, part).agg(F.min(-F.col(high)).alias("_top"), F.min(low).alias("_low"))
+    nth = [F.get(F.array_sort(F.collect_list(c)), F.lit(n - 1)).alias(c) for c in ("_top", "_low")]
+    bounds = best.groupBy(*window_cols).agg(*nth)
+    missed = [F.coalesce(v > F.col(c), F.lit(False)) for v, c in ((-F.col(high), "_top"), (F.col(low), "_low"))]
+    return windows.join(F.broadcast(bounds), list(window_cols), "left").where(~(missed[0] & missed[1])).select(*windows.columns)
+
+
 def top_n_sliding(
     df: DataFrame,
     key: str,

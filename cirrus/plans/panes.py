@@ -43,7 +43,7 @@ def temperature_deviation(store: PaneStore, size: str = "24 hours", slide: str =
 
 
 def temperature_rankings(store: PaneStore, n: int = 10, size: str = "24 hours", slide: str = "1 hour", **days) -> DataFrame:
-    return top_n_both_ends(store.windows(size, slide, ["low", "high"], only="mean", **days), K, "high", "low", n, "temp_c")
+    return top_n_both_ends(store.windows(size, slide, ["low", "high"], only="mean", **days), K, "high", "low", n, "temp_c", many_keys=True)
 
 
 def climate_trend(store: PaneStore, size: str = "30 days", slide: str = "10 days", **days) -> DataFrame:

@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cirrus.operators.rank import top_n_both_ends, within_reach
 from cirrus.operators.windows import sliding_agg
 
 START = dt.datetime(1969, 12, 25)
@@ -35,3 +36,18 @@ def test_windows_are_not_aggregated_again(spark):
     w = sliding_agg(_readings(spark), "k", "t", "24 hours", "1 hour", [("m", "avg", "v")], "blocks")
     plan = w._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Aggregate(") == 2  # the panes, before and behind their shuffle
+
+
+def test_rows_within_reach_rank_as_all(spark):
+    rnd = random.Random(5)
+    rows = []
+    for w, keys in enumerate((400, 400, 5, 60)):
+        for k in range(keys):
+            tied = rnd.choice([1.0, 2.0, 3.0]) if w == 1 else rnd.uniform(-9, 9)
+            odd = rnd.choice([None, float("nan"), tied]) if w == 3 else tied
+            rows.append((f"k{k}" if k else None, w, w + 1, odd, odd))
+    df = spark.createDataFrame(rows * 2, "k string, window_start int, window_end int, hi double, lo double")
+    plain, reach = (top_n_both_ends(df, "k", "hi", "lo", 4, many_keys=many) for many in (False, True))
+    assert sorted(map(repr, plain.collect())) == sorted(map(repr, reach.collect()))
+    left = within_reach(df.where("window_start = 0"), "k", "hi", "lo", 4, ("window_start", "window_end")).count()
+    assert 2 * 4 <= left < 60  # of 800 rows
