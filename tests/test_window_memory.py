@@ -38,6 +38,20 @@ def test_windows_are_not_aggregated_again(spark):
     assert plan.count("Aggregate(") == 2  # the panes, before and behind their shuffle
 
 
+def test_stored_baseline_sorts_no_windows(spark, tmp_path):
+    from cirrus.plans.events import baseline_deviation_table
+
+    rows = [(i, START + dt.timedelta(hours=i % 50), i % 7, "view", float(i % 13), "{}") for i in range(300)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # keys too many to broadcast
+    try:
+        plan = baseline_deviation_table(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_rows_within_reach_rank_as_all(spark):
     rnd = random.Random(5)
     rows = []
