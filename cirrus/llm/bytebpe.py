@@ -101,7 +101,7 @@ class ByteBpe:
 
 
 #: Pre-tokens whose ids one Python process remembers.
-KNOWN = 200_000
+KNOWN = 100_000
 
 
 class _Known(dict):

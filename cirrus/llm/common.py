@@ -4,8 +4,10 @@ bounded Arrow batches, running sums over salted buckets, word rules."""
 from __future__ import annotations
 
 import atexit
+import ctypes
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +40,16 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def give_back() -> None:
+    """Called in a Python process when it has done a task: what it freed goes
+    back to the system, as the process waits beside the executor's heap for
+    tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     back: computed once, lineage cut, and not lost with an executor.  The

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cirrus.llm.common import bounded_batches, stored
+from cirrus.llm.common import bounded_batches, give_back, stored
 
 WORDS = 5
 #: Links have 100 * common shingles >= PERCENT * shingles of either.
@@ -183,6 +183,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
             names=["id", "n_shingles", "set_hash", "bands"],
         )
+    give_back()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -274,6 +275,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*(batch.column(c) for c in range(3)), pa.array(np.array(uids, np.uint64).view(np.int64)), pa.array([len(f) for f in found], pa.int64()), pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))],
             names=["group", "id", "root", "uid", "n", "s"],
         )
+    give_back()
 
 
 def _differing(centre: pa.Table, sets: pa.Table) -> pa.Table:

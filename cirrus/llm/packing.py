@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cirrus.llm import bytebpe
-from cirrus.llm.common import bounded_batches, running_sum, stored
+from cirrus.llm.common import bounded_batches, give_back, running_sum, stored
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Parts of texts whose ids one Python process remembers, twice over.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Slots that one planned row stands for at most, so that no task makes a
 #: whole length's slots.
 SLOTS_A_ROW = 4096
@@ -192,5 +192,6 @@ def _cut(tokenizer: str, capacity: int, end_id: int):
             cols = list(zip(*out)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return run

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import bounded_batches, stored
+from cirrus.llm.common import bounded_batches, give_back, stored
 
 #: Kinds in order, their patterns, the least characters.
 KINDS = ("assign", "access", "hex")
@@ -84,7 +84,9 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None else _replaced(t, [x[1:] for x in base] + more, mark) for t, (base, more, _) in zip(texts, spans_of(net, least, list(texts)))], dtype=object)
+        spans = spans_of(net, least, list(texts))
+        give_back()
+        return pd.Series([t if t is None else _replaced(t, [x[1:] for x in base] + more, mark) for t, (base, more, _) in zip(texts, spans)], dtype=object)
 
     return docs.withColumn(text_col, clean(F.col(text_col)))
 
