@@ -175,10 +175,11 @@ def merge_blocks(panes: DataFrame, key, pane: str, size: str, slide: str, aggs:
     low = F.when(F.col("_any_e").isNotNull() | F.col("_any_m").isNotNull(), F.coalesce("_from", first)).otherwise(F.col("_c"))
     high = F.when(F.col("_last") & F.col("_any_h").isNotNull(), end).otherwise(F.col("_c"))
     runs = rows.select(
-        *keys, "_c", F.when(low < high, F.sequence(low, high - 1)).alias("_run"),
+        *keys, "_c", low.alias("_low"), high.alias("_high"),
         F.struct(*[result(n, a, before) for n, a, _ in aggs]).alias("_before"), F.struct(*[result(n, a, behind) for n, a, _ in aggs]).alias("_behind"),
     )
-    windows = runs.select(*keys, "_c", "_before", "_behind", F.explode("_run").alias("_s"))
+    spelled = F.when(F.col("_low") < F.col("_high"), F.sequence(F.col("_low"), F.col("_high") - 1))
+    windows = runs.select(*keys, "_c", "_before", "_behind", F.explode(spelled).alias("_s"))
     at = lambda n: F.timestamp_micros(n * (slide_s * MICROS_PER_SECOND)).cast(kind)
     values = [F.when(F.col("_s") < F.col("_c"), F.col("_before").getField(a[0])).otherwise(F.col("_behind").getField(a[0])).alias(a[0]) for a in aggs]
     return windows.select(*keys, at(F.col("_s")).alias("window_start"), at(F.col("_s") + k).alias("window_end"), *values)
