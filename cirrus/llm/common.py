@@ -4,8 +4,11 @@ bounded Arrow batches, running sums over salted buckets, word rules."""
 from __future__ import annotations
 
 import atexit
+import contextlib
+import contextvars
 import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,9 +57,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     back: computed once, lineage cut, and not lost with an executor.  The
     files are removed when the application ends."""
-    path = scratch(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if (passing := _PASSING.get()) is not None:
+        passing.append((out, spark, path))
+    return out
+
+
+#: Tables stored in the innermost :func:`passing_tables`.
+_PASSING: contextvars.ContextVar[list[tuple[DataFrame, SparkSession, str]] | None] = contextvars.ContextVar("passing", default=None)
+
+
+@contextlib.contextmanager
+def passing_tables() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """The files of all tables that are stored in here go at its end, but for
+    tables that were given to the function that it yields, which returns them.
+    Nothing that reads the others may be left."""
+    outer, mine, kept = _PASSING.get(), [], []
+    token = _PASSING.set(mine)
+    try:
+        yield lambda table: kept.append(table) or table
+    finally:
+        _PASSING.reset(token)
+        for table, spark, path in mine:
+            if not any(table is k for k in kept):
+                _remove(spark, path)
+                _WRITTEN.remove((spark, path))
+            elif outer is not None:
+                outer.append((table, spark, path))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -72,13 +102,17 @@ def scratch(spark: SparkSession, name: str) -> str:
 def _remove_written() -> None:
     for spark, path in _WRITTEN:
         try:
-            jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(conf).delete(at, True)
+            _remove(spark, path)
         except Exception:  # noqa: BLE001  the session is gone: nothing to remove with
             return
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(conf).delete(at, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character left as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cirrus.llm.common import bounded_batches, give_back, stored
+from cirrus.llm.common import bounded_batches, give_back, passing_tables, stored
 
 WORDS = 5
 #: Links have 100 * common shingles >= PERCENT * shingles of either.
@@ -63,36 +63,37 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(rows.mapInArrow(_signed, _SIGNED), "signed")
-    has = signed.where("id IS NOT NULL AND set_hash IS NOT NULL")
-    classes = stored(has.groupBy("set_hash").agg(F.min("id").alias("rep"), F.max("id").alias("last")), "classes")
-    member = has.select("id", "set_hash").join(classes.select(F.col("set_hash").alias("_h"), "rep"), F.col("set_hash") == F.col("_h")).select("id", "rep").distinct()
-    member = stored(member, "members")
-    copies = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-
-    firsts = has.join(classes.select(F.col("set_hash").alias("_h"), "rep"), (F.col("set_hash") == F.col("_h")) & (F.col("id") == F.col("rep")))
-    firsts = firsts.select("id", "bands").dropDuplicates(["id", "bands"])
-    keyed = firsts.select("id", F.posexplode("bands").alias("band", "key")).distinct()
-    keyed = stored(keyed, "keyed")
-    lows = keyed.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    buckets = stored(keyed.join(lows, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "band", "key", "first"), "buckets")
-    star = stored(buckets.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "candidates")
-    texts = rows.join(buckets.select(F.col("id").alias("_i")).distinct(), F.col("id") == F.col("_i"), "left_semi")
-    texts = stored(texts, "texts")
-    links = stored(confirmed(star, texts), "links")
-    roots = merged(links)
-
-    # several components in a bucket, its first member aside: its pairs are tried
-    left = buckets.where("id <> first").select("id", "band", "key").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
-    left = stored(left.select("id", "band", "key", F.coalesce("root", "id").alias("root")), "left")
-    mixed = left.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    mixed = left.join(stored(mixed.select("_b", "_k"), "mixed"), (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "root").distinct()
-    mixed = stored(mixed, "unsettled")
-    if not mixed.isEmpty():
-        groups = merged(star)
-        mixed = mixed.join(groups.select(F.col("id").alias("_i"), F.col("root").alias("group")), F.col("id") == F.col("_i")).select("id", "root", "group")
-        links = stored(links.unionByName(confirmed(across(stored(mixed, "grouped"), texts), texts)), "all-links")
-    roots = merged(stored(links.unionByName(copies), "links-and-copies"))
+    with passing_tables() as keep:
+        signed = keep(stored(rows.mapInArrow(_signed, _SIGNED), "signed"))
+        has = signed.where("id IS NOT NULL AND set_hash IS NOT NULL")
+        classes = stored(has.groupBy("set_hash").agg(F.min("id").alias("rep"), F.max("id").alias("last")), "classes")
+        member = has.select("id", "set_hash").join(classes.select(F.col("set_hash").alias("_h"), "rep"), F.col("set_hash") == F.col("_h")).select("id", "rep").distinct()
+        member = stored(member, "members")
+        copies = member.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+
+        firsts = has.join(classes.select(F.col("set_hash").alias("_h"), "rep"), (F.col("set_hash") == F.col("_h")) & (F.col("id") == F.col("rep")))
+        firsts = firsts.select("id", "bands").dropDuplicates(["id", "bands"])
+        keyed = firsts.select("id", F.posexplode("bands").alias("band", "key")).distinct()
+        keyed = stored(keyed, "keyed")
+        lows = keyed.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+        buckets = stored(keyed.join(lows, (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "band", "key", "first"), "buckets")
+        star = stored(buckets.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct(), "candidates")
+        texts = rows.join(buckets.select(F.col("id").alias("_i")).distinct(), F.col("id") == F.col("_i"), "left_semi")
+        texts = stored(texts, "texts")
+        links = stored(confirmed(star, texts), "links")
+        roots = merged(links)
+
+        # several components in a bucket, its first member aside: its pairs are tried
+        left = buckets.where("id <> first").select("id", "band", "key").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
+        left = stored(left.select("id", "band", "key", F.coalesce("root", "id").alias("root")), "left")
+        mixed = left.groupBy(F.col("band").alias("_b"), F.col("key").alias("_k")).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        mixed = left.join(stored(mixed.select("_b", "_k"), "mixed"), (F.col("band") == F.col("_b")) & (F.col("key") == F.col("_k"))).select("id", "root").distinct()
+        mixed = stored(mixed, "unsettled")
+        if not mixed.isEmpty():
+            groups = merged(star)
+            mixed = mixed.join(groups.select(F.col("id").alias("_i"), F.col("root").alias("group")), F.col("id") == F.col("_i")).select("id", "root", "group")
+            links = stored(links.unionByName(confirmed(across(stored(mixed, "grouped"), texts), texts)), "all-links")
+        roots = keep(merged(stored(links.unionByName(copies), "links-and-copies")))
     out = signed.select("id", "n_shingles").join(roots.select(F.col("id").alias("_i"), "root"), F.col("id") == F.col("_i"), "left")
     component = F.coalesce("root", "id")
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("id")).alias("kept"))
@@ -289,6 +290,8 @@ def _differing(centre: pa.Table, sets: pa.Table) -> pa.Table:
 
 #: Hooks that are followed in a round of :func:`merged`: 2 to this power.
 FOLLOWED = 3
+#: Links that a task takes alone: a round of no more has no shuffle.
+FEW_LINKS = 1 << 16
 
 
 def merged(links: DataFrame) -> DataFrame:
@@ -298,28 +301,32 @@ def merged(links: DataFrame) -> DataFrame:
     number that the round's hash gives, follows hooks to hooks, and contracts
     the links accordingly, until none is left.  As numbers are drawn anew, a
     chain shrinks by a factor a round, however its ids rise or fall; a hub is
-    never gathered, only its least neighbour is taken."""
-    edges = stored(links.where("a <> b").select("a", "b").distinct(), "edges")
-    roots, turn = None, 0
-    while not edges.isEmpty():
-        drawn = lambda c, salt=turn: F.struct(F.xxhash64(c, F.lit(salt)).alias("h"), F.col(c).alias("id"))
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy(F.col("a").alias("node")).agg(F.min(drawn("b")).alias("m"))
-        hooks = stored(least.select("node", F.least(F.col("m"), drawn("node"))["id"].alias("low")), "hooks")
-        for _ in range(FOLLOWED):
-            next_ = hooks.select(F.col("node").alias("_n"), F.col("low").alias("_low"))
-            hooks = hooks.join(next_, F.col("low") == F.col("_n")).select("node", F.col("_low").alias("low"))
-        hooks = stored(hooks, "followed")
+    never gathered, only its least neighbour is taken.  Rounds of FEW_LINKS
+    links or fewer, mostly the last ones, run in one task, as their shuffles
+    would be many times their work."""
+    with passing_tables() as keep:
+        edges = stored(links.where("a <> b").select("a", "b").distinct(), "edges")
+        roots, turn = None, 0
+        while left := edges.count():
+            dealt = (lambda df: df.coalesce(1)) if left <= FEW_LINKS else (lambda df: df)
+            drawn = lambda c, salt=turn: F.struct(F.xxhash64(c, F.lit(salt)).alias("h"), F.col(c).alias("id"))
+            both = dealt(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+            least = both.groupBy(F.col("a").alias("node")).agg(F.min(drawn("b")).alias("m"))
+            hooks = dealt(stored(least.select("node", F.least(F.col("m"), drawn("node"))["id"].alias("low")), "hooks"))
+            for _ in range(FOLLOWED):
+                next_ = hooks.select(F.col("node").alias("_n"), F.col("low").alias("_low"))
+                hooks = dealt(hooks.join(next_, F.col("low") == F.col("_n")).select("node", F.col("_low").alias("low")))
+            hooks = stored(hooks, "followed")
+            if roots is None:
+                roots = hooks.select(F.col("node").alias("id"), F.col("low").alias("root"))
+            else:
+                roots = roots.join(hooks, F.col("root") == F.col("node"), "left").select("id", F.coalesce("low", "root").alias("root"))
+            roots = stored(roots, "roots")
+            one = dealt(dealt(edges).join(dealt(hooks), F.col("a") == F.col("node")).select(F.col("low").alias("x"), "b"))
+            two = dealt(one.join(dealt(hooks), F.col("b") == F.col("node")).select("x", F.col("low").alias("y")))
+            edges = stored(two.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
+            turn += 1
         if roots is None:
-            roots = hooks.select(F.col("node").alias("id"), F.col("low").alias("root"))
-        else:
-            roots = roots.join(hooks, F.col("root") == F.col("node"), "left").select("id", F.coalesce("low", "root").alias("root"))
-        roots = stored(roots, "roots")
-        one = edges.join(hooks, F.col("a") == F.col("node")).select(F.col("low").alias("x"), "b")
-        two = one.join(hooks, F.col("b") == F.col("node")).select("x", F.col("low").alias("y"))
-        edges = stored(two.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "edges")
-        turn += 1
-    if roots is None:
-        return links.sparkSession.createDataFrame([], "id long, root long")
-    lowest = roots.groupBy(F.col("root").alias("_r")).agg(F.min("id").alias("low"))
-    return stored(roots.join(lowest, F.col("root") == F.col("_r")).select("id", F.col("low").alias("root")), "components")
+            return links.sparkSession.createDataFrame([], "id long, root long")
+        lowest = roots.groupBy(F.col("root").alias("_r")).agg(F.min("id").alias("low"))
+        return keep(stored(roots.join(lowest, F.col("root") == F.col("_r")).select("id", F.col("low").alias("root")), "components"))

@@ -1,11 +1,17 @@
-"""What Python processes keep between the tasks of a pipeline's stages."""
+"""What Python processes keep between the tasks of a pipeline's stages, and
+what near duplicates leave on disk and ask of the scheduler."""
 
 from __future__ import annotations
 
+import os
+import uuid
+
 import pyarrow as pa
 
 from cirrus.llm import neardup, packing
+from cirrus.llm.common import passing_tables, stored
 from cirrus.llm.queries import tokenizer_path
+from cirrus.session import checkpoint_root
 
 
 def _batch(texts):
@@ -31,3 +37,49 @@ def test_remembered_parts_are_bounded(monkeypatch):
     for k in range(20):
         known.of(" ".join(f"w{k}x{i}" for i in range(40)))
         assert len(known) <= 50 + 40 and len(known.before) <= 50 + 40
+
+
+def _stored_tables(spark):
+    at = f"{checkpoint_root(spark).removeprefix('file:')}/cirrus-llm"
+    return {x for x in os.listdir(at) if any(f.endswith(".parquet") for f in os.listdir(f"{at}/{x}"))} if os.path.isdir(at) else set()
+
+
+def test_passing_tables_go(spark):
+    before = _stored_tables(spark)
+    with passing_tables() as keep:
+        with passing_tables() as keep_inside:
+            a, _ = keep_inside(stored(spark.range(3), "a")), stored(spark.range(4), "b")
+        c = keep(stored(a.unionByName(spark.range(5)), "c"))
+        assert len(_stored_tables(spark) - before) == 2
+    assert c.count() == 8 and len(_stored_tables(spark) - before) == 1
+
+
+def test_components_leave_two_tables(spark, docs):
+    before = _stored_tables(spark)
+    out = neardup.components(docs)
+    left = sorted(x.rsplit("-", 1)[0] for x in _stored_tables(spark) - before)
+    assert left == ["components", "signed"] and out.count() == docs.count()
+
+
+def test_few_links_are_merged_without_shuffles(spark):
+    """Tasks don't follow the number of shuffle partitions a round; whether a
+    round runs in one task makes no difference to its result."""
+    edges = stored(spark.createDataFrame([(i * 7919 % 300, (i + 1) * 7919 % 300) for i in range(299)] + [(900, 901)], "a long, b long"), "few")
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old, few, tasks, got = {k: spark.conf.get(k) for k in conf}, neardup.FEW_LINKS, [], []
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for neardup.FEW_LINKS in (few, 0):
+            spark.sparkContext.setJobGroup(group := uuid.uuid4().hex, group)
+            got.append({r.id: r.root for r in neardup.merged(edges).collect()})
+            told = spark.sparkContext.statusTracker()
+            stages = {s for j in told.getJobIdsForGroup(group) for s in told.getJobInfo(j).stageIds}
+            tasks.append(sum(i.numCompletedTasks for i in map(told.getStageInfo, stages) if i))
+    finally:
+        neardup.FEW_LINKS = few
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got[0] == got[1] == {i: 0 for i in range(300)} | {900: 900, 901: 900}
+    assert 3 * tasks[0] < tasks[1], tasks
