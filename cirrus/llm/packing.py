@@ -25,7 +25,9 @@ from cirrus.llm.common import bounded_batches, give_back, running_sum, stored
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Parts of texts whose ids one Python process remembers, twice over.
-REMEMBERED = 200_000
+REMEMBERED = 160_000
+#: Bytes that mark by their hashes which parts have come once.
+SEEN = 1 << 22
 #: Slots that one planned row stands for at most, so that no task makes a
 #: whole length's slots.
 SLOTS_A_ROW = 4096
@@ -130,20 +132,24 @@ def _slots(spark: SparkSession, plan: list[tuple[int, int, int, int, int]]) -> D
 
 class _Bytes(dict):
     """Ids of each part of a text as little-endian bytes; None marks an odd
-    part.  When it is full, only parts that come again are kept."""
+    part.  A part is kept when it comes for the second time, as most of them
+    come once only; when the dictionary is full, only parts that come again
+    are kept."""
 
     def __init__(self, bpe: bytebpe.ByteBpe):
-        self.bpe, self.before = bpe, {}
+        self.bpe, self.before, self.seen = bpe, {}, bytearray(SEEN)
 
     def __missing__(self, part: str) -> bytes | None:
-        if part in self.before:
-            out = self.before[part]
-        elif bytebpe.odd(part):
-            out = None
-        else:
-            out = self.bpe.ids_of(part)
-        if len(part) <= 64:  # longer ones hardly come again
-            self[part] = out
+        out = self.before.get(part, self)  # itself: not there
+        if out is self:
+            out = None if bytebpe.odd(part) else self.bpe.ids_of(part)
+            if len(part) > 64:  # these hardly come again
+                return out
+            at = hash(part) % SEEN
+            if not self.seen[at]:
+                self.seen[at] = 1
+                return out
+        self[part] = out
         return out
 
     def of(self, text: str) -> bytes:
@@ -157,7 +163,7 @@ class _Bytes(dict):
                 except TypeError:  # None among them: an odd part
                     out.append(b"".join(map(self.__getitem__, bytebpe.parts(run))))
         if len(self) > REMEMBERED:
-            self.before = dict(self)
+            self.before, self.seen = dict(self), bytearray(SEEN)
             self.clear()
         return b"".join(out)
 

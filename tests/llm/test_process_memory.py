@@ -39,6 +39,15 @@ def test_remembered_parts_are_bounded(monkeypatch):
         assert len(known) <= 50 + 40 and len(known.before) <= 50 + 40
 
 
+def test_parts_that_come_once_are_not_kept(monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN", {})
+    known = packing.remembered(tokenizer_path())
+    want = known.of("alpha beta, g\u00e9mma")
+    assert not known
+    assert known.of("alpha beta, g\u00e9mma") == want and set(known) == {" alpha", "beta,", "g\u00e9mma"}
+    assert known.of("alpha beta, g\u00e9mma") == want
+
+
 def _stored_tables(spark):
     at = f"{checkpoint_root(spark).removeprefix('file:')}/cirrus-llm"
     return {x for x in os.listdir(at) if any(f.endswith(".parquet") for f in os.listdir(f"{at}/{x}"))} if os.path.isdir(at) else set()
