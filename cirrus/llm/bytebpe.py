@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 from array import array
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
@@ -48,15 +49,24 @@ class ByteBpe:
         self.table = _byte_letters()
         self.space = chr(self.table[32])
         self.known = _Known(self)
+        self.id4 = [i.to_bytes(4, sys.byteorder) for i in range(self.highest + 1)]
 
     def ids(self, pretoken: str) -> list[int]:
         """Token ids of one pre-token."""
         return [t.id for t in self.model.tokenize(self._letters(pretoken))]
 
     def ids_of(self, part: str) -> bytes:
-        """Token ids of a part of :func:`parts`, 4 bytes each; words and marks
-        that were seen in other parts aren't tokenised again."""
+        """Token ids of a part of :func:`parts`, 4 bytes each.  A part that comes
+        for the first time is mostly a word of its own, perhaps with marks: its
+        word is tokenised without being remembered; other pre-tokens that were
+        seen in other parts aren't tokenised again."""
         known = self.known
+        word = part if part.isalpha() else part.rstrip(_MARKS)
+        if word.isalpha():
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.table)
+            id4 = self.id4
+            out = b"".join([id4[t.id] for t in self.model.tokenize(self.space + letters)])
+            return out if len(word) == len(part) else out + known[part[len(word) :]]
         out = b"".join([known[t] for t in self.pretokens_of(part)])
         if len(known) > KNOWN:
             known.clear()

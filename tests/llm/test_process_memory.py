@@ -8,7 +8,7 @@ import uuid
 
 import pyarrow as pa
 
-from cirrus.llm import neardup, packing
+from cirrus.llm import bytebpe, neardup, packing
 from cirrus.llm.common import passing_tables, stored
 from cirrus.llm.queries import tokenizer_path
 from cirrus.session import checkpoint_root
@@ -48,6 +48,17 @@ def test_parts_that_come_once_are_not_kept(monkeypatch):
     assert known.of("alpha beta, g\u00e9mma") == want
 
 
+def test_a_new_word_takes_one_call(monkeypatch):
+    """A word, perhaps with marks, is neither cut by the pattern nor kept twice."""
+    bpe = bytebpe.ByteBpe(tokenizer_path())
+    words = ["w\u00f6rd", "word", "word,", "w\u00f6rd...)", "\u0436\u0437;"]
+    want = [b"".join(bpe.known[t] for t in bpe.pretokens_of(w)) for w in words]
+    bpe.known.clear()
+    monkeypatch.setattr(bpe, "pretokens_of", lambda part: 1 / 0)
+    assert [bpe.ids_of(w) for w in words] == want
+    assert not any(c.isalpha() for t in bpe.known for c in t)
+
+
 def _stored_tables(spark):
     at = f"{checkpoint_root(spark).removeprefix('file:')}/cirrus-llm"
     return {x for x in os.listdir(at) if any(f.endswith(".parquet") for f in os.listdir(f"{at}/{x}"))} if os.path.isdir(at) else set()
