@@ -60,8 +60,9 @@ def test_a_new_word_takes_one_call(monkeypatch):
 
 
 def _stored_tables(spark):
-    at = f"{checkpoint_root(spark).removeprefix('file:')}/cirrus-llm"
-    return {x for x in os.listdir(at) if any(f.endswith(".parquet") for f in os.listdir(f"{at}/{x}"))} if os.path.isdir(at) else set()
+    root = checkpoint_root(spark)
+    at = f"/{root.removeprefix('file:').lstrip('/')}/cirrus-llm"
+    return {x for x in os.listdir(at) if os.path.exists(f"{at}/{x}/_SUCCESS")} if os.path.isdir(at) else set()
 
 
 def test_passing_tables_go(spark):
